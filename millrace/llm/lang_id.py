@@ -22,7 +22,7 @@ from .common import crc_mod, documents, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Distinct words that a worker holds before it spends them on expected counts, or the scores of words that it keeps.
-MAX_WORDS = 200_000
+MAX_WORDS = 600_000
 #: Words of up to this length are summed side by side in numpy; longer ones one at a time, whole.
 MAX_LEN = 24
 #: Pseudo-count of the pooled distribution in each language's.
@@ -58,6 +58,10 @@ def _points(words: list[str]) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
 
 
+def _prefix(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)
+
+
 class Lattice:
     """Which pieces stand where in words: the part of the forward algorithm that is the same for all languages."""
 
@@ -67,33 +71,40 @@ class Lattice:
         self.keys, self.ids, self.n = keys[order], order.astype(np.int32), len(pieces)
         self.longest = max(map(len, pieces))
         self.powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
+        # Most parts of words are no pieces: a small table of key prefixes tells so at once.
+        self.there = np.zeros(1 << 20, bool)
+        self.there[_prefix(keys)] = True
 
-    def spans(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """For words of one length: (start, end, piece or n for none of each word), by end, then start."""
+    def spans(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For words of one length: (start, end, indexes of the words that have a piece there, the pieces), by end, then start."""
         h = _hash(_points(words))
         for j in range(1, h.shape[1]):
             for i in range(max(0, j - self.longest), j):
                 want = h[:, j] - h[:, i] * self.powers[j - i]
-                at = np.minimum(np.searchsorted(self.keys, want), self.n - 1)
-                yield i, j, np.where(self.keys[at] == want, self.ids[at], self.n)
+                at = np.nonzero(self.there[_prefix(want)])[0]
+                want = want[at]
+                k = np.minimum(np.searchsorted(self.keys, want), self.n - 1)
+                ok = self.keys[k] == want
+                yield i, j, at[ok], self.ids[k[ok]]
 
     def forward(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """log of the summed probability of each word (all of one length) in each language: (words, languages).
-        table: (pieces + 1, languages), zeros last. Sums are rescaled at each position, so no length underflows."""
+        table: (pieces + 1, languages). Sums are rescaled at each position, so no length underflows."""
         length = len(words[0])
         alpha = [np.ones((len(words), table.shape[1]))] + [None] * length
         scale = np.zeros((len(words), table.shape[1]))
         at = 0
         total = None
-        for i, j, piece in self.spans(words):
+        for i, j, row, piece in self.spans(words):
             if j != at:
                 if at:
                     self._close(alpha, at, total, scale)
                 at, total = j, np.zeros_like(alpha[0])
-            p = table[piece]
-            if i == j - 1:
-                p = np.where(piece[:, None] == self.n, _UNKNOWN, p)
-            total += alpha[i] * p
+            if i == j - 1 and len(row) < len(words):
+                other = np.ones(len(words), bool)
+                other[row] = False
+                total[other] += alpha[i][other] * _UNKNOWN
+            total[row] += alpha[i][row] * table[piece]
         self._close(alpha, at, total, scale)
         return scale
 
@@ -104,23 +115,29 @@ class Lattice:
         alpha[at] = np.ones_like(total)
 
     def expected(self, words: list[str], counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
-        """Expected counts of each piece in each language, for words of one length under one prior; counts: (words, languages)."""
-        length, out = len(words[0]), np.zeros((self.n + 1, counts.shape[1]))
-        spans, alpha, beta = [], np.zeros((length + 1, len(words))), np.zeros((length + 1, len(words)))
+        """Expected counts of each piece, for words of one length that occur `counts` times, under a prior."""
+        length, out = len(words[0]), np.zeros(self.n)
+        alpha, beta = np.zeros((length + 1, len(words))), np.zeros((length + 1, len(words)))
         alpha[0] = beta[length] = 1
-        for i, j, piece in self.spans(words):
+        spans = []
+        for i, j, row, piece in self.spans(words):
+            other = None
+            if i == j - 1 and len(row) < len(words):
+                other = np.ones(len(words), bool)
+                other[row] = False
+                other = np.nonzero(other)[0]
+                alpha[j][other] += alpha[i][other] * _UNKNOWN
             p = prior[piece]
-            if i == j - 1:
-                p = np.where(piece == self.n, _UNKNOWN, p)
-            alpha[j] += alpha[i] * p
-            spans.append((i, j, piece, p))
-        for i, j, _, p in reversed(spans):
-            beta[i] += beta[j] * p
-        for i, j, piece, p in spans:
-            weight = alpha[i] * p * beta[j] / alpha[length]
-            for k in range(counts.shape[1]):
-                out[:, k] += np.bincount(piece, weight * counts[:, k], self.n + 1)
-        return out[:-1]
+            alpha[j][row] += alpha[i][row] * p
+            spans.append((i, j, row, piece, p, other))
+        for i, j, row, _, p, other in reversed(spans):
+            beta[i][row] += beta[j][row] * p
+            if other is not None:
+                beta[i][other] += beta[j][other] * _UNKNOWN
+        times = counts / alpha[length]
+        for i, j, row, piece, p, _ in spans:
+            out += np.bincount(piece, alpha[i][row] * p * beta[j][row] * times[row], self.n)
+        return out
 
 
 def _by_length(words: list[str]) -> dict[int, list[int]]:
@@ -165,25 +182,16 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         total: dict[str, np.ndarray] = {}
 
         def spend() -> None:
-            langs = list(held)
-            words: dict[str, np.ndarray] = {}
-            for k, lang in enumerate(langs):
-                for token, n in held[lang].items():
+            for lang, tokens in held.items():
+                words: Counter = Counter()
+                for token, n in tokens.items():
                     for w in _words(token):
-                        if w not in words:
-                            words[w] = np.zeros(len(langs))
-                        words[w][k] += n
-            # Words beyond MAX_LEN say little about pieces beside their parts, so each is counted in MAX_LEN-long parts; none is left out.
-            cut: dict[str, np.ndarray] = {}
-            for w, c in words.items():
-                for k in range(0, len(w), MAX_LEN):
-                    part = w[k : k + MAX_LEN]
-                    cut[part] = cut[part] + c if part in cut else c
-            names = list(cut)
-            for at in _parts(names, 400_000):
-                got = lattice.expected([names[i] for i in at], np.stack([cut[names[i]] for i in at]), prior)
-                for k, lang in enumerate(langs):
-                    total[lang] = total.get(lang, 0) + got[:, k]
+                        # A word beyond MAX_LEN is counted in parts of that length; none of it is left out.
+                        for k in range(0, len(w), MAX_LEN):
+                            words[w[k : k + MAX_LEN]] += n
+                names, n = list(words), np.fromiter(words.values(), float, len(words))
+                for at in _parts(names, 400_000):
+                    total[lang] = total.get(lang, 0) + lattice.expected([names[i] for i in at], n[at], prior)
             held.clear()
 
         for f in frames:
@@ -225,26 +233,30 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         known: dict[str, int] = {}
         logs = np.zeros((0, nl))
 
+        used = 0
+
         def add(tokens: set[str]) -> None:
-            nonlocal logs
+            nonlocal logs, used
             if len(known) + len(tokens) > max_words and known:
                 known.clear()
-                logs = np.zeros((0, nl))
-                tokens = every
-            tokens_ = [t for t in tokens if t not in known]
-            of = [_words(t) for t in tokens_]
-            names = list(dict.fromkeys(w for ws in of for w in ws))
+                tokens, used = every, 0
+            names_of = [_words(t) for t in tokens]
+            place: dict[str, int] = {}
+            flat = [place.setdefault(w, len(place)) for ws in names_of for w in ws]
+            names = list(place)
             value = np.zeros((len(names) + 1, nl))
             for at in _parts(names, 400_000):
                 value[at] = lattice.forward([names[i] for i in at], table)
-            place = {w: i for i, w in enumerate(names)}
-            new = np.zeros((len(tokens_), nl + 1))[:, :nl]
-            for k, ws in enumerate(of):
-                for w in ws:
-                    new[k] += value[place[w]]
-            for k, t in enumerate(tokens_):
-                known[t] = len(logs) + k
-            logs = np.vstack([logs, new])
+            sums = np.vstack([np.zeros((1, nl)), np.cumsum(value[flat], axis=0)]) if flat else np.zeros((1, nl))
+            ends = np.cumsum([len(ws) for ws in names_of])
+            new = sums[ends] - sums[ends - [len(ws) for ws in names_of]]
+            new[np.fromiter((not ws for ws in names_of), bool, len(names_of))] = 0
+            for k, t in enumerate(tokens, used):
+                known[t] = k
+            while used + len(new) > len(logs):
+                logs = np.vstack([logs, np.zeros((max(50_000, len(logs)), nl))])
+            logs[used : used + len(new)] = new
+            used += len(new)
 
         for f in frames:
             texts = f["text"].fillna("").to_numpy()
