@@ -49,12 +49,10 @@ def join_skewed(left: DataFrame, right: DataFrame, on: str, size: str, how: str
     N / HOT_GROUPS rows or more, so those are broadcast; the rest are joined by shuffle and none of them is hot."""
     hot_min = max(1000, left.count() // HOT_GROUPS + 1)
     hot, cold = right.where(F.col(size) >= hot_min), right.where(F.col(size) < hot_min)
-    if how == "inner":
-        return left.join(F.broadcast(hot), on).unionByName(left.join(cold, on))
     near = left.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left")
     there = near.where("__hot").drop("__hot")
     rest = near.where("__hot is null").select(*left.columns)
-    return there.unionByName(rest.join(cold, on, "left"))
+    return there.unionByName(rest.join(cold, on, how))
 
 
 def crc_mod(doc_id: str | Column, n: int) -> Column:
