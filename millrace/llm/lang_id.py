@@ -22,7 +22,7 @@ from .common import crc_mod, documents, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Distinct words that a worker holds before it spends them on expected counts, or the scores of words that it keeps.
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 #: Words of up to this length are summed side by side in numpy; longer ones one at a time, whole.
 MAX_LEN = 24
 #: Pseudo-count of the pooled distribution in each language's.
@@ -218,69 +218,94 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model(languages, pieces, np.vstack([c, np.zeros((1, len(languages)))]))
 
 
+def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words: int = MAX_WORDS):
+    """A function from texts to (language, score) arrays; it keeps the scores of at most max_words distinct words."""
+    lattice, nl = Lattice(pieces), len(languages)
+    known: dict[str, int] = {}
+    logs = np.zeros((0, nl))
+    used = 0
+
+    def add(every: set[str]) -> None:
+        nonlocal logs, used
+        tokens = every - known.keys()
+        if len(known) + len(tokens) > max_words and known:
+            known.clear()
+            tokens, used = every, 0
+        names_of = [_words(t) for t in tokens]
+        place: dict[str, int] = {}
+        flat = [place.setdefault(w, len(place)) for ws in names_of for w in ws]
+        names = list(place)
+        value = np.zeros((len(names) + 1, nl))
+        for at in _parts(names, 200_000):
+            value[at] = lattice.forward([names[i] for i in at], table)
+        sums = np.vstack([np.zeros((1, nl)), np.cumsum(value[flat], axis=0)]) if flat else np.zeros((1, nl))
+        size = np.array([len(ws) for ws in names_of], np.int64)
+        ends = np.cumsum(size)
+        new = sums[ends] - sums[ends - size]
+        new[size == 0] = 0
+        for k, t in enumerate(tokens, used):
+            known[t] = k
+        if used + len(new) > len(logs):
+            logs = np.vstack([logs[:used], np.zeros((len(new) + 50_000, nl))])
+        logs[used : used + len(new)] = new
+        used += len(new)
+
+    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out_lang, out_score = np.full(len(texts), "und", object), np.zeros(len(texts))
+        for a, b in slices(texts, 2_000_000) if nl else ():
+            tokens, ends = [], [0]
+            for t in texts[a:b]:
+                tokens += t.split()
+                ends.append(len(tokens))
+            every = set(tokens)
+            if every - known.keys():
+                add(every)
+            at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+            sums = np.vstack([np.zeros((1, nl)), np.cumsum(logs[at], axis=0)])
+            doc = sums[ends[1:]] - sums[ends[:-1]]
+            # A token without letters adds exactly 0, and every letter takes probability away.
+            for i in np.nonzero(doc.min(axis=1) < -1e-6)[0]:
+                p = np.exp(doc[i] - doc[i].max())
+                out_lang[a + i], out_score[a + i] = languages[int(doc[i].argmax())], min(1.0, float(p.max() / p.sum()))
+        return out_lang, out_score
+
+    return score
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language of every whole text and its probability among the learned ones.
 
     A null text, one without a letter, and any text under a model without languages gives `und` and 0. Equal scores go to the
     language that sorts first. Repeated rows each get a row; other columns are not read."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((model.pieces, model.table))  # pieces x languages: bounded
-    languages = model.languages
-
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, table = sent.value
-        lattice, nl = Lattice(pieces), len(languages)
-        known: dict[str, int] = {}
-        logs = np.zeros((0, nl))
-
-        used = 0
-
-        def add(tokens: set[str]) -> None:
-            nonlocal logs, used
-            if len(known) + len(tokens) > max_words and known:
-                known.clear()
-                tokens, used = every, 0
-            names_of = [_words(t) for t in tokens]
-            place: dict[str, int] = {}
-            flat = [place.setdefault(w, len(place)) for ws in names_of for w in ws]
-            names = list(place)
-            value = np.zeros((len(names) + 1, nl))
-            for at in _parts(names, 400_000):
-                value[at] = lattice.forward([names[i] for i in at], table)
-            sums = np.vstack([np.zeros((1, nl)), np.cumsum(value[flat], axis=0)]) if flat else np.zeros((1, nl))
-            ends = np.cumsum([len(ws) for ws in names_of])
-            new = sums[ends] - sums[ends - [len(ws) for ws in names_of]]
-            new[np.fromiter((not ws for ws in names_of), bool, len(names_of))] = 0
-            for k, t in enumerate(tokens, used):
-                known[t] = k
-            while used + len(new) > len(logs):
-                logs = np.vstack([logs, np.zeros((max(50_000, len(logs)), nl))])
-            logs[used : used + len(new)] = new
-            used += len(new)
+    sent = docs.sparkSession.sparkContext.broadcast((model.pieces, model.table, model.languages))  # pieces x languages: bounded
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score = scorer(*sent.value, max_words)
         for f in frames:
-            texts = f["text"].fillna("").to_numpy()
-            out_lang, out_score = np.full(len(f), "und", object), np.zeros(len(f))
-            for a, b in slices(texts) if nl else ():
-                tokens, ends = [], []
-                for t in texts[a:b]:
-                    tokens += t.split()
-                    ends.append(len(tokens))
-                every = set(tokens)
-                if every - known.keys():
-                    add(every - known.keys())
-                at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-                sums = np.vstack([np.zeros((1, nl)), np.cumsum(logs[at], axis=0)])
-                ends = np.array([0, *ends])
-                doc = sums[ends[1:]] - sums[ends[:-1]]
-                # A token without letters adds exactly 0, and every letter takes probability away.
-                for i in np.nonzero(doc.min(axis=1) < -1e-6)[0]:
-                    p = np.exp(doc[i] - doc[i].max())
-                    out_lang[a + i], out_score[a + i] = languages[int(doc[i].argmax())], min(1.0, float(p.max() / p.sum()))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "lang_pred": out_lang, "score": out_score})
+            lang, value = score(f["text"].fillna("").tolist())
+            yield pd.DataFrame({"doc_id": f["doc_id"], "lang_pred": lang, "score": value})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """The rows of docs whose language can be told, with all their columns: not `und`, and a score of min_score or more.
+
+    Rows pass as Arrow batches in the one pass that scores them, so nothing is joined and columns of any name and type go along."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.pieces, model.table, model.languages))
+    at = docs.columns.index(text_col)
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+    def run(batches):
+        import pyarrow as pa
+
+        score = scorer(*sent.value, max_words)
+        for batch in batches:
+            lang, value = score([t or "" for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array((lang != "und") & (value >= min_score), pa.bool_()))
+
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id: str = "doc_id"):
