@@ -61,6 +61,42 @@ def crc_mod(doc_id: str | Column, n: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(n)
 
 
+def _release() -> None:
+    """Give memory that this worker no longer uses back to the machine: workers are kept for the stages that follow."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run):
+    """run (a function of an iterator of batches), with small batches and the worker's unused memory released before and after."""
+    small_batches(SparkSession.active())
+
+    def tidied(batches):
+        _release()
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return tidied
+
+
+def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """Batches for Python of at most `limit` bytes; a single longer text is a batch of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > limit:
+        spark.conf.set(key, f"{limit}b")
+
+
 def slices(texts, limit: int = 4_000_000):
     """(start, end) runs of a batch of texts with at most about `limit` characters; a single longer text is a run of its own."""
     start = total = 0

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, tidy
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -265,7 +265,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                 text = [extract(h) for h in html[a:b]]
                 yield pd.DataFrame({"page_id": f["page_id"].iloc[a:b], "url": f["url"].iloc[a:b], "text": pd.Series(text, f.index[a:b], object), "n_chars": pd.Series([len(t) for t in text], f.index[a:b], "int64")})
 
-    return rows.mapInPandas(run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return rows.mapInPandas(tidy(run), f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
 def op2_html_extraction(spark, sf_dir: str) -> DataFrame:

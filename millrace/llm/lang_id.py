@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, slices
+from .common import crc_mod, documents, slices, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Distinct words that a worker holds before it spends them on expected counts, or the scores of words that it keeps.
@@ -205,7 +205,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             at = np.nonzero(c > 1e-6)[0]
             yield pd.DataFrame({"lang": lang, "piece": at, "n": c[at]})
 
-    found = rows.mapInPandas(count, "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInPandas(tidy(count), "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(found["lang"].unique())
     c = np.zeros((len(pieces), len(languages)))
     for k, lang in enumerate(languages):
@@ -286,7 +286,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame({"doc_id": f["doc_id"], "lang_pred": lang, "score": value})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInPandas(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
@@ -305,7 +305,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, text_
             lang, value = score([t or "" for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array((lang != "und") & (value >= min_score), pa.bool_()))
 
-    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+    return numbered.mapInArrow(tidy(run), numbered.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -317,17 +317,5 @@ def predict(docs: DataFrame) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose language can be told, with all their columns: not `und`, and a score of min_score or more.
-
-    The verdict is made in the same pass as the rows, so nothing is joined. The text is scored under its own name; columns of
-    any name go along."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    inner = F.col(f"row.`{text_col}`")
-    # identify() carries doc_id through; here the whole row takes its place.
-    verdict = identify(packed.select(F.col("row").alias("doc_id"), inner.alias("text")), model)
-    return verdict.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("doc_id.*")
-
-
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     return predict(documents(spark, sf_dir))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of_groups, documents, join_skewed, materialize, slices, small
+from .common import batches_of_groups, documents, join_skewed, materialize, slices, small, tidy
 from .components import connected_components
 
 N = 5
@@ -133,7 +133,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             node, grams, sig, keys = zip(*out, strict=True) if out else ((),) * 4
             yield pd.DataFrame({"doc_id": f["doc_id"], "node": _longs(node), "grams": _longs(grams), "sig": pd.Series(sig, f.index, object), "bands": pd.Series(keys, f.index, object)})
 
-    return docs.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, grams long, sig binary, bands array<long>")
+    return docs.mapInPandas(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, grams long, sig binary, bands array<long>")
 
 
 def _longs(values):
@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = nodes.select("node", "sig", F.explode("bands").alias("key")).join(small(buckets), "key")
     met = _pairs_of_blocks(met.withColumn("blocks", F.ceil(F.col("k") / BLOCK_ROWS)).drop("k"), "key", "blocks")
     least = threshold - MARGIN + 1 / 256 * (1 - threshold + MARGIN)
-    candidates = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInPandas(_estimated(least), "a long, b long")
+    candidates = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInPandas(tidy(_estimated(least)), "a long, b long")
     comp = connected_components(candidates)
 
     # Blocks of bounded size: large components are parted by the logarithm of the set size, since linked sets differ by less than one step.
@@ -289,9 +289,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 got = [(w, g.tobytes()) for w, g in zip(f["want"].iloc[i:j], shingler.sets(texts[i:j]), strict=True) if len(g) and _node(g) == w]
                 yield pd.DataFrame(got, columns=["node", "set"]).astype({"node": "int64"})
 
-    full = materialize(kept.mapInPandas(sets, "node long, set binary"), "sets").dropDuplicates(["node"])
+    full = materialize(kept.mapInPandas(tidy(sets), "node long, set binary"), "sets").dropDuplicates(["node"])
     checked = materialize(
-        tasks.join(full, "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj").mapInPandas(_verified(threshold), "a long, b long, n long"),
+        tasks.join(full, "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj").mapInPandas(tidy(_verified(threshold)), "a long, b long, n long"),
         "verified",
     )
     label = connected_components(checked.where("b is not null").select("a", "b"))

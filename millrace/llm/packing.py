@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, materialize, tidy
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -97,7 +97,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
             done = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield done.astype({"doc_id": f["doc_id"].dtype})
 
-    return rows.mapInPandas(tokenize, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {_PIECES}")
+    return rows.mapInPandas(tidy(tokenize), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {_PIECES}")
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -189,7 +189,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTIT
         last = turn == rounds - 1 or (turn > 0 and parts == 1)
         seed = F.xxhash64(F.lit(turn), *[F.col(f"`{c}`") for c in rows.columns])
         dealt = pool.repartition(parts, seed)
-        got = materialize(dealt.mapInPandas(_pack(capacity, turn, last), schema), "packed")
+        got = materialize(dealt.mapInPandas(tidy(_pack(capacity, turn, last)), schema), "packed")
         out.append(got.where("placed").select(*columns))
         pool = got.where(~F.col("placed")).select(*rows.columns)
         if last:

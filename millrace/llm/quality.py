@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, tidy
 from .training import held_out, sample
 
 CHUNK, STEP = 256, 224
@@ -175,7 +175,7 @@ def score_quality(docs: DataFrame, net: Network, id_col: str = "doc_id", text_co
                 s = own.score(texts[a : a + 256]).astype(float)
                 yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a : a + 256].to_numpy(), "score": s, "predicted": (s >= threshold).astype("int32")})
 
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInPandas(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def learn(docs: DataFrame, labels: DataFrame, **options) -> Network:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, join_skewed, materialize, shared_dir, slices
+from .common import documents, join_skewed, materialize, shared_dir, slices, tidy
 from .exact_dedup import FILTER_BITS, cells, flagged, repeated_words
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -97,11 +97,11 @@ def count_tokens(docs: DataFrame, cache_path: str, id_col: str = "doc_id", text_
     encode = _encoder(path)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     direct = rows.where(~F.col("look_up")).select("doc_id", "text_sha256", "n_bytes", "text")
-    direct = materialize(direct.mapInPandas(encode, f"doc_id {id_type}, text_sha256 string, n_bytes long, n_tokens long"), "direct")
+    direct = materialize(direct.mapInPandas(tidy(encode), f"doc_id {id_type}, text_sha256 string, n_bytes long, n_tokens long"), "direct")
     asked = materialize(rows.where("look_up").select("doc_id", "text_sha256", "n_bytes"), "asked")
     once = rows.where("look_up").groupBy("text_sha256").agg(F.first("text").alias("text"))
     missing = once.join(cache.select("text_sha256"), "text_sha256", "left_anti")
-    encoded = materialize(missing.mapInPandas(encode, "text_sha256 string, n_tokens long"), "encoded")
+    encoded = materialize(missing.mapInPandas(tidy(encode), "text_sha256 string, n_tokens long"), "encoded")
 
     new = direct.select("text_sha256", "n_tokens").unionByName(encoded)
     new.select("text_sha256", F.lit(now).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, slices
+from .common import documents, slices, tidy
 from .training import held_out, sample
 
 # Identity terms, and neutral words that may stand in their place.
@@ -168,7 +168,7 @@ def score_toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", t
             p = 1 / (1 + np.exp(-np.clip(np.array(out, float), -30, 30)))
             yield pd.DataFrame({"doc_id": f["doc_id"], "score": p, "predicted": (p >= threshold).astype("int32")})
 
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInPandas(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def learn(docs: DataFrame, labels: DataFrame, **options) -> Classifier:
