@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, materialize, small
+from .id_join import join_ids
 
 N = 5
 THRESHOLD = 0.8
@@ -58,8 +59,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     pairs = materialize(hashes.join(sketch, "hash").select("doc_id", "item_id").distinct(), "pairs")
 
     # One row a text with its items, so that a text is parted into shingles once; an item's shingles come by its id.
-    found = small(materialize(pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("items")), "found"), 100_000)
-    met = docs.withColumnRenamed("doc_id", "__id").join(found, F.col("__id").eqNullSafe(F.col("doc_id"))).select("doc_id", words(F.col("text")).alias("words"), "items")
+    found = materialize(pairs.groupBy(F.col("doc_id").alias("__found")).agg(F.collect_set("item_id").alias("items")), "found")
+    met = join_ids(docs, found, "doc_id", "__found", "inner").select("doc_id", words(F.col("text")).alias("words"), "items")
     met = met.select("doc_id", "items", _grams(n).alias("grams"))
     grams = bench.groupBy("item_id").agg(F.max("words").alias("words")).select("item_id", _grams(n).alias("item_grams"))
     grams = small(materialize(grams, "grams"), 100_000)
@@ -70,8 +71,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs, with all columns, without the rows whose id holds an item."""
-    drop = small(materialize(contaminated(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("__drop")).distinct(), "drop"))
-    return docs.join(drop, docs[id_col].eqNullSafe(drop["__drop"]), "left_anti")
+    drop = materialize(contaminated(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("__drop")).distinct(), "drop")
+    return join_ids(docs, drop, id_col, "__drop", "left_anti")
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

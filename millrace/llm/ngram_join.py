@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import batches_of_groups, documents, join_skewed, materialize, slices, small, tidy
 from .components import connected_components
+from .id_join import join_ids
 
 N = 5
 THRESHOLD = 0.8
@@ -278,8 +279,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tasks = one_block.unionByName(blocks)
 
     # The full sets of candidates only, from their texts.
-    wanted = small(materialize(member.select(F.col("rep").alias("doc_id"), F.col("node").alias("want")), "wanted"))
-    kept = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("want", "text")
+    wanted = materialize(member.select(F.col("rep").alias("__rep"), F.col("node").alias("want")), "wanted")
+    kept = join_ids(docs, wanted, "doc_id", "__rep", "inner").select("want", "text")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
@@ -312,8 +313,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows whose id is not the least of their class. Ids are taken to name rows, as exact dedup leaves them."""
     found = materialize(near_duplicates(docs, id_col, text_col, **options), "classes")
-    drop = small(materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__drop")), "drop"))
-    return docs.join(drop, docs[id_col] == drop["__drop"], "left_anti")
+    drop = materialize(found.where("doc_id is not null and not doc_id <=> class_id").select(F.col("doc_id").alias("__drop")).distinct(), "drop")
+    return join_ids(docs, drop, id_col, "__drop", "left_anti")
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -172,3 +172,23 @@ def test_pipeline_by_brute_force(spark):
     for r in out:
         use[r["sequence_id"]] += r["length"]
     assert max(use.values()) <= packing.CAPACITY
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 20])
+def test_ids_beyond_the_broadcast_bound(spark, odd_docs, monkeypatch, bits):
+    from millrace.llm import common, id_join
+    from millrace.llm.common import materialize
+
+    ids = materialize(spark.createDataFrame([(1,), (2,), (None,), (99,)], "k long"))
+    want = {how: Counter(r["doc_id"] for r in id_join.join_ids(odd_docs, ids, "doc_id", "k", how).collect()) for how in ("inner", "left_semi", "left_anti")}
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    for how, w in want.items():
+        got = id_join.join_ids(odd_docs, ids, "doc_id", "k", how, bits)
+        assert Counter(r["doc_id"] for r in got.collect()) == w and (how == "inner" or got.columns == odd_docs.columns)
+
+
+def test_near_beyond_the_broadcast_bound(spark, monkeypatch):
+    from millrace.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    check_near(documents(spark, DIR))
