@@ -48,3 +48,17 @@ def streak(df: DataFrame, order: str, bad: Column, length: int = 3) -> DataFrame
     """Rows that end a run of `length` bad rows. The order is total, so the input must be a log of runs, not of records."""
     w = W.orderBy(order).rowsBetween(-(length - 1), 0)
     return df.withColumn("bad", bad.cast("int")).withColumn("alert", F.sum("bad").over(w) == length)
+
+
+def alerts(log: DataFrame, new: str, failed: str, seconds: Column, most_failed: float = 0.1, longest: float = 7200, accepted: float = 0.05) -> DataFrame:
+    """log with high_failure (more than `most_failed` of a run's records), long_run (over `longest` seconds) and accepted (at most
+    `accepted` failed). A run without records has failed none."""
+    total = F.col(new) + F.col(failed)
+    share = F.when(total > 0, F.col(failed) / total).otherwise(F.lit(0.0))
+    return log.withColumns({"failed_share": share, "high_failure": share > most_failed, "long_run": seconds > longest, "accepted": share <= accepted})
+
+
+def report(as_of: str, **sections: DataFrame) -> DataFrame:
+    """One report: generated_at, section, metric, value, from sections that hold (metric, value)."""
+    parts = [s.select(F.lit(as_of).cast("timestamp").alias("generated_at"), F.lit(k).alias("section"), "metric", F.col("value").cast("double").alias("value")) for k, s in sections.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -96,3 +96,29 @@ def top_tags(df: DataFrame, text: Column, weights: dict[str, dict[str, int]], k:
     scored = [F.struct((-sum((F.when(F.contains(text, F.lit(w)), F.lit(n)).otherwise(F.lit(0)) for w, n in ws.items()), F.lit(0))).alias("s"), F.lit(t).alias("t")) for t, ws in weights.items()]
     best = F.slice(F.array_sort(F.filter(F.array(*scored), lambda x: x["s"] < 0)), 1, k)
     return F.transform(best, lambda x: x["t"])
+
+
+def tags(df: DataFrame, code: str, text: Column, profiles: DataFrame, value: str = "types") -> DataFrame:
+    """The types of the profile that lists the code, the last one of several; else of the first profile with a keyword in the text;
+    else no types. profiles: ord, types, keywords, codes - a fixed small table."""
+    if profiles.count() > MAX_ENTRIES:
+        raise ValueError("the profiles are too many to be scanned for each row")
+    by_code = profiles.select("ord", "types", F.explode("codes").alias("__code")).groupBy("__code").agg(F.max_by("types", "ord").alias("__exact"))
+    rules = [(r["types"], r["keywords"]) for r in profiles.orderBy("ord").collect()]
+    first = F.array().cast("array<string>")
+    for types, words in reversed(rules):
+        for w in words:
+            first = F.when(F.contains(text, F.lit(w)), F.array(*[F.lit(t) for t in types])).otherwise(first)
+    out = df.withColumn("__code", F.col(code)).join(small(by_code), "__code", "left")
+    return out.withColumn(value, F.coalesce("__exact", first)).drop("__code", "__exact")
+
+
+def fewest_edits(keys: DataFrame, key: str, names: DataFrame, most: int) -> DataFrame:
+    """The native companion of `fuzzy`: the dictionary entry with the fewest edits from each key, the first in order on ties, when
+    at most `most`. names: (key, value, ord), which goes into the plan as one array."""
+    if names.count() > MAX_ENTRIES:
+        raise ValueError("the dictionary is too large to be scanned for each key")
+    entries = F.array(*[F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["key"]).alias("key"), F.lit(r["value"]).alias("value")) for r in names.orderBy("ord").collect()])
+    best = F.array_min(F.transform(entries, lambda e: F.struct(F.levenshtein(F.col(key), e["key"]).alias("edits"), e["ord"].alias("ord"), e["value"].alias("value"))))
+    out = keys.withColumn("__best", best)
+    return out.withColumns({"match": F.when(F.col("__best.edits") <= most, F.col("__best.value")), "edits": F.col("__best.edits")}).drop("__best")

@@ -82,6 +82,7 @@ def major_rules(as_of) -> list[Rule]:
     return [
         drop("major_code missing", blank("major_code")), drop("name missing", blank("name")), drop("major_code malformed", ~F.col("major_code").rlike(r"^\d{7}$")),
         drop("name length", ~F.length(T.strip("name")).between(2, 300)), drop("holland_types unknown", F.size(F.array_except(held, allowed)) > 0),
+        drop("major_group length", F.length(T.strip("major_group")) > 100), drop("major_group_code length", F.length(T.strip("major_group_code")) > 10),
         drop("study_duration out of range", ~T.to_int("study_duration").between(1, 10)),
         *[put(c, F.coalesce(F.col(c), F.array().cast("array<string>"))) for c in lists],
         put("degree_level", F.when(F.col("degree_level").isin("bachelor", "engineer", "master"), F.col("degree_level")).otherwise(F.lit("bachelor"))),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from ..functions import mappings as M
 from ..functions import text as T
 from ..operators import dedup, merge, metrics, resolve, rules
 from ..sources import html as H
+from ..sources import tables
+from ..streaming import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -412,3 +415,67 @@ def catalog_flagship(t):
     pages = t("pages").select("page_id", T.code(F.regexp_extract("url", "^https?://([^/?#]+)", 1)).alias("code"), F.explode(F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a>'), F.lit(1))).alias("href"))
     first = pages.where("href <> '/'").groupBy("code", "href").agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n"))
     return first.groupBy("code").agg(F.count(F.lit(1)).alias("links"), F.sum("n").alias("seen"), F.min("first_page").alias("first_page"))
+
+
+@query("""
+WITH k AS (SELECT DISTINCT lower(n_name) || c_mktsegment[1:1] AS k FROM customer JOIN nation ON c_nationkey = n_nationkey),
+r AS (SELECT k, n_name, levenshtein(k, lower(n_name)) AS e, row_number() OVER (PARTITION BY k ORDER BY levenshtein(k, lower(n_name)), n_nationkey) AS rn FROM k, nation)
+SELECT k, CASE WHEN e <= 2 THEN n_name END AS match, e AS edits FROM r WHERE rn = 1""")
+def resolve_fewest_edits(t):
+    n = t("nation")
+    names = n.select(F.lower("n_name").alias("key"), F.col("n_name").alias("value"), F.col("n_nationkey").alias("ord"))
+    named = t("customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    return resolve.fewest_edits(named.select(F.concat(F.lower("n_name"), F.substring("c_mktsegment", 1, 1)).alias("k")).distinct(), "k", names, 2)
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 50 = 7 THEN 'I,R' WHEN p_partkey % 50 IN (3, 11) THEN 'R' WHEN contains(l, 'a') AND contains(l, 'e') AND contains(l, 'o') THEN 'I,R' WHEN contains(l, 'e') THEN 'S' ELSE '' END AS types
+FROM (SELECT p_partkey, CASE WHEN contains(p_name, 'a') AND contains(p_name, 'e') AND contains(p_name, 'o') THEN 'aeo' ELSE replace(p_name, 'aeo', '') END AS l FROM part)""")
+def tag_by_code_or_keyword(t):
+    p = t("part")
+    profiles = p.sparkSession.createDataFrame([(0, ["R"], [], ["7", "3"]), (1, ["I", "R"], ["aeo"], ["7"]), (2, ["R"], [], ["11"]), (3, ["S"], ["e"], [])], "ord int, types array<string>, keywords array<string>, codes array<string>")
+    n = F.col("p_name")
+    low = F.when(F.contains(n, F.lit("a")) & F.contains(n, F.lit("e")) & F.contains(n, F.lit("o")), "aeo").otherwise(F.replace(n, F.lit("aeo"), F.lit("")))
+    coded = p.select("p_partkey", (F.col("p_partkey") % 50).cast("string").alias("code"), low.alias("l"))
+    return resolve.tags(coded, "code", F.col("l"), profiles).select("p_partkey", F.array_join("types", ",").alias("types"))
+
+
+@query(f"""
+SELECT strftime(day, '%Y-%m-%d') AS day, share > 0.1 AS high_failure, (epoch_us(finished) - epoch_us(started)) / 1000000.0 > 7200 AS long_run, share <= 0.05 AS accepted
+FROM (SELECT *, CASE WHEN new + failed > 0 THEN failed::DOUBLE / (new + failed) ELSE 0 END AS share FROM ({_RUNS}))""")
+def run_alerts(t):
+    r = metrics.alerts(_runs(t), "new", "failed", metrics.duration_seconds(F.col("started"), F.col("finished")))
+    return r.select(F.col("day").cast("string").alias("day"), "high_failure", "long_run", "accepted")
+
+
+@query("SELECT form, s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier, (VALUES ('csv'), ('json'), ('parquet')) f(form)")
+def io_roundtrip(t):
+    """The table through each sink and its reader."""
+    rows = t("supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    spark, at = rows.sparkSession, tables.scratch(rows.sparkSession, "roundtrip")
+    tables.write_version(rows, f"{at}/parquet", "1")
+    tables.write_json_lines(rows, f"{at}/json")
+    tables.write_csv(rows, f"{at}/csv")
+    back = {form: tables.read_text_table(spark, f"{at}/{form}", rows.schema, form) for form in ("csv", "json")} | {"parquet": tables.read_version(spark, f"{at}/parquet")}
+    return reduce(DataFrame.unionByName, [df.withColumn("form", F.lit(form)) for form, df in back.items()])
+
+
+def _replayed(spark: SparkSession, d: str, sink: bool) -> DataFrame:
+    """The events as a stream that gives every one of them twice, deduplicated on the way."""
+    at = tables.scratch(spark, "stream")
+    path = f"{d}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    # A stream takes a folder or a pattern, and the table may be one file.
+    first, again = (spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet") for _ in range(2))
+    once = records.dedup_stream(first.unionByName(again), ["event_id"], "ts").select("event_id", "user_id", "event_type", "value")
+    if sink:
+        records.run_available(once, records.to_versions(at, ["event_id"], ["event_id"], "2024-01-01"), f"{at}/progress")
+        return spark.read.parquet(f"{at}/log").agg(F.sum("records_new").alias("records_new"), F.min("status").alias("status"))
+    once.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/rows")
+
+
+QUERIES["stream_dedup"] = lambda spark, d: _replayed(spark, d, False)
+SQL["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
+QUERIES["stream_run_log"] = lambda spark, d: _replayed(spark, d, True)
+SQL["stream_run_log"] = "SELECT count(DISTINCT event_id) AS records_new, 'success' AS status FROM events"

@@ -83,22 +83,23 @@ class _Tables(HTMLParser):
         self.cells = self.into = None
 
 
-def table_rows(pages: DataFrame, url: str = "url", html: str = "html", min_cells: int = 1) -> DataFrame:
-    """url, table, row, heading (the nearest h2 or h3 before), cells: each table row with at least min_cells cells. Filter pages
-    before this call; nothing is pushed through it."""
+def table_rows(pages: DataFrame, url: str = "url", html: str = "html", min_cells: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
+    """url, table, row, heading (the nearest h2 or h3 before), cells: each table row with at least min_cells cells, and the columns
+    `carry` of its page. Filter pages before this call; nothing is pushed through it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for u, h in zip(f["url"], f["html"], strict=True):
+            for u, h, *more in zip(f["url"], f["html"], *(f[c] for c in carry), strict=True):
                 p = _Tables()
                 p.feed(h or "")
                 p.close()
                 p._end()
-                out += [(u, t, k, head, cells) for k, (t, head, cells) in enumerate(p.rows) if len(cells) >= min_cells]
-            yield pd.DataFrame(out, columns=["url", "table", "row", "heading", "cells"])
+                out += [(u, t, k, head, cells, *more) for k, (t, head, cells) in enumerate(p.rows) if len(cells) >= min_cells]
+            yield pd.DataFrame(out, columns=["url", "table", "row", "heading", "cells", *carry])
 
-    return pages.select(F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(run, "url string, table int, row int, heading string, cells array<string>")
+    schema = "url string, table int, row int, heading string, cells array<string>" + "".join(f", {c} {pages.schema[c].dataType.simpleString()}" for c in carry)
+    return pages.select(F.col(url).alias("url"), F.col(html).alias("html"), *carry).mapInPandas(run, schema)
 
 
 def cell(k: int) -> Column:
@@ -132,3 +133,36 @@ def university_fields(text: Column) -> dict[str, Column]:
     north, central = ["ha noi", "hai phong", "thai nguyen", "nam dinh"], ["da nang", "hue", "nghe an", "quang nam"]
     region = T.first_keyword(low, [("north", north), ("central", central)], "south")
     return {"website": T.blank_to_null(F.regexp_replace(F.regexp_extract(text, r"(?:Website|Web):\s*([^\s,;]+)", 1), "^/+|/+$", "")), "address": address, "region": region, "province": T.clean_text(F.try_element_at(F.split(address, ","), F.lit(-1)))}
+
+
+def next_page(html: Column, page: Column, limit: int = 50) -> Column:
+    """The href of the link that is labelled as the next page; null past the limit or where there is none."""
+    href = F.regexp_extract(html, r"<a[^>]*href=\"([^\"]*)\"[^>]*>\s*(?:›|&rsaquo;|Next|Sau)\s*</a>", 1)
+    return F.when((page < limit) & (href != ""), href)
+
+
+def site_config(defaults: DataFrame, overrides: DataFrame, key: str = "university_code") -> DataFrame:
+    """One row of settings a site: the single row of defaults, each field replaced by the site's own where that is not null."""
+    from ..operators.resolve import small
+
+    fields = [c for c in defaults.columns if c != key]
+    base = F.broadcast(defaults.limit(1).select(F.struct(*fields).alias("__base")))
+    sites = small(overrides).join(base)
+    return sites.select(key, *[F.coalesce(F.col(c), F.col(f"__base.{c}")).alias(c) if c in overrides.columns else F.col(f"__base.{c}").alias(c) for c in fields])
+
+
+def site_scores(pages: DataFrame, config: DataFrame, years: list[int], codes: list[str] | None = None) -> DataFrame:
+    """A university's own tables as raw records. pages: university_code, url, html. config: university_code and the cells, from 1,
+    of major, combination and score (major_cell, combo_cell, score_cell). The year is the last one asked for; rows of fewer than two
+    cells, or without a name or a score, are left out, as are pages of sites that have no settings."""
+    from ..operators.resolve import small
+
+    picked = pages.where(F.col("university_code").isin(codes)) if codes else pages
+    at = ("major_cell", "combo_cell", "score_cell")
+    known = picked.join(small(config.select("university_code", *at)), "university_code")
+    rows = table_rows(known, min_cells=2, carry=("university_code", *at))
+    name, combo, score = (F.coalesce(F.try_element_at("cells", F.col(c)), F.lit("")) for c in at)
+    return rows.where((name != "") & (score != "")).select(
+        T.scan_code("university_code").alias("university_code"), name.alias("major_name_raw"), F.lit(years[-1]).alias("year"), T.title_method("heading").alias("admission_method"),
+        T.scan_combo(combo).alias("subject_combination"), T.score(score).alias("cutoff_score"), F.col("url").alias("source_url"),
+    )

@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import CRAWL_LOG
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder name under spark.checkpoint.dir, which driver and executors share; a temporary folder only where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        own = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = f"file://{own}"
+    return f"{base.rstrip('/')}/millrace/{tag}-{uuid.uuid4().hex}"
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -36,6 +51,16 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.csv(path, header=True, timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def read_text_table(spark: SparkSession, path: str, schema, form: str) -> DataFrame:
+    """A table written as csv or json, read with its schema given, so that the files are read once."""
+    options = {"header": True} if form == "csv" else {}
+    return spark.read.schema(schema).format(form).options(**options).load(path)
+
+
 def truncated(df: DataFrame) -> DataFrame:
     """The table without rows, for a reset."""
     return df.limit(0)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import dedup
+
 
 def dedup_stream(df: DataFrame, keys: list[str], time: str, ttl: str = "24 hours") -> DataFrame:
     """The first row of a key within ttl of event time. A timestamp without a zone is read in the session's."""
@@ -18,3 +20,17 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     q = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def to_versions(path: str, keys: list[str], order: list[str], as_of: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes each micro-batch once, first row a key, with a log row beside it. A batch that runs again writes over
+    its own folder, so that nothing is stored twice."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        first = dedup.first_wins(batch, keys, order)
+        first.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        done = batch.sparkSession.read.parquet(f"{path}/rows/batch={batch_id}")
+        log = done.agg(F.count(F.lit(1)).alias("records_new")).select(F.lit(as_of).cast("timestamp").alias("as_of"), F.lit("success").alias("status"), "records_new")
+        log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+
+    return sink

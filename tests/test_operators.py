@@ -95,3 +95,28 @@ def test_reports(spark):
     r = metrics.coverage(df.withColumn("g", F.lit("a")), ["g"], ok=F.col("ok")).first()
     assert (r["n"], r["ok"], r["ok_pct"]) == (3, 2, 66.67)
     assert metrics.verdicts(metrics.overview(t=df), {"t": 3}).first()["verdict"] == "pass"
+
+
+def test_site_tables_take_their_settings(spark):
+    page = "<h3>Xét học bạ</h3><table><tr><td>1</td><td>Luật</td><td>A00</td><td>25,5</td></tr><tr><td>2</td><td></td><td>A00</td><td>20</td></tr><tr><td>3</td></tr></table>"
+    pages = spark.createDataFrame([("bka", "u1", page), ("fpt", "u2", page), ("zzz", "u3", page)], "university_code string, url string, html string")
+    defaults = spark.createDataFrame([(1, 2, 3)], "major_cell int, combo_cell int, score_cell int")
+    own = spark.createDataFrame([("bka", 2, 3, 4), ("fpt", None, None, None)], "university_code string, major_cell int, combo_cell int, score_cell int")
+    config = html.site_config(defaults, own)
+    assert sorted(map(tuple, config.collect())) == [("bka", 2, 3, 4), ("fpt", 1, 2, 3)]
+    got = sorted((r["university_code"], r["major_name_raw"], r["year"], r["admission_method"], r["subject_combination"], str(r["cutoff_score"])) for r in html.site_scores(pages, config, [2023, 2024]).collect())
+    assert [g for g in got if g[0] == "BKA"] == [("BKA", "Luật", 2024, "hoc_ba", "A00", "25.50")]
+    assert {g[1] for g in got if g[0] == "FPT"} == {"1", "2"} and not [g for g in got if g[0] == "ZZZ"]
+
+
+def test_next_page(spark):
+    df = spark.createDataFrame([(1, '<a href="?p=2">2</a><a href="?p=9" class="n">›</a>'), (50, '<a href="?p=9">›</a>'), (2, "")], "page int, html string")
+    assert [r[0] for r in df.select(html.next_page(F.col("html"), F.col("page"))).collect()] == ["?p=9", None, None]
+
+
+def test_fewest_edits_and_report(spark):
+    names = spark.createDataFrame([("luat", "1", 0), ("luan", "2", 1)], "key string, value string, ord int")
+    keys = spark.createDataFrame([("luax",), ("khac han",), (None,)], "k string")
+    assert {r["k"]: r["match"] for r in resolve.fewest_edits(keys, "k", names, 1).collect()} == {"luax": "1", "khac han": None, None: None}
+    one = spark.createDataFrame([("n", 1)], "metric string, value int")
+    assert [tuple(r)[1:] for r in metrics.report("2024-01-01", a=one, b=one).collect()] == [("a", "n", 1.0), ("b", "n", 1.0)]
