@@ -219,18 +219,29 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words: int = MAX_WORDS):
-    """A function from texts to (language, score) arrays; it keeps the scores of at most max_words distinct words."""
+    """A function from texts to (language, score) arrays. It keeps the scores of at most max_words distinct tokens; when they are
+    full, those that came up again since the last time stay, unless they leave no room for the new ones."""
     lattice, nl = Lattice(pieces), len(languages)
     known: dict[str, int] = {}
-    logs = np.zeros((0, nl))
+    logs, again = np.zeros((0, nl)), np.zeros(0, bool)
     used = 0
 
-    def add(every: set[str]) -> None:
-        nonlocal logs, used
-        tokens = every - known.keys()
+    def make_room(every: set[str]) -> None:
+        nonlocal used
+        stay = [(t, k) for t, k in known.items() if again[k]]
+        known.clear()
+        if len(stay) + len(every) <= max_words:
+            logs[: len(stay)] = logs[[k for _, k in stay]]
+            known.update((t, k) for k, (t, _) in enumerate(stay))
+        used, again[:] = len(known), False
+
+    def add(every: set[str], tokens: set[str]) -> int:
+        """Score the tokens that are not known yet; the number of those that were."""
+        nonlocal logs, again, used
         if len(known) + len(tokens) > max_words and known:
-            known.clear()
-            tokens, used = every, 0
+            make_room(every)
+            tokens = every - known.keys()
+        old = used
         names_of = [_words(t) for t in tokens]
         place: dict[str, int] = {}
         flat = [place.setdefault(w, len(place)) for ws in names_of for w in ws]
@@ -247,8 +258,10 @@ def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words
             known[t] = k
         if used + len(new) > len(logs):
             logs = np.vstack([logs[:used], np.zeros((len(new) + 50_000, nl))])
+            again = np.append(again[:used], np.zeros(len(new) + 50_000, bool))
         logs[used : used + len(new)] = new
         used += len(new)
+        return old
 
     def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out_lang, out_score = np.full(len(texts), "und", object), np.zeros(len(texts))
@@ -258,9 +271,10 @@ def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words
                 tokens += t.split()
                 ends.append(len(tokens))
             every = set(tokens)
-            if every - known.keys():
-                add(every)
+            new = every - known.keys()
+            old = add(every, new) if new else used
             at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+            again[at[at < old]] = True
             sums = np.vstack([np.zeros((1, nl)), np.cumsum(logs[at], axis=0)])
             doc = sums[ends[1:]] - sums[ends[:-1]]
             # A token without letters adds exactly 0, and every letter takes probability away.
