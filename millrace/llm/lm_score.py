@@ -3,11 +3,12 @@
 Every word, and every pair of neighbouring words, of the training texts is counted. A count c is stored as its level
 1 + floor(log(c) / log(base)): the filter holds the n-gram together with each level up to its own, so a lookup probes level after
 level until one is missing, and errors only ever raise a level. N-grams are dealt by hash to buckets of bounded size, whose counts
-move as packed arrays; each bucket makes its own segment of the filter. The segments are put together once and broadcast; a probability interpolates the pair's relative frequency with the word's.
+move as packed arrays; each bucket makes its own segment of the filter. A probability interpolates the pair's relative frequency with the word's.
 
-What is broadcast has a bound whatever the corpus. The filter takes at most `filter_bytes`: pairs below the least count with which
-it fits are left to the words' probabilities. Exact counts of words are broadcast for the commonest, `word_rows` at most; all others
-are joined by shuffle, and none of those is common.
+Every counted word and pair is stored, whatever the corpus; only what is broadcast has a bound. A filter of at most `filter_bytes` is
+put together and broadcast. A larger one stays in its written segments, and the probes go to them: each run of texts sends its distinct
+n-grams, a fingerprint of 32 bits each, to their buckets and gets back one byte of level for each. Exact counts of words are broadcast
+for the commonest, `word_rows` at most; all others are joined by shuffle, and none of those is common.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from .common import batches_of_groups, crc_mod, documents, materialize, slices,
 BASE = 1.4
 #: Bits of the filter for each stored (n-gram, level), and probes of each: a false positive rate of about 1 %.
 BITS_PER_ENTRY, PROBES = 10, 4
+#: A filter up to this size is broadcast; a larger one is probed segment by segment.
 FILTER_BYTES = 32 << 20
 WORD_ROWS = 500_000
 #: Bytes of training text for each bucket of n-grams: a task merges the counts of one bucket at a time.
@@ -98,6 +101,12 @@ def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
     return (_mix(grams ^ _LEVEL) % np.uint64(max(1, buckets))).astype(np.int64)
 
 
+def prints(grams: np.ndarray) -> np.ndarray:
+    """What stands for an n-gram within its bucket. A bucket has about a million n-grams, so a clash in 32 bits is far rarer than a
+    false positive of the filter, and like one only raises a level."""
+    return (_mix(grams ^ _LEVEL) >> np.uint64(32)).astype(np.uint32)
+
+
 def _packed(keys: np.ndarray, counts: np.ndarray) -> dict[str, bytes]:
     return {"grams": keys.astype("<u8").tobytes(), "counts": counts.astype("<u8" if len(counts) and counts.max() >> 32 else "<u4").tobytes()}
 
@@ -165,28 +174,33 @@ class Filter:
         self.segments, self.segment_bytes, self.probes = segments, segment_bytes, probes
         self.bits = np.zeros(segments * segment_bytes, np.uint8) if bits is None else bits
 
-    def _bit(self, grams: np.ndarray, lev: np.ndarray, probe: int) -> np.ndarray:
-        x = _mix(grams + lev.astype(np.uint64) * _LEVEL)
+    def _bit(self, marks: np.ndarray, lev: np.ndarray, probe: int) -> np.ndarray:
+        x = _mix(marks + lev.astype(np.uint64) * _LEVEL)
         by = np.uint64((2 * probe + 1) * int(_PAIR) & (1 << 64) - 1)
         return (x * by >> np.uint64(20)) % np.uint64(8 * self.segment_bytes)
 
     def fill(self, grams: np.ndarray, levels: np.ndarray) -> None:
         """Store grams of this filter, which is one segment, up to their levels."""
+        marks = prints(grams).astype(np.uint64)
         for lev in range(1, int(levels.max()) + 1 if len(levels) else 0):
-            g = grams[levels >= lev]
+            g = marks[levels >= lev]
             for p in range(self.probes):
                 b = self._bit(g, np.full(len(g), lev), p)
                 np.bitwise_or.at(self.bits, (b >> np.uint64(3)).astype(np.int64), np.left_shift(1, (b & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """The highest level up to which every level is there; 0 for an n-gram that was not stored."""
-        out = np.zeros(len(grams), np.int64)
+        return self.levels_of(prints(grams), bucket_of(grams, self.segments))
+
+    def levels_of(self, marks: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """The same by fingerprint and segment."""
+        out = np.zeros(len(marks), np.int64)
         if not self.segment_bytes:
             return out
-        at, base = np.arange(len(grams)), bucket_of(grams, self.segments) * self.segment_bytes
+        marks, at, base = marks.astype(np.uint64), np.arange(len(marks)), segment * self.segment_bytes
         lev = 1
         while len(at):
-            g, start = grams[at], base[at]
+            g, start = marks[at], base[at]
             ok = np.ones(len(at), bool)
             for p in range(self.probes):
                 idx = np.nonzero(ok)[0]
@@ -200,7 +214,10 @@ class Filter:
 
 @dataclass
 class Model:
-    filter: Filter
+    filter: Filter | None  # None: too large for a broadcast, its segments are the rows of `parts`
+    parts: DataFrame | None  # bucket, bits: a bucket's bits, one row for each kind of n-gram
+    segments: int
+    segment_bytes: int
     total: int
     distinct: int
     rare: DataFrame  # gram, n: exact counts of the words that are not common
@@ -218,29 +235,20 @@ def learn(docs: DataFrame, text_col: str = "text", filter_bytes: int = FILTER_BY
     # By kind and level: a few dozen rows.
     by = grams.select("pair", F.posexplode(F.arrays_zip("rows", "times")).alias("level", "x")).groupBy("pair", "level")
     by = by.agg(F.sum("x.rows").alias("rows"), F.sum("x.times").alias("n")).where("rows > 0").toPandas()
-    of_words, of_pairs = by[~by["pair"].astype(bool)].sort_values("level"), by[by["pair"].astype(bool)].sort_values("level")
+    of_words = by[~by["pair"].astype(bool)].sort_values("level")
     total, distinct = int(of_words["n"].sum()), int(of_words["rows"].sum())
 
-    # The lowest levels from which on words, then pairs, fit.
-    def entries(of: pd.DataFrame, least: int) -> int:
-        return int((of["rows"] * of["level"])[of["level"] >= least].sum())
-
-    room = filter_bytes * 8 // BITS_PER_ENTRY
-    word_level = _cut(of_words, room // 2)
-    pair_level = _cut(of_pairs, room - entries(of_words, word_level))
-    stored = entries(of_words, word_level) + entries(of_pairs, pair_level)
+    stored = int((by["rows"] * by["level"]).sum())
     segment_bytes = -(-stored * BITS_PER_ENTRY // (8 * buckets))
     common_level = _commonest(of_words, word_rows)
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A bucket's n-grams of one kind as their bits of its segment."""
         for f in frames:
-            for bucket, pair, g, c in zip(f["bucket"], f["pair"], f["grams"], f["counts"], strict=True):
+            for bucket, g, c in zip(f["bucket"], f["grams"], f["counts"], strict=True):
                 k, n = _unpacked(g, c)
-                lev = level(n, base)
-                keep = lev >= (pair_level if pair else word_level)
                 own = Filter(1, segment_bytes)
-                own.fill(k[keep], lev[keep])
+                own.fill(k, level(n, base))
                 yield pd.DataFrame({"bucket": [bucket], "bits": [own.bits.tobytes()]})
 
     def commonest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,10 +265,11 @@ def learn(docs: DataFrame, text_col: str = "text", filter_bytes: int = FILTER_BY
                 keep = level(n, base) < common_level
                 yield pd.DataFrame({"gram": k[keep].view(np.int64), "n": n[keep]})
 
-    whole = Filter(buckets, segment_bytes)
-    if segment_bytes:
-        made = grams.select("bucket", "pair", "grams", "counts").mapInPandas(tidy(build), "bucket long, bits binary")
-        for row in materialize(made, "segments").toLocalIterator():
+    made = materialize(grams.select("bucket", "grams", "counts").mapInPandas(tidy(build), "bucket long, bits binary"), "segments")
+    whole = None
+    if buckets * segment_bytes <= filter_bytes:
+        whole = Filter(buckets, segment_bytes)
+        for row in made.toLocalIterator():
             a = row["bucket"] * segment_bytes
             whole.bits[a : a + segment_bytes] |= np.frombuffer(row["bits"], np.uint8)
     words = grams.where(~F.col("pair")).select("grams", "counts")
@@ -268,18 +277,7 @@ def learn(docs: DataFrame, text_col: str = "text", filter_bytes: int = FILTER_BY
     keys = np.concatenate([k for k, _ in parts]) if parts else np.zeros(0, np.uint64)
     n = np.concatenate([x for _, x in parts]) if parts else np.zeros(0, np.int64)
     order = np.argsort(keys)
-    return Model(whole, total, distinct, words.mapInPandas(tidy(others), "gram long, n long"), keys[order], n[order], base)
-
-
-def _cut(by: pd.DataFrame, room: int) -> int:
-    """The lowest level such that the entries of n-grams at that level or above fit."""
-    best, used = 1 << 30, 0
-    for lev, rows in zip(by["level"][::-1], by["rows"][::-1], strict=True):
-        used += int(rows) * int(lev)
-        if used > room:
-            break
-        best = int(lev)
-    return best
+    return Model(whole, None if whole else made, buckets, segment_bytes, total, distinct, words.mapInPandas(tidy(others), "gram long, n long"), keys[order], n[order], base)
 
 
 def _commonest(by: pd.DataFrame, most: int) -> int:
@@ -299,54 +297,55 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     counts probed from the filter. A null or empty text is one end. Repeated rows each get a row, tables without rows give none,
     and a model without texts gives every word the one probability it has. Columns other than the two named are not read."""
     spark = docs.sparkSession
-    flt, total, distinct, base = model.filter, model.total, model.distinct, model.base
-    sent = spark.sparkContext.broadcast((flt.bits, model.common, model.common_n))  # at most filter_bytes and 16 bytes a common word
-    segments, segment_bytes = flt.segments, flt.segment_bytes
+    flt, total, distinct, base, segments, segment_bytes = model.filter, model.total, model.distinct, model.base, model.segments, model.segment_bytes
+    sent = spark.sparkContext.broadcast((flt.bits if flt else None, model.common, model.common_n))  # at most filter_bytes and 16 bytes a common word
     # Counts that are a level are taken as the middle of it, in the logarithm.
     middle = np.append(0.0, np.maximum(1.0, base ** (np.arange(400) + 0.45)))
     middle[1] = 1.0
     denominator = total + 0.5 * (distinct + 1)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
 
+    def scores(c1: np.ndarray, at: np.ndarray, c2: np.ndarray, count: np.ndarray, after_end: float) -> np.ndarray:
+        """Of each text, by the words' counts and their places, and the count of every pair."""
+        p1 = (c1 + 0.5) / denominator
+        first = np.append(0, np.cumsum(count)[:-1])
+        before = np.append(0.0, c1[at][:-1])
+        before[first] = after_end
+        share = before / (before + prior)
+        p = share * np.minimum(c2 / np.maximum(before, 1), 1.0) + (1 - share) * p1[at]
+        return np.add.reduceat(np.log10(p), first)
+
+    def exactly(h: np.ndarray, count: np.ndarray, word: np.ndarray, at: np.ndarray) -> dict:
+        """The columns from exact counts of common words; the others' rows are settled by the join."""
+        _, common, common_n = sent.value
+        exact = np.zeros(len(word), np.int64)
+        if len(common):
+            place = np.minimum(np.searchsorted(common, word), len(common) - 1)
+            exact = np.where(common[place] == word, common_n[place], 0)
+        first = np.append(0, np.cumsum(count)[:-1])
+        known = exact[at] > 0
+        logs = np.where(known, np.log10((exact + 0.5) / denominator)[at], 0.0)
+        rare, edge = h[~known].view(np.int64), np.append(0, np.cumsum(np.add.reduceat((~known).astype(np.int64), first)))
+        return {"n_tokens": count, "known": np.add.reduceat(known.astype(np.int64), first), "logs": np.add.reduceat(logs, first), "rare": [rare[i:j] for i, j in zip(edge, edge[1:], strict=False)]}
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits, common, common_n = sent.value
-        lookup, words = Filter(segments, segment_bytes, bits), Words()
+        lookup, words = Filter(segments, segment_bytes, sent.value[0]), Words()
         after_end = middle[lookup.levels(np.array([END]))[0]]
         for f in frames:
             t = f["text"].tolist()
             for a, b in slices(t, 3_000_000):
                 h, count = words(t[a:b])
                 word, at = np.unique(h, return_inverse=True)
-                # exact counts of common words; the others' rows are settled by the join
-                exact = np.zeros(len(word), np.int64)
-                if len(common):
-                    place = np.minimum(np.searchsorted(common, word), len(common) - 1)
-                    exact = np.where(common[place] == word, common_n[place], 0)
-                c1 = middle[lookup.levels(word)]
-                p1 = (c1 + 0.5) / denominator
-                prev = _previous(h, count)
-                key, back = np.unique(pair_hash(prev, h), return_inverse=True)
-                c2 = middle[lookup.levels(key)][back]
-                first = np.append(0, np.cumsum(count)[:-1])
-                c = c1[at]
-                before = np.append(0.0, c[:-1])
-                before[first] = after_end
-                share = before / (before + prior)
-                p = share * np.minimum(c2 / np.maximum(before, 1), 1.0) + (1 - share) * p1[at]
-                known = exact[at] > 0
-                logs = np.where(known, np.log10((exact[at] + 0.5) / denominator), 0.0)
-                rare, edge = h[~known].view(np.int64), np.append(0, np.cumsum(np.add.reduceat((~known).astype(np.int64), first)))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": f["doc_id"].iloc[a:b].to_numpy(), "row": f["row"].iloc[a:b].to_numpy(), "n_tokens": count,
-                        "known": np.add.reduceat(known.astype(np.int64), first), "logs": np.add.reduceat(logs, first), "score": np.add.reduceat(np.log10(p), first),
-                        "rare": [rare[i:j] for i, j in zip(edge, edge[1:], strict=False)],
-                    }
-                )
+                key, back = np.unique(pair_hash(_previous(h, count), h), return_inverse=True)
+                found = scores(middle[lookup.levels(word)], at, middle[lookup.levels(key)][back], count, after_end)
+                yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].to_numpy(), "row": f["row"].iloc[a:b].to_numpy(), "score": found, **exactly(h, count, word, at)})
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, row long, n_tokens long, known long, logs double, score double, rare array<long>"
-    got = materialize(rows.mapInPandas(tidy(run), schema), "scored")
+    schema = f"doc_id {id_type}, row long, score double, n_tokens long, known long, logs double, rare array<long>"
+    if flt:
+        got = materialize(rows.mapInPandas(tidy(run), schema), "scored")
+    else:
+        got = materialize(_by_segment(rows, model, scores, exactly, middle, schema), "scored")
     # Words that are not among the common ones: a word of this kind has few rows in the training texts, and one unknown to them
     # meets no row of the counts.
     rare = got.select("row", F.explode("rare").alias("gram"))
@@ -360,6 +359,111 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
+def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarray, schema: str) -> DataFrame:
+    """The rows of `schema`, with counts probed from the written segments.
+
+    A run of texts (COUNT_WORDS words, or one longer text) sends the fingerprints of its distinct n-grams to their buckets, and its
+    texts as packed word numbers along with them. A bucket reads its segment, then its probes as they come, and sends the levels on."""
+    segments, segment_bytes = model.segments, model.segment_bytes
+    moved = "slice long, bucket long, kind int, data binary, words binary, n_tokens binary, rows array<long>, ids array<%s>" % rows.schema["doc_id"].dataType.simpleString()
+    columns = ["slice", "bucket", "kind", "data", "words", "n_tokens", "rows", "ids"]
+    bits_row, probe_row, text_row = 0, 1, 2
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, k = Words(), TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> pd.DataFrame:
+            h, count = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+            word, at, times = np.unique(h, return_inverse=True, return_counts=True)
+            # numbers by frequency, so that they compress
+            order = np.argsort(-times, kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            grams = _grams_of(word[order], rank[at], count)[0]
+            to = bucket_of(grams, segments)
+            by = np.argsort(to, kind="stable")
+            marks, edge = prints(grams)[by].astype("<u4"), np.searchsorted(to[by], np.arange(segments + 1))
+            made = [(k, int(i), probe_row, marks[edge[i] : edge[i + 1]].tobytes(), None, None, None, None) for i in np.nonzero(np.diff(edge))[0]]
+            ids, row = [i for x in held for i in x[2]], np.concatenate([x[3] for x in held])
+            made.append((k, k % segments, text_row, _planes(rank[at]), word[order].astype("<u8").tobytes(), count.astype("<i8").tobytes(), row, ids))
+            return pd.DataFrame(made, columns=columns)
+
+        for f in frames:
+            t = f["text"].tolist()
+            for a, b in slices(t, 1_500_000):
+                h, n = words(t[a:b])
+                held.append((h, n, f["doc_id"].iloc[a:b].astype(object).where(f["doc_id"].iloc[a:b].notna(), None).tolist(), f["row"].iloc[a:b].to_numpy()))
+                size += len(h)
+                if size >= COUNT_WORDS:
+                    yield out()
+                    held, size, k = [], 0, k + 1
+        if held:
+            yield out()
+
+    def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, at = Filter(1, segment_bytes), -1
+        for f in frames:
+            for bucket, g in f.groupby("bucket", sort=False):
+                if bucket != at:
+                    own, at = Filter(1, segment_bytes), bucket
+                for bits in g["data"][g["kind"] == bits_row]:
+                    own.bits |= np.frombuffer(bits, np.uint8)
+                asked = g[g["kind"] == probe_row]
+                if len(asked):
+                    marks = np.frombuffer(b"".join(asked["data"]), "<u4")
+                    lev = own.levels_of(marks, np.zeros(len(marks), np.int64)).astype(np.uint8)
+                    edge = np.append(0, np.cumsum(asked["data"].map(len).to_numpy() // 4))
+                    yield asked.assign(data=[lev[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)])
+                if (g["kind"] == text_row).any():
+                    yield g[g["kind"] == text_row]
+
+    def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in batches_of_groups(frames, ["slice"]):
+            for _, g in f.groupby("slice", sort=False):
+                s = g[g["kind"] == text_row].iloc[0]
+                word, count = np.frombuffer(s["words"], "<u8"), np.frombuffer(s["n_tokens"], "<i8")
+                at = _from_planes(s["data"], int(count.sum()))
+                grams, back = _grams_of(word, at, count)
+                lev = np.empty(len(grams), np.int64)
+                # the levels come bucket by bucket, in the order in which the n-grams were sent
+                lev[np.argsort(bucket_of(grams, segments), kind="stable")] = np.frombuffer(b"".join(g["data"][g["kind"] == probe_row]), np.uint8)
+                c = middle[lev]
+                c1, c2 = c[: len(word)], c[len(word) :][back]
+                found = scores(c1, at, c2, count, c1[np.nonzero(word == END)[0][0]])
+                yield pd.DataFrame({"doc_id": pd.Series(list(s["ids"]), dtype=object), "row": s["rows"], "score": found, **exactly(word[at], count, word, at)})
+
+    bits = model.parts.select(
+        F.lit(0).cast("long").alias("slice"), "bucket", F.lit(bits_row).alias("kind"), F.col("bits").alias("data"),
+        *(F.lit(None).cast(rows_type).alias(c) for c, rows_type in (("words", "binary"), ("n_tokens", "binary"), ("rows", "array<long>"), ("ids", moved.rsplit("ids ", 1)[1]))),
+    )
+    asked = rows.mapInPandas(tidy(send), moved).unionByName(bits).repartition(segments, "bucket").sortWithinPartitions("bucket", "kind")
+    told = asked.mapInPandas(tidy(probe), moved).repartition(segments, "slice").sortWithinPartitions("slice", "bucket")
+    return told.mapInPandas(tidy(gather), schema)
+
+
+def _grams_of(word: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct words in their order, then the distinct pairs; the place of every token's pair among the pairs)."""
+    h = word[at]
+    key, back = np.unique(pair_hash(_previous(h, count), h), return_inverse=True)
+    return np.concatenate([word, key]), back
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^32 as compressed bytes, the lowest byte of all first."""
+    import pyarrow as pa
+
+    return pa.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _from_planes(data: bytes, n: int) -> np.ndarray:
+    import pyarrow as pa
+
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(n).astype(np.int64)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(crc_mod(doc_id, 5) == 1, F.lit(False))
 

@@ -196,6 +196,14 @@ def test_lm_against_counts(spark, odd_docs, empty_docs):
     assert lm_score.score(odd_docs, lm_score.learn(empty_docs)).count() == odd_docs.count()
 
 
+def test_every_ngram_counts_however_small_the_broadcast(spark, odd_docs, empty_docs):
+    docs = odd_docs.select("doc_id", "text").unionByName(documents(spark, DIR).selectExpr("doc_id + 1000 AS doc_id", "text"))
+    train = docs.where(~lm_score.held_out())
+    want, got = (Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in lm_score.score(docs, lm_score.learn(train, bucket_bytes=50_000, **options)).collect()) for options in ({}, {"filter_bytes": 1000}))
+    assert got == want
+    assert lm_score.score(empty_docs, lm_score.learn(train, filter_bytes=0)).count() == 0
+
+
 def test_filter_never_lowers_a_level():
     g = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
     lev = 1 + (np.arange(5000) % 9)
