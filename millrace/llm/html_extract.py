@@ -1,9 +1,11 @@
 """HTML extraction by tree scoring.
 
 A page becomes a tree. Paragraphs pass points for their length and commas to their ancestors, less at each level; a container's
-points are discounted by the share of its text that is links. The best container is kept with those siblings that score or
-read like it; where the page marks the article that holds it, the whole of that article is kept. Menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments go before the scoring and whatever holds them.
+points are discounted by the share of its text that is links. Where the page marks the article that holds the best container, the
+whole of that article is kept. Elsewhere the best container is kept with what stands beside it, up to the enclosing main or likely
+container, or the page, but for parts that are mostly links. Menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments go before the scoring and whatever holds them; a word in a class that marks such a part does not count where the part holds
+much of the page's text.
 """
 
 from __future__ import annotations
@@ -35,6 +37,14 @@ BOILERPLATE = frozenset(
 # The same for what is likely the article.
 ARTICLE = frozenset("article articlebody body content entry hentry main post story text".split())
 
+# Of the boilerplate words those that hold whatever the length of the text.
+FIRM = frozenset("comment comments commentlist disqus respond reply replies cookie cookies consent gdpr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Parts beside the best container are kept below this share of text in links.
+MOST_LINKS = 0.33
+#: Share of the page's text from which a boilerplate word no longer counts, without and with a word for the article.
+OVERRULED, OVERRULED_LIKELY = 0.5, 0.2
+
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+|[^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z]+")
@@ -47,26 +57,26 @@ _SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {
 class Node:
     __slots__ = ("tag", "parent", "children", "unlikely", "likely", "points", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, unlikely: bool = False, likely: bool = False):
+    def __init__(self, tag: str, parent: Node | None, unlikely: int = 0, likely: bool = False):
         self.tag, self.parent, self.unlikely, self.likely = tag, parent, unlikely, likely
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = self.links = 0
 
 
-def _marks(raw: str) -> tuple[bool, bool]:
-    """(not the article, likely the article), by an element's attributes."""
+def _marks(raw: str) -> tuple[int, bool]:
+    """(not the article: 1 by a word, 2 for certain; likely the article), by an element's attributes."""
     if not raw.strip(" /\n\t"):
-        return False, False
-    unlikely = likely = False
+        return 0, False
+    unlikely, likely = 0, False
     for m in _ATTRIBUTE.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
             words = set(_WORD.findall(_CAMEL.sub("-", value).lower()))
-            unlikely |= bool(words & BOILERPLATE)
+            unlikely = max(unlikely, 2 if words & FIRM else int(bool(words & BOILERPLATE)))
             likely |= bool(words & ARTICLE)
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            unlikely = True
+            unlikely = 2
     return unlikely, likely
 
 
@@ -134,7 +144,26 @@ def parse(html: str) -> Node:
 def _dropped(node: Node) -> bool:
     if node.tag in ("html", "body", "article", "main"):
         return False
-    return node.tag in DROPPED or node.unlikely or node.tag == "header"
+    return node.tag in DROPPED or node.unlikely > 0 or node.tag == "header"
+
+
+def _overrule(root: Node) -> None:
+    """Boilerplate words no longer count where the part holds much of the text of the page, and the article where that is marked."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node) and (c.unlikely == 1 and c.tag not in DROPPED and c.tag != "header" or not _dropped(c))]
+    if not any(n.unlikely for n in order):
+        return
+    text, holds = {}, set()
+    for node in reversed(order):
+        if node.tag in ("article", "main") or any(id(c) in holds for c in node.children):
+            holds.add(id(node))
+        text[id(node)] = 0 if node.tag == "a" else sum(len(c.strip()) if isinstance(c, str) else text.get(id(c), 0) for c in node.children)
+    for node in order:
+        if node.unlikely == 1 and text[id(node)] and (id(node) in holds or not holds) and text[id(node)] >= (OVERRULED_LIKELY if node.likely else OVERRULED) * text[id(root)]:
+            node.unlikely = 0
 
 
 def _squeeze(text: str) -> str:
@@ -175,8 +204,42 @@ def _density(node: Node) -> float:
     return node.links / node.chars if node.chars else 0.0
 
 
-def main_containers(root: Node) -> list[Node]:
-    """The best container and its kept siblings, in page order."""
+def _beside(parts: list[Node | str], least: float) -> list[Node | str | None]:
+    """What is kept of these siblings, in page order; None ends a line. Text and inline elements that follow each other are one part;
+    a heading goes with what it heads."""
+    units: list[list[Node | str]] = []
+    for c in parts:
+        if isinstance(c, Node) and (c.tag in BLOCK or _dropped(c)):
+            units.append([c])
+        elif units and not (isinstance(units[-1][0], Node) and (units[-1][0].tag in BLOCK or _dropped(units[-1][0]))):
+            units[-1].append(c)
+        else:
+            units.append([c])
+    kept: list[list[Node | str]] = []
+    heads = True  # whether what follows is kept; at the end, the best container or nothing
+    for unit in reversed(units):
+        first = unit[0]
+        if isinstance(first, Node) and _dropped(first):
+            heads = False
+            continue
+        chars = sum(len(c.strip()) if isinstance(c, str) else c.chars for c in unit)
+        links = sum(c.links for c in unit if isinstance(c, Node))
+        if not chars:
+            continue
+        if isinstance(first, Node) and first.tag in HEADINGS:
+            if heads:
+                kept.append(unit)
+            continue
+        scores = isinstance(first, Node) and first.tag in BLOCK and first.points >= least
+        heads = scores or links < MOST_LINKS * chars
+        if heads:
+            kept.append(unit)
+    return [c for unit in reversed(kept) for c in (None, *unit, None)]
+
+
+def main_containers(root: Node) -> list[Node | str | None]:
+    """The best container and what is kept beside it, in page order; None ends a line."""
+    _overrule(root)
     order = list(_walk(root))
     _measure(order)
     scored: dict[int, Node] = {}
@@ -202,21 +265,36 @@ def main_containers(root: Node) -> list[Node]:
     for n in scored.values():
         n.points = (n.points + (10 if n.tag in ("article", "main") else 5 if n.likely else 0)) * (1 - _density(n))
     best = max(scored.values(), key=lambda n: n.points)
-    above = best
+    inner = best
+    least = max(10.0, 0.2 * best.points)
+    holders, above = {}, best
     while above is not None:
-        if above.tag == "article":
-            best = above
+        kind = above.tag if above.tag in ("article", "main") else "likely" if above.likely and _density(above) < MOST_LINKS else ""
+        holders[kind] = above  # the outermost of a kind
         above = above.parent
-    if best.parent is None:
-        return [best]
-    kept, least = [], max(10.0, 0.2 * best.points)
-    for s in best.parent.children:
-        if not isinstance(s, Node) or _dropped(s):
-            continue
-        reads = s.tag == "p" and (s.chars >= 80 and _density(s) < 0.25 or 0 < s.chars < 80 and not s.links)
-        if s is best or s.points >= least and s.tag != "a" or reads:
-            kept.append(s)
-    return kept
+    top = next((holders[k] for k in ("article", "main", "likely") if k in holders), root)
+    if "article" in holders:
+        inner = top
+    before: list[list] = []
+    after: list[list] = []
+    node = inner
+    # Beside the best container, level by level up to the one that holds it; of a container that is only likely, beside that too.
+    while node.parent is not None and (node is not top or top.tag not in ("article", "main")):
+        at = next(i for i, c in enumerate(node.parent.children) if c is node)
+        before.append(_beside(node.parent.children[:at], least))
+        after.append(_beside(node.parent.children[at + 1 :], least))
+        if node is top:
+            break
+        node = node.parent
+    if top.tag in ("article", "main") and top.parent is not None:
+        at = next(i for i, c in enumerate(top.parent.children) if c is top)
+        for side, parts in ((before, top.parent.children[:at]), (after, top.parent.children[at + 1 :])):
+            side.append([x for s in parts if isinstance(s, Node) and not _dropped(s) and (s.points >= least and s.tag != "a" or _reads(s)) for x in (None, s, None)])
+    return [c for level in reversed(before) for c in level] + [None, inner, None] + [c for level in after for c in level]
+
+
+def _reads(s: Node) -> bool:
+    return s.tag == "p" and (s.chars >= 80 and _density(s) < 0.25 or 0 < s.chars < 80 and not s.links)
 
 
 def extract(html: str | None) -> str:
@@ -247,7 +325,7 @@ def extract(html: str | None) -> str:
                     flush()
                     stack.append(None)
                 stack += reversed(c.children)
-        flush()
+    flush()
     return "\n".join(blocks)
 
 

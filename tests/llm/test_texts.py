@@ -37,6 +37,22 @@ def test_extract(page, want):
     assert html_extract.extract(page) == want
 
 
+_PARA = "word, " * 3 + "w" * 382
+
+
+@pytest.mark.parametrize("paragraphs", [2, 10])
+def test_extract_without_an_article_element(paragraphs):
+    body, text = f"<p>{_PARA}</p>" * paragraphs, [_PARA] * paragraphs
+    links = "<h2>More</h2><ul><li><a href=/a>Some other page</a><li><a href=/b>One more page</a></ul>"
+    beside = "<pre>code</pre>bare <b>text</b><blockquote>quote</blockquote><ol><li>item</ol><table><tr><td>cell</table><section>short</section>"
+    want = ["Title", *text, "code", "bare text", "quote", "item", "cell", "short"]
+    for page in ("<main>{}</main>", "<div class=content>{}</div>", "<body><div>{}</div>", "<div class='page has-sidebar'>{}<div class=sidebar>About us</div></div>"):
+        assert html_extract.extract(page.format(f"<h1>Title</h1><div>{body}</div>{beside}")).split("\n") == want
+    assert html_extract.extract(f"<div><h1><a href=/>Title</a></h1><div class=entry-content>{body}</div><blockquote>quote</blockquote></div><div class=comments>{body}</div>").split("\n") == ["Title", *text, "quote"]
+    assert html_extract.extract(f"<body><div>{body * 3}</div><blockquote>quote</blockquote>{links}").split("\n") == [*text * 3, "quote"]
+    assert html_extract.extract(f"<div hidden>{body * 3}</div><nav>{body * 3}</nav><div>{body}</div>").split("\n") == text
+
+
 @given(st.text(alphabet="<>/ab\"'=&;!- \n", max_size=200))
 @settings(max_examples=300, deadline=None)
 def test_extract_never_fails(page):
