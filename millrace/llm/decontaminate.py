@@ -37,12 +37,12 @@ def _grams(n: int) -> Column:
 
 
 def sketches(items: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """items: item_id, words. item_id, hash: each item's sketch, its length set by the item's size class."""
+    """items: key, words. key, hash: each item's sketch, its length set by the item's size class."""
     hashed = items.withColumn("h", F.array_sort(F.array_distinct(_gram_hashes(n)))).where("size(h) > 0")
     level = F.floor(F.log(F.size("h")) / F.log(F.lit(CLASS_STEP)))
     largest = F.least(F.ceil(F.pow(F.lit(CLASS_STEP), level + 1)), F.lit(1 << 30))
     k = (F.floor((1 - F.lit(threshold)) * largest + 1e-9) + 1).cast("int")
-    return hashed.select("item_id", F.explode(F.slice("h", F.lit(1), k)).alias("hash"))
+    return hashed.select("key", F.explode(F.slice("h", F.lit(1), k)).alias("hash"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, threshold: float = THRESHOLD) -> DataFrame:
@@ -51,22 +51,25 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     Words are runs of letters and digits in lower case. A null or empty text holds nothing; an item of fewer than n words has
     no n-gram and is never found. Repeated rows of one id give one row an item with the most that one of them holds; null ids
-    are one id. Empty tables give no rows; columns other than the named ones are not read."""
+    are one id. The same holds for items: each text of an item id is looked up on its own, and the one that is held most counts. Empty tables give no rows; columns other than the named ones are not read."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    bench = materialize(items.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("words")), "items")
-    sketch = small(materialize(sketches(bench, n, threshold).dropDuplicates(), "sketches"))
+    bench = materialize(items.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("words")).distinct(), "items")
+    # Ids may be null or repeated, so every distinct text has a key of its own.
+    texts = materialize(bench.select("words").distinct().withColumn("key", F.monotonically_increasing_id()), "texts")
+    names = small(materialize(bench.join(texts, "words").select("key", "item_id"), "names"))
+    sketch = small(materialize(sketches(texts, n, threshold).dropDuplicates(), "sketches"))
     hashes = docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", F.explode(_gram_hashes(n)).alias("hash"))
-    pairs = materialize(hashes.join(sketch, "hash").select("doc_id", "item_id").distinct(), "pairs")
+    pairs = materialize(hashes.join(sketch, "hash").select("doc_id", "key").distinct(), "pairs")
 
-    # One row a text with its items, so that a text is parted into shingles once; an item's shingles come by its id.
-    found = materialize(pairs.groupBy(F.col("doc_id").alias("__found")).agg(F.collect_set("item_id").alias("items")), "found")
+    # One row a text with its items, so that a text is parted into shingles once; an item's shingles come by its key.
+    found = materialize(pairs.groupBy(F.col("doc_id").alias("__found")).agg(F.collect_set("key").alias("items")), "found")
     met = join_ids(docs, found, "doc_id", "__found", "inner").select("doc_id", words(F.col("text")).alias("words"), "items")
     met = met.select("doc_id", "items", _grams(n).alias("grams"))
-    grams = bench.groupBy("item_id").agg(F.max("words").alias("words")).select("item_id", _grams(n).alias("item_grams"))
-    grams = small(materialize(grams, "grams"), 100_000)
-    shared = met.select("doc_id", "grams", F.explode("items").alias("item_id")).join(grams, "item_id").select("doc_id", "item_id", F.size(F.array_intersect("grams", "item_grams")).cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
+    grams = small(materialize(texts.select("key", _grams(n).alias("item_grams")), "grams"), 100_000)
+    shared = met.select("doc_id", "grams", F.explode("items").alias("key")).join(grams, "key").select("doc_id", "key", F.size(F.array_intersect("grams", "item_grams")).cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
     shared = shared.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item"))
-    return shared.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"), F.max("containment").alias("containment"))
+    most = shared.join(names, "key").groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("most"))
+    return most.select("doc_id", "item_id", "most.n_shared", "most.n_item", "most.containment")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

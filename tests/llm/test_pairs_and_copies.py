@@ -136,6 +136,15 @@ def test_contained_odd(spark, odd_docs, empty_docs):
     assert decontaminate.contaminated(empty_docs, items).count() == 0 and decontaminate.contaminated(odd_docs, items.limit(0)).count() == 0
 
 
+def test_items_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(20)) for c in "abcd"]
+    items = spark.createDataFrame([(None, texts[0]), (None, texts[0]), (7, texts[1]), (7, texts[2] + " tail"), (8, texts[1])], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = Counter((r["doc_id"], r["item_id"], r["n_shared"], r["n_item"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == Counter([(0, None, 16, 16), (1, 7, 16, 16), (1, 8, 16, 16), (2, 7, 16, 17)])
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()] == [3]
+
+
 def test_sketch_never_misses(spark):
     """A text that holds just the threshold of an item's shingles, the rest of them torn apart, is found."""
     words = [f"w{k}" for k in range(104)]  # 100 shingles
