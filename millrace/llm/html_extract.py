@@ -11,6 +11,7 @@ much of the page's text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -27,7 +28,9 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
-DROPPED = frozenset("head script style title noscript template nav footer aside form iframe object embed applet canvas svg math audio video map select button input textarea dialog menu search noframes xmp".split())
+DROPPED = frozenset(
+    "head script style title noscript template nav aside iframe object embed applet canvas svg audio video select button input textarea dialog menu search noframes xmp annotation annotation-xml".split()
+)
 # Words in a class, id or role that mark what is not the article.
 BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal overlay "
@@ -36,22 +39,33 @@ BOILERPLATE = frozenset(
 )
 # The same for what is likely the article.
 ARTICLE = frozenset("article articlebody body content entry hentry main post story text".split())
+# Words that may stand beside a boilerplate word in a name and say nothing themselves.
+NEUTRAL = frozenset(
+    "area bar bottom box buttons button block body col column container content desktop fixed form global group holder home icons inner item items left link links list main message middle "
+    "mobile outer page panel primary right row secondary section site slot small sticky text title top unit wrap wrapper".split()
+)
 
 # Of the boilerplate words those that hold whatever the length of the text.
 FIRM = frozenset("comment comments commentlist disqus respond reply replies cookie cookies consent gdpr".split())
+# First words of a name that says what a part has, or what it is about.
+QUALIFIERS = frozenset("no not has with without category tag topic type format".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose id is a place to link to, and whose name has to say in full that they are not the article.
+TEXTUAL = HEADINGS | frozenset("p blockquote pre li dt dd td th tr figcaption caption".split())
 #: Parts beside the best container are kept below this share of text in links.
 MOST_LINKS = 0.33
-#: Share of the page's text from which a boilerplate word no longer counts, without and with a word for the article.
-OVERRULED, OVERRULED_LIKELY = 0.5, 0.2
+#: Share of the page's text from which a boilerplate word no longer counts, without and with a word for the article; and a form or
+#: header around everything on a page that marks no article.
+OVERRULED, OVERRULED_LIKELY, OVERRULED_WHOLE = 0.5, 0.2, 0.9
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+|[^>]*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=(?:\s*+\"[^\"]*\"|\s*+'[^']*')?+)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME = re.compile(r"[^\s]+")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: An element that one of these opens, when the same parent's one is open, ends that one first.
-_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
-_SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}, "tbody": {"table"}}
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th")}
+_SCOPE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",), "tbody": ("table",)}
 
 
 class Node:
@@ -64,7 +78,22 @@ class Node:
         self.chars = self.links = 0
 
 
-def _marks(raw: str) -> tuple[int, bool]:
+def _says(name: str, tag: str) -> tuple[int, bool]:
+    """(not the article, likely the article) of one class, id or role. A name of several words speaks against the article only where
+    its last word does, or where a boilerplate word has nothing but neutral ones beside it; "no-sidebar" is no sidebar."""
+    words = _WORD.findall(_CAMEL.sub("-", name).lower())
+    likely = any(w in ARTICLE for w in words)
+    found = [w for w in words if w in BOILERPLATE]
+    if not found or words[0] in QUALIFIERS:
+        return 0, likely
+    if words[-1] not in BOILERPLATE and any(w not in BOILERPLATE and w not in NEUTRAL for w in words):
+        return 0, likely
+    if found == ["header"] and (tag not in BLOCK or tag in TEXTUAL or len(words) > 1 and (likely or "section" in words)):
+        return 0, likely
+    return 2 if any(w in FIRM for w in found) else 1, likely
+
+
+def _marks(raw: str, tag: str) -> tuple[int, bool]:
     """(not the article: 1 by a word, 2 for certain; likely the article), by an element's attributes."""
     if not raw.strip(" /\n\t"):
         return 0, False
@@ -72,88 +101,117 @@ def _marks(raw: str) -> tuple[int, bool]:
     for m in _ATTRIBUTE.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
-            words = set(_WORD.findall(_CAMEL.sub("-", value).lower()))
-            unlikely = max(unlikely, 2 if words & FIRM else int(bool(words & BOILERPLATE)))
-            likely |= bool(words & ARTICLE)
+            if name == "id" and tag in TEXTUAL or tag not in BLOCK and not value.isalpha():
+                continue
+            for part in _NAME.findall(value):
+                no, yes = _says(part, tag)
+                unlikely, likely = max(unlikely, no), likely or yes
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             unlikely = 2
     return unlikely, likely
 
 
+class _Open:
+    """The open elements, with their places by tag, so that a scope is looked up without a walk."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, *tags: str) -> int:
+        """The innermost open element of these tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def first(self, after: int, *tags: str) -> int:
+        """The outermost one of these tags inside the element at `after`; 0 if there is none."""
+        places = [(p, bisect_right(p, after)) for t in tags if (p := self.at.get(t))]
+        return min((p[k] for p, k in places if k < len(p)), default=0)
+
+    def close(self, place: int) -> None:
+        """Close the element at this place and all within it."""
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+
 def parse(html: str) -> Node:
-    """The page as a tree; missing and stray end tags are mended."""
+    """The page as a tree; missing and stray end tags are mended. Every character and every element is looked at a bounded number of
+    times, and a lookup among the open elements takes the logarithm of their number."""
     root = Node("html", None)
-    at, here, end = root, 0, len(html)
-    depth: dict[str, int] = {}
+    open_ = _Open(root)
+    here, end = 0, len(html)
 
-    def close(node: Node) -> Node:
-        depth[node.tag] -= 1
-        return node.parent
+    def text(chunk: str) -> None:
+        # References end with their text: markup in the midst of one is not part of it.
+        open_.stack[-1].children.append(unescape(chunk) if "&" in chunk else chunk)
 
     while here < end:
         m = _TOKEN.search(html, here)
         if not m:
-            at.children.append(html[here:])
+            text(html[here:])
             break
         if m.start() > here:
-            at.children.append(html[here : m.start()])
+            text(html[here : m.start()])
         here = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
+            place = open_.last(tag)
             if tag == "br":
-                at.children.append(" ")
-            elif depth.get(tag) and tag not in ("html", "body"):
-                while at.tag != tag:
-                    at = close(at)
-                at = close(at)
+                open_.stack[-1].children.append(" ")
+            elif place and tag not in ("html", "body"):
+                # The end of an inline element does not end the blocks that were opened within it.
+                if tag in BLOCK or not open_.blocks or open_.blocks[-1] < place:
+                    open_.close(place)
+            elif tag == "p":
+                open_.stack[-1].children.append(Node("p", open_.stack[-1]))
             continue
-        if tag in ("html", "body", "head") and (tag == "html" or depth.get(tag)):
+        if tag in ("html", "body", "head") and (tag == "html" or open_.last(tag)):
             continue
-        if tag in BLOCK and depth.get("p"):
-            while at.tag != "p":
-                at = close(at)
-            at = close(at)
-        if tag in _ENDS:
-            walk, stop = at, _SCOPE[tag]
-            last = None
-            while walk.parent is not None and walk.tag not in stop:
-                if walk.tag in _ENDS[tag]:
-                    last = walk
-                walk = walk.parent
-            if last is not None:
-                while at is not last:
-                    at = close(at)
-                at = close(at)
+        if tag in BLOCK and (place := open_.last("p")):
+            open_.close(place)
+        if tag in _ENDS and (place := open_.first(open_.last(*_SCOPE[tag]), *_ENDS[tag])):
+            open_.close(place)
+        at = open_.stack[-1]
         if tag == "br" or tag == "wbr":
             at.children.append(" " if tag == "br" else "")
             continue
-        node = Node(tag, at, *_marks(m[3]))
         if tag in RAW:
-            done = re.compile(rf"</{re.escape(tag)}\s*/?>", re.I).search(html, here)
+            done = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, here)
             here = done.end() if done else end
             continue
+        code = open_.last("pre", "code") > 0  # what is marked there are parts of a program
+        node = Node(tag, at, *((0, False) if code else _marks(m[3], tag)))
+        if tag == "form" or tag == "header" and not open_.last("article", "main") or tag == "footer" and at.tag != "blockquote":
+            node.unlikely = max(node.unlikely, 1)
         at.children.append(node)
         if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "em", "strong", "span")):
-            depth[tag] = depth.get(tag, 0) + 1
-            at = node
+            open_.push(node)
     return root
 
 
 def _dropped(node: Node) -> bool:
-    if node.tag in ("html", "body", "article", "main"):
-        return False
-    return node.tag in DROPPED or node.unlikely > 0 or node.tag == "header"
+    return node.tag in DROPPED or node.unlikely > 0 and node.tag not in ("html", "body")
 
 
 def _overrule(root: Node) -> None:
-    """Boilerplate words no longer count where the part holds much of the text of the page, and the article where that is marked."""
+    """Boilerplate words, and a form or header around the article, no longer count where the part holds much of the text of the page,
+    and the article where that is marked."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [c for c in node.children if isinstance(c, Node) and (c.unlikely == 1 and c.tag not in DROPPED and c.tag != "header" or not _dropped(c))]
+        stack += [c for c in node.children if isinstance(c, Node) and (c.unlikely == 1 and c.tag not in DROPPED or not _dropped(c))]
     if not any(n.unlikely for n in order):
         return
     text, holds = {}, set()
@@ -162,12 +220,17 @@ def _overrule(root: Node) -> None:
             holds.add(id(node))
         text[id(node)] = 0 if node.tag == "a" else sum(len(c.strip()) if isinstance(c, str) else text.get(id(c), 0) for c in node.children)
     for node in order:
-        if node.unlikely == 1 and text[id(node)] and (id(node) in holds or not holds) and text[id(node)] >= (OVERRULED_LIKELY if node.likely else OVERRULED) * text[id(root)]:
-            node.unlikely = 0
+        if node.unlikely == 1 and text[id(node)] and node.tag != "footer" and (id(node) in holds or not holds):
+            if node.tag in ("form", "header"):
+                share = 0.0 if id(node) in holds else OVERRULED_WHOLE
+            else:
+                share = OVERRULED_LIKELY if node.likely else OVERRULED
+            if text[id(node)] >= share * text[id(root)]:
+                node.unlikely = 0
 
 
 def _squeeze(text: str) -> str:
-    return " ".join(unescape(text).split())
+    return " ".join(text.split())
 
 
 def _walk(root: Node) -> Iterator[Node]:
@@ -289,7 +352,7 @@ def main_containers(root: Node) -> list[Node | str | None]:
     if top.tag in ("article", "main") and top.parent is not None:
         at = next(i for i, c in enumerate(top.parent.children) if c is top)
         for side, parts in ((before, top.parent.children[:at]), (after, top.parent.children[at + 1 :])):
-            side.append([x for s in parts if isinstance(s, Node) and not _dropped(s) and (s.points >= least and s.tag != "a" or _reads(s)) for x in (None, s, None)])
+            side.append([x for s in parts if isinstance(s, Node) and not _dropped(s) and (s.points >= least and s.tag != "a" or _reads(s) or s.tag == top.tag and s.chars and _density(s) < MOST_LINKS) for x in (None, s, None)])
     return [c for level in reversed(before) for c in level] + [None, inner, None] + [c for level in after for c in level]
 
 

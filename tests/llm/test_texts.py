@@ -70,6 +70,64 @@ def test_extract_all_pages(spark):
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><p>Hello there</p><div data-x="' + "a>" * 3000 + '">World</div></article>', "Hello there\nWorld"),
+    ('<article><h2 class="section-header">S</h2><p>Body</p><p class="notice-period">N</p><p id="search">Q</p><p class="advert">A</p></article>', "S\nBody\nN\nQ"),
+    ("<article><header><h1>T</h1></header><p>Sum <math><mi>x</mi><mo>=</mo><annotation>tex</annotation></math></article><header>Site</header>", "T\nSum x="),
+    ("<article><p>x&am<b>p;</b> y &amp; z</p></article>", "x&amp; y & z"),
+    ("<b><p>one</b> two</p>", "one two"),
+    ("<p>a<!-->b</p>c", "ab\nc"),
+    ('<article><p>Long enough to be read, yes</p><pre><code>x <span class="token comment"># c</span></code></pre><div class="comments-section"><article class="comment"><p>first</p></article></div></article>', "Long enough to be read, yes\nx # c"),
+    ("<form><article><p>in a form</p></article></form><form><p>Your name, please</p></form>", "in a form"),
+])
+def test_extract_keeps_the_whole_article(page, want):
+    assert html_extract.extract(page) == want
+
+
+def test_extract_keeps_sibling_articles():
+    body = f"<p>{_PARA}</p>" * 6
+    for page in ("<main><article>{}</article><article><p>short one</p></article></main>", "<body><div class=post>{}</div><div class=post><p>short one</p></div>"):
+        assert html_extract.extract(page.format(body)).split("\n") == [_PARA] * 6 + ["short one"]
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: "<div>" * n + "<li>" * n, lambda n: "<p>x<b>" * n + '<a href="' * n, lambda n: "<table><tr><td>" * n + "</b>" * n, lambda n: "<span>" * n + "<div></span>" * n,
+    lambda n: "<a b='x\" c=\"y>" * n, lambda n: "<ul><li>" * n + "</li></ul>" * n, lambda n: "<p>" * n + "<!--" * n, lambda n: "<b" + " =" * n + '"' * n,
+])
+def test_extract_takes_linear_time(make):
+    import time
+
+    def took(n):
+        t = time.process_time()
+        html_extract.extract(make(n))
+        return time.process_time() - t
+
+    took(1000)
+    assert took(32_000) < 40 * max(took(2000), 0.005)
+
+
+@pytest.mark.parametrize("open_, close", [("<div>", "</div>"), ("<div class=content>", "</div>"), ("<section>", "</section>"), ("<main>", "</main>"), ("<td>", "</td>"), ("<div class='col'><div id=x1>", "</div></div>"), ("", "")])
+def test_extract_recall_without_the_tag(spark, open_, close):
+    """The test pages with their article element replaced: at least nine tenths of its text is found, and little else."""
+    found = wanted = more = 0
+    for r in spark.read.parquet(f"{DIR}/pages.parquet").collect():
+        want = html_extract.extract(r["html"]).split("\n")
+        got = html_extract.extract(r["html"].replace("<article>", open_).replace("</article>", close)).split("\n")
+        both = sum((Counter(want) & Counter(got)).values())
+        found, wanted, more = found + both, wanted + len(want), more + len(got) - both
+    assert found >= 0.9 * wanted and more <= 0.05 * wanted
+
+
+def test_extract_odd_pages(spark):
+    long = "<article>" + "<p>" + "word, " * 200 + "</p>"
+    rows = [(1, "u", "<article><p>a</p></article>"), (1, "u", "<article><p>a</p></article>"), (None, None, None), (2, None, ""), (3, "v", long + ("<p>" + "y " * 50_000 + "</p>") * 100 + "</article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text", "'z' AS n_chars")
+    got = sorted(((r["page_id"] or 0, r["url"] or "", len(r["text"]), r["n_chars"]) for r in html_extract.extract_pages(pages).collect()))
+    n = 200 * 6 - 1 + 100 * 100_000
+    assert got == [(0, "", 0, 0), (1, "u", 1, 1), (1, "u", 1, 1), (2, "", 0, 0), (3, "v", n, n)]
+    assert html_extract.extract_pages(pages.limit(0)).count() == 0
+
+
 def test_packing_round_trip(spark, odd_docs, empty_docs):
     from tokenizers import Tokenizer
 
