@@ -22,6 +22,8 @@ CHUNK, STEP = 256, 224
 WIDTH, STRIDE, DIM, FILTERS, HIDDEN = 7, 2, 6, 24, 16
 THRESHOLD = 0.3
 EPOCHS, BATCH, RATE = 10, 32, 0.004
+#: Labelled rows of the sample from which the features' scale is taken.
+SCALE_ROWS = 400
 _SPAN = (CHUNK - WIDTH) // STRIDE + 1
 
 
@@ -55,12 +57,13 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(h @ w["w2"] + w["b2"], -30, 30)))
 
     def score(self, texts: list[str], group: int = 1024) -> np.ndarray:
-        """A probability for each whole text; at most `group` chunks are convolved at a time."""
-        parts = [chunks(t) for t in texts]
-        count = np.array([len(p) for p in parts])
-        starts = np.append(0, np.cumsum(count))
-        total = int(starts[-1])
-        out = np.empty((total, FILTERS), np.float32)
+        """A probability for each whole text."""
+        return self.head(self.features([chunks(t) for t in texts], group))
+
+    def features(self, parts: list[np.ndarray], group: int = 1024) -> np.ndarray:
+        """The features of texts by all their chunks; at most `group` chunks are convolved at a time."""
+        starts = np.append(0, np.cumsum([len(p) for p in parts]))
+        out = np.empty((int(starts[-1]), FILTERS), np.float32)
         held: list[np.ndarray] = []
         size = done = 0
 
@@ -78,7 +81,7 @@ class Network:
                 if size >= group:
                     run()
         run()
-        return self.head(combine(out, starts))
+        return combine(out, starts)
 
 
 def combine(pooled: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -99,9 +102,9 @@ def _start(rng: np.random.Generator) -> dict[str, np.ndarray]:
     }
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network:
-    """Fit by Adam on batches of texts; each epoch sees at most 24 random chunks of a text. Without both labels the network
-    gives every text the share of label 1, or one half without any."""
+def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7, scale_rows: int = SCALE_ROWS) -> Network:
+    """Fit by Adam on batches of texts, all chunks of every text in each epoch. Without both labels the network gives every text the
+    share of label 1, or one half without any."""
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
     net = Network(_start(rng))
@@ -114,15 +117,15 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     parts = [chunks(t) for t in texts]
     learned = [k for k in w if k not in ("mean", "scale")]
     m, v = {k: np.zeros_like(w[k]) for k in learned}, {k: np.zeros_like(w[k]) for k in learned}
-    # The pooled features are put on one scale by the untrained filters and stay so.
-    first = np.vstack([combine(net.pooled(p[:24])[0], np.array([0, len(p[:24])])) for p in parts[:400]])
+    # The pooled features are put on one scale by the untrained filters, over whole texts chosen at random, and stay so.
+    first = np.vstack([net.features([parts[i]]) for i in rng.permutation(len(y))[:scale_rows]])
     w["mean"], w["scale"] = first.mean(0), np.tile(first.std(0).mean() + 1e-3, first.shape[1]).astype(np.float32)
     turn = 0
     for epoch in range(epochs):
         order = rng.permutation(len(y))
         for k in range(0, len(y), BATCH):
             idx = order[k : k + BATCH]
-            seen = [p if len(p) <= 24 else p[np.sort(rng.choice(len(p), 24, replace=False))] for p in (parts[i] for i in idx)]
+            seen = [parts[i] for i in idx]
             starts = np.append(0, np.cumsum([len(p) for p in seen]))
             x = np.concatenate(seen)
             pooled, at = net.pooled(x)

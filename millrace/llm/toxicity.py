@@ -1,9 +1,10 @@
 """Toxicity by a counterfactual-regularised classifier.
 
 A text is read in overlapping windows of words that cover all of it. A window's score is a sum of learned weights of its words
-and of their beginnings; the text's is that of its worst window. In training, identity terms in labelled sentences are
-swapped for other groups' and for neutral words, and the squared change of the score is a penalty, so that a neutral mention of a
-group does not count against a text.
+and of their beginnings; the text's is that of its worst window. In training, every identity term in a labelled text is swapped,
+within the words around it, for other groups' terms and for neutral words of its language, and so are neutral words for identity
+terms; original and copy are both scored by their worst window, and the squared change is a penalty, so that a neutral mention
+of a group does not count against a text.
 """
 
 from __future__ import annotations
@@ -21,13 +22,18 @@ from pyspark.sql import functions as F
 from .common import documents, slices, tidy
 from .training import held_out, sample
 
-# Identity terms, and neutral words that may stand in their place.
-IDENTITY = (
-    "asian black white latino hispanic african european american arab chinese indian mexican jewish muslim christian hindu buddhist atheist catholic "
-    "gay lesbian bisexual transgender queer straight male female man woman men women boy girl immigrant refugee foreigner disabled deaf blind elderly old young "
-    "jews muslims christians asians blacks whites immigrants refugees gays lesbians"
-).split()
-NEUTRAL = "person people someone neighbour friend".split()
+# For four languages, terms for groups of people that may stand in each other's place, and neutral words that may.
+TERMS = (
+    "asian black white latino hispanic african european american arab chinese indian mexican jewish muslim christian hindu buddhist atheist catholic gay lesbian bisexual transgender "
+    "queer straight male female man woman boy girl immigrant refugee foreigner disabled deaf blind elderly person someone neighbour friend",
+    "jews muslims christians asians blacks whites immigrants refugees foreigners gays lesbians men women boys girls people neighbours friends",
+    "jude muslim christ türke araber afrikaner ausländer flüchtling migrant mann frau person mensch nachbar freund",
+    "juden muslime christen türken afrikaner flüchtlinge migranten schwule lesben männer frauen behinderte leute menschen nachbarn freunde",
+    "juif juive musulman musulmane chrétien arabe noir noire blanc asiatique africain immigré réfugié étranger lesbienne homme femme handicapé personne voisin ami",
+    "juifs juives musulmans chrétiens arabes noirs blancs asiatiques africains immigrés réfugiés étrangers lesbiennes hommes femmes handicapés gens personnes voisins amis",
+    "judío judía musulmán musulmana cristiano árabe negro negra blanco asiático africano inmigrante refugiado extranjero lesbiana hombre mujer persona vecino amigo",
+    "judíos musulmanes cristianos árabes negros blancos asiáticos africanos inmigrantes refugiados extranjeros lesbianas hombres mujeres personas gente vecinos amigos",
+)
 
 WINDOW, STEP = 24, 12
 BITS = 18
@@ -35,7 +41,9 @@ BITS = 18
 MIN_TEXTS = 4
 EPOCHS, RATE = 240, 0.15
 #: The lasso picks features in the first half of the epochs; in the second half those that are left are fitted with the ridge alone.
-LASSO, RIDGE, SWAP = 7e-4, 1e-5, 0.05
+LASSO, RIDGE = 7e-4, 1e-5
+#: Weight of the mean squared change of the score under a swap, and the copies that are made of each mention.
+SWAP, COPIES = 1.0, 4
 THRESHOLD = 0.5
 MAX_WORDS = 300_000
 FEATURES = 4
@@ -52,10 +60,18 @@ def _token_words(token: str) -> list[str]:
     return _WORD.findall(token.lower())
 
 
+def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of texts that lie one behind the other: their starts and ends, and the place of each text's first window."""
+    count = np.where(lengths > WINDOW, -(-(lengths - WINDOW) // STEP) + 1, 1)
+    first = np.append(0, np.cumsum(count))
+    base = np.append(0, np.cumsum(lengths)[:-1]).astype(np.int64)
+    a = np.repeat(base, count) + STEP * (np.arange(first[-1]) - np.repeat(first[:-1], count))
+    return a, np.minimum(a + WINDOW, np.repeat(base + lengths, count)), first
+
+
 def window_ends(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the windows that cover n words; one empty window for no words."""
-    a = np.arange(0, max(1, n - WINDOW + STEP), STEP) if n > WINDOW else np.zeros(1, np.int64)
-    return a, np.minimum(a + WINDOW, n)
+    return windows_of(np.array([n]))[:2]
 
 
 @dataclass
@@ -67,74 +83,118 @@ class Classifier:
         return float(self.weights[list(features(word))].sum())
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, swap: float = SWAP, seed: int = 11) -> Classifier:
-    """Full-batch gradient descent on the worst window of each text, with a lasso, by proximal steps, and the swap penalty. Without both labels every
-    text gets the share of label 1, or one half without any."""
+def swaps(texts: list[list[str]], copies: int = COPIES, seed: int = 5) -> tuple[list[list[str]], list[list[str]]]:
+    """For every mention of a term in the texts (their words), the words around it, `copies` times, and as often with another term of
+    its kind in its place, chosen at random. An original and its copy hold every window in which the term can stand."""
+    rng = np.random.default_rng(seed)
+    kinds = [t.split() for t in TERMS]
+    others = {w: sorted({x for k in kinds if w in k for x in k} - {w}) for k in kinds for w in k}
+    kept, swapped = [], []
+    for words in texts:
+        for j, w in enumerate(words):
+            if w in others:
+                a = max(0, j - WINDOW + 1)
+                around = words[a : j + WINDOW]
+                for k in rng.permutation(len(others[w]))[:copies]:
+                    kept.append(around)
+                    swapped.append([*around[: j - a], others[w][k], *around[j - a + 1 :]])
+    return kept, swapped
+
+
+def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, swap: float = SWAP, copies: int = COPIES) -> Classifier:
+    """Full-batch gradient descent on the worst window of each text, with a lasso, by proximal steps, and the swap penalty: `swap` times
+    the mean squared change of the worst window's score between an original and its copy. Without both labels every text gets the
+    share of label 1, or one half without any."""
     y = np.asarray(labels, float)
-    w = np.zeros(1 << BITS)
-    share = (y.sum() + 0.5) / (len(y) + 1)
+    n = len(y)
+    share = (y.sum() + 0.5) / (n + 1)
     bias = float(np.log(share / (1 - share)))
-    if not len(y) or y.min() == y.max():
-        return Classifier(w, bias)
+    if not n or y.min() == y.max():
+        return Classifier(np.zeros(1 << BITS), bias)
+    rows = [_token_words(t) for t in texts]
+    kept, swapped = swaps(rows, copies) if swap else ([], [])
+    pairs = len(kept)
     names: dict[str, int] = {}
-    ids = [np.array([names.setdefault(x, len(names)) for x in _token_words(t)], np.int64) for t in texts]
-    table = np.array([features(x) for x in names]).reshape(-1, FEATURES)
-    hits, bad = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for d, label in zip(ids, y, strict=True):
-        f = np.unique(table[d]) if len(d) else np.zeros(0, int)
+    ids = [np.array([names.setdefault(x, len(names)) for x in r], np.int64) for r in (*rows, *kept, *swapped)]
+    # Only the features that occur have a place in the arrays of training.
+    every, table = np.unique(np.array([features(x) for x in names]).reshape(-1, FEATURES), return_inverse=True)
+    table = table.reshape(-1, FEATURES)
+    hits, bad = np.zeros(len(every)), np.zeros(len(every))
+    for d, label in zip(ids[:n], y, strict=True):
+        f = np.unique(table[d])
         hits[f] += 1
         bad[f] += label
     use = hits >= MIN_TEXTS
     # Start from shrunken log odds of the features, so that the first worst windows are not chance.
-    odds = np.log((bad + 4 * share) / (y.sum() + 4 * share) / ((hits - bad + 4 * (1 - share)) / (len(y) - y.sum() + 4 * (1 - share))))
-    w[use] = 0.2 * odds[use]
+    odds = np.log((bad + 4 * share) / (y.sum() + 4 * share) / ((hits - bad + 4 * (1 - share)) / (n - y.sum() + 4 * (1 - share))))
+    w = np.where(use, 0.2 * odds, 0.0)
     lengths = np.array([len(d) for d in ids])
-    base = np.append(0, np.cumsum(lengths))
-    flat = np.concatenate(ids) if base[-1] else np.zeros(0, np.int64)
-    starts, ends, first = [], [], [0]
-    for k, n in enumerate(lengths):
-        a, b = window_ends(int(n))
-        starts.append(a + base[k])
-        ends.append(b + base[k])
-        first.append(first[-1] + len(a))
-    starts, ends, first = np.concatenate(starts), np.concatenate(ends), np.array(first)
-    terms = np.array([features(x) for x in IDENTITY])
-    others = np.array([features(x) for x in [*IDENTITY, *NEUTRAL]])
-    spread = np.zeros(1 << BITS)
-    np.add.at(spread, np.concatenate([terms, others]).ravel(), 1)
-    # Labelled windows that name a group; each stands for all swaps of its terms.
-    place = {x: k for k, x in enumerate(IDENTITY)}
-    named = np.array([place.get(x, -1) for x in names])
-    seen = np.bincount(named[flat][named[flat] >= 0], minlength=len(IDENTITY)) if len(flat) else np.zeros(len(IDENTITY))
-    mention = (1.0 + seen) / (1.0 + seen).sum()
-    gw, gb = np.full(1 << BITS, 1e-4), 1e-4
+    flat = np.concatenate(ids)
+    starts, ends, first = windows_of(lengths)
+    row_of = np.repeat(np.arange(len(ids)), np.diff(first))
+    gw, gb = np.full(len(every), 1e-4), 1e-4
     for epoch in range(epochs):
         picking = epoch < epochs // 2
         if epoch == epochs // 2:
             use &= w != 0
             gw[:], gb = 1e-4, 1e-4
-        score = w[table].sum(1)
-        c = np.append(0, np.cumsum(score[flat]))
+        c = np.append(0, np.cumsum(w[table].sum(1)[flat]))
         window = c[ends] - c[starts]
-        top = np.array([a + int(window[a:b].argmax()) for a, b in zip(first, first[1:], strict=False)])
-        p = 1 / (1 + np.exp(-np.clip(window[top] + bias, -30, 30)))
-        d = (p - y) / len(y)
+        worst = np.maximum.reduceat(window, first[:-1])
+        best = np.nonzero(window == worst[row_of])[0]
+        top = best[np.searchsorted(row_of[best], np.arange(len(ids)))]
+        p = 1 / (1 + np.exp(-np.clip(worst[:n] + bias, -30, 30)))
+        d = np.zeros(len(ids))
+        d[:n] = (p - y) / n
+        if pairs:
+            gap = 2 * swap * (worst[n : n + pairs] - worst[n + pairs :]) / pairs
+            d[n : n + pairs], d[n + pairs :] = gap, -gap
         size = ends[top] - starts[top]
         at = np.repeat(starts[top] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-        g = np.bincount(table[flat[at]].ravel(), np.repeat(np.repeat(d, size), FEATURES), 1 << BITS) + (0 if picking else RIDGE) * w
-        # A sentence with term a in place of term b changes its score by s(a) - s(b): the penalty is the mean of its square.
-        s_term, s_other = w[terms].sum(1), w[others].sum(1)
-        gap = s_term[:, None] - s_other[None, :]
-        np.add.at(g, terms.ravel(), np.repeat(2 * swap * mention * gap.mean(1), FEATURES))
-        np.add.at(g, others.ravel(), np.repeat(-2 * swap * (mention @ gap) / len(others), FEATURES))
-        g[~use & (spread == 0)] = 0
+        g = np.bincount(table[flat[at]].ravel(), np.repeat(np.repeat(d, size), FEATURES), len(every)) + (0 if picking else RIDGE) * w
+        g[~use] = 0
         gw += g**2
-        gb += d.sum() ** 2
+        gb += d[:n].sum() ** 2
         w -= RATE * g / np.sqrt(gw)
         # No word speaks for a window: what stands around an insult does not make up for it.
         w = np.maximum(w - (RATE * LASSO / np.sqrt(gw) if picking else 0), 0)
-        bias -= RATE * d.sum() / np.sqrt(gb)
-    return Classifier(w, float(bias))
+        bias -= RATE * d[:n].sum() / np.sqrt(gb)
+    weights = np.zeros(1 << BITS)
+    weights[every] = w
+    return Classifier(weights, float(bias))
+
+
+class _Values:
+    """The words' weights of tokens (what white space parts), in one array; at most `limit` tokens are kept."""
+
+    def __init__(self, weights: np.ndarray, limit: int):
+        self.weights, self.limit = weights, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.values, self.first, self.size = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(weights of the tokens' words, one after the other; the number of words of each token)."""
+        every = set(tokens)
+        new = every - self.known.keys()
+        if len(self.known) + len(new) > self.limit:
+            self.clear()
+            new = every
+        if new:
+            words = [_token_words(t) for t in new]
+            flat = [x for ws in words for x in ws]
+            names = {x: k for k, x in enumerate(dict.fromkeys(flat))}
+            value = self.weights[np.array([features(x) for x in names]).reshape(-1, FEATURES)].sum(1)
+            size = np.array([len(ws) for ws in words], np.int64)
+            self.first = np.append(self.first, len(self.values) + np.cumsum(size) - size)
+            self.size = np.append(self.size, size)
+            self.values = np.append(self.values, value[[names[x] for x in flat]])
+            self.known.update((t, k) for k, t in enumerate(new, len(self.known)))
+        k = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        size = self.size[k]
+        return self.values[np.repeat(self.first[k] - np.cumsum(size) + size, size) + np.arange(size.sum())], size
 
 
 def score_toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, max_words: int = MAX_WORDS) -> DataFrame:
@@ -145,35 +205,27 @@ def score_toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", t
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights, bias = sent.value
-        known: dict[str, list[float]] = {}
+        values = _Values(weights, max_words)
         for f in frames:
-            texts, out = f["text"].fillna("").tolist(), []
-            for a, b in slices(texts):
+            texts, out = f["text"].fillna("").tolist(), [np.zeros(0)]
+            for a, b in slices(texts, 2_000_000):
                 split = [t.split() for t in texts[a:b]]
-                every = {x for s in split for x in s}
-                if len(known) + len(every - known.keys()) > max_words:
-                    known.clear()
-                new = list(every - known.keys())
-                words = [_token_words(t) for t in new]
-                flat = list(dict.fromkeys(x for ws in words for x in ws))
-                value = weights[np.array([features(x) for x in flat]).reshape(-1, FEATURES)].sum(1).tolist()
-                of = dict(zip(flat, value, strict=True))
-                for t, ws in zip(new, words, strict=True):
-                    known[t] = [of[x] for x in ws]
-                for tokens in split:
-                    s = np.array([x for t in tokens for x in known[t]])
-                    c = np.append(0, np.cumsum(s))
-                    i, j = window_ends(len(s))
-                    out.append(float((c[j] - c[i]).max()) + bias)
-            p = 1 / (1 + np.exp(-np.clip(np.array(out, float), -30, 30)))
+                s, size = values([x for tokens in split for x in tokens])
+                words = np.append(0, np.cumsum(size))
+                edge = words[np.append(0, np.cumsum([len(tokens) for tokens in split]))]
+                i, j, first = windows_of(np.diff(edge))
+                c = np.append(0, np.cumsum(s))
+                out.append(np.maximum.reduceat(c[j] - c[i], first[:-1]) + bias)
+            p = 1 / (1 + np.exp(-np.clip(np.concatenate(out), -30, 30)))
             yield pd.DataFrame({"doc_id": f["doc_id"], "score": p, "predicted": (p >= threshold).astype("int32")})
 
     return rows.mapInPandas(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
-def learn(docs: DataFrame, labels: DataFrame, **options) -> Classifier:
+def learn(docs: DataFrame, labels: DataFrame, swap: float = SWAP, **options) -> Classifier:
+    """A classifier from a bounded sample of the labelled rows (see training.sample)."""
     got = sample(docs, labels, "toxic", **options)
-    return train(got["text"].tolist(), got["label"].tolist())
+    return train(got["text"].tolist(), got["label"].tolist(), swap=swap)
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

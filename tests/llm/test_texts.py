@@ -341,6 +341,56 @@ def test_swaps_reduce_the_harm_of_a_group_name():
     assert with_.word("scum") + with_.bias > 0
 
 
+@pytest.mark.parametrize("insult, groups, neutral", [
+    ("scum", ("refugees", "muslims"), "people"), ("abschaum", ("flüchtlinge", "muslime"), "leute"), ("ordure", ("réfugiés", "musulmans"), "gens"), ("escoria", ("refugiados", "musulmanes"), "gente"),
+])
+def test_neutral_mentions_are_left_alone(spark, insult, groups, neutral):
+    """Labelled texts in which two groups stand mostly beside insults: of held-out texts that only mention them, or another group of the
+    same language, fewer are called toxic with the penalty of the query than without, and insults are found as before."""
+    r = np.random.default_rng(0)
+
+    def text(*more):
+        w = [f"word{i}" for i in r.integers(0, 200, 40)]
+        return " ".join([*w[:20], *more, *w[20:]])
+
+    # every third toxic text has an insult of its own, so that only the group tells
+    rows = [(k, text(groups[k % 2], insult if k % 3 else f"q{k}x"), 1) for k in range(200)] + [(k, text(groups[k % 2] if k % 25 == 0 else neutral), 0) for k in range(200, 800)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    kind = next(k.split() for k in toxicity.TERMS if groups[0] in k.split())
+    mentions = [(k, text(kind[k % len(kind)])) for k in range(300)] + [(k, text(groups[k % 2])) for k in range(300, 500)]
+    insults = [(1000 + k, text(kind[k % len(kind)], insult)) for k in range(100)]
+    held = spark.createDataFrame(mentions + insults, "doc_id long, text string")
+    wrong, found = {}, {}
+    for swap in (toxicity.SWAP, 0.0):
+        got = toxicity.score_toxicity(held, toxicity.learn(docs, labels, swap=swap)).collect()
+        wrong[swap] = np.mean([x["predicted"] for x in got if x["doc_id"] < 1000])
+        found[swap] = np.mean([x["predicted"] for x in got if x["doc_id"] >= 1000])
+    assert wrong[toxicity.SWAP] <= 0.05 and wrong[0.0] >= 0.3 and found[toxicity.SWAP] >= 0.98
+
+
+def test_swaps_replace_one_term_within_its_windows():
+    words = [f"w{k}" for k in range(60)]
+    words[30] = "refugees"
+    kept, swapped = toxicity.swaps([words, ["no", "term"]], copies=3)
+    assert len(kept) == len(swapped) == 3 and all(k == words[7:54] for k in kept)
+    for s in swapped:
+        assert s[:23] == words[7:30] and s[24:] == words[31:54] and s[23] != "refugees" and s[23] in toxicity.TERMS[1].split()
+    assert len({s[23] for s in swapped}) == 3
+
+
+def test_sample_takes_repeats_and_conflicts_as_stated(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (3, "x" * 500), (None, "n"), (6, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (None, 1), (6, None)], "doc_id long, toxic int")
+    got = sorted(map(tuple, sample(docs, labels, "toxic").to_numpy().tolist()))
+    assert len(got) <= 3 and all(t != "n" and t != "y" for t, _ in got)
+    held = {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert {("", 0)} - {t for t in got} == ({("", 0)} if 2 in held else set())
+    assert 3 in held or ("x" * 500, 1) in got
+    assert all(len(t) < 500 for t, _ in sample(docs, labels, "toxic", max_bytes=100).to_numpy().tolist())
+    assert sample(docs.limit(0), labels, "toxic").empty
+
+
 def test_window_covers():
     for n in (0, 1, 24, 25, 36, 37, 1000):
         a, b = toxicity.window_ends(n)
