@@ -31,9 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives the loss of executors."""
-    spark = df.sparkSession
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(key, None)
+    # The write's shuffle files are of no use once the table is there; Spark removes them when the write has ended.
+    spark.conf.set(key, "true")
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

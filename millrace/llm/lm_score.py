@@ -2,13 +2,13 @@
 
 Every word, and every pair of neighbouring words, of the training texts is counted. A count c is stored as its level
 1 + floor(log(c) / log(base)): the filter holds the n-gram together with each level up to its own, so a lookup probes level after
-level until one is missing, and errors only ever raise a level. N-grams are dealt by hash to buckets of bounded size, whose counts
-move as packed arrays; each bucket makes its own segment of the filter. A probability interpolates the pair's relative frequency with the word's.
+level until one is missing, and errors only ever raise a level. N-grams are dealt by hash to buckets, whose counts move as packed
+arrays; each bucket makes its own segment of the filter. A probability interpolates the pair's relative frequency with the word's.
 
-Every counted word and pair is stored, whatever the corpus; only what is broadcast has a bound. A filter of at most `filter_bytes` is
-put together and broadcast. A larger one stays in its written segments, and the probes go to them: each run of texts sends its distinct
-n-grams, a fingerprint of 32 bits each, to their buckets and gets back one byte of level for each. Exact counts of words are broadcast
-for the commonest, `word_rows` at most; all others are joined by shuffle, and none of those is common.
+Every counted word and pair is stored, whatever the corpus; only what is broadcast has a bound. A filter of at most `filter_bytes`
+whose corpus has at most `word_rows` distinct words is put together and broadcast with the exact counts of the words. A larger one
+stays in its written segments, and the probes go to them: each run of texts sends its distinct n-grams to their buckets, pairs as
+fingerprints of 32 bits, and gets back a byte of level for each, and for words the exact count. Both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -28,14 +28,15 @@ from .common import batches_of_groups, crc_mod, documents, materialize, slices,
 BASE = 1.4
 #: Bits of the filter for each stored (n-gram, level), and probes of each: a false positive rate of about 1 %.
 BITS_PER_ENTRY, PROBES = 10, 4
-#: A filter up to this size is broadcast; a larger one is probed segment by segment.
-FILTER_BYTES = 32 << 20
+#: A filter up to this size is broadcast, as Spark by default broadcasts tables of up to 10 MB; a larger one is probed segment by segment.
+FILTER_BYTES = 10 << 20
+#: Exact counts of words, 16 bytes each, that are broadcast with it.
 WORD_ROWS = 500_000
-#: Bytes of training text for each bucket of n-grams: a task merges the counts of one bucket at a time.
-BUCKET_BYTES = 6 << 20
+#: Bytes of training text for each bucket of n-grams, until there are as many buckets as bucket numbers of 16 bits; and the most tasks
+#: that they are dealt to. A task merges the counts of one bucket at a time and holds its distinct n-grams.
+BUCKET_BYTES, MAX_BUCKETS, MAX_TASKS = 6 << 20, 1 << 16, 20_000
 #: Evidence of a word at which its followers' frequencies and the words' own weigh the same.
 PRIOR = 30.0
-MAX_WORDS = 300_000
 #: Words of a batch that a worker counts before it hands on partial counts.
 COUNT_WORDS = 1_500_000
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -54,36 +55,40 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _mix(a * _PAIR + (b ^ _LEVEL))
 
 
+#: Random numbers by place in a word and byte: a word's hash is their sum. Longer words go through the places again, times a power.
+_PLACES = 64
+_TABLE = np.random.default_rng(20231).integers(0, 1 << 64, _PLACES * 256, np.uint64)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
 class Words:
     """64-bit hashes of the words of texts, an end after each text. Words are runs of bytes other than 0x20 and 0x09 to 0x0D,
-    with A-Z in lower case."""
-
-    def __init__(self, limit: int = MAX_WORDS):
-        self.limit, self.known = limit, {}
+    with A-Z in lower case. Two words have the same hash with a probability of 2^-64."""
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of all words and ends, number of them in each text)."""
-        import xxhash
-
-        flat: list[bytes | None] = []
-        count = np.empty(len(texts), np.int64)
-        for k, t in enumerate(texts):
-            # bytes.split() parts at exactly these six bytes
-            own = t.encode("utf-8", "replace").translate(_LOWER).split()
-            count[k] = len(own) + 1
-            flat += own
-            flat.append(None)
-        every = set(flat)
-        if len(self.known) + len(every) > self.limit:
-            self.known = {None: int(END)}
-        self.known[None] = int(END)
-        for w in every - self.known.keys():
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(self.known.__getitem__, flat), np.uint64, len(flat)), count
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        x = np.frombuffer(b" ".join([*raw, b""]).translate(_LOWER), np.uint8)
+        inside = np.append(False, ~_SPACE[x])
+        turn = np.nonzero(inside[1:] != inside[:-1])[0]  # the last byte is a space, so words start and end in turn
+        start, length = turn[::2], turn[1::2] - turn[::2]
+        edge = np.cumsum(length) - length
+        place = np.arange(int(length.sum())) - np.repeat(edge, length)
+        part = _TABLE[(place % _PLACES << 8) + x[inside[1:]]]
+        if len(length) and length.max() > _PLACES:
+            power = np.cumprod(np.append(np.uint64(1), np.full(int(length.max()) // _PLACES, _PAIR)), dtype=np.uint64)
+            part = part * power[place // _PLACES]
+        words = _mix(np.add.reduceat(part, edge) ^ length.astype(np.uint64)) if len(length) else np.zeros(0, np.uint64)
+        after = np.searchsorted(start, np.cumsum([len(t) + 1 for t in raw]))  # words up to the end of each text
+        out = np.full(len(words) + len(texts), END)
+        at = np.ones(len(out), bool)
+        at[after + np.arange(len(texts))] = False
+        out[at] = words
+        return out, np.diff(np.append(0, after)) + 1
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0] if len(keys) else np.zeros(0, int)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -101,24 +106,32 @@ def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
     return (_mix(grams ^ _LEVEL) % np.uint64(max(1, buckets))).astype(np.int64)
 
 
+def _by_bucket(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of n-grams by bucket that keeps their own within it, and the edges of the buckets in it."""
+    order = np.argsort(to.astype(np.uint16) if buckets <= 1 << 16 else to, kind="stable")
+    return order, np.append(0, np.cumsum(np.bincount(to, minlength=buckets)))
+
+
 def prints(grams: np.ndarray) -> np.ndarray:
-    """What stands for an n-gram within its bucket. A bucket has about a million n-grams, so a clash in 32 bits is far rarer than a
-    false positive of the filter, and like one only raises a level."""
+    """What stands for an n-gram within its bucket. A clash in 32 bits is rarer than a false positive of the filter while a bucket has
+    under 40 million n-grams, and like one only raises a level."""
     return (_mix(grams ^ _LEVEL) >> np.uint64(32)).astype(np.uint32)
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> dict[str, bytes]:
-    return {"grams": keys.astype("<u8").tobytes(), "counts": counts.astype("<u8" if len(counts) and counts.max() >> 32 else "<u4").tobytes()}
+    """Keys as they are, of 4 or 8 bytes, and counts in as many bytes as the largest needs."""
+    return {"grams": keys.tobytes(), "counts": counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0)).tobytes()}
 
 
-def _unpacked(grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(grams, "<u8")
-    return keys, np.frombuffer(counts, "<u8" if len(counts) == 8 * len(keys) else "<u4").astype(np.int64)
+def _unpacked(pair: bool, grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.frombuffer(grams, np.uint32 if pair else np.uint64)
+    return keys, np.frombuffer(counts, f"u{len(counts) // len(keys)}").astype(np.int64) if len(keys) else np.zeros(0, np.int64)
 
 
 def count_ngrams(texts: DataFrame, buckets: int, base: float) -> DataFrame:
-    """One row for each bucket and kind: bucket, pair (boolean), grams and counts (packed), and by level the number of n-grams
-    (rows) and the sum of their counts (times). A worker adds up millions of words before arrays leave it."""
+    """One row for each bucket and kind: bucket, pair (boolean), grams and counts (packed; words by their hash, pairs by their
+    fingerprint), and by level the number of n-grams (rows) and the sum of their counts (times). A worker adds up millions of words
+    before arrays leave it."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
@@ -129,11 +142,10 @@ def count_ngrams(texts: DataFrame, buckets: int, base: float) -> DataFrame:
             rows = []
             for pair in (False, True):
                 k, n = np.unique(np.concatenate([x[pair] for x in held]), return_counts=True)
-                to = bucket_of(k, buckets)
-                order = np.argsort(to, kind="stable")
-                edge = np.searchsorted(to[order], np.arange(buckets + 1))
+                order, edge = _by_bucket(bucket_of(k, buckets), buckets)
+                k, n = (prints(k) if pair else k)[order], n[order]
                 for i in np.nonzero(np.diff(edge))[0]:
-                    at = order[edge[i] : edge[i + 1]]
+                    at = slice(edge[i], edge[i + 1])
                     rows.append({"bucket": int(i), "pair": pair, **_packed(k[at], n[at])})
             return pd.DataFrame(rows)
 
@@ -150,15 +162,27 @@ def count_ngrams(texts: DataFrame, buckets: int, base: float) -> DataFrame:
             yield out()
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in batches_of_groups(frames, ["bucket", "pair"]):
-            for (bucket, pair), g in f.groupby(["bucket", "pair"]):
-                parts = [_unpacked(x, y) for x, y in zip(g["grams"], g["counts"], strict=True)]
-                k, n = _summed(np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts]))
+        at, parts, held = None, [], 0
+
+        def done() -> Iterator[pd.DataFrame]:
+            if at is not None:
+                k, n = _summed(*map(np.concatenate, zip(*parts, strict=True)))
                 lev = level(n, base)
-                yield pd.DataFrame([{"bucket": int(bucket), "pair": bool(pair), **_packed(k, n), "rows": np.bincount(lev), "times": np.bincount(lev, n).astype(np.int64)}])
+                yield pd.DataFrame([{"bucket": at[0], "pair": at[1], **_packed(k, n), "rows": np.bincount(lev), "times": np.bincount(lev, n).astype(np.int64)}])
+
+        for f in frames:
+            for bucket, pair, grams, counts in zip(f["bucket"], f["pair"], f["grams"], f["counts"], strict=True):
+                if (int(bucket), bool(pair)) != at:
+                    yield from done()
+                    at, parts, held = (int(bucket), bool(pair)), [], 0
+                parts.append(_unpacked(pair, grams, counts))
+                held += len(parts[-1][0])
+                if held > 2 * len(parts[0][0]) + 4_000_000:
+                    parts, held = [_summed(*map(np.concatenate, zip(*parts, strict=True)))], 0
+        yield from done()
 
     packed = texts.mapInPandas(tidy(count), "bucket long, pair boolean, grams binary, counts binary")
-    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "pair")
+    dealt = packed.repartition(min(buckets, MAX_TASKS), "bucket").sortWithinPartitions("bucket", "pair")
     return dealt.mapInPandas(tidy(merge), "bucket long, pair boolean, grams binary, counts binary, rows array<long>, times array<long>")
 
 
@@ -181,12 +205,18 @@ class Filter:
 
     def fill(self, grams: np.ndarray, levels: np.ndarray) -> None:
         """Store grams of this filter, which is one segment, up to their levels."""
-        marks = prints(grams).astype(np.uint64)
+        self.fill_marks(prints(grams), levels)
+
+    def fill_marks(self, marks: np.ndarray, levels: np.ndarray) -> None:
+        """The same by fingerprint."""
+        marks = marks.astype(np.uint64)
         for lev in range(1, int(levels.max()) + 1 if len(levels) else 0):
             g = marks[levels >= lev]
             for p in range(self.probes):
-                b = self._bit(g, np.full(len(g), lev), p)
-                np.bitwise_or.at(self.bits, (b >> np.uint64(3)).astype(np.int64), np.left_shift(1, (b & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+                b = np.sort(self._bit(g, np.full(len(g), lev), p))
+                byte = (b >> np.uint64(3)).astype(np.int64)
+                first = np.nonzero(np.append(True, byte[1:] != byte[:-1]))[0]
+                self.bits[byte[first]] |= np.bitwise_or.reduceat(np.left_shift(1, b & np.uint64(7)).astype(np.uint8), first)
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """The highest level up to which every level is there; 0 for an n-gram that was not stored."""
@@ -215,13 +245,12 @@ class Filter:
 @dataclass
 class Model:
     filter: Filter | None  # None: too large for a broadcast, its segments are the rows of `parts`
-    parts: DataFrame | None  # bucket, bits: a bucket's bits, one row for each kind of n-gram
+    parts: DataFrame | None  # bucket, bits, words, counts: a bucket's bits, one row for each kind of n-gram, with the exact counts of words
     segments: int
     segment_bytes: int
     total: int
     distinct: int
-    rare: DataFrame  # gram, n: exact counts of the words that are not common
-    common: np.ndarray  # hashes of the commonest words, sorted, and their counts
+    common: np.ndarray  # hashes of all words, sorted, and their counts, where the filter is broadcast
     common_n: np.ndarray
     base: float
 
@@ -230,80 +259,53 @@ def learn(docs: DataFrame, text_col: str = "text", filter_bytes: int = FILTER_BY
     """Count the words and pairs of every row of docs; null texts are empty."""
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = max(1, -(-size // bucket_bytes))
+    buckets = min(MAX_BUCKETS, max(1, -(-size // bucket_bytes)))
     grams = materialize(count_ngrams(texts, buckets, base), "ngrams")
     # By kind and level: a few dozen rows.
     by = grams.select("pair", F.posexplode(F.arrays_zip("rows", "times")).alias("level", "x")).groupBy("pair", "level")
     by = by.agg(F.sum("x.rows").alias("rows"), F.sum("x.times").alias("n")).where("rows > 0").toPandas()
-    of_words = by[~by["pair"].astype(bool)].sort_values("level")
+    of_words = by[~by["pair"].astype(bool)]
     total, distinct = int(of_words["n"].sum()), int(of_words["rows"].sum())
-
     stored = int((by["rows"] * by["level"]).sum())
     segment_bytes = -(-stored * BITS_PER_ENTRY // (8 * buckets))
-    common_level = _commonest(of_words, word_rows)
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A bucket's n-grams of one kind as their bits of its segment."""
         for f in frames:
-            for bucket, g, c in zip(f["bucket"], f["grams"], f["counts"], strict=True):
-                k, n = _unpacked(g, c)
+            for bucket, pair, g, c in zip(f["bucket"], f["pair"], f["grams"], f["counts"], strict=True):
+                k, n = _unpacked(pair, g, c)
                 own = Filter(1, segment_bytes)
-                own.fill(k, level(n, base))
-                yield pd.DataFrame({"bucket": [bucket], "bits": [own.bits.tobytes()]})
-
-    def commonest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for g, c in zip(f["grams"], f["counts"], strict=True):
-                k, n = _unpacked(g, c)
-                keep = level(n, base) >= common_level
-                yield pd.DataFrame([_packed(k[keep], n[keep])])
-
-    def others(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for g, c in zip(f["grams"], f["counts"], strict=True):
-                k, n = _unpacked(g, c)
-                keep = level(n, base) < common_level
-                yield pd.DataFrame({"gram": k[keep].view(np.int64), "n": n[keep]})
-
-    made = materialize(grams.select("bucket", "grams", "counts").mapInPandas(tidy(build), "bucket long, bits binary"), "segments")
-    whole = None
-    if buckets * segment_bytes <= filter_bytes:
-        whole = Filter(buckets, segment_bytes)
-        for row in made.toLocalIterator():
-            a = row["bucket"] * segment_bytes
-            whole.bits[a : a + segment_bytes] |= np.frombuffer(row["bits"], np.uint8)
-    words = grams.where(~F.col("pair")).select("grams", "counts")
-    parts = [_unpacked(r["grams"], r["counts"]) for r in words.mapInPandas(tidy(commonest), "grams binary, counts binary").toLocalIterator()]
-    keys = np.concatenate([k for k, _ in parts]) if parts else np.zeros(0, np.uint64)
-    n = np.concatenate([x for _, x in parts]) if parts else np.zeros(0, np.int64)
+                own.fill_marks(k if pair else prints(k), level(n, base))
+                yield pd.DataFrame([{"bucket": bucket, "bits": own.bits.tobytes(), "words": None if pair else g, "counts": None if pair else c}])
+
+    made = materialize(grams.select("bucket", "pair", "grams", "counts").mapInPandas(tidy(build), "bucket long, bits binary, words binary, counts binary"), "segments")
+    if buckets * segment_bytes > filter_bytes or distinct > word_rows:
+        return Model(None, made, buckets, segment_bytes, total, distinct, np.zeros(0, np.uint64), np.zeros(0, np.int64), base)
+    whole, parts = Filter(buckets, segment_bytes), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for row in made.collect():  # twice filter_bytes, and 16 bytes for each of word_rows words, at most
+        a = row["bucket"] * segment_bytes
+        whole.bits[a : a + segment_bytes] |= np.frombuffer(row["bits"], np.uint8)
+        if row["words"] is not None:
+            parts.append(_unpacked(False, row["words"], row["counts"]))
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(keys)
-    return Model(whole, None if whole else made, buckets, segment_bytes, total, distinct, words.mapInPandas(tidy(others), "gram long, n long"), keys[order], n[order], base)
-
-
-def _commonest(by: pd.DataFrame, most: int) -> int:
-    best, used = 1 << 30, 0
-    for lev, rows in zip(by["level"][::-1], by["rows"][::-1], strict=True):
-        used += int(rows)
-        if used > most:
-            break
-        best = int(lev)
-    return best
+    return Model(whole, None, buckets, segment_bytes, total, distinct, keys[order], n[order], base)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
-    n_known and base_score use exact counts; score is the log10 probability of the whole text under the interpolated model, with
+    n_known and base_score come from exact counts; score is the log10 probability of the whole text under the interpolated model, with
     counts probed from the filter. A null or empty text is one end. Repeated rows each get a row, tables without rows give none,
     and a model without texts gives every word the one probability it has. Columns other than the two named are not read."""
     spark = docs.sparkSession
     flt, total, distinct, base, segments, segment_bytes = model.filter, model.total, model.distinct, model.base, model.segments, model.segment_bytes
-    sent = spark.sparkContext.broadcast((flt.bits if flt else None, model.common, model.common_n))  # at most filter_bytes and 16 bytes a common word
+    sent = spark.sparkContext.broadcast((flt.bits if flt else None, model.common, model.common_n))  # at most filter_bytes and 16 bytes for each of word_rows words
     # Counts that are a level are taken as the middle of it, in the logarithm.
     middle = np.append(0.0, np.maximum(1.0, base ** (np.arange(400) + 0.45)))
     middle[1] = 1.0
     denominator = total + 0.5 * (distinct + 1)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def scores(c1: np.ndarray, at: np.ndarray, c2: np.ndarray, count: np.ndarray, after_end: float) -> np.ndarray:
         """Of each text, by the words' counts and their places, and the count of every pair."""
@@ -315,58 +317,42 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         p = share * np.minimum(c2 / np.maximum(before, 1), 1.0) + (1 - share) * p1[at]
         return np.add.reduceat(np.log10(p), first)
 
-    def exactly(h: np.ndarray, count: np.ndarray, word: np.ndarray, at: np.ndarray) -> dict:
-        """The columns from exact counts of common words; the others' rows are settled by the join."""
-        _, common, common_n = sent.value
-        exact = np.zeros(len(word), np.int64)
-        if len(common):
-            place = np.minimum(np.searchsorted(common, word), len(common) - 1)
-            exact = np.where(common[place] == word, common_n[place], 0)
+    def exactly(n: np.ndarray, at: np.ndarray, count: np.ndarray) -> dict:
+        """The columns that come from the exact counts of words, by their places."""
         first = np.append(0, np.cumsum(count)[:-1])
-        known = exact[at] > 0
-        logs = np.where(known, np.log10((exact + 0.5) / denominator)[at], 0.0)
-        rare, edge = h[~known].view(np.int64), np.append(0, np.cumsum(np.add.reduceat((~known).astype(np.int64), first)))
-        return {"n_tokens": count, "known": np.add.reduceat(known.astype(np.int64), first), "logs": np.add.reduceat(logs, first), "rare": [rare[i:j] for i, j in zip(edge, edge[1:], strict=False)]}
+        return {"n_tokens": count, "n_known": np.add.reduceat((n > 0).astype(np.int64)[at], first), "base_score": np.add.reduceat(np.log10((n + 0.5) / denominator)[at], first)}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, words = Filter(segments, segment_bytes, sent.value[0]), Words()
+        bits, common, common_n = sent.value
+        lookup, words = Filter(segments, segment_bytes, bits), Words()
         after_end = middle[lookup.levels(np.array([END]))[0]]
         for f in frames:
             t = f["text"].tolist()
             for a, b in slices(t, 3_000_000):
                 h, count = words(t[a:b])
-                word, at = np.unique(h, return_inverse=True)
+                at, word = pd.factorize(h)
                 key, back = np.unique(pair_hash(_previous(h, count), h), return_inverse=True)
                 found = scores(middle[lookup.levels(word)], at, middle[lookup.levels(key)][back], count, after_end)
-                yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].to_numpy(), "row": f["row"].iloc[a:b].to_numpy(), "score": found, **exactly(h, count, word, at)})
-
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, row long, score double, n_tokens long, known long, logs double, rare array<long>"
-    if flt:
-        got = materialize(rows.mapInPandas(tidy(run), schema), "scored")
-    else:
-        got = materialize(_by_segment(rows, model, scores, exactly, middle, schema), "scored")
-    # Words that are not among the common ones: a word of this kind has few rows in the training texts, and one unknown to them
-    # meets no row of the counts.
-    rare = got.select("row", F.explode("rare").alias("gram"))
-    seen = rare.join(model.rare, "gram").groupBy("row").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10((F.col("n") + 0.5) / denominator)).alias("more_logs"))
-    out = got.select("doc_id", "row", "n_tokens", "known", "logs", "score").join(seen, "row", "left")
-    known = F.col("known") + F.coalesce("more", F.lit(0))
-    unknown = math.log10(0.5 / denominator)
-    return out.select(
-        "doc_id", "n_tokens", known.alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + (F.col("n_tokens") - known) * F.lit(unknown)).alias("base_score"), "score",
-    )
+                n = np.zeros(len(word), np.int64)
+                if len(common):
+                    place = np.minimum(np.searchsorted(common, word), len(common) - 1)
+                    n = np.where(common[place] == word, common_n[place], 0)
+                yield pd.DataFrame({"doc_id": f["doc_id"].iloc[a:b].to_numpy(), "score": found, **exactly(n, at, count)})
+
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, n_tokens long, n_known long, base_score double"
+    got = rows.mapInPandas(tidy(run), schema) if flt else _by_segment(rows, model, scores, exactly, middle, schema)
+    return got.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarray, schema: str) -> DataFrame:
     """The rows of `schema`, with counts probed from the written segments.
 
-    A run of texts (COUNT_WORDS words, or one longer text) sends the fingerprints of its distinct n-grams to their buckets, and its
-    texts as packed word numbers along with them. A bucket reads its segment, then its probes as they come, and sends the levels on."""
+    A run of texts (COUNT_WORDS words, or one longer text) sends its distinct n-grams to their buckets, pairs as fingerprints and words
+    as hashes, and its texts as packed word numbers along with them. A bucket reads its segment and its words' counts, then its probes
+    as they come, and sends levels and counts on."""
     segments, segment_bytes = model.segments, model.segment_bytes
-    moved = "slice long, bucket long, kind int, data binary, words binary, n_tokens binary, rows array<long>, ids array<%s>" % rows.schema["doc_id"].dataType.simpleString()
-    columns = ["slice", "bucket", "kind", "data", "words", "n_tokens", "rows", "ids"]
+    moved = "slice long, bucket long, kind int, data binary, words binary, counts binary, ids array<%s>" % rows.schema["doc_id"].dataType.simpleString()
+    columns = ["slice", "bucket", "kind", "data", "words", "counts", "ids"]
     bits_row, probe_row, text_row = 0, 1, 2
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -376,26 +362,28 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
 
         def out() -> pd.DataFrame:
             h, count = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-            word, at, times = np.unique(h, return_inverse=True, return_counts=True)
+            at, word = pd.factorize(h)
             # numbers by frequency, so that they compress
-            order = np.argsort(-times, kind="stable")
+            order = np.argsort(-np.bincount(at), kind="stable")
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
-            grams = _grams_of(word[order], rank[at], count)[0]
-            to = bucket_of(grams, segments)
-            by = np.argsort(to, kind="stable")
-            marks, edge = prints(grams)[by].astype("<u4"), np.searchsorted(to[by], np.arange(segments + 1))
-            made = [(k, int(i), probe_row, marks[edge[i] : edge[i + 1]].tobytes(), None, None, None, None) for i in np.nonzero(np.diff(edge))[0]]
-            ids, row = [i for x in held for i in x[2]], np.concatenate([x[3] for x in held])
-            made.append((k, k % segments, text_row, _planes(rank[at]), word[order].astype("<u8").tobytes(), count.astype("<i8").tobytes(), row, ids))
+            word, at = word[order], rank[at]
+            pairs = np.unique(pair_hash(_previous(h, count), h))
+            (by_p, edge_p), (by_w, edge_w) = _by_bucket(bucket_of(pairs, segments), segments), _by_bucket(bucket_of(word, segments), segments)
+            marks, asked = prints(pairs)[by_p], word[by_w]
+            made = [
+                (k, int(i), probe_row, marks[edge_p[i] : edge_p[i + 1]].tobytes(), asked[edge_w[i] : edge_w[i + 1]].tobytes(), None, None)
+                for i in np.nonzero(np.diff(edge_p) + np.diff(edge_w))[0]
+            ]
+            made.append((k, k % segments, text_row, _planes(at), word.tobytes(), count.astype(np.int64).tobytes(), [i for x in held for i in x[2]]))
             return pd.DataFrame(made, columns=columns)
 
         for f in frames:
             t = f["text"].tolist()
             for a, b in slices(t, 1_500_000):
-                h, n = words(t[a:b])
-                held.append((h, n, f["doc_id"].iloc[a:b].astype(object).where(f["doc_id"].iloc[a:b].notna(), None).tolist(), f["row"].iloc[a:b].to_numpy()))
-                size += len(h)
+                ids = f["doc_id"].iloc[a:b]
+                held.append((*words(t[a:b]), ids.astype(object).where(ids.notna(), None).tolist()))
+                size += len(held[-1][0])
                 if size >= COUNT_WORDS:
                     yield out()
                     held, size, k = [], 0, k + 1
@@ -403,19 +391,29 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
             yield out()
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, at = Filter(1, segment_bytes), -1
+        own, at, known, n = Filter(1, segment_bytes), -1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for f in frames:
             for bucket, g in f.groupby("bucket", sort=False):
                 if bucket != at:
-                    own, at = Filter(1, segment_bytes), bucket
-                for bits in g["data"][g["kind"] == bits_row]:
+                    own, at, known, n = Filter(1, segment_bytes), bucket, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                for bits, w, c in g.loc[g["kind"] == bits_row, ["data", "words", "counts"]].itertuples(index=False):
                     own.bits |= np.frombuffer(bits, np.uint8)
+                    if w is not None:
+                        known, n = _unpacked(False, w, c)
                 asked = g[g["kind"] == probe_row]
                 if len(asked):
-                    marks = np.frombuffer(b"".join(asked["data"]), "<u4")
-                    lev = own.levels_of(marks, np.zeros(len(marks), np.int64)).astype(np.uint8)
-                    edge = np.append(0, np.cumsum(asked["data"].map(len).to_numpy() // 4))
-                    yield asked.assign(data=[lev[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)])
+                    marks, word = np.frombuffer(b"".join(asked["data"]), np.uint32), np.frombuffer(b"".join(asked["words"]), np.uint64)
+                    here = np.zeros(len(marks), np.int64)
+                    lev, lev_w = own.levels_of(marks, here).astype(np.uint8), own.levels_of(prints(word), here[:1].repeat(len(word))).astype(np.uint8)
+                    exact = np.zeros(len(word), np.int64)
+                    if len(known):
+                        place = np.minimum(np.searchsorted(known, word), len(known) - 1)
+                        exact = np.where(known[place] == word, n[place], 0)
+                    parts, parts_w = ([0, *np.cumsum(asked[c].map(len).to_numpy() // width)] for c, width in (("data", 4), ("words", 8)))
+                    yield asked.assign(
+                        data=[lev[i:j].tobytes() for i, j in zip(parts, parts[1:], strict=False)], words=[lev_w[i:j].tobytes() for i, j in zip(parts_w, parts_w[1:], strict=False)],
+                        counts=[exact[i:j].tobytes() for i, j in zip(parts_w, parts_w[1:], strict=False)],
+                    )
                 if (g["kind"] == text_row).any():
                     yield g[g["kind"] == text_row]
 
@@ -423,33 +421,26 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
         for f in batches_of_groups(frames, ["slice"]):
             for _, g in f.groupby("slice", sort=False):
                 s = g[g["kind"] == text_row].iloc[0]
-                word, count = np.frombuffer(s["words"], "<u8"), np.frombuffer(s["n_tokens"], "<i8")
+                word, count = np.frombuffer(s["words"], np.uint64), np.frombuffer(s["counts"], np.int64)
                 at = _from_planes(s["data"], int(count.sum()))
-                grams, back = _grams_of(word, at, count)
-                lev = np.empty(len(grams), np.int64)
-                # the levels come bucket by bucket, in the order in which the n-grams were sent
-                lev[np.argsort(bucket_of(grams, segments), kind="stable")] = np.frombuffer(b"".join(g["data"][g["kind"] == probe_row]), np.uint8)
-                c = middle[lev]
-                c1, c2 = c[: len(word)], c[len(word) :][back]
-                found = scores(c1, at, c2, count, c1[np.nonzero(word == END)[0][0]])
-                yield pd.DataFrame({"doc_id": pd.Series(list(s["ids"]), dtype=object), "row": s["rows"], "score": found, **exactly(word[at], count, word, at)})
-
-    bits = model.parts.select(
-        F.lit(0).cast("long").alias("slice"), "bucket", F.lit(bits_row).alias("kind"), F.col("bits").alias("data"),
-        *(F.lit(None).cast(rows_type).alias(c) for c, rows_type in (("words", "binary"), ("n_tokens", "binary"), ("rows", "array<long>"), ("ids", moved.rsplit("ids ", 1)[1]))),
-    )
-    asked = rows.mapInPandas(tidy(send), moved).unionByName(bits).repartition(segments, "bucket").sortWithinPartitions("bucket", "kind")
-    told = asked.mapInPandas(tidy(probe), moved).repartition(segments, "slice").sortWithinPartitions("slice", "bucket")
+                h = word[at]
+                pairs, back = np.unique(pair_hash(_previous(h, count), h), return_inverse=True)
+                told = g[g["kind"] == probe_row]
+                # what the buckets tell comes bucket by bucket, in the order in which it was asked
+                c2, c1, n = np.empty(len(pairs)), np.empty(len(word)), np.empty(len(word), np.int64)
+                c2[_by_bucket(bucket_of(pairs, segments), segments)[0]] = middle[np.frombuffer(b"".join(told["data"]), np.uint8)]
+                by = _by_bucket(bucket_of(word, segments), segments)[0]
+                c1[by], n[by] = middle[np.frombuffer(b"".join(told["words"]), np.uint8)], np.frombuffer(b"".join(told["counts"]), np.int64)
+                found = scores(c1, at, c2[back], count, c1[np.nonzero(word == END)[0][0]])
+                yield pd.DataFrame({"doc_id": pd.Series(list(s["ids"]), dtype=object), "score": found, **exactly(n, at, count)})
+
+    bits = model.parts.select(F.lit(0).cast("long").alias("slice"), "bucket", F.lit(bits_row).alias("kind"), F.col("bits").alias("data"), "words", "counts", F.lit(None).cast(moved.rsplit("ids ", 1)[1]).alias("ids"))
+    tasks = min(segments, MAX_TASKS)
+    asked = rows.mapInPandas(tidy(send), moved).unionByName(bits).repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
+    told = asked.mapInPandas(tidy(probe), moved).repartition(tasks, "slice").sortWithinPartitions("slice", "bucket")
     return told.mapInPandas(tidy(gather), schema)
 
 
-def _grams_of(word: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the distinct words in their order, then the distinct pairs; the place of every token's pair among the pairs)."""
-    h = word[at]
-    key, back = np.unique(pair_hash(_previous(h, count), h), return_inverse=True)
-    return np.concatenate([word, key]), back
-
-
 def _planes(x: np.ndarray) -> bytes:
     """Numbers below 2^32 as compressed bytes, the lowest byte of all first."""
     import pyarrow as pa

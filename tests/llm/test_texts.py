@@ -270,6 +270,53 @@ def test_lm_against_counts(spark, odd_docs, empty_docs):
     assert lm_score.score(odd_docs, lm_score.learn(empty_docs)).count() == odd_docs.count()
 
 
+@pytest.mark.parametrize("options", [{}, {"filter_bytes": 1000, "bucket_bytes": 50_000}])
+def test_lm_score_by_brute_force(spark, odd_docs, monkeypatch, options):
+    """The interpolated probability from exact counts, quantised: the same where the filter is so large that it does not err, and
+    close by with the filter of the query."""
+    docs = odd_docs.select("doc_id", "text").unionByName(documents(spark, DIR).selectExpr("doc_id + 1000 AS doc_id", "text"))
+
+    def words(t):
+        return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
+
+    train = docs.where(~lm_score.held_out())
+    one, two = Counter(), Counter()
+    for r in train.collect():
+        w = words(r["text"])
+        one.update(w)
+        two.update(zip([None, *w], w, strict=False))
+    d = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def middle(c):
+        lev = int(math.log(c) / math.log(lm_score.BASE) + 1e-9) + 1 if c else 0
+        return 0.0 if not lev else 1.0 if lev == 1 else max(1.0, lm_score.BASE ** (lev + 0.45))
+
+    def brute(t):
+        w, out = words(t), 0.0
+        for a, b in zip([None, *w], w, strict=False):
+            c1, c2, before = middle(one[b]), middle(two[a, b]), middle(one[a])
+            share = before / (before + lm_score.PRIOR)
+            out += math.log10(share * min(c2 / max(before, 1), 1.0) + (1 - share) * (c1 + 0.5) / d)
+        return out
+
+    want = sorted((r["doc_id"] or 0, len(words(r["text"])), brute(r["text"])) for r in docs.collect())
+    for bits, most in ((lm_score.BITS_PER_ENTRY, 0.05), (150, 1e-9)):
+        monkeypatch.setattr(lm_score, "BITS_PER_ENTRY", bits)
+        got = sorted((r["doc_id"] or 0, r["n_tokens"], r["score"]) for r in lm_score.score(docs, lm_score.learn(train, **options)).collect())
+        off = sum(abs(a[2] - b[2]) for a, b in zip(want, got, strict=True)) / sum(a[1] for a in want)
+        assert off <= most and [x[:2] for x in want] == [x[:2] for x in got]
+
+
+def test_word_hashes():
+    texts = ["Aa bb\x0bbb\n", "", " \t ", "x" * 200 + " " + "x" * 201, "é\xa0É\u2003z Aa", "a b", "b a"]
+    h, n = lm_score.Words()(texts)
+    want = [[*re.findall(rb"[^\x20\x09-\x0D]+", t.encode().translate(lm_score._LOWER)), None] for t in texts]
+    flat = [w for ws in want for w in ws]
+    assert n.tolist() == [len(w) for w in want]
+    assert len(set(zip(h.tolist(), flat, strict=True))) == len(set(h.tolist())) == len(set(flat))
+    assert lm_score.Words()([])[1].tolist() == []
+
+
 def test_every_ngram_counts_however_small_the_broadcast(spark, odd_docs, empty_docs):
     docs = odd_docs.select("doc_id", "text").unionByName(documents(spark, DIR).selectExpr("doc_id + 1000 AS doc_id", "text"))
     train = docs.where(~lm_score.held_out())
