@@ -4,12 +4,14 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 segmentations into pieces, by the forward algorithm; a text's is the product over its words. Training is one step of
 expectation maximisation from a prior by rank: expected piece counts by forward and backward sums, over every training text.
 The model has (pieces x languages) numbers whatever the size of the corpus.
+
+Words are runs of letters in lower case. A run of more than MAX_LEN letters is read, in training and in scoring, in parts of that
+length, the first of which begins the word: every letter counts, and the time for a text is in proportion to its length.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,15 +20,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, slices, tidy
+from .common import crc_mod, documents, materialize, slices, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Distinct words that a worker holds before it spends them on expected counts, or the scores of words that it keeps.
 MAX_WORDS = 250_000
-#: Words of up to this length are summed side by side in numpy; longer ones one at a time, whole.
+#: Letters of a word, or of a part of a longer one, at most.
 MAX_LEN = 24
+#: Languages that are learned at most; the model has a number for each piece and language.
+MAX_LANGUAGES = 1000
 #: Pseudo-count of the pooled distribution in each language's.
 POOLED = 2000.0
+#: How much more than usual a letter's probability may take, in the logarithm, in a text that is kept; short texts vary more.
+SLACK, SLACK_SHORT = 2.5, 3.0
 _UNKNOWN = 1e-7
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -54,8 +60,9 @@ def _hash(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def _points(words: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+def _points(words: list[str] | np.ndarray) -> np.ndarray:
+    """Words of one length as rows of code points."""
+    return words if isinstance(words, np.ndarray) else np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
 
 
 def _prefix(keys: np.ndarray) -> np.ndarray:
@@ -75,7 +82,7 @@ class Lattice:
         self.there = np.zeros(1 << 20, bool)
         self.there[_prefix(keys)] = True
 
-    def spans(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def spans(self, words: list[str] | np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For words of one length: (start, end, indexes of the words that have a piece there, the pieces), by end, then start."""
         h = _hash(_points(words))
         for j in range(1, h.shape[1]):
@@ -87,10 +94,11 @@ class Lattice:
                 ok = self.keys[k] == want
                 yield i, j, at[ok], self.ids[k[ok]]
 
-    def forward(self, words: list[str], table: np.ndarray) -> np.ndarray:
+    def forward(self, words: list[str] | np.ndarray, table: np.ndarray) -> np.ndarray:
         """log of the summed probability of each word (all of one length) in each language: (words, languages).
         table: (pieces + 1, languages). Sums are rescaled at each position, so no length underflows."""
-        length = len(words[0])
+        words = _points(words)
+        length = words.shape[1]
         alpha = [np.ones((len(words), table.shape[1]))] + [None] * length
         scale = np.zeros((len(words), table.shape[1]))
         at = 0
@@ -114,9 +122,10 @@ class Lattice:
             alpha[k] = alpha[k] / total
         alpha[at] = np.ones_like(total)
 
-    def expected(self, words: list[str], counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    def expected(self, words: list[str] | np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
         """Expected counts of each piece, for words of one length that occur `counts` times, under a prior."""
-        length, out = len(words[0]), np.zeros(self.n)
+        words = _points(words)
+        length, out = words.shape[1], np.zeros(self.n)
         alpha, beta = np.zeros((length + 1, len(words))), np.zeros((length + 1, len(words)))
         alpha[0] = beta[length] = 1
         spans = []
@@ -140,19 +149,91 @@ class Lattice:
         return out
 
 
-def _by_length(words: list[str]) -> dict[int, list[int]]:
-    out: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        out.setdefault(len(w), []).append(i)
-    return out
+_letter_table: list[np.ndarray] = []
+
 
+def _letters() -> np.ndarray:
+    """Which code points are letters, made once in a process."""
+    if not _letter_table:
+        table = np.zeros(0x110000, bool)
+        for a, b in ((0, 0xD800), (0xE000, 0x110000)):
+            for m in _LETTERS.finditer("".join(map(chr, range(a, b)))):
+                table[a + m.start() : a + m.end()] = True
+        _letter_table.append(table)
+    return _letter_table[0]
 
-def _parts(words: list[str], most: int) -> Iterator[list[int]]:
-    """Indexes of words of one length, at most about `most` characters at a time."""
-    for length, at in _by_length(words).items():
-        step = max(1, most // length)
-        for k in range(0, len(at), step):
-            yield at[k : k + step]
+
+@dataclass
+class Words:
+    """The words, and parts of longer words, of some texts, one behind the other."""
+
+    points: np.ndarray  # code points of all texts
+    start: np.ndarray
+    length: np.ndarray
+    begins: np.ndarray  # whether it begins a word
+    hash: np.ndarray
+    per_text: np.ndarray  # their number in each text
+
+    def rows(self, which: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The words at these places, of one length at a time and of at most about `most` characters: (indexes into `which`, points)."""
+        kind = 2 * self.length[which] + self.begins[which]
+        order = np.argsort(kind, kind="stable")
+        edge = [0, *(np.nonzero(np.diff(kind[order]))[0] + 1).tolist(), len(order)]
+        for a, b in zip(edge, edge[1:], strict=False):
+            if a == b:
+                continue
+            length, begins = divmod(int(kind[order[a]]), 2)
+            step = max(1, most // (length + 1))
+            for k in range(a, b, step):
+                at = order[k : min(k + step, b)]
+                points = self.points[self.start[which[at]][:, None] + np.arange(length)]
+                yield at, np.insert(points, 0, ord("▁"), axis=1) if begins else points
+
+
+def words_of(texts: list[str]) -> Words:
+    lower = [t.lower() for t in texts]
+    points = np.frombuffer(" ".join([*lower, ""]).encode("utf-32-le", "replace"), np.uint32)
+    inside = np.append(False, _letters()[points])
+    turn = np.nonzero(inside[1:] != inside[:-1])[0]  # the last character is a space, so words start and end in turn
+    start, length = turn[::2], turn[1::2] - turn[::2]
+    after = np.cumsum([len(t) + 1 for t in lower])
+    parts = -(-length // MAX_LEN)
+    of = np.repeat(np.arange(len(start)), parts)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, length, begins = start[of] + MAX_LEN * nth, np.minimum(length[of] - MAX_LEN * nth, MAX_LEN), nth == 0
+    size = length.cumsum()
+    place = np.arange(size[-1] if len(size) else 0) - np.repeat(size - length, length)
+    power = np.cumprod(np.full(MAX_LEN, _BASE), dtype=np.uint64)
+    letters = points[np.repeat(start, length) + place].astype(np.uint64)
+    letters = (letters + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    letters = (letters ^ (letters >> np.uint64(29))) * power[place]
+    h = np.add.reduceat(letters, size - length) if len(size) else np.zeros(0, np.uint64)
+    h = (h ^ (length * 2 + begins).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    return Words(points, start, length, begins, h ^ (h >> np.uint64(31)), np.diff(np.append(0, np.searchsorted(start, after))))
+
+
+class Slots:
+    """A number for each distinct hash, by order of coming."""
+
+    def __init__(self):
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Their numbers, -1 for those that are not here."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.numbers[at], -1)
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct keys that are not here."""
+        numbers = np.arange(len(self.keys), len(self.keys) + len(keys))
+        keys, numbers = np.append(self.keys, keys), np.append(self.numbers, numbers)
+        order = np.argsort(keys)
+        self.keys, self.numbers = keys[order], numbers[order]
 
 
 @dataclass
@@ -160,6 +241,7 @@ class Model:
     languages: list[str]
     pieces: list[str]
     table: np.ndarray  # (pieces + 1, languages)
+    per_letter: np.ndarray  # the logarithm of probability that a letter of each language's training texts takes, on average
 
 
 def _prior(n: int) -> np.ndarray:
@@ -167,121 +249,101 @@ def _prior(n: int) -> np.ndarray:
     return np.append(p / p.sum(), 0.0)
 
 
-def _words(token: str) -> list[str]:
-    return ["▁" + w for w in _LETTERS.findall(token.lower())]
-
-
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary_path: str | None = None, max_words: int = MAX_WORDS) -> Model:
-    """Fit on every row of docs with a text and a language. What the driver gets is bounded by pieces x languages."""
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary_path: str | None = None, max_words: int = MAX_WORDS, max_languages: int = MAX_LANGUAGES) -> Model:
+    """Fit on every row of docs with a text and a language. What the driver gets is bounded by pieces x languages; more than
+    `max_languages` different values of the language are an error."""
     pieces = vocabulary(vocabulary_path)
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice, prior = Lattice(pieces), _prior(len(pieces))
-        held: dict[str, Counter] = {}
+        held: dict[str, list[str]] = {}
         total: dict[str, np.ndarray] = {}
+        size = 0
 
         def spend() -> None:
-            for lang, tokens in held.items():
-                words: Counter = Counter()
-                for token, n in tokens.items():
-                    for w in _words(token):
-                        # A word beyond MAX_LEN is counted in parts of that length; none of it is left out.
-                        for k in range(0, len(w), MAX_LEN):
-                            words[w[k : k + MAX_LEN]] += n
-                names, n = list(words), np.fromiter(words.values(), float, len(words))
-                for at in _parts(names, 400_000):
-                    total[lang] = total.get(lang, 0) + lattice.expected([names[i] for i in at], n[at], prior)
+            for lang, texts in held.items():
+                words = words_of(texts)
+                h, first, n = np.unique(words.hash, return_index=True, return_counts=True)
+                for at, points in words.rows(first, 400_000):
+                    total[lang] = total.get(lang, 0) + lattice.expected(points, n[at].astype(float), prior)
             held.clear()
 
         for f in frames:
-            for a, b in slices(f["text"].to_numpy()):
-                for lang, text in zip(f["lang"].to_numpy()[a:b], f["text"].to_numpy()[a:b], strict=True):
-                    held.setdefault(lang, Counter()).update(text.split())
-                if sum(map(len, held.values())) > max_words:
+            for lang, text in zip(f["lang"].to_numpy(), f["text"].to_numpy(), strict=True):
+                held.setdefault(lang, []).append(text)
+                size += len(text)
+                # about as many characters as have max_words words
+                if size > 16 * max_words:
                     spend()
+                    size = 0
         spend()
         for lang, c in total.items():
             at = np.nonzero(c > 1e-6)[0]
             yield pd.DataFrame({"lang": lang, "piece": at, "n": c[at]})
 
-    found = rows.mapInPandas(tidy(count), "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(found["lang"].unique())
+    found = materialize(rows.mapInPandas(tidy(count), "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")), "pieces")
+    languages = sorted(r["lang"] for r in found.select("lang").distinct().limit(max_languages + 1).collect())
+    if len(languages) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    found = found.toPandas()
     c = np.zeros((len(pieces), len(languages)))
     for k, lang in enumerate(languages):
         own = found[found["lang"] == lang]
         c[own["piece"].to_numpy(), k] = own["n"].to_numpy()
+    per_letter, seen = np.zeros(len(languages)), c
     if languages:
         share = (c / np.maximum(c.sum(0), 1)).mean(1) + 1e-3 * _prior(len(pieces))[:-1]
         share /= share.sum()
         c = (c + POOLED * share[:, None]) / (c.sum(0) + POOLED)
-    return Model(languages, pieces, np.vstack([c, np.zeros((1, len(languages)))]))
+        letters = np.array([len(p.replace("▁", "")) for p in pieces])
+        per_letter = (seen * np.log(c)).sum(0) / np.maximum(letters @ seen, 1)
+    return Model(languages, pieces, np.vstack([c, np.zeros((1, len(languages)))]), per_letter)
 
 
 def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words: int = MAX_WORDS):
-    """A function from texts to (language, score) arrays. It keeps the scores of at most max_words distinct tokens; when they are
-    full, those that came up again since the last time stay, unless they leave no room for the new ones."""
+    """A function from texts to (language, score, log probability in that language, letters) arrays. It keeps the scores of at most
+    max_words distinct words; when they are full, those that came up again since the last time stay, unless they leave no room."""
     lattice, nl = Lattice(pieces), len(languages)
-    known: dict[str, int] = {}
-    logs, again = np.zeros((0, nl)), np.zeros(0, bool)
-    used = 0
-
-    def make_room(every: set[str]) -> None:
-        nonlocal used
-        stay = [(t, k) for t, k in known.items() if again[k]]
-        known.clear()
-        if len(stay) + len(every) <= max_words:
-            logs[: len(stay)] = logs[[k for _, k in stay]]
-            known.update((t, k) for k, (t, _) in enumerate(stay))
-        used, again[:] = len(known), False
-
-    def add(every: set[str], tokens: set[str]) -> int:
-        """Score the tokens that are not known yet; the number of those that were."""
-        nonlocal logs, again, used
-        if len(known) + len(tokens) > max_words and known:
-            make_room(every)
-            tokens = every - known.keys()
-        old = used
-        names_of = [_words(t) for t in tokens]
-        place: dict[str, int] = {}
-        flat = [place.setdefault(w, len(place)) for ws in names_of for w in ws]
-        names = list(place)
-        value = np.zeros((len(names) + 1, nl))
-        for at in _parts(names, 200_000):
-            value[at] = lattice.forward([names[i] for i in at], table)
-        sums = np.vstack([np.zeros((1, nl)), np.cumsum(value[flat], axis=0)]) if flat else np.zeros((1, nl))
-        size = np.array([len(ws) for ws in names_of], np.int64)
-        ends = np.cumsum(size)
-        new = sums[ends] - sums[ends - size]
-        new[size == 0] = 0
-        for k, t in enumerate(tokens, used):
-            known[t] = k
-        if used + len(new) > len(logs):
-            logs = np.vstack([logs[:used], np.zeros((len(new) + 50_000, nl))])
-            again = np.append(again[:used], np.zeros(len(new) + 50_000, bool))
-        logs[used : used + len(new)] = new
-        used += len(new)
-        return old
-
-    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out_lang, out_score = np.full(len(texts), "und", object), np.zeros(len(texts))
+    slots, logs, again = Slots(), np.zeros((0, nl)), np.zeros(0, bool)
+
+    def numbers(words: Words) -> np.ndarray:
+        """The rows of `logs` for all words; those that are new are scored first."""
+        nonlocal slots, logs, again
+        h, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = slots.find(h)
+        if len(slots) + int((at < 0).sum()) > max_words and len(slots):
+            stay = np.nonzero(again[slots.numbers])[0] if again.sum() + len(h) <= max_words else np.zeros(0, int)
+            keys, logs = slots.keys[stay], logs[slots.numbers[stay]]
+            slots, again = Slots(), np.zeros(len(stay), bool)
+            slots.add(keys)
+            at = slots.find(h)
+        again[at[at >= 0]] = True
+        new = np.nonzero(at < 0)[0]
+        value = np.empty((len(new), nl))
+        for k, points in words.rows(first[new], 200_000):
+            value[k] = lattice.forward(points, table)
+        at[new] = len(logs) + np.arange(len(new))
+        slots.add(h[new])
+        logs, again = np.vstack([logs, value]), np.append(again, np.zeros(len(new), bool))
+        return at[back]
+
+    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        out_lang, out_score, out_log, out_letters = np.full(len(texts), "und", object), np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for a, b in slices(texts, 2_000_000) if nl else ():
-            tokens, ends = [], [0]
-            for t in texts[a:b]:
-                tokens += t.split()
-                ends.append(len(tokens))
-            every = set(tokens)
-            new = every - known.keys()
-            old = add(every, new) if new else used
-            at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-            again[at[at < old]] = True
-            sums = np.vstack([np.zeros((1, nl)), np.cumsum(logs[at], axis=0)])
-            doc = sums[ends[1:]] - sums[ends[:-1]]
-            # A token without letters adds exactly 0, and every letter takes probability away.
-            for i in np.nonzero(doc.min(axis=1) < -1e-6)[0]:
-                p = np.exp(doc[i] - doc[i].max())
-                out_lang[a + i], out_score[a + i] = languages[int(doc[i].argmax())], min(1.0, float(p.max() / p.sum()))
-        return out_lang, out_score
+            words = words_of(texts[a:b])
+            at = numbers(words)
+            has = np.nonzero(words.per_text)[0]
+            if not len(has):
+                continue
+            first = (np.cumsum(words.per_text) - words.per_text)[has]
+            doc = np.add.reduceat(logs[at], first, axis=0)
+            best = doc.argmax(axis=1)
+            top = doc[np.arange(len(has)), best]
+            out_lang[a + has] = np.array(languages, object)[best]
+            out_score[a + has] = np.minimum(1.0, 1 / np.exp(doc - top[:, None]).sum(axis=1))
+            out_log[a + has], out_letters[a + has] = top, np.add.reduceat(words.length, first)
+        return out_lang, out_score, out_log, out_letters
 
     return score
 
@@ -296,28 +358,37 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = scorer(*sent.value, max_words)
         for f in frames:
-            lang, value = score(f["text"].fillna("").tolist())
+            lang, value, _, _ = score(f["text"].fillna("").tolist())
             yield pd.DataFrame({"doc_id": f["doc_id"], "lang_pred": lang, "score": value})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
-    """The rows of docs whose language can be told, with all their columns: not `und`, and a score of min_score or more.
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, slack: float = SLACK, text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """The rows of docs whose language is one of the learned ones, with all their columns.
+
+    A row goes if it is `und`, if no language has a score of min_score, or if its letters are too unlikely in the best one: a letter
+    takes, in the logarithm, over `slack` + SLACK_SHORT / sqrt(letters) more probability on average than one of that language's
+    training texts. Texts in another script, in a language unlike all that were learned, and random letters fail by that; a close
+    relative of a learned language may pass.
 
     Rows pass as Arrow batches in the one pass that scores them, so nothing is joined and columns of any name and type go along."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.pieces, model.table, model.languages))
+    sent = docs.sparkSession.sparkContext.broadcast((model.pieces, model.table, model.languages, model.per_letter))
     at = docs.columns.index(text_col)
     numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
 
     def run(batches):
         import pyarrow as pa
 
-        score = scorer(*sent.value, max_words)
+        *parts, per_letter = sent.value
+        score = scorer(*parts, max_words)
+        usual = dict(zip(parts[2], per_letter, strict=True))
         for batch in batches:
-            lang, value = score([t or "" for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array((lang != "und") & (value >= min_score), pa.bool_()))
+            lang, value, log, letters = score([t or "" for t in batch.column(at).to_pylist()])
+            n = np.maximum(letters, 1)
+            likely = log / n >= np.array([usual.get(x, 0.0) for x in lang]) - slack - SLACK_SHORT / np.sqrt(n)
+            yield batch.filter(pa.array((lang != "und") & (value >= min_score) & likely, pa.bool_()))
 
     return numbered.mapInArrow(tidy(run), numbered.schema).toDF(*docs.columns)
 

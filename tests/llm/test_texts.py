@@ -235,6 +235,56 @@ def test_language(spark, odd_docs, empty_docs):
     assert {r["lang_pred"] for r in lang_id.identify(odd_docs, none).collect()} == {"und"} and lang_id.identify(empty_docs, model).count() == 0
 
 
+def test_unlearned_languages_go(spark):
+    model = lang_id.learn(documents(spark, "/root/testdata/sf0.01").where(~lang_id.held_out()))
+    out = [
+        "Сегодня утром в городе прошёл сильный дождь, и жители остались дома.", "今日は朝から強い雨が降っていて、町の人々は家にいました。", "今天早上城里下了大雨，居民们都留在家里。",
+        "xkq zvwp qjjx bvnk wqzx ptkk ghxz qqwv jkzx mnbv xzqk", "Dziś rano nad miastem spadł ulewny deszcz i mieszkańcy pozostali w domach.",
+        "Bu sabah şehirde şiddetli yağmur yağdı ve sakinler evlerinde kaldı.", "هطلت أمطار غزيرة على المدينة هذا الصباح وبقي السكان في منازلهم",
+    ]
+    kept = [
+        "This morning heavy rain fell on the city and the residents stayed at home with their children.", "Heute Morgen fiel starker Regen auf die Stadt und die Bewohner blieben zu Hause.",
+        "Ce matin une forte pluie est tombée sur la ville et les habitants sont restés chez eux.", "Esta mañana cayó una fuerte lluvia sobre la ciudad y los habitantes se quedaron en casa.",
+    ]
+    rows = spark.createDataFrame(list(enumerate(out + kept)), "doc_id long, text string")
+    assert sorted(r["text"] for r in lang_id.keep_identified(rows, model).collect()) == sorted(kept)
+    docs = documents(spark, "/root/testdata/sf0.01")
+    assert lang_id.keep_identified(docs, model).count() >= 0.999 * docs.count()
+
+
+def test_words_by_pattern():
+    texts = ["Aé_b9c d'E\u0308f ²x", "", "123 !", "ß" * 60 + " q", "ΑΣ ΣΑ İx", "日本 語\U00020000"]
+    w = lang_id.words_of(texts)
+    want = [[x for m in re.findall(r"[^\W\d_]+", t.lower()) for x in (("▁" if k == 0 else "") + m[k : k + lang_id.MAX_LEN] for k in range(0, len(m), lang_id.MAX_LEN))] for t in texts]
+    assert w.per_text.tolist() == [len(x) for x in want]
+    got = [""] * len(w.hash)
+    for at, points in w.rows(np.arange(len(w.hash)), 100):
+        for k, row in zip(at, points, strict=True):
+            got[k] = "".join(map(chr, row))
+    flat = [x for ws in want for x in ws]
+    assert got == flat and len(set(zip(got, w.hash.tolist(), strict=True))) == len(set(flat)) == len(set(w.hash.tolist()))
+
+
+def test_scores_do_not_depend_on_what_is_kept(spark):
+    docs = documents(spark, DIR)
+    model = lang_id.learn(docs)
+    texts = [r["text"] for r in docs.collect()]
+    a, b = (lang_id.scorer(model.pieces, model.table, model.languages, n) for n in (250_000, 300))
+    whole = a(texts)
+    parts = [b(texts[k : k + 7]) for k in range(0, len(texts), 7)]
+    for i in range(4):
+        x = np.concatenate([p[i] for p in parts])
+        assert (x == whole[i]).all() if i in (0, 3) else np.allclose(x, whole[i])
+
+
+def test_equal_scores_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(1, "same words here", "zz"), (2, "same words here", "aa"), (3, "other", None)], "doc_id long, text string, lang string")
+    got = lang_id.identify(docs, lang_id.learn(docs)).collect()
+    assert {r["lang_pred"] for r in got} == {"aa"} and all(abs(r["score"] - 0.5) < 1e-9 for r in got)
+    with pytest.raises(ValueError):
+        lang_id.learn(docs, max_languages=1)
+
+
 def test_forward_sums_all_segmentations():
     pieces = ["▁", "a", "b", "ab", "▁a", "ba", "bab"]
     p = np.append(np.arange(1, 8) / 28, 0)
