@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -19,9 +20,12 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests on one machine, a temporary folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset on one machine, as in tests, a temporary
+    folder; on a cluster, whose executors would write to disks of their own, an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if "dir" not in _own_dir:
             _own_dir["dir"] = tempfile.mkdtemp(prefix="millrace-")
             atexit.register(shutil.rmtree, _own_dir["dir"], ignore_errors=True)
@@ -40,7 +44,15 @@ def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
         df.select("*").write.parquet(path)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of materialize() that nothing will read again."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -97,9 +109,10 @@ def tidy(run):
 
 
 def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
-    """Batches for Python of at most `limit` bytes; a single longer text is a batch of its own."""
+    """Batches for Python of at most `limit` bytes; a single longer text is a batch of its own. Plans read this setting when they run,
+    so it stays with the session; one that is lower already is left as it is."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("b")) > limit:
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > limit:
         spark.conf.set(key, f"{limit}b")
 
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of_groups, crc_mod, documents, materialize, slices, tidy
+from .common import batches_of_groups, crc_mod, discard, documents, materialize, slices, tidy
 
 BASE = 1.4
 #: Bits of the filter for each stored (n-gram, level), and probes of each: a false positive rate of about 1 %.
@@ -279,6 +279,7 @@ def learn(docs: DataFrame, text_col: str = "text", filter_bytes: int = FILTER_BY
                 yield pd.DataFrame([{"bucket": bucket, "bits": own.bits.tobytes(), "words": None if pair else g, "counts": None if pair else c}])
 
     made = materialize(grams.select("bucket", "pair", "grams", "counts").mapInPandas(tidy(build), "bucket long, bits binary, words binary, counts binary"), "segments")
+    discard(grams)
     if buckets * segment_bytes > filter_bytes or distinct > word_rows:
         return Model(None, made, buckets, segment_bytes, total, distinct, np.zeros(0, np.uint64), np.zeros(0, np.int64), base)
     whole, parts = Filter(buckets, segment_bytes), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
@@ -350,7 +351,7 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
     A run of texts (COUNT_WORDS words, or one longer text) sends its distinct n-grams to their buckets, pairs as fingerprints and words
     as hashes, and its texts as packed word numbers along with them. A bucket reads its segment and its words' counts, then its probes
     as they come, and sends levels and counts on."""
-    segments, segment_bytes = model.segments, model.segment_bytes
+    segments, segment_bytes, total = model.segments, model.segment_bytes, model.total
     moved = "slice long, bucket long, kind int, data binary, words binary, counts binary, ids array<%s>" % rows.schema["doc_id"].dataType.simpleString()
     columns = ["slice", "bucket", "kind", "data", "words", "counts", "ids"]
     bits_row, probe_row, text_row = 0, 1, 2
@@ -405,10 +406,10 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
                     marks, word = np.frombuffer(b"".join(asked["data"]), np.uint32), np.frombuffer(b"".join(asked["words"]), np.uint64)
                     here = np.zeros(len(marks), np.int64)
                     lev, lev_w = own.levels_of(marks, here).astype(np.uint8), own.levels_of(prints(word), here[:1].repeat(len(word))).astype(np.uint8)
-                    exact = np.zeros(len(word), np.int64)
+                    exact = np.zeros(len(word), np.int64 if total >> 32 else np.uint32)
                     if len(known):
                         place = np.minimum(np.searchsorted(known, word), len(known) - 1)
-                        exact = np.where(known[place] == word, n[place], 0)
+                        exact[:] = np.where(known[place] == word, n[place], 0)
                     parts, parts_w = ([0, *np.cumsum(asked[c].map(len).to_numpy() // width)] for c, width in (("data", 4), ("words", 8)))
                     yield asked.assign(
                         data=[lev[i:j].tobytes() for i, j in zip(parts, parts[1:], strict=False)], words=[lev_w[i:j].tobytes() for i, j in zip(parts_w, parts_w[1:], strict=False)],
@@ -430,7 +431,7 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
                 c2, c1, n = np.empty(len(pairs)), np.empty(len(word)), np.empty(len(word), np.int64)
                 c2[_by_bucket(bucket_of(pairs, segments), segments)[0]] = middle[np.frombuffer(b"".join(told["data"]), np.uint8)]
                 by = _by_bucket(bucket_of(word, segments), segments)[0]
-                c1[by], n[by] = middle[np.frombuffer(b"".join(told["words"]), np.uint8)], np.frombuffer(b"".join(told["counts"]), np.int64)
+                c1[by], n[by] = middle[np.frombuffer(b"".join(told["words"]), np.uint8)], np.frombuffer(b"".join(told["counts"]), np.int64 if total >> 32 else np.uint32)
                 found = scores(c1, at, c2[back], count, c1[np.nonzero(word == END)[0][0]])
                 yield pd.DataFrame({"doc_id": pd.Series(list(s["ids"]), dtype=object), "score": found, **exactly(n, at, count)})
 
