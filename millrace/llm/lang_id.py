@@ -125,7 +125,7 @@ class Lattice:
     def expected(self, words: list[str] | np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
         """Expected counts of each piece, for words of one length that occur `counts` times, under a prior."""
         words = _points(words)
-        length, out = words.shape[1], np.zeros(self.n)
+        length = words.shape[1]
         alpha, beta = np.zeros((length + 1, len(words))), np.zeros((length + 1, len(words)))
         alpha[0] = beta[length] = 1
         spans = []
@@ -144,9 +144,8 @@ class Lattice:
             if other is not None:
                 beta[i][other] += beta[j][other] * _UNKNOWN
         times = counts / alpha[length]
-        for i, j, row, piece, p, _ in spans:
-            out += np.bincount(piece, alpha[i][row] * p * beta[j][row] * times[row], self.n)
-        return out
+        share = [alpha[i][row] * p * beta[j][row] * times[row] for i, j, row, _, p, _ in spans]
+        return np.bincount(np.concatenate([s[3] for s in spans]), np.concatenate(share), self.n)
 
 
 _letter_table: list[np.ndarray] = []
@@ -236,6 +235,29 @@ class Slots:
         self.keys, self.numbers = keys[order], numbers[order]
 
 
+class Counts:
+    """Distinct words and how often they came."""
+
+    def __init__(self):
+        self.slots, self.n = Slots(), np.zeros(0, np.int64)
+        self.kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, words: Words) -> None:
+        h, first, n = np.unique(words.hash, return_index=True, return_counts=True)
+        at = self.slots.find(h)
+        self.n[at[at >= 0]] += n[at >= 0]
+        new = first[at < 0]
+        self.slots.add(h[at < 0])
+        self.n = np.append(self.n, n[at < 0])
+        length = words.length[new]
+        place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        self.kept.append((words.points[np.repeat(words.start[new], length) + place], length, words.begins[new]))
+
+    def words(self) -> Words:
+        points, length, begins = (np.concatenate(x) for x in zip(*self.kept, strict=True))
+        return Words(points, np.cumsum(length) - length, length, begins, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -257,26 +279,22 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice, prior = Lattice(pieces), _prior(len(pieces))
-        held: dict[str, list[str]] = {}
+        held: dict[str, Counts] = {}
         total: dict[str, np.ndarray] = {}
-        size = 0
 
         def spend() -> None:
-            for lang, texts in held.items():
-                words = words_of(texts)
-                h, first, n = np.unique(words.hash, return_index=True, return_counts=True)
-                for at, points in words.rows(first, 400_000):
-                    total[lang] = total.get(lang, 0) + lattice.expected(points, n[at].astype(float), prior)
+            for lang, own in held.items():
+                words = own.words()
+                for at, points in words.rows(np.arange(len(own.slots)), 400_000):
+                    total[lang] = total.get(lang, 0) + lattice.expected(points, own.n[at].astype(float), prior)
             held.clear()
 
         for f in frames:
-            for lang, text in zip(f["lang"].to_numpy(), f["text"].to_numpy(), strict=True):
-                held.setdefault(lang, []).append(text)
-                size += len(text)
-                # about as many characters as have max_words words
-                if size > 16 * max_words:
+            for a, b in slices(f["text"].to_numpy(), 2_000_000):
+                for lang, g in f.iloc[a:b].groupby("lang", sort=False):
+                    held.setdefault(lang, Counts()).add(words_of(g["text"].tolist()))
+                if sum(len(c.slots) for c in held.values()) > max_words:
                     spend()
-                    size = 0
         spend()
         for lang, c in total.items():
             at = np.nonzero(c > 1e-6)[0]
