@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, join_skewed, materialize, shared_dir, slices, tidy
-from .exact_dedup import FILTER_BITS, cells, flagged, repeated_words
+from .exact_dedup import cells, filter_size, flagged, repeated_words
 
 TOKENIZER = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -78,7 +78,7 @@ def _stored(spark, cache_path: str) -> DataFrame:
     return spark.read.schema(_CACHE).parquet(cache_path) if there else spark.createDataFrame([], _CACHE)
 
 
-def count_tokens(docs: DataFrame, cache_path: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = LIMIT, filter_bits: int = FILTER_BITS) -> DataFrame:
+def count_tokens(docs: DataFrame, cache_path: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = LIMIT, filter_bits: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of docs.
 
     The content is normalised by reading null as empty and no more, since any other change could change the count. A table
@@ -89,6 +89,7 @@ def count_tokens(docs: DataFrame, cache_path: str, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("text_sha256", F.sha2("text", 256)).withColumn("n_bytes", F.octet_length("text").cast("long"))
     cache = _stored(spark, cache_path).where(F.col("tokenizer") == now).groupBy("text_sha256").agg(F.max("n_tokens").alias("n_tokens"))
+    filter_bits = filter_bits or filter_size(docs.count() + cache.count())
     c1, c2 = cells(F.col("text_sha256"), filter_bits)
     hits = rows.select(F.explode(F.array(c1, c2)).alias("cell")).unionByName(cache.select(F.explode(F.array(c1, c1, c2, c2)).alias("cell")))
     words = materialize(repeated_words(hits), "repeats")
