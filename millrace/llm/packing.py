@@ -3,13 +3,15 @@
 Documents become token pieces of at most `capacity`; pieces are packed by best-fit decreasing within partitions of bounded
 size. Dual-feasible functions give a lower bound on the sequences that a partition's pieces need. A partition that meets its
 bound is certified and done. A partition with a gap keeps its full sequences and gives the pieces of all others to an
-exchange, where they meet the pieces of other partitions with gaps and are packed again, until nothing is left to win.
+exchange, where they meet the pieces of other partitions with gaps and are packed again, until they fit into one partition or a
+round takes less than a tenth of them away; what is left then is packed as it lies.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +26,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces that one task packs at most, on average: about 40 bytes each.
 PARTITION_ROWS = 50_000
-ROUNDS = 4
+#: Share of the pieces in the exchange that a round has to leave at most for another one to follow.
+SHRINK = 0.9
 # Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PIECES = "piece int, start long, length long, ids_crc32 long"
@@ -37,28 +40,46 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def encoder(path: str):
-    """A function from a text to its ids as little-endian unsigned 32-bit bytes, as the tokenizers library gives them for this
-    file without added special tokens.
+def same_as_ranks(path: str) -> bool:
+    """Whether tiktoken, by the order of the vocabulary, gives the ids that the tokenizers library gives for this file.
 
-    A byte-level file whose merges stand in the order of their ids is the same vocabulary as a table of ranks; tiktoken encodes
-    by those, to the same ids, several times as fast. Any other file is left to tokenizers."""
+    Both split by the same pattern and then merge neighbours, the one of the lowest rank first, the leftmost of equals. The library
+    merges a pair that is listed; tiktoken merges any pair whose join is in the vocabulary. Let the first difference be tiktoken's merge of
+    x and y to a token t, with the pair not listed. Up to there both did the same, and x and y were made of their own bytes alone, so the
+    library, given the bytes of t alone, comes to x and y as well, and stops there. So if the library makes every token of its own bytes
+    one token, there is no such merge; that is tried here for every token. Ranks agree because the merges stand in the order of the ids."""
     import json
-    import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     pre, model = spec["pre_tokenizer"] or {}, spec["model"]
-    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    plain = {t: i for t, i in model["vocab"].items() if t not in added}
+    added = {t["content"] for t in spec["added_tokens"]}
+    plain = [t for t, _ in sorted(model["vocab"].items(), key=lambda x: x[1]) if t not in added]
     merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", ())]
-    same = (
+    if not (
         model["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        and not spec["normalizer"] and not model.get("ignore_merges") and [t for t, _ in sorted(plain.items(), key=lambda x: x[1])][256:] == merged
+        and not spec["normalizer"] and not model.get("ignore_merges") and not model.get("dropout") and plain[256:] == merged and set(plain[:256]) == set(_byte_letters())
         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
-    )
-    if not same:
+    ):
+        return False
+    bpe = Tokenizer.from_file(path).model
+    return all(len(bpe.tokenize(t)) == 1 for t in plain)
+
+
+@lru_cache
+def encoder(path: str):
+    """A function from a text to its ids as little-endian unsigned 32-bit bytes, as the tokenizers library gives them for this
+    file without added special tokens.
+
+    Where that is proved to be the same when the file is loaded (see same_as_ranks), tiktoken encodes by the file's ranks, several times
+    as fast. Any other file is left to tokenizers. A worker loads a file once."""
+    import json
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if not same_as_ranks(path):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
@@ -67,8 +88,11 @@ def encoder(path: str):
         return lambda text: np.asarray(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     import tiktoken
 
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     letters = _byte_letters()
-    ranks = {bytes(letters[c] for c in t): i for t, i in plain.items()}
+    ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return lambda text: fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
@@ -101,13 +125,15 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """The largest bound on the bins that `lengths` need that two families of dual-feasible functions give.
+    """The largest bound on the bins that `lengths` need that two families of dual-feasible functions give."""
+    return lower_bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity) if len(lengths) else 0
+
 
-    Each maps a length to a share of a bin such that no full bin holds more than 1 in all: with x in units of the capacity,
+def lower_bound_of_counts(n: np.ndarray, capacity: int) -> int:
+    """The same from the number of pieces of each length, 0 to capacity.
+
+    Each function maps a length to a share of a bin such that no full bin holds more than 1 in all: with x in units of the capacity,
     u(x) = 1 above 1 - t, 0 below t, else x; and v(x) = x where (k + 1) x is whole, else floor((k + 1) x) / k."""
-    if not len(lengths):
-        return 0
-    n = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     x = np.arange(capacity + 1)
     from_, mass = np.cumsum(n[::-1])[::-1], np.append(0, np.cumsum(n * x))
     best = -(-int((n * x).sum()) // capacity)
@@ -122,6 +148,15 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """(sequences used, lower bound on those that the pieces need) of a packed table: equal if no packing has fewer."""
+    used = packed.select("sequence_id").distinct().count()
+    n = np.zeros(capacity + 1, np.int64)
+    for r in packed.groupBy("length").count().collect():  # a row for each length, capacity at most
+        n[r["length"]] = r["count"]
+    return used, lower_bound_of_counts(n, capacity)
+
+
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bin, offset) of each item, and the room left in each bin. Open bins lie by room, with a bit set for each room there is."""
     order = np.argsort(-lengths, kind="stable")
@@ -169,32 +204,27 @@ def _pack(capacity: int, turn: int, last: bool):
     return run
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS, rounds: int = ROUNDS) -> DataFrame:
+def pack(rows: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS) -> DataFrame:
     """rows (as from pieces(), written) with sequence_id, any number, and offset, the place in its sequence.
 
     Every row is placed once and sequences have no gaps before their end. Pieces that fill a sequence take no part in the
-    packing. Rows are dealt at random but reproducibly, so repeated documents and hot sources spread evenly; a task holds
-    partition_rows rows on average in every round, the last one included."""
+    packing. Rows are dealt by a hash of their place in the written table, so repeated rows and hot sources spread evenly; a task
+    holds partition_rows rows on average in every round, the last one included."""
     columns = [*rows.columns, "sequence_id", "offset"]
     full = rows.where(F.col("length") >= capacity)
     full = full.withColumn("sequence_id", (F.lit(1).cast("long") * -1) - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     out, pool = [full.select(*columns)], rows.where(F.col("length") < capacity)
     names = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{k}` {v}" for k, v in names.items()) + ", sequence_id long, offset long, placed boolean"
-    left = pool.count()
-    for turn in range(rounds):
-        if turn and not left:
-            break
+    left, before, turn, last = pool.count(), None, 0, False
+    while left and not last or not turn:
         parts = max(1, -(-left // partition_rows))
-        last = turn == rounds - 1 or (turn > 0 and parts == 1)
-        seed = F.xxhash64(F.lit(turn), *[F.col(f"`{c}`") for c in rows.columns])
-        dealt = pool.repartition(parts, seed)
+        last = turn > 0 and (parts == 1 or left > SHRINK * before)
+        dealt = pool.withColumn("__deal", F.xxhash64(F.lit(turn), F.monotonically_increasing_id())).repartition(parts, "__deal").drop("__deal")
         got = materialize(dealt.mapInPandas(tidy(_pack(capacity, turn, last)), schema), "packed")
         out.append(got.where("placed").select(*columns))
         pool = got.where(~F.col("placed")).select(*rows.columns)
-        if last:
-            break
-        left = pool.count()
+        before, left, turn = left, pool.count(), turn + 1
     done = out[0]
     for o in out[1:]:
         done = done.unionByName(o)
