@@ -60,12 +60,12 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def join_skewed(left: DataFrame, right: DataFrame, on: str, size: str, how: str = "inner") -> DataFrame:
+def join_skewed(left: DataFrame, right: DataFrame, on: str, size: str, how: str = "inner", hot_groups: int = HOT_GROUPS) -> DataFrame:
     """Join left rows to the one right row of their group without bringing a hot group together.
 
-    right: one row per key, with the number of left rows of that key in column `size`. At most HOT_GROUPS keys can hold
-    N / HOT_GROUPS rows or more, so those are broadcast; the rest are joined by shuffle and none of them is hot."""
-    hot_min = max(1000, left.count() // HOT_GROUPS + 1)
+    right: one row per key, with the number of left rows of that key in column `size`. At most hot_groups keys can hold
+    N / hot_groups rows or more, so those are broadcast; the rest are joined by shuffle and none of them is hot."""
+    hot_min = max(1000, left.count() // hot_groups + 1)
     hot, cold = right.where(F.col(size) >= hot_min), right.where(F.col(size) < hot_min)
     near = left.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left")
     there = near.where("__hot").drop("__hot")

@@ -4,7 +4,8 @@ Test items are parted by the size of their shingle set. An item's sketch is its
 many as its size class needs: of an item with s shingles a text that holds the share t misses at most (1 - t) s, so with
 k = floor((1 - t) s_max) + 1 at least one hash of the sketch stands in the text, however long that is. One pass over the
 corpus looks up each text's shingle hashes among the sketches; the candidate pairs are verified on the shingles themselves.
-The corpus does not shuffle: the sketches go to it, by broadcast while their counted number is within the bound.
+The corpus does not shuffle: the sketches go to it by broadcast while their counted number is within the bound, and beyond it a
+Bloom filter of them does, so that only hashes that may be in a sketch shuffle to them, common ones apart from the rest.
 """
 
 from __future__ import annotations
@@ -12,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, small
+from . import common
+from .common import documents, join_skewed, materialize, small
+from .exact_dedup import filter_size, flagged
 from .id_join import join_ids
 
 N = 5
 THRESHOLD = 0.8
+#: Bytes of the items' n-grams that may be broadcast; beyond it they are joined by shuffle.
+GRAM_BYTES = 64 << 20
 #: Size classes of items grow by this factor.
 CLASS_STEP = 1.25
 
@@ -45,6 +50,24 @@ def sketches(items: DataFrame, n: int = N, threshold: float = THRESHOLD) -> Data
     return hashed.select("key", F.explode(F.slice("h", F.lit(1), k)).alias("hash"))
 
 
+def _met(hashes: DataFrame, sketch: DataFrame) -> DataFrame:
+    """hashes (doc_id, hash) joined to the sketches (key, hash)."""
+    n = sketch.count()
+    if n <= common.BROADCAST_ROWS:
+        return hashes.join(F.broadcast(sketch), "hash")
+    bits = filter_size(n)
+    cell = F.pmod(F.xxhash64("hash"), F.lit(bits))
+    bloom = sketch.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("mask"))
+    maybe = flagged(hashes.withColumn("__cell", cell), materialize(bloom, "bloom"), ["__cell"], "__maybe").where("__maybe").select("doc_id", "hash")
+    maybe = materialize(maybe.distinct(), "maybe")
+    # An n-gram that is common in the corpus goes by broadcast, with the items that have it in their sketch.
+    often = maybe.groupBy("hash").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= max(1000, maybe.count() // common.HOT_GROUPS + 1)).select("hash")
+    often = materialize(often, "often")  # HOT_GROUPS rows at most
+    of_often = materialize(sketch.join(F.broadcast(often), "hash", "left_semi"), "of_often")
+    rest = maybe.join(F.broadcast(often), "hash", "left_anti").join(sketch, "hash")
+    return rest.unionByName(maybe.join(F.broadcast(often), "hash", "left_semi").join(small(of_often), "hash").select(*rest.columns))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, n_shared, n_item, containment: a row for each distinct id and item where the text holds at least
     `threshold` of the item's distinct word n-grams.
@@ -57,16 +80,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     # Ids may be null or repeated, so every distinct text has a key of its own.
     texts = materialize(bench.select("words").distinct().withColumn("key", F.monotonically_increasing_id()), "texts")
     names = small(materialize(bench.join(texts, "words").select("key", "item_id"), "names"))
-    sketch = small(materialize(sketches(texts, n, threshold).dropDuplicates(), "sketches"))
+    sketch = materialize(sketches(texts, n, threshold).dropDuplicates(), "sketches")
     hashes = docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", F.explode(_gram_hashes(n)).alias("hash"))
-    pairs = materialize(hashes.join(sketch, "hash").select("doc_id", "key").distinct(), "pairs")
+    pairs = materialize(_met(hashes, sketch).select("doc_id", "key").distinct(), "pairs")
 
     # One row a text with its items, so that a text is parted into shingles once; an item's shingles come by its key.
     found = materialize(pairs.groupBy(F.col("doc_id").alias("__found")).agg(F.collect_set("key").alias("items")), "found")
     met = join_ids(docs, found, "doc_id", "__found", "inner").select("doc_id", words(F.col("text")).alias("words"), "items")
     met = met.select("doc_id", "items", _grams(n).alias("grams"))
-    grams = small(materialize(texts.select("key", _grams(n).alias("item_grams")), "grams"), 100_000)
-    shared = met.select("doc_id", "grams", F.explode("items").alias("key")).join(grams, "key").select("doc_id", "key", F.size(F.array_intersect("grams", "item_grams")).cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
+    grams = materialize(texts.select("key", _grams(n).alias("item_grams")), "grams")
+    size = grams.agg(F.sum(F.octet_length(F.concat_ws(" ", "item_grams")).cast("long") + 16 * F.size("item_grams"))).first()[0] or 0
+    each = met.select("doc_id", "grams", F.explode("items").alias("key"))
+    if size <= GRAM_BYTES:
+        each = each.join(F.broadcast(grams), "key")
+    else:  # an item that many documents hold is broadcast, so that they do not meet in one task
+        each = join_skewed(each, grams.join(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs")), "key"), "key", "docs", hot_groups=1000)
+    shared = each.select("doc_id", "key", F.size(F.array_intersect("grams", "item_grams")).cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
     shared = shared.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item"))
     most = shared.join(names, "key").groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("most"))
     return most.select("doc_id", "item_id", "most.n_shared", "most.n_item", "most.containment")
