@@ -31,9 +31,7 @@ MAX_HASHES = 96
 #: An estimate from MAX_HASHES rows has a standard deviation of 0.04 at 0.8; a link this far below its value is lost once in a million.
 MARGIN = 0.2
 #: Nodes of a block, and their n-grams, on average.
-BLOCK_ROWS, BLOCK_GRAMS = 512, 400_000
-#: Nodes of a block of a bucket: smaller, as many blocks of few buckets spread better.
-BUCKET_ROWS = 256
+BLOCK_ROWS, BLOCK_GRAMS = 256, 400_000
 MAX_WORDS = 300_000
 _M = (1 << 64) - 1
 
@@ -259,7 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = nodes.select("node", F.explode("bands").alias("key"))
     buckets = materialize(placed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "buckets")
     met = nodes.select("node", "sig", F.explode("bands").alias("key")).join(small(buckets), "key")
-    met = _pairs_of_blocks(met.withColumn("blocks", F.ceil(F.col("k") / BUCKET_ROWS)).drop("k"), "key", "blocks")
+    met = _pairs_of_blocks(met.withColumn("blocks", F.ceil(F.col("k") / BLOCK_ROWS)).drop("k"), "key", "blocks")
     least = threshold - MARGIN + 1 / 256 * (1 - threshold + MARGIN)
     candidates = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInPandas(tidy(_estimated(least)), "a long, b long")
     comp = connected_components(candidates)
