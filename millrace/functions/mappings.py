@@ -41,33 +41,31 @@ COMBOS = (
 
 METHODS = ("THPT", "hoc_ba", "DGNL", "SAT", "xet_tuyen_thang", "khac")
 
-# Admission methods by label.
+# Admission methods by label in lower case.
 METHOD_LABELS = {
-    "THPT": ["thpt", "thi thpt", "điểm thi thpt", "diem thi thpt", "thi tốt nghiệp", "tot nghiep thpt", "xét điểm thi thpt", "xet diem thi thpt"],
-    "hoc_ba": ["hoc_ba", "học bạ", "hoc ba", "xét học bạ", "xet hoc ba", "điểm học bạ", "diem hoc ba", "học bạ thpt"],
-    "DGNL": ["dgnl", "đánh giá năng lực", "danh gia nang luc", "đgnl", "bài thi đánh giá năng lực", "thi đánh giá năng lực", "đgnl đhqg tphcm", "đgnl đhqg hà nội"],
-    "SAT": ["sat", "ielts", "toefl", "chứng chỉ quốc tế", "chung chi quoc te"],
-    "xet_tuyen_thang": ["xet_tuyen_thang", "xét tuyển thẳng", "xet tuyen thang", "tuyển thẳng", "tuyen thang", "ưu tiên xét tuyển"],
-    "khac": ["khac", "khác", "other", "phương thức khác"],
-}
+    "thpt": "THPT", "thi thpt": "THPT", "điểm thi thpt": "THPT", "diem thi thpt": "THPT", "thi tốt nghiệp": "THPT", "tot nghiep thpt": "THPT", "xét điểm thi thpt": "THPT", "xet diem thi thpt": "THPT",
+    "hoc_ba": "hoc_ba", "học bạ": "hoc_ba", "hoc ba": "hoc_ba", "xét học bạ": "hoc_ba", "xet hoc ba": "hoc_ba", "điểm học bạ": "hoc_ba", "diem hoc ba": "hoc_ba", "học bạ thpt": "hoc_ba",
+    "dgnl": "DGNL", "đánh giá năng lực": "DGNL", "danh gia nang luc": "DGNL", "đgnl": "DGNL", "bài thi đánh giá năng lực": "DGNL", "thi đánh giá năng lực": "DGNL", "đgnl đhqg tphcm": "DGNL", "đgnl đhqg hà nội": "DGNL",
+    "sat": "SAT", "ielts": "SAT", "toefl": "SAT", "chứng chỉ quốc tế": "SAT", "chung chi quoc te": "SAT",
+    "xet_tuyen_thang": "xet_tuyen_thang", "xét tuyển thẳng": "xet_tuyen_thang", "xet tuyen thang": "xet_tuyen_thang", "tuyển thẳng": "xet_tuyen_thang", "tuyen thang": "xet_tuyen_thang", "ưu tiên xét tuyển": "xet_tuyen_thang",
+    "khac": "khac", "khác": "khac", "other": "khac", "phương thức khác": "khac",
+}
 
 # Keywords that tell the method within a text, in order.
 METHOD_KEYWORDS = [
-    ("hoc_ba", ["hoc_ba", "hoc ba", "hoc-ba", "học bạ", "hocba"]),
-    ("DGNL", ["dgnl", "danh gia nang luc", "đánh giá"]),
-    ("SAT", ["sat", "ielts", "toefl", "chứng chỉ", "chung chi"]),
-    ("xet_tuyen_thang", ["thẳng", "thang", "ưu tiên", "uu tien"]),
-    ("THPT", ["thpt", "tot nghiep", "tốt nghiệp"]),
+    (["hoc_ba", "hoc ba", "hoc-ba", "học bạ", "hocba"], "hoc_ba"),
+    (["dgnl", "danh gia nang luc", "đánh giá"], "DGNL"),
+    (["sat", "ielts", "toefl", "chứng chỉ", "chung chi"], "SAT"),
+    (["thẳng", "thang", "ưu tiên", "uu tien"], "xet_tuyen_thang"),
+    (["thpt", "tot nghiep", "tốt nghiệp"], "THPT"),
 ]
 
 # The same for titles of score tables.
 TITLE_KEYWORDS = [
-    ("xet_tuyen_thang", ["tuyen thang", "xet thang", "uu tien xet tuyen"]),
-    ("DGNL", ["danh gia nang luc", "dgnl", "nang luc"]),
-    ("hoc_ba", ["hoc ba", "xet hoc ba"]),
-    ("SAT", ["ielts", "toefl", "sat"]),
-    ("THPT", ["thpt", "thi thpt", "diem thi"]),
-]
+    ("tuyen thang", "xet_tuyen_thang"), ("xet thang", "xet_tuyen_thang"), ("uu tien xet tuyen", "xet_tuyen_thang"),
+    ("danh gia nang luc", "DGNL"), ("dgnl", "DGNL"), ("nang luc", "DGNL"), ("hoc ba", "hoc_ba"), ("xet hoc ba", "hoc_ba"),
+    ("ielts", "SAT"), ("toefl", "SAT"), ("sat", "SAT"), ("thpt", "THPT"), ("thi thpt", "THPT"), ("diem thi", "THPT"),
+]
 
 # Labels of university types, regions and degree levels.
 TYPES = {
@@ -88,3 +86,13 @@ DEGREES = {
 # Texts that stand for no score and no quota.
 NO_SCORE = ["---", "--", "-", "n/a", "na", "không có", "khong co", "", "0", "tuyển thẳng", "tuyen thang", "xét tuyển thẳng"]
 NO_QUOTA = ["---", "--", "-", "n/a", "na", "không có", ""]
+
+# Words that mark a raw score as a placeholder.
+PLACEHOLDERS = ["", "-", "--", "---", "n/a", "na"]
+# The sources that have pages of their own; any other name is taken as the universities' own sites.
+SOURCES = ["moet", "tuyensinh247"]
+DEFAULT_YEARS = [2020, 2021, 2022, 2023, 2024, 2025]
+# The quality metrics with the least percentage that passes; of duplicates, the most.
+QUALITY_LIMITS = {
+    "valid_rate": 95, "holland_coverage": 95, "university_score_coverage": 85, "description_rate": 90, "combo_coverage": 95, "duplicate_rate": 0, "salary_coverage": 80,
+}

@@ -1,7 +1,8 @@
-"""Scalar functions as Column expressions; only nfc() and similarity() need Python, as Arrow-batched UDFs.
+"""Scalar functions as Column expressions; only similarity() needs Python, as an Arrow-batched UDF.
 
-Every function takes a Column or a name and keeps to built-in expressions, so that it stays in generated code and works in
-batch and in streams. Text functions read null as stated in each docstring.
+Every function takes a Column or a name and runs in the JVM, in batch and in streams. NFC and character references, which have no
+built-in expression, call the Unicode and text libraries that come with Spark by reflection, on the rows that need them only; such a
+column has to be made before it is the key of a join. Text functions read null as stated in each docstring.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
 from . import mappings as M
 
@@ -61,27 +62,28 @@ def strip_accents(x, strip_dbar: bool = False) -> Column:
     return F.translate(plain, "đĐ", "dD") if strip_dbar else plain
 
 
-@F.pandas_udf(StringType())
-def nfc(x: pd.Series) -> pd.Series:
-    """Unicode NFC, which has no built-in form."""
-    return x.str.normalize("NFC")
+def nfc(x) -> Column:
+    """Unicode NFC. Texts of ASCII alone are passed on as they are."""
+    x = _c(x)
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(x, F.lit("")), F.lit(False))
+    return F.when(x.rlike(r"[^\x00-\x7F]"), composed).otherwise(x)
 
 
-def unescape_common(x) -> Column:
-    """The common character references, by replacement; the ampersand last."""
-    out = _c(x)
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+def unescape(x) -> Column:
+    """Character references by name and number, decoded once."""
+    x = _c(x)
+    plain = F.replace(F.coalesce(x, F.lit("")), F.lit("&apos;"), F.lit("&#39;"))
+    return F.when(F.contains(x, F.lit("&")), F.reflect(F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), plain)).otherwise(x)
 
 
+# Prefixes of a programme's name, in the order in which they are removed, and a group in brackets.
 _PREFIXES = [r"ngành[:\s]+", r"chuyên ngành[:\s]+", r"chương trình[:\s]+", r"hệ[:\s]+", r"bộ môn[:\s]+", r"khoa\s+(?!học\b)"]
 _BRACKETS = r"[(\[（【][^)\]）】]*[)\]）】]"
 
 
 def major_name(x) -> Column:
     """A programme name: numbering, known prefixes (each once, in order) and every bracket group removed, words capitalised. Null is empty."""
-    t = strip(unescape_common(strip(F.coalesce(_c(x), F.lit("")))))
+    t = strip(nfc(unescape(strip(F.coalesce(_c(x), F.lit(""))))))
     t = F.regexp_replace(t, r"^\d+[.)\-\s]+", "")
     for p in _PREFIXES:
         t = F.regexp_replace(t, f"(?iu)^{p}", "")
@@ -92,26 +94,27 @@ def major_name(x) -> Column:
 
 def raw_name(x) -> Column:
     """A name for lookup: named references as spaces, a trailing bracket group, one prefix and numbering removed."""
-    t = F.regexp_replace(strip(F.coalesce(_c(x), F.lit(""))), r"&[a-zA-Z]+;", " ")
+    t = F.regexp_replace(nfc(strip(F.coalesce(_c(x), F.lit("")))), r"&[a-zA-Z]+;", " ")
     t = F.regexp_replace(t, rf"(?U)\s*{_BRACKETS}\s*$", "")
     t = F.regexp_replace(t, r"(?iuU)^(?:ngành|chuyên ngành|bộ môn|khoa|chương trình|hệ)\s*[:\-]?\s*", "")
     return squeeze(F.regexp_replace(t, r"(?U)^\d+[.)]\s*", ""))
 
 
 def name_key(x) -> Column:
-    return squeeze(F.lower(_c(x)))
+    """Lower case, NFC, squeezed: names that differ in these only are one key."""
+    return squeeze(nfc(F.lower(_c(x))))
 
 
 def keyword(x) -> Column:
     """A name without bracket groups and a leading prefix; null when empty."""
-    t = F.regexp_replace(_c(x), _BRACKETS, "")
+    t = F.regexp_replace(nfc(x), _BRACKETS, "")
     t = F.regexp_replace(strip(t), r"(?iuU)^(?:ngành|chuyên ngành|chương trình|hệ|bộ môn)[:\s]+", "")
     return blank_to_null(squeeze(t))
 
 
 def code(x, size: int = 20) -> Column:
     """An institution code: upper case, letters A-Z, digits and hyphens only, cut to size. Null is empty."""
-    return F.substring(F.regexp_replace(F.upper(strip(F.coalesce(_c(x), F.lit("")))), "[^A-Z0-9-]", ""), 1, size)
+    return F.substring(F.regexp_replace(nfc(F.upper(strip(F.coalesce(_c(x), F.lit(""))))), "[^A-Z0-9-]", ""), 1, size)
 
 
 def scan_code(x) -> Column:
@@ -167,7 +170,7 @@ def opt_text(x, size: int) -> Column:
 
 def field(x, size: int) -> Column:
     """Free text: control characters deleted but for line ends, each line squeezed, empty lines dropped, cut to size. Null is empty."""
-    t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"[\p{Cc}&&[^\n]]", "")
+    t = F.regexp_replace(nfc(F.coalesce(_c(x), F.lit(""))), r"[\p{Cc}&&[^\n]]", "")
     lines = F.filter(F.transform(F.split(t, "\n"), lambda s: strip(F.regexp_replace(s, " +", " "))), lambda s: s != "")
     return F.regexp_replace(F.substring(F.array_join(lines, "\n"), 1, size), r"(?U)\s+$", "")
 
@@ -182,10 +185,11 @@ def label(x, labels: dict[str, str], default: str | None = None) -> Column:
     return F.coalesce(F.try_element_at(table, F.lower(strip(_c(x)))), F.lit(default))
 
 
-def first_keyword(x: Column, rules: list[tuple[str, list[str]]], default: str | None, *also: Column) -> Column:
-    """The first rule one of whose keywords stands in x, or in one of the other forms of it."""
+def first_keyword(x: Column, rules: list[tuple[list[str] | str, str]], default: str | None, *also: Column) -> Column:
+    """The value of the first rule whose keyword, or one of them, stands in x or in one of the other forms of it."""
     out = F.lit(None).cast("string")
-    for value, words in reversed(rules):
+    for words, value in reversed(rules):
+        words = [words] if isinstance(words, str) else words
         hit = reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for t in (x, *also) for w in words])
         out = F.when(hit, F.lit(value)).otherwise(out)
     return F.coalesce(out, F.lit(default))
@@ -195,8 +199,7 @@ def method(x) -> Column:
     """The admission method of a label or a text that names one; THPT when none is named."""
     t = strip(F.coalesce(_c(x), F.lit("")))
     low = F.lower(t)
-    by = {w: m for m, ws in M.METHOD_LABELS.items() for w in ws}
-    return F.when(t == "", F.lit("THPT")).when(t.isin(list(M.METHODS)), t).otherwise(F.coalesce(label(low, by), first_keyword(low, M.METHOD_KEYWORDS, "THPT", strip_accents(low))))
+    return F.when(t == "", F.lit("THPT")).when(t.isin(list(M.METHODS)), t).otherwise(F.coalesce(label(low, M.METHOD_LABELS), first_keyword(low, M.METHOD_KEYWORDS, "THPT", strip_accents(low))))
 
 
 def title_method(x) -> Column:
@@ -210,7 +213,7 @@ def set_key(items: Column) -> Column:
 
 def combo(x) -> Column:
     """The code of a subject combination, by code, alias, set of three subjects, or a code within the text; KHAC for others."""
-    t = strip(F.coalesce(_c(x), F.lit("")))
+    t = nfc(strip(F.coalesce(_c(x), F.lit(""))))
     low = F.lower(t)
     subjects = F.create_map(*[F.lit(v) for kv in M.SUBJECTS.items() for v in kv])
     parts = F.filter(F.transform(F.split(low, r"(?U)[,\-/；;、]+\s*|\s+và\s+|\s+"), strip), lambda p: p != "")
@@ -236,7 +239,7 @@ def scan_combo(x) -> Column:
     """The page scan's combination: an alias within the text, else the first letter with two digits."""
     low = strip_accents(F.lower(F.coalesce(_c(x), F.lit(""))), True)
     code_ = blank_to_null(F.regexp_extract(F.upper(F.coalesce(_c(x), F.lit(""))), r"[A-Z]\d{2}", 0))
-    return F.coalesce(first_keyword(low, [(v, [k]) for k, v in M.SCAN_COMBO_ALIASES.items()], None), code_, F.lit("KHAC"))
+    return F.coalesce(first_keyword(low, list(M.SCAN_COMBO_ALIASES.items()), None), code_, F.lit("KHAC"))
 
 
 def texts(x) -> Column:
@@ -267,10 +270,25 @@ def fingerprint(*parts) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(strip(F.lower(_c(p).cast("string"))), F.lit("none")) for p in parts]), 256), 1, 16)
 
 
+def _json_text(x: Column) -> Column:
+    """A text as JSON writes it: quotes, backslashes and control characters escaped, other letters as they are."""
+    t = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    for k in range(32):
+        short = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}.get(k, f"\\u{k:04x}")
+        t = F.replace(t, F.lit(chr(k)), F.lit(short))
+    control = x.rlike(r"[\x00-\x1F]")
+    return F.concat(F.lit('"'), F.when(control, t).otherwise(F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))), F.lit('"'))
+
+
 def record_fingerprint(**parts) -> Column:
     """SHA-256 over the named parts as JSON with sorted keys and a space after separators."""
-    out = [F.concat(F.lit(f'"{k}": '), F.coalesce(F.when(v.isNotNull(), F.concat(F.lit('"'), F.replace(F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))), F.lit("null"))) for k, v in sorted((k, _c(v)) for k, v in parts.items())]
-    return F.sha2(F.concat(F.lit("{"), F.concat_ws(", ", *out), F.lit("}")), 256)
+    named = [F.concat(F.lit(f'"{k}": '), F.when(v.isNull(), F.lit("null")).otherwise(_json_text(v.cast("string")))) for k, v in sorted((k, _c(v)) for k, v in parts.items())]
+    return F.sha2(F.concat(F.lit("{"), F.concat_ws(", ", *named), F.lit("}")), 256)
+
+
+def is_placeholder(x) -> Column:
+    """Whether a raw score stands for none. Null is a placeholder."""
+    return F.coalesce(F.lower(strip(x)), F.lit("")).isin(M.PLACEHOLDERS)
 
 
 def key_id(*parts) -> Column:
@@ -279,8 +297,10 @@ def key_id(*parts) -> Column:
 
 
 def auto_code(x) -> Column:
-    """A code for a name that has none, by its hash."""
-    return F.concat(F.lit("AUTO-"), F.upper(F.substring(F.sha2(name_key(x), 256), 1, 6)))
+    """A code for a name that has none: AUTO- and six letters or digits of its hash. Of two thousand million codes, so two names may
+    share one; a name's identity is its key_id, not this code."""
+    digits = F.conv(F.substring(F.sha2(name_key(x), 256), 1, 12), 16, 36)
+    return F.concat(F.lit("AUTO-"), F.lpad(F.right(digits, F.lit(6)), 6, "0"))
 
 
 def utc(x, as_of) -> Column:

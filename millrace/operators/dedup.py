@@ -31,6 +31,28 @@ def skip_existing(df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFram
     return df.join(stored.select(*keys), keys, "left_anti")
 
 
-def counters(before: DataFrame, after: DataFrame) -> DataFrame:
-    both = before.select(F.lit(0).alias("p")).unionByName(after.select(F.lit(1).alias("p")))
-    return both.agg(F.count_if(F.col("p") == 0).alias("seen"), F.count_if(F.col("p") == 1).alias("passed")).withColumn("dropped", F.col("seen") - F.col("passed"))
+def tiers(df: DataFrame, keys: list[str], order: list[str], cached: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """df with a column tier: passed, in_memory (not the first of its key, or a key of `cached`) or table (a key of `stored`). A table
+    that is not given is a tier that does not take part. Rows with a null in the key are not looked up."""
+    first = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__first"))
+    out = join_null_safe(df, first, keys).withColumn("__later", ~F.struct(*[F.col(c) for c in order]).eqNullSafe(F.col("__first")))
+    for name, table in (("__cached", cached), ("__stored", stored)):
+        if table is None:
+            out = out.withColumn(name, F.lit(False))
+        else:
+            out = out.join(table.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left")
+    tier = F.when(F.col("__later") | F.coalesce("__cached", F.lit(False)), "in_memory").when(F.coalesce("__stored", F.lit(False)), "table").otherwise("passed")
+    return out.select(*df.columns, tier.alias("tier"))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left joined to the one right row of its key, nulls being equal."""
+    named = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(named, on).drop(*[f"__r_{k}" for k in keys])
+
+
+def counters(tiered: DataFrame) -> DataFrame:
+    """passed, dropped, in_memory_hits and table_hits of tiers()."""
+    t = F.col("tier")
+    return tiered.agg(F.count_if(t == "passed").alias("passed"), F.count_if(t != "passed").alias("dropped"), F.count_if(t == "in_memory").alias("in_memory_hits"), F.count_if(t == "table").alias("table_hits"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from .dedup import first_wins
+
 POLICIES = ("skip", "coalesce", "overwrite")
 
 
@@ -44,3 +47,25 @@ def with_missing(dimension: DataFrame, facts: DataFrame, key: str, defaults: dic
 def deactivate(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     gone = codes.select(key).distinct().withColumn("__gone", F.lit(True))
     return df.join(gone, key, "left").withColumn("is_active", F.col("is_active") & F.col("__gone").isNull()).drop("__gone")
+
+
+def usable(batch: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose needed fields are all there, and those that fail."""
+    lacks = F.lit(False)
+    for c in needed:
+        lacks = lacks | (F.coalesce(T.strip(c), F.lit("")) == "")
+    return batch.where(~lacks), batch.where(lacks)
+
+
+def store(stored: DataFrame, batch: DataFrame, key: str, needed: list[str], values: list[str], order: list[str], policy: str = "coalesce") -> tuple[DataFrame, DataFrame]:
+    """A dimension's sink: the merged table with actions, and counters (new, updated, failed). Rows that lack a needed field fail; of
+    rows of one key the first by `order` is taken."""
+    good, bad = usable(batch, needed)
+    merged = merge(stored, first_wins(good, [key], order), [key], values, policy)
+    done = merged.agg(F.count_if(F.col("action") == "inserted").alias("records_new"), F.count_if(F.col("action").isin("updated", "unchanged")).alias("records_updated"))
+    return merged, done.join(F.broadcast(bad.agg(F.count(F.lit(1)).alias("records_failed"))))
+
+
+def remove(stored: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The table without the rows of these ids."""
+    return stored.join(ids.select(key).distinct(), key, "left_anti")

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import mappings as M
 from ..functions import text as T
+from ..schemas import SCORE_KEY
 
 
 def counters(df: DataFrame, **tests: Column) -> DataFrame:
@@ -23,6 +25,17 @@ def crawl_status(scraped: Column, failed: Column) -> Column:
     return F.when((scraped == 0) & (failed > 0), "failed").when((scraped > 0) & (failed > 0), "partial").otherwise("success")
 
 
+def run_row(counts: DataFrame, spider: str, started, finished, triggered_by: str = "manual", error: str | None = None) -> DataFrame:
+    """A row of the run log from one row of counters (records_new, records_updated, records_failed). A run without an end is running; one
+    with an error has failed."""
+    start, end = F.lit(started).cast("timestamp"), F.lit(finished).cast("timestamp")
+    status = F.when(end.isNull(), "running").when(F.lit(error).isNotNull(), "failed").otherwise(run_status(F.col("records_failed")))
+    return counts.select(
+        T.key_id(F.lit(spider), start).alias("id"), F.lit(spider).alias("spider_name"), status.alias("status"), start.alias("started_at"), end.alias("finished_at"),
+        *[F.col(c).cast("int").alias(c) for c in ("records_new", "records_updated", "records_failed")], F.substring(F.lit(error), 1, 2000).alias("error_summary"), F.lit(triggered_by).alias("triggered_by"),
+    )
+
+
 def duration_seconds(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
 
@@ -39,9 +52,47 @@ def coverage(df: DataFrame, by: list[str], **tests: Column) -> DataFrame:
     return out.withColumns({f"{k}_pct": T.percent(F.col(k), F.col("n")) for k in tests})
 
 
-def verdicts(metrics: DataFrame, limits: dict[str, float]) -> DataFrame:
-    least = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(float(v)))])
-    return metrics.withColumn("verdict", F.when(F.col("value") >= F.try_element_at(least, F.col("metric")), "pass").otherwise("warn"))
+def verdicts(metrics: DataFrame, limits: dict[str, float], at_most: tuple[str, ...] = ()) -> DataFrame:
+    """pass where a value reaches its limit, or stays within it for the metrics named in at_most; else warn, also without a limit."""
+    limit = F.try_element_at(F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(float(v)))]), F.col("metric"))
+    good = F.when(F.col("metric").isin(list(at_most)), F.col("value") <= limit).otherwise(F.col("value") >= limit)
+    return metrics.withColumn("verdict", F.when(good, "pass").otherwise("warn"))
+
+
+def quality(scores: DataFrame, valid: Column, universities: DataFrame, majors: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
+    """The quality metrics as (metric, value, verdict): each a percentage, 0 of none. scores has the table's key, universities and
+    majors their ids; `valid` is told of a score. Without a table of job groups their metric is left out."""
+    n = F.count(F.lit(1))
+
+    def some(c: str) -> Column:
+        return F.coalesce(F.size(c), F.lit(0)) > 0
+
+    s = scores.agg(n.alias("n"), F.count_if(valid).alias("valid"))
+    keys = scores.groupBy(*SCORE_KEY).agg(n.alias("k")).agg(F.sum("k").alias("n"), n.alias("keys"))
+    scored = universities.select("id").join(scores.select(F.col("university_id").alias("id")).distinct().withColumn("has", F.lit(True)), "id", "left")
+    m = majors.agg(n.alias("n"), F.count_if(some("holland_types")).alias("h"), F.count_if(F.coalesce(T.strip("description"), F.lit("")) != "").alias("d"), F.count_if(some("subject_combinations")).alias("c"))
+    parts = [
+        s.select(F.lit("valid_rate").alias("metric"), T.percent(F.col("valid"), F.col("n")).alias("value")),
+        m.select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), T.percent(F.col(c), F.col("n")).alias("value")) for k, c in (("holland_coverage", "h"), ("description_rate", "d"), ("combo_coverage", "c"))])).alias("x")).select("x.*"),
+        scored.agg(n.alias("n"), F.count("has").alias("has")).select(F.lit("university_score_coverage").alias("metric"), T.percent(F.col("has"), F.col("n")).alias("value")),
+        keys.select(F.lit("duplicate_rate").alias("metric"), T.percent(F.col("n") - F.col("keys"), F.col("n")).alias("value")),
+    ]
+    if jobs is not None:
+        parts.append(jobs.agg(n.alias("n"), F.count("median_salary").alias("k")).select(F.lit("salary_coverage").alias("metric"), T.percent(F.col("k"), F.col("n")).alias("value")))
+    return verdicts(reduce(DataFrame.unionByName, parts), M.QUALITY_LIMITS, at_most=("duplicate_rate",))
+
+
+def count_by(df: DataFrame, *by: Column) -> DataFrame:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def salaries(df: DataFrame, by: str, value: str) -> DataFrame:
+    """The least, the largest and the median value of each group."""
+    return df.groupBy(by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.median(value).alias("middle"))
+
+
+def latest(log: DataFrame, at: str, k: int = 5) -> DataFrame:
+    return log.orderBy(F.desc(at)).limit(k)
 
 
 def streak(df: DataFrame, order: str, bad: Column, length: int = 3) -> DataFrame:

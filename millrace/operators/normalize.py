@@ -30,10 +30,22 @@ def universities(df: DataFrame) -> DataFrame:
 
 def majors(df: DataFrame) -> DataFrame:
     duration = T.to_int(F.col("study_duration").cast("string"))
+    combos = T.combos("subject_combinations") if df.schema["subject_combinations"].dataType.simpleString() == "string" else F.array_distinct(F.transform("subject_combinations", T.combo))
     holland = F.array_distinct(F.filter(F.transform("holland_types", lambda h: F.upper(T.strip(h))), lambda h: h.isin(list("RIASEC"))))
     return df.withColumns({
-        "major_code": T.strip("major_code"), "name": F.coalesce(T.blank_to_null(T.major_name("name")), T.strip("name")),
-        "description": T.blank_to_null(T.field("description", 5000)), "subject_combinations": F.array_distinct(F.transform("subject_combinations", T.combo)), "holland_types": holland,
+        "major_code": T.strip("major_code"), **{c: T.strip(c) for c in ("major_group", "major_group_code") if c in df.columns}, "name": F.coalesce(T.blank_to_null(T.major_name("name")), T.strip("name")),
+        "description": T.blank_to_null(T.field("description", 5000)), "subject_combinations": combos, "holland_types": holland,
         **{c: T.texts(c) for c in ("career_options", "required_skills", "career_anchor_tags")},
         "study_duration": F.when(duration.between(1, 10), duration).cast("smallint"), "degree_level": T.label("degree_level", M.DEGREES, "bachelor"),
     })
+
+
+def counters(before: DataFrame, after: DataFrame) -> DataFrame:
+    """normalized, and of the rows that came without a code those that have one now and those that have none, and the combinations known.
+    before and after: score records with ingest_seq."""
+    had = before.select("ingest_seq", (F.coalesce(T.strip("major_code"), F.lit("")) == "").alias("lacked"))
+    x = after.select("ingest_seq", "major_code", "subject_combination").join(had, "ingest_seq")
+    return x.agg(
+        F.count(F.lit(1)).alias("normalized"), F.count_if(F.col("lacked") & F.col("major_code").isNotNull()).alias("resolved"), F.count_if(F.col("lacked") & F.col("major_code").isNull()).alias("unresolved"),
+        F.count_if(F.col("subject_combination") != "KHAC").alias("combos"),
+    )

@@ -78,15 +78,82 @@ def fuzzy(keys: DataFrame, key: str, names: DataFrame, cutoff: float = 0.82) ->
     return keys.mapInPandas(match, f"{key} string, match string, ratio double")
 
 
+def store_major(df: DataFrame, majors: DataFrame, code: str = "major_code", name: str = "major_name", value: str = "major_id") -> DataFrame:
+    """The id of a major when it is stored: a row with a code is looked up by it alone; one without by its name, then by the shortest
+    active name that holds it. majors: id, major_code, name, is_active."""
+    has = F.coalesce(T.strip(code), F.lit("")) != ""
+    by_code = majors.groupBy(F.col("major_code").alias("key")).agg(F.min("id").alias("value"))
+    by_name = majors.groupBy(F.lower("name").alias("key")).agg(F.min("id").alias("value"))
+    out = cascade(df, [F.when(has, F.col(code)), F.when(~has, F.lower(name))], [by_code, by_name], value)
+    left = out.where(F.col(value).isNull() & ~has & (T.strip(name) != "")).select(F.col(name).alias("__kw")).distinct()
+    top = ilike_top(left, "__kw", majors.where("is_active"), "name", "major_code").select("__kw", F.col("major_code").alias("__code"))
+    named = small(top.join(by_code.select(F.col("key").alias("__code"), F.col("value").alias("__found")), "__code").select("__kw", "__found"))
+    return out.withColumn("__kw", F.when(~has, F.col(name))).join(named, "__kw", "left").withColumn(value, F.coalesce(value, "__found")).drop("__kw", "__found")
+
+
+def with_entries(names: DataFrame, more: DataFrame) -> DataFrame:
+    """A dictionary (key, value, ord) with entries (name, value) added at its end; an entry of a key that is there replaces it."""
+    last = names.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("__last"))
+    new = more.groupBy(T.name_key("name").alias("key")).agg(F.max("value").alias("value"))
+    placed = new.join(names.select("key", "ord"), "key", "left").join(F.broadcast(last))
+    placed = placed.select("key", "value", F.coalesce("ord", F.col("__last") + 1).cast("int").alias("ord"))
+    return names.select("key", "value", "ord").join(new.select("key"), "key", "left_anti").unionByName(placed)
+
+
+def code_map(dimension: DataFrame, code: str, value: str = "id") -> DataFrame:
+    """(key, value) by code over active rows."""
+    return dimension.where("is_active").select(F.col(code).alias("key"), F.col(value).alias("value"))
+
+
+def name_map(dimension: DataFrame, name: str = "name", value: str = "id") -> DataFrame:
+    """(key, value) by name in lower case over active rows, the least value of each."""
+    return dimension.where("is_active").groupBy(F.lower(name).alias("key")).agg(F.min(value).alias("value"))
+
+
+def active_codes(dimension: DataFrame, code: str) -> DataFrame:
+    return dimension.where("is_active").select(code).distinct()
+
+
+def scan(scores: DataFrame, universities: list | DataFrame, years: list[int], key: str = "university_id", year: str = "year") -> DataFrame:
+    """The rows of these universities and years; both go to the scan as filters where the universities are a list."""
+    picked = scores.where(F.col(year).isin(years))
+    return picked.join(universities.select(key), key, "left_semi") if isinstance(universities, DataFrame) else picked.where(F.col(key).isin(universities))
+
+
 def ilike_top(keywords: DataFrame, keyword: str, dimension: DataFrame, name: str, code: str, k: int = 1) -> DataFrame:
-    """For each distinct keyword the k shortest names that hold it, case aside, or whose code does; ties by code."""
-    kw = F.lower(keyword)
-    hit = keywords.select(keyword).distinct().join(small(dimension.select(name, code)), F.contains(F.lower(name), kw) | F.contains(F.lower(code), kw))
+    """For each distinct keyword the k shortest names that hold it, case aside, or whose code does; ties by code. % and _ in a keyword
+    stand for any letters and any letter.
+
+    The smaller side is broadcast. Where neither is small, keywords meet the names and codes that share their first three letters, and
+    those without three plain letters, which no index can serve, have to be few. The rank is limited before its shuffle, so that a
+    keyword with many hits does not bring them to one task."""
+    words = keywords.select(keyword).distinct()
+    dimension = dimension.select(name, code)
+    hold = F.expr(f"`{name}` ilike concat('%', trim(`{keyword}`), '%') or cast(`{code}` as string) ilike concat('%', trim(`{keyword}`), '%')")
+    if dimension.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hit = words.join(F.broadcast(dimension)).where(hold)
+    elif words.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hit = dimension.join(F.broadcast(words)).where(hold)
+    else:
+        hit = _by_letters(words, keyword, dimension, name, code, hold)
     rank = F.row_number().over(W.partitionBy(keyword).orderBy(F.length(name), code))
     return hit.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def first_tags(df: DataFrame, text: Column, profiles: list[tuple[str, list[str]]], value: str = "tag") -> DataFrame:
+def _by_letters(words: DataFrame, keyword: str, dimension: DataFrame, name: str, code: str, hold: Column) -> DataFrame:
+    low = F.lower(F.trim(keyword))
+    plain = ~low.rlike(r"[%_\\\\]") & (F.length(low) >= 3)
+    short = words.where(~plain)
+    if short.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        raise ValueError("too many keywords of fewer than three letters or with wildcards")
+    both = F.lower(F.concat(F.col(name), F.lit("\u0001"), F.col(code).cast("string")))
+    threes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(both) - 2, F.lit(1))), lambda i: F.substring(both, i, F.lit(3))))
+    index = dimension.withColumn("__three", F.explode(threes))
+    met = words.where(plain).withColumn("__three", F.substring(low, 1, 3)).join(index, "__three").where(hold).drop("__three")
+    return met.unionByName(dimension.join(F.broadcast(short)).where(hold).select(*met.columns))
+
+
+def first_tags(df: DataFrame, text: Column, profiles: list[tuple[list[str] | str, str]], value: str = "tag") -> DataFrame:
     """The first profile one of whose keywords stands in the text."""
     return df.withColumn(value, T.first_keyword(text, profiles, None))
 
@@ -100,17 +167,17 @@ def top_tags(df: DataFrame, text: Column, weights: dict[str, dict[str, int]], k:
 
 def tags(df: DataFrame, code: str, text: Column, profiles: DataFrame, value: str = "types") -> DataFrame:
     """The types of the profile that lists the code, the last one of several; else of the first profile with a keyword in the text;
-    else no types. profiles: ord, types, keywords, codes - a fixed small table."""
+    else no types. profiles: ord, types, keywords, codes - a small table of counted size, looked up by joins."""
     if profiles.count() > MAX_ENTRIES:
         raise ValueError("the profiles are too many to be scanned for each row")
     by_code = profiles.select("ord", "types", F.explode("codes").alias("__code")).groupBy("__code").agg(F.max_by("types", "ord").alias("__exact"))
-    rules = [(r["types"], r["keywords"]) for r in profiles.orderBy("ord").collect()]
-    first = F.array().cast("array<string>")
-    for types, words in reversed(rules):
-        for w in words:
-            first = F.when(F.contains(text, F.lit(w)), F.array(*[F.lit(t) for t in types])).otherwise(first)
-    out = df.withColumn("__code", F.col(code)).join(small(by_code), "__code", "left")
-    return out.withColumn(value, F.coalesce("__exact", first)).drop("__code", "__exact")
+    words = profiles.select("ord", "types", F.explode("keywords").alias("word"))
+    # The keywords of all profiles as one row: an array of (ord, types, word), which each text is held against.
+    words = words.agg(F.array_sort(F.collect_list(F.struct("ord", "types", "word"))).alias("__words"))
+    out = df.withColumn("__code", F.col(code)).join(small(by_code), "__code", "left").withColumn("__text", text).join(F.broadcast(words))
+    first = F.filter("__words", lambda w: F.contains(F.col("__text"), w["word"]))
+    found = F.coalesce("__exact", F.when(F.size(first) > 0, F.element_at(first, 1)["types"]), F.array().cast("array<string>"))
+    return out.withColumn(value, found).drop("__code", "__exact", "__text", "__words")
 
 
 def fewest_edits(keys: DataFrame, key: str, names: DataFrame, most: int) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mappings as M
 from ..functions import text as T
+from ..schemas import SCORE_KEY
 
 
 @dataclass(frozen=True)
@@ -75,12 +77,23 @@ def university_rules(as_of) -> list[Rule]:
     ]
 
 
-def major_rules(as_of) -> list[Rule]:
-    lists = ("career_options", "required_skills", "subject_combinations", "holland_types", "career_anchor_tags")
+MAJOR_LISTS = ("career_options", "required_skills", "subject_combinations", "holland_types", "career_anchor_tags")
+#: Codes of scraped majors, and of stored ones, which may have been made up.
+SCRAPED_CODE, STORED_CODE = r"^\d{7}$", r"^(\d{7}|AUTO-[A-Z0-9]{6})$"
+
+
+def listed(df: DataFrame, columns: tuple[str, ...] = MAJOR_LISTS) -> DataFrame:
+    """List fields that came as one text as lists of it; an empty text is an empty list."""
+    plain = [c for c in columns if df.schema[c].dataType.simpleString() == "string"]
+    return df.withColumns({c: F.when(F.coalesce(F.col(c), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(c)) for c in plain}) if plain else df
+
+
+def major_rules(as_of, code_form: str = SCRAPED_CODE) -> list[Rule]:
+    lists = MAJOR_LISTS
     allowed = F.array(*[F.lit(x) for x in "RIASEC"])
     held = F.coalesce(F.col("holland_types"), F.array().cast("array<string>"))
     return [
-        drop("major_code missing", blank("major_code")), drop("name missing", blank("name")), drop("major_code malformed", ~F.col("major_code").rlike(r"^\d{7}$")),
+        drop("major_code missing", blank("major_code")), drop("name missing", blank("name")), drop("major_code malformed", ~F.col("major_code").rlike(code_form)),
         drop("name length", ~F.length(T.strip("name")).between(2, 300)), drop("holland_types unknown", F.size(F.array_except(held, allowed)) > 0),
         drop("major_group length", F.length(T.strip("major_group")) > 100), drop("major_group_code length", F.length(T.strip("major_group_code")) > 10),
         drop("study_duration out of range", ~T.to_int("study_duration").between(1, 10)),
@@ -96,14 +109,38 @@ def strict_rules(as_of, year: int) -> list[Rule]:
 
 
 def store_contract(df: DataFrame) -> DataFrame:
-    """The stored table's closed lists: unknown methods and combinations take their general code."""
+    """The stored table's contract: unknown methods and combinations take their general code, scores are rounded, texts cut; a column
+    error tells a score out of range, and is null for rows that may be stored."""
     return df.withColumns({
-        "admission_method": F.when(F.col("admission_method").isin(list(M.METHODS)), F.col("admission_method")).otherwise(F.lit("khac")),
-        "subject_combination": F.when(F.upper("subject_combination").isin(M.COMBOS), F.upper("subject_combination")).otherwise(F.lit("KHAC")),
-        "note": T.opt_text("note", 1000), "source_url": T.opt_text("source_url", 500),
+        "admission_method": F.when(T.strip("admission_method").isin(list(M.METHODS)), T.strip("admission_method")).otherwise(F.lit("khac")),
+        "subject_combination": F.when(F.upper(T.strip("subject_combination")).isin(M.COMBOS), F.upper(T.strip("subject_combination"))).otherwise(F.lit("KHAC")),
+        "note": T.opt_text("note", 1000), "source_url": T.opt_text("source_url", 500), "cutoff_score": F.round("cutoff_score", 2).cast("decimal(5,2)"),
+        "error": F.when(~F.col("cutoff_score").between(0, 100), "cutoff_score out of range"),
     })
 
 
+def score_contract() -> Column:
+    """What a score's contract says against it: the fields that must be there and the numbers that must be numbers."""
+    cut, q = F.col("cutoff_score").cast("string"), F.col("quota").cast("string")
+    return errors(
+        university_code__missing=~blank("university_code"), major_name_raw__missing=~blank("major_name_raw"), year__not_an_integer=T.to_int(F.col("year").cast("string")).isNotNull(),
+        cutoff_score__not_a_number=cut.isNull() | cut.rlike(T._NUMBER), quota__not_an_integer=q.isNull() | T.to_int(q).isNotNull(), scraped_at__missing=F.col("scraped_at").isNotNull(),
+    )
+
+
+def table_checks(scores: DataFrame, universities: DataFrame, majors: DataFrame) -> DataFrame:
+    """check, violations: the stored table's ranges, its key and its references."""
+    n = F.count(F.lit(1)).alias("violations")
+    key = [F.col(k) for k in SCORE_KEY]
+    parts = {
+        "cutoff_score in range": scores.where(~F.col("cutoff_score").between(0, 100)).agg(n), "year in range": scores.where(~F.col("year").between(2018, 2030)).agg(n),
+        "key unique": scores.groupBy(*key).agg(F.count(F.lit(1)).alias("k")).agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("violations")),
+        "university known": scores.join(universities.select(F.col("id").alias("university_id")), "university_id", "left_anti").agg(n),
+        "major known": scores.join(majors.select(F.col("id").alias("major_id")), "major_id", "left_anti").agg(n),
+    }
+    return reduce(DataFrame.unionByName, [p.select(F.lit(k).alias("check"), "violations") for k, p in parts.items()])
+
+
 def errors(**checks: Column) -> Column:
     """The messages of the checks that fail, as `field: message` texts."""
-    return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name.replace("__", ": "))) for name, ok in checks.items()]), lambda m: m.isNotNull())
+    return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name.replace("__", ": ").replace("_an_", " an ").replace("_a_", " a ") if "__not_" in name else name.replace("__", ": "))) for name, ok in checks.items()]), lambda m: m.isNotNull())

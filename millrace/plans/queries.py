@@ -75,7 +75,7 @@ def quota_parse(t):
 CASE o_orderstatus WHEN 'O' THEN 'hoc_ba' WHEN 'F' THEN 'DGNL' ELSE 'THPT' END AS method FROM orders""")
 def enum_map_keywords(t):
     raw = F.when(F.col("o_orderstatus") == "O", "Xét Học Bạ 2024").when(F.col("o_orderstatus") == "F", "ĐÁNH GIÁ năng lực").otherwise("unknown")
-    level = T.first_keyword(F.lower("o_orderpriority"), [("first", ["urgent"]), ("second", ["high"]), ("last", ["low"])], "other")
+    level = T.first_keyword(F.lower("o_orderpriority"), [("urgent", "first"), ("high", "second"), ("low", "last")], "other")
     return t("orders").select("o_orderkey", level.alias("level"), T.method(raw).alias("method"))
 
 
@@ -112,7 +112,7 @@ def page_profile(t):
 FROM (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, '^https?://', '') ELSE url END AS u, unnest(range(2, 4)) AS n FROM pages)""")
 def url_rules(t):
     u = F.when(F.col("page_id") % 3 == 0, F.regexp_replace("url", "^https?://", "")).otherwise(F.col("url"))
-    df = H.following_pages(t("pages").select("page_id", "url", F.lit(1).alias("page"), F.lit(3).alias("total")), "page", "total", "url")
+    df = H.following_pages(t("pages").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("first"), "url", F.lit(1).alias("page"), F.lit(3).alias("total")), "page", "total", "first")
     return df.select("page_id", F.when(T.is_url(u), u).alias("url"), "next_url")
 
 
@@ -187,7 +187,9 @@ def resolve_ilike_top1(t):
     return top.select("kw", F.col("code").alias("p_partkey"), "name", F.col("rank").cast("bigint").alias("rank"))
 
 
-@query()
+@query("""
+WITH k AS (SELECT DISTINCT lower(n_name) AS n, lower(n_name) || c_mktsegment[1:1] AS k, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey)
+SELECT k, n_name AS "match", 2.0::DOUBLE * length(n) / (2 * length(n) + 1) AS ratio FROM k""")
 def resolve_fuzzy(t):
     n = t("nation")
     names = n.select(F.lower("n_name").alias("key"), "n_name", F.col("n_nationkey").alias("ord")).select("key", F.col("n_name").alias("value"), "ord")
@@ -199,7 +201,7 @@ def resolve_fuzzy(t):
 def tag_first_match(t):
     low = F.lower("text")
     first = F.when(F.contains(low, F.lit("tion")) & F.contains(low, F.lit("thx")), "a")
-    return t("documents").select("doc_id", F.coalesce(first, T.first_keyword(low, [("b", ["chk", "keit"]), ("c", ["ción"])], None)).alias("tag"))
+    return t("documents").select("doc_id", F.coalesce(first, T.first_keyword(low, [(["chk", "keit"], "b"), ("ción", "c")], None)).alias("tag"))
 
 
 @query("""
@@ -479,3 +481,6 @@ QUERIES["stream_dedup"] = lambda spark, d: _replayed(spark, d, False)
 SQL["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
 QUERIES["stream_run_log"] = lambda spark, d: _replayed(spark, d, True)
 SQL["stream_run_log"] = "SELECT count(DISTINCT event_id) AS records_new, 'success' AS status FROM events"
+
+
+from . import operator_queries  # noqa: E402, F401  registers its queries

@@ -17,5 +17,14 @@ SCORE = "id string, university_id string, major_id string, year smallint, admiss
 UNIVERSITY = "id string, university_code string, name string, short_name string, university_type string, region string, province string, address string, website string, admission_url string, logo_url string, tuition_min bigint, tuition_max bigint, established_year smallint, is_active boolean, scraped_at timestamp, source_url string, created_at timestamp, updated_at timestamp"
 MAJOR = "id string, major_code string, name string, major_group string, major_group_code string, description string, career_options array<string>, required_skills array<string>, subject_combinations array<string>, holland_types array<string>, career_anchor_tags array<string>, study_duration smallint, degree_level string, is_active boolean, is_published boolean, scraped_at timestamp, source_url string, created_at timestamp, updated_at timestamp"
 CRAWL_LOG = "id string, spider_name string, status string, started_at timestamp, finished_at timestamp, records_new int, records_updated int, records_failed int, error_summary string, triggered_by string"
+#: A tag profile, and a seed row of the majors.
+PROFILE = "ord int, types array<string>, anchors array<string>, keywords array<string>, codes array<string>"
+MAJOR_SEED = "code string, name string, `group` string, holland string"
+TABLES = {"admission_scores": SCORE, "universities": UNIVERSITY, "majors": MAJOR, "crawl_logs": CRAWL_LOG}
 #: What makes a stored score one row.
 SCORE_KEY = ["university_id", "major_id", "year", "admission_method", "subject_combination"]
+
+
+def create_table(name: str, path: str) -> str:
+    """The statement that makes a stored table over a folder of Parquet files."""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({TABLES[name]}) USING parquet LOCATION '{path}'"

@@ -18,7 +18,7 @@ def links(html: Column, pattern: str = r"<a\s+href=\"([^\"]*)\">([^<]*)</a>") ->
 
 
 def title(html: Column) -> Column:
-    return T.clean_text(T.unescape_common(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1)))
+    return T.clean_text(T.unescape(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1)))
 
 
 def absolute_url(href: Column, base: str) -> Column:
@@ -31,22 +31,62 @@ def page_urls(template: str, spark, years: list[int], page: int = 1) -> DataFram
     return rows.withColumn("url", F.replace(F.replace(F.lit(template), F.lit("{year}"), F.col("year").cast("string")), F.lit("{page}"), F.lit(str(page))))
 
 
-def following_pages(df: DataFrame, page: str, total: str, url: str) -> DataFrame:
-    """The pages after each row's page, up to its total, as ?page= forms of the url without its query."""
+def with_param(url: Column, name: str, value: Column) -> Column:
+    """url with one query parameter set: of repeated parameters the first value stays, those without a value go, and the parameter
+    takes the place where it stood first, or the end. What follows # stays."""
+    query, tail = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1), F.regexp_extract(url, "(#.*)$", 1)
+    parts = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]+=."))
+    names = F.transform(parts, lambda p: F.substring_index(p, "=", 1))
+    first = F.filter(parts, lambda p, i: F.array_position(names, F.substring_index(p, "=", 1)) == i + 1)
+    put = F.concat(F.lit(f"{name}="), value.cast("string"))
+    there = F.transform(first, lambda p: F.when(F.substring_index(p, "=", 1) == name, put).otherwise(p))
+    whole = F.when(F.array_contains(names, name), there).otherwise(F.concat(first, F.array(put)))
+    return F.concat(F.regexp_extract(url, "^[^?#]*", 0), F.lit("?"), F.array_join(whole, "&"), tail)
+
+
+def following_pages(df: DataFrame, page: str, total: str, url: str, template: str | None = None, param: str = "page") -> DataFrame:
+    """The pages after each row's page, up to its total: `template` with {page}, or the url with its parameter set."""
     more = df.where(F.col(page) < F.col(total)).withColumn("next", F.explode(F.sequence(F.col(page) + 1, F.col(total))))
-    return more.withColumn("next_url", F.concat(F.regexp_replace(url, r"[?#].*$", ""), F.lit("?page="), F.col("next").cast("string")))
+    n = F.col("next").cast("string")
+    return more.withColumn("next_url", F.replace(F.lit(template), F.lit("{page}"), n) if template else with_param(F.col(url), param, n))
+
+
+def attribute(html: Column, tag: str, name: str) -> Column:
+    """The attribute of the first such element, stripped; null where there is none."""
+    return T.clean_text(T.unescape(F.regexp_extract(html, rf"(?s)<{tag}\b[^>]*?\s{name}=\"([^\"]*)\"", 1)))
+
+
+def texts_of(html: Column, tag: str) -> Column:
+    """The texts of all such elements without markup, squeezed, empty ones left out."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
+    return F.filter(F.transform(found, lambda x: T.clean_text(T.unescape(F.regexp_replace(x, "<[^>]*>", "")))), lambda x: x.isNotNull())
+
+
+def catalog(pages: DataFrame, base: str, codes: list[str] | None = None, url: str = "url", html: str = "html") -> DataFrame:
+    """source_url, university_code, name, detail_url for each link of the catalog's list. The text is `CODE - name`; where it is not, the
+    code is the last part of the link's address. Links without a code are left out."""
+    box = F.regexp_extract(F.col(html), r"(?s)class=\"[^\"]*\blist-schol-box\b[^\"]*\"(.*?)</div>", 1)
+    found = F.regexp_extract_all(box, F.lit(r"(?s)<li>\s*<a\b([^>]*>.*?)</a>"), F.lit(1))
+    rows = pages.select(F.col(url).alias("source_url"), F.explode(found).alias("a"))
+    rows = rows.select("source_url", F.regexp_extract("a", r"href=\"([^\"]*)\"", 1).alias("href"), T.unescape(F.regexp_replace(F.regexp_replace("a", "^[^>]*>", ""), "<[^>]*>", "")).alias("label"))
+    listed = r"^\s*([A-Z0-9]{2,10})\s*-\s*(.+)$"
+    code = F.coalesce(T.blank_to_null(F.regexp_extract("label", listed, 1)), T.blank_to_null(T.slug_code("href")))
+    name = F.coalesce(T.blank_to_null(T.strip(F.regexp_extract("label", listed, 2))), F.col("label"))
+    out = rows.select("source_url", code.alias("university_code"), name.alias("name"), absolute_url(F.col("href"), base).alias("detail_url")).where("university_code is not null")
+    return out.where(F.upper("university_code").isin(codes)) if codes else out
 
 
 def unrender(html: Column) -> Column:
     """The text of a browser's view-source page: a line for each td.line-content, tags dropped, references decoded."""
     cells = F.regexp_extract_all(html, F.lit(r"(?s)<td class=\"line-content\">(.*?)</td>"), F.lit(1))
-    return F.array_join(F.transform(cells, lambda c: T.unescape_common(F.regexp_replace(c, r"<[^>]+>", ""))), "\n")
+    return F.array_join(F.transform(cells, lambda c: T.unescape(F.regexp_replace(c, r"<[^>]+>", ""))), "\n")
 
 
 class _Tables(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[int, str, list[str]]] = []
+        self.rows: list[tuple[int, str, bool, list[str]]] = []
+        self.body = False
         self.heading, self.table, self.open = "", 0, []
         self.cells: list[list[str]] | None = None
         self.into: list[str] | None = None
@@ -55,6 +95,10 @@ class _Tables(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             self.table += 1
+            self.body = False
+        elif tag in ("tbody", "thead", "tfoot"):
+            self._end()
+            self.body = tag == "tbody"
         elif tag == "tr":
             self._end()
             self.cells = []
@@ -65,8 +109,9 @@ class _Tables(HTMLParser):
             self.head = []
 
     def handle_endtag(self, tag):
-        if tag in ("tr", "table"):
+        if tag in ("tr", "table", "tbody", "thead", "tfoot"):
             self._end()
+            self.body = self.body and tag == "tr"
         elif tag in ("td", "th"):
             self.into = None
         elif tag in ("h2", "h3") and self.head is not None:
@@ -79,13 +124,13 @@ class _Tables(HTMLParser):
 
     def _end(self):
         if self.cells:
-            self.rows.append((self.table, self.heading, [" ".join(x.strip() for x in c if x.strip()) for c in self.cells]))
+            self.rows.append((self.table, self.heading, self.body, [" ".join(x.strip() for x in c if x.strip()) for c in self.cells]))
         self.cells = self.into = None
 
 
 def table_rows(pages: DataFrame, url: str = "url", html: str = "html", min_cells: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
-    """url, table, row, heading (the nearest h2 or h3 before), cells: each table row with at least min_cells cells, and the columns
-    `carry` of its page. Filter pages before this call; nothing is pushed through it."""
+    """url, table, row, heading (the nearest h2 or h3 before), body (within a tbody), cells: each table row with at least min_cells
+    cells, and the columns `carry` of its page. Filter pages before this call; nothing is pushed through it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -95,10 +140,10 @@ def table_rows(pages: DataFrame, url: str = "url", html: str = "html", min_cells
                 p.feed(h or "")
                 p.close()
                 p._end()
-                out += [(u, t, k, head, cells, *more) for k, (t, head, cells) in enumerate(p.rows) if len(cells) >= min_cells]
-            yield pd.DataFrame(out, columns=["url", "table", "row", "heading", "cells", *carry])
+                out += [(u, t, k, head, body, cells, *more) for k, (t, head, body, cells) in enumerate(p.rows) if len(cells) >= min_cells]
+            yield pd.DataFrame(out, columns=["url", "table", "row", "heading", "body", "cells", *carry])
 
-    schema = "url string, table int, row int, heading string, cells array<string>" + "".join(f", {c} {pages.schema[c].dataType.simpleString()}" for c in carry)
+    schema = "url string, table int, row int, heading string, body boolean, cells array<string>" + "".join(f", {c} {pages.schema[c].dataType.simpleString()}" for c in carry)
     return pages.select(F.col(url).alias("url"), F.col(html).alias("html"), *carry).mapInPandas(run, schema)
 
 
@@ -108,31 +153,50 @@ def cell(k: int) -> Column:
 
 
 def ministry_scores(pages: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """The ministry's score tables as raw records; the method is told by the programme's name."""
-    rows = table_rows(pages, min_cells=5)
+    """The ministry's score tables as raw records: rows of five cells or more within a tbody. The method is told by the programme's
+    name, and the year is that of the page, where pages has one."""
+    carry = ("year",) if "year" in pages.columns else ()
+    rows = table_rows(pages, min_cells=5, carry=carry).where("body")
     out = rows.select(
         T.scan_code(cell(1)).alias("university_code"), cell(4).alias("major_name_raw"), T.seven_digits(cell(3)).alias("major_code"), T.title_method(cell(4)).alias("admission_method"),
-        T.scan_combo(cell(5)).alias("subject_combination"), T.score(cell(6)).cast("string").alias("cutoff_score"), F.col("url").alias("source_url"), "table", "row",
+        T.scan_combo(cell(5)).alias("subject_combination"), T.score(cell(6)).cast("string").alias("cutoff_score"), F.col("url").alias("source_url"), "table", "row", *carry,
     )
     return out.where(F.col("university_code").isin(codes)) if codes else out
 
 
-def detail_scores(pages: DataFrame, code: Column, as_of_year: int, years: list[int]) -> DataFrame:
-    """The aggregator's detail tables: the year and method of the heading, a row for each combination listed."""
-    rows = table_rows(pages, min_cells=3)
-    year = F.coalesce(F.regexp_extract(F.lower("heading"), r"năm\s+(\d{4})", 1).try_cast("int"), F.lit(as_of_year))
-    rows = rows.withColumn("year", year).where(F.col("year").isin(years)).where((cell(1) != "") & ~F.lower(cell(1)).isin("tên ngành", "ngành"))
-    combos = F.when(T.strip(cell(2)) == "", F.array(F.lit("KHAC"))).otherwise(F.split(cell(2), ","))
-    return rows.select(code.alias("university_code"), cell(1).alias("major_name_raw"), "year", T.title_method("heading").alias("admission_method"), F.explode(combos).alias("c"), T.score(cell(3)).alias("cutoff_score"), F.col("url").alias("source_url")).withColumn("subject_combination", T.scan_combo("c")).drop("c")
+def detail_scores(pages: DataFrame, code: Column | str, as_of_year: int, years: list[int]) -> DataFrame:
+    """The aggregator's detail tables: the year and method of the heading, a row for each combination listed. `code` is the column of
+    pages with the university's code, or a constant. Rows of fewer than three cells, without a name, or that name the column are left out."""
+    rows = table_rows(pages, min_cells=3, carry=(code,) if isinstance(code, str) else ()).where("body")
+    title = T.nfc(F.lower("heading"))
+    year = F.coalesce(F.regexp_extract(title, r"(?U)năm\s+(\d{4})", 1).try_cast("int"), F.lit(as_of_year))
+    rows = rows.withColumn("year", year).where(F.col("year").isin(years)).where((cell(1) != "") & ~F.contains(F.lower(cell(1)), F.lit("tên ngành")))
+    combos = F.when(cell(2) == "", F.array(F.lit("KHAC"))).otherwise(F.split(cell(2), ","))
+    return rows.select(
+        (F.col(code) if isinstance(code, str) else code).alias("university_code"), cell(1).alias("major_name_raw"), "year", T.title_method("heading").alias("admission_method"), F.explode(combos).alias("c"),
+        T.score(cell(3)).alias("cutoff_score"), T.blank_to_null(cell(4)).alias("note"), F.col("url").alias("source_url"),
+    ).withColumn("subject_combination", T.scan_combo("c")).drop("c")
+
+
+# Places in an address that tell the region; any other place is in the south.
+NORTH, CENTRAL = ["hà nội", "thái nguyên", "phú thọ"], ["đà nẵng", "huế"]
 
 
 def university_fields(text: Column) -> dict[str, Column]:
-    """Website, address, region and province of a detail page's text."""
-    address = T.clean_text(F.regexp_extract(text, r"(?:Địa chỉ|Trụ sở):\s*([^;.\n]+)", 1))
-    low = T.strip_accents(F.lower(address), True)
-    north, central = ["ha noi", "hai phong", "thai nguyen", "nam dinh"], ["da nang", "hue", "nghe an", "quang nam"]
-    region = T.first_keyword(low, [("north", north), ("central", central)], "south")
-    return {"website": T.blank_to_null(F.regexp_replace(F.regexp_extract(text, r"(?:Website|Web):\s*([^\s,;]+)", 1), "^/+|/+$", "")), "address": address, "region": region, "province": T.clean_text(F.try_element_at(F.split(address, ","), F.lit(-1)))}
+    """Website, address, region and province of a detail page's text; region and province only where there is an address."""
+    text = T.nfc(text)
+    address = T.blank_to_null(T.strip(F.regexp_extract(text, r"(?iu)(?:địa chỉ|trụ sở):\s*([^;.\n]+)", 1)))
+    website = T.blank_to_null(F.regexp_replace(F.regexp_extract(text, r"(?i)(?:website|web):\s*([^\s,;]+)", 1), "^/+|/+$", ""))
+    region = F.when(address.isNotNull(), T.first_keyword(F.lower(address), [(NORTH, "north"), (CENTRAL, "central")], "south"))
+    return {"website": website, "address": address, "region": region, "province": T.strip(F.try_element_at(F.split(address, ","), F.lit(-1)))}
+
+
+def universities(details: DataFrame, code: str, name: str, text: Column, as_of) -> DataFrame:
+    """A raw university record for each detail page."""
+    return details.select(
+        F.col(code).alias("university_code"), F.col(name).alias("name"), F.col(code).alias("short_name"), F.lit("public").alias("university_type"),
+        *[c.alias(k) for k, c in university_fields(text).items()], F.lit(as_of).cast("timestamp").alias("scraped_at"), F.col("url").alias("source_url"),
+    )
 
 
 def next_page(html: Column, page: Column, limit: int = 50) -> Column:

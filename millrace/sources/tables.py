@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..schemas import CRAWL_LOG
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new folder name under spark.checkpoint.dir, which driver and executors share; a temporary folder only where that is unset."""
+    """A new folder name under spark.checkpoint.dir, which driver and executors share. Where that is unset on one machine, a temporary
+    folder; on a cluster, an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="millrace-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         base = f"file://{own}"
@@ -61,15 +67,21 @@ def read_text_table(spark: SparkSession, path: str, schema, form: str) -> DataFr
     return spark.read.schema(schema).format(form).options(**options).load(path)
 
 
-def truncated(df: DataFrame) -> DataFrame:
-    """The table without rows, for a reset."""
-    return df.limit(0)
+def reset(spark: SparkSession, path: str, version: str) -> str:
+    """A new version of the table without rows; earlier versions stay readable by name."""
+    return write_version(read_version(spark, path).limit(0), path, version)
+
+
+def majors_from_seed(seed: DataFrame) -> DataFrame:
+    """Rows of the dimension from seed rows (code, name, group, holland as a comma-separated list), the first of each code."""
+    return seed.groupBy("code").agg(F.min(F.struct("name", "group", "holland")).alias("x")).select(
+        F.col("code").alias("major_code"), "x.name", F.col("x.group").alias("major_group"), F.substring("code", 1, 3).alias("major_group_code"), T.csv_list("x.holland").alias("holland_types"),
+        F.lit(4).cast("smallint").alias("study_duration"), F.lit("bachelor").alias("degree_level"), F.lit(True).alias("is_active"),
+    )
 
 
 def masked(url: str) -> str:
     """A connection URL without its password."""
-    import re
-
     return re.sub(r"(://[^:/@]+:)[^@]+@", r"\1***@", url)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dedup
+from ..operators import dedup, merge, metrics
 
 
 def dedup_stream(df: DataFrame, keys: list[str], time: str, ttl: str = "24 hours") -> DataFrame:
@@ -16,21 +16,22 @@ def dedup_stream(df: DataFrame, keys: list[str], time: str, ttl: str = "24 hours
 
 
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str):
-    """Give all that is there to sink(batch, id) and end. The sink must be idempotent for a batch id, since a batch that fails is run again."""
+    """Give all that is there to sink(batch, id) and end; the reader's maxFilesPerTrigger bounds a batch. The sink must be idempotent for a batch id, since a batch that fails is run again."""
     q = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
 
-def to_versions(path: str, keys: list[str], order: list[str], as_of: str) -> Callable[[DataFrame, int], None]:
-    """A sink that writes each micro-batch once, first row a key, with a log row beside it. A batch that runs again writes over
-    its own folder, so that nothing is stored twice."""
+def to_versions(path: str, keys: list[str], order: list[str], as_of: str, needed: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink that writes each micro-batch once, first row a key, with a log row beside it: the rows stored, those that lack a needed
+    field and so fail, and the status. A batch that runs again writes over its own folder, so that nothing is stored twice."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        first = dedup.first_wins(batch, keys, order)
-        first.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        good, bad = merge.usable(batch, needed or [])
+        dedup.first_wins(good, keys, order).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         done = batch.sparkSession.read.parquet(f"{path}/rows/batch={batch_id}")
-        log = done.agg(F.count(F.lit(1)).alias("records_new")).select(F.lit(as_of).cast("timestamp").alias("as_of"), F.lit("success").alias("status"), "records_new")
+        log = done.agg(F.count(F.lit(1)).alias("records_new")).join(F.broadcast(bad.agg(F.count(F.lit(1)).alias("records_failed"))))
+        log = log.select(F.lit(as_of).cast("timestamp").alias("as_of"), metrics.run_status(F.col("records_failed")).alias("status"), "records_new", "records_failed")
         log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
 
     return sink
