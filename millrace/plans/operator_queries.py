@@ -4,6 +4,7 @@ by key, against SQL that says what has to come out."""
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from ..functions import mappings as M
 from ..functions import text as T
 from ..operators import dedup, merge, metrics, normalize, resolve, rules
-from ..schemas import CRAWL_LOG
 from ..sources import html as H
 from ..sources import runs, tables
 from . import admissions
+from .queries import _records as records_of
 from .queries import query
 
 
@@ -31,6 +32,10 @@ def _by(key: Column, *values, otherwise=None) -> Column:
     return out
 
 
+def union_of(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Functions.
 
 
@@ -368,7 +373,6 @@ def normalize_counters(t):
 @query("""
 SELECT o_orderkey AS ingest_seq, CASE o_orderkey % 3 WHEN 0 THEN 'code format' WHEN 1 THEN 'score range' END AS drop_reason FROM orders""")
 def strict_rules(t):
-    k = F.col("o_orderkey")
     df = _scores(t).withColumns({"university_code": _by(F.col("ingest_seq"), "x", "abc", "abc"), "cutoff_score": _by(F.col("ingest_seq"), "20", "9.5", "20"), "quota": F.lit("1"), "scraped_at": F.lit(None).cast("timestamp")})
     return rules.validate(df, rules.strict_rules("2024-01-01", 2024)).select("ingest_seq", "drop_reason")
 
@@ -555,3 +559,42 @@ def report_sections(t):
         "2024-01-01", latest=metrics.latest(days, "day").select(F.col("day").cast("string").alias("metric"), "value"), years=metrics.count_by(t("orders"), F.year("o_orderdate").cast("string").alias("metric")).withColumnRenamed("n", "value"),
         low=pay.select(F.col("c_mktsegment").alias("metric"), F.col("low").alias("value")), middle=pay.select(F.col("c_mktsegment").alias("metric"), F.col("middle").alias("value")),
     ).drop("generated_at")
+
+
+_VALID = "o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0"
+_NO_SCORES = "university_id string, major_id string, year smallint, admission_method string, subject_combination string, cutoff_score decimal(5,2), quota bigint, note string, scraped_at timestamp, source_url string"
+
+
+@query(f"""
+SELECT 'scores' AS part, count(*) AS n FROM (SELECT DISTINCT o_custkey % 50, o_orderkey % 20 FROM orders WHERE {_VALID}) UNION ALL SELECT 'new', count(*) FROM (SELECT DISTINCT o_custkey % 50, o_orderkey % 20 FROM orders WHERE {_VALID})
+UNION ALL SELECT 'universities', count(DISTINCT o_custkey % 50) FROM orders WHERE {_VALID} UNION ALL SELECT 'majors', count(DISTINCT o_orderkey % 20) FROM orders WHERE {_VALID} UNION ALL SELECT 'dropped', count(*) FROM orders WHERE NOT ({_VALID})
+UNION ALL SELECT 'new again', 0 UNION ALL SELECT 'unchanged again', count(*) FROM (SELECT DISTINCT o_custkey % 50, o_orderkey % 20 FROM orders WHERE {_VALID})""")
+def admissions_run(t):
+    """The whole plan from raw records to tables, run twice: the second run finds everything stored."""
+    raw = records_of(t)
+    spark = raw.sparkSession
+    u = spark.createDataFrame([], "id string, university_code string, name string, university_type string, region string, is_active boolean")
+    m = spark.createDataFrame([], "id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean")
+    at = tables.scratch(spark, "admissions")
+    out = admissions.run(raw, spark.createDataFrame([], _NO_SCORES), u, m, "2024-01-01")
+    kept = {}
+    for k in ("scores", "universities", "majors"):
+        tables.write_version(out[k], f"{at}/{k}", "1")
+        kept[k] = tables.read_version(spark, f"{at}/{k}")
+    again = admissions.run(raw, kept["scores"].drop("action"), kept["universities"], kept["majors"], "2024-01-01")
+    parts = {k: df.agg(F.count(F.lit(1)).alias("n")) for k, df in kept.items()} | {"dropped": out["dropped"].agg(F.sum("n").alias("n")), "new": out["counters"].select(F.col("new").alias("n"))}
+    parts |= {"new again": again["counters"].select(F.col("new").alias("n")), "unchanged again": again["counters"].select(F.col("unchanged").alias("n"))}
+    return union_of([df.select(F.lit(k).alias("part"), "n") for k, df in parts.items()])
+
+
+@query("""
+SELECT 'university' AS kind, count(*) FILTER (r IS NULL) AS records_new, 0::BIGINT AS records_updated, 0::BIGINT AS records_failed, count(r) AS dropped FROM (SELECT CASE WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0 THEN 1 END AS r FROM customer)
+UNION ALL SELECT 'major', 0, count(*) FILTER (r IS NULL), 0, count(r) FROM (SELECT CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 OR p_partkey % 17 = 0 OR p_partkey % 7 = 0 OR p_partkey % 3 = 1 THEN 1 END AS r FROM part)""")
+def dimension_runs(t):
+    """Universities into an empty table, majors into one that has them all."""
+    u, m = _universities(t), _majors(t)
+    text = "name string, short_name string, university_type string, region string, province string, address string, website string, admission_url string, logo_url string, tuition_min bigint, tuition_max bigint, established_year bigint, scraped_at timestamp, source_url string"
+    first = admissions.run_dimension("university", u, u.sparkSession.createDataFrame([], f"university_code string, {text}"), "2024-01-01")
+    stored = normalize.majors(rules.listed(m)).withColumn("scraped_at", F.lit("2020-01-01").cast("timestamp"))
+    second = admissions.run_dimension("major", m, stored.where("ingest_seq % 11 <> 0 and ingest_seq % 13 <> 0"), "2024-01-01")
+    return union_of([r["counters"].join(F.broadcast(r["dropped"].agg(F.sum("n").alias("dropped")))).select(F.lit(k).alias("kind"), "records_new", "records_updated", "records_failed", "dropped") for k, r in (("university", first), ("major", second))])
