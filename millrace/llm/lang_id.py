@@ -11,7 +11,6 @@ length, the first of which begins the word: every letter counts, and the time fo
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import hashing
 from .common import crc_mod, documents, materialize, slices, tidy
+from .hashing import Slots, Words
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Distinct words that a worker holds before it spends them on expected counts, or the scores of words that it keeps.
@@ -35,7 +36,8 @@ POOLED = 2000.0
 SLACK, SLACK_SHORT = 2.5, 3.0
 _UNKNOWN = 1e-7
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: A letter, as a pattern.
+LETTER = r"[^\W\d_]"
 
 
 def vocabulary(path: str | None = None) -> list[str]:
@@ -148,91 +150,14 @@ class Lattice:
         return np.bincount(np.concatenate([s[3] for s in spans]), np.concatenate(share), self.n)
 
 
-_letter_table: list[np.ndarray] = []
-
-
-def _letters() -> np.ndarray:
-    """Which code points are letters, made once in a process."""
-    if not _letter_table:
-        table = np.zeros(0x110000, bool)
-        for a, b in ((0, 0xD800), (0xE000, 0x110000)):
-            for m in _LETTERS.finditer("".join(map(chr, range(a, b)))):
-                table[a + m.start() : a + m.end()] = True
-        _letter_table.append(table)
-    return _letter_table[0]
-
-
-@dataclass
-class Words:
-    """The words, and parts of longer words, of some texts, one behind the other."""
-
-    points: np.ndarray  # code points of all texts
-    start: np.ndarray
-    length: np.ndarray
-    begins: np.ndarray  # whether it begins a word
-    hash: np.ndarray
-    per_text: np.ndarray  # their number in each text
-
-    def rows(self, which: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The words at these places, of one length at a time and of at most about `most` characters: (indexes into `which`, points)."""
-        kind = 2 * self.length[which] + self.begins[which]
-        order = np.argsort(kind, kind="stable")
-        edge = [0, *(np.nonzero(np.diff(kind[order]))[0] + 1).tolist(), len(order)]
-        for a, b in zip(edge, edge[1:], strict=False):
-            if a == b:
-                continue
-            length, begins = divmod(int(kind[order[a]]), 2)
-            step = max(1, most // (length + 1))
-            for k in range(a, b, step):
-                at = order[k : min(k + step, b)]
-                points = self.points[self.start[which[at]][:, None] + np.arange(length)]
-                yield at, np.insert(points, 0, ord("▁"), axis=1) if begins else points
-
-
 def words_of(texts: list[str]) -> Words:
-    lower = [t.lower() for t in texts]
-    points = np.frombuffer(" ".join([*lower, ""]).encode("utf-32-le", "replace"), np.uint32)
-    inside = np.append(False, _letters()[points])
-    turn = np.nonzero(inside[1:] != inside[:-1])[0]  # the last character is a space, so words start and end in turn
-    start, length = turn[::2], turn[1::2] - turn[::2]
-    after = np.cumsum([len(t) + 1 for t in lower])
-    parts = -(-length // MAX_LEN)
-    of = np.repeat(np.arange(len(start)), parts)
-    nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-    start, length, begins = start[of] + MAX_LEN * nth, np.minimum(length[of] - MAX_LEN * nth, MAX_LEN), nth == 0
-    size = length.cumsum()
-    place = np.arange(size[-1] if len(size) else 0) - np.repeat(size - length, length)
-    power = np.cumprod(np.full(MAX_LEN, _BASE), dtype=np.uint64)
-    letters = points[np.repeat(start, length) + place].astype(np.uint64)
-    letters = (letters + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    letters = (letters ^ (letters >> np.uint64(29))) * power[place]
-    h = np.add.reduceat(letters, size - length) if len(size) else np.zeros(0, np.uint64)
-    h = (h ^ (length * 2 + begins).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-    return Words(points, start, length, begins, h ^ (h >> np.uint64(31)), np.diff(np.append(0, np.searchsorted(start, after))))
-
-
-class Slots:
-    """A number for each distinct hash, by order of coming."""
-
-    def __init__(self):
-        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def __len__(self) -> int:
-        return len(self.keys)
+    return hashing.words_of(texts, LETTER, MAX_LEN)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Their numbers, -1 for those that are not here."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.numbers[at], -1)
 
-    def add(self, keys: np.ndarray) -> None:
-        """Distinct keys that are not here."""
-        numbers = np.arange(len(self.keys), len(self.keys) + len(keys))
-        keys, numbers = np.append(self.keys, keys), np.append(self.numbers, numbers)
-        order = np.argsort(keys)
-        self.keys, self.numbers = keys[order], numbers[order]
+def lattice_rows(words: Words, which: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(indexes into `which`, code points) of words of one length at a time, with the mark of a beginning before those that begin a word."""
+    for at, points, begins in words.rows(which, most):
+        yield at, np.insert(points, 0, ord("▁"), axis=1) if begins else points
 
 
 class Counts:
@@ -285,7 +210,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         def spend() -> None:
             for lang, own in held.items():
                 words = own.words()
-                for at, points in words.rows(np.arange(len(own.slots)), 400_000):
+                for at, points in lattice_rows(words, np.arange(len(own.slots)), 400_000):
                     total[lang] = total.get(lang, 0) + lattice.expected(points, own.n[at].astype(float), prior)
             held.clear()
 
@@ -339,7 +264,7 @@ def scorer(pieces: list[str], table: np.ndarray, languages: list[str], max_words
         again[at[at >= 0]] = True
         new = np.nonzero(at < 0)[0]
         value = np.empty((len(new), nl))
-        for k, points in words.rows(first[new], 200_000):
+        for k, points in lattice_rows(words, first[new], 200_000):
             value[k] = lattice.forward(points, table)
         at[new] = len(logs) + np.arange(len(new))
         slots.add(h[new])

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of_groups, crc_mod, discard, documents, materialize, slices, tidy
+from .hashing import byte_words, mix
 
 BASE = 1.4
 #: Bits of the filter for each stored (n-gram, level), and probes of each: a false positive rate of about 1 %.
@@ -39,25 +40,15 @@ BUCKET_BYTES, MAX_BUCKETS, MAX_TASKS = 6 << 20, 1 << 16, 20_000
 PRIOR = 30.0
 #: Words of a batch that a worker counts before it hands on partial counts.
 COUNT_WORDS = 1_500_000
-_C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PAIR, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 END = np.uint64(0x51ED270B0A1F39C1)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _C1
-    x = (x ^ (x >> np.uint64(27))) * _C2
-    return x ^ (x >> np.uint64(31))
-
-
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _mix(a * _PAIR + (b ^ _LEVEL))
+    return mix(a * _PAIR + (b ^ _LEVEL))
 
 
-#: Random numbers by place in a word and byte: a word's hash is their sum. Longer words go through the places again, times a power.
-_PLACES = 64
-_TABLE = np.random.default_rng(20231).integers(0, 1 << 64, _PLACES * 256, np.uint64)
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
@@ -69,16 +60,7 @@ class Words:
         """(hashes of all words and ends, number of them in each text)."""
         raw = [t.encode("utf-8", "replace") for t in texts]
         x = np.frombuffer(b" ".join([*raw, b""]).translate(_LOWER), np.uint8)
-        inside = np.append(False, ~_SPACE[x])
-        turn = np.nonzero(inside[1:] != inside[:-1])[0]  # the last byte is a space, so words start and end in turn
-        start, length = turn[::2], turn[1::2] - turn[::2]
-        edge = np.cumsum(length) - length
-        place = np.arange(int(length.sum())) - np.repeat(edge, length)
-        part = _TABLE[(place % _PLACES << 8) + x[inside[1:]]]
-        if len(length) and length.max() > _PLACES:
-            power = np.cumprod(np.append(np.uint64(1), np.full(int(length.max()) // _PLACES, _PAIR)), dtype=np.uint64)
-            part = part * power[place // _PLACES]
-        words = _mix(np.add.reduceat(part, edge) ^ length.astype(np.uint64)) if len(length) else np.zeros(0, np.uint64)
+        start, words = byte_words(x, ~_SPACE[x])
         after = np.searchsorted(start, np.cumsum([len(t) + 1 for t in raw]))  # words up to the end of each text
         out = np.full(len(words) + len(texts), END)
         at = np.ones(len(out), bool)
@@ -103,7 +85,7 @@ def _previous(h: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(grams ^ _LEVEL) % np.uint64(max(1, buckets))).astype(np.int64)
+    return (mix(grams ^ _LEVEL) % np.uint64(max(1, buckets))).astype(np.int64)
 
 
 def _by_bucket(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +97,7 @@ def _by_bucket(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def prints(grams: np.ndarray) -> np.ndarray:
     """What stands for an n-gram within its bucket. A clash in 32 bits is rarer than a false positive of the filter while a bucket has
     under 40 million n-grams, and like one only raises a level."""
-    return (_mix(grams ^ _LEVEL) >> np.uint64(32)).astype(np.uint32)
+    return (mix(grams ^ _LEVEL) >> np.uint64(32)).astype(np.uint32)
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> dict[str, bytes]:
@@ -199,7 +181,7 @@ class Filter:
         self.bits = np.zeros(segments * segment_bytes, np.uint8) if bits is None else bits
 
     def _bit(self, marks: np.ndarray, lev: np.ndarray, probe: int) -> np.ndarray:
-        x = _mix(marks + lev.astype(np.uint64) * _LEVEL)
+        x = mix(marks + lev.astype(np.uint64) * _LEVEL)
         by = np.uint64((2 * probe + 1) * int(_PAIR) & (1 << 64) - 1)
         return (x * by >> np.uint64(20)) % np.uint64(8 * self.segment_bytes)
 

@@ -258,7 +258,7 @@ def test_words_by_pattern():
     want = [[x for m in re.findall(r"[^\W\d_]+", t.lower()) for x in (("▁" if k == 0 else "") + m[k : k + lang_id.MAX_LEN] for k in range(0, len(m), lang_id.MAX_LEN))] for t in texts]
     assert w.per_text.tolist() == [len(x) for x in want]
     got = [""] * len(w.hash)
-    for at, points in w.rows(np.arange(len(w.hash)), 100):
+    for at, points in lang_id.lattice_rows(w, np.arange(len(w.hash)), 100):
         for k, row in zip(at, points, strict=True):
             got[k] = "".join(map(chr, row))
     flat = [x for ws in want for x in ws]
