@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import batches_of_groups, documents, join_skewed, materialize, slices, small, tidy
 from .components import connected_components
+from .hashing import byte_words, mix
 from .id_join import join_ids
 
 N = 5
@@ -32,7 +32,8 @@ MAX_HASHES = 96
 MARGIN = 0.2
 #: Nodes of a block, and their n-grams, on average.
 BLOCK_ROWS, BLOCK_GRAMS = 256, 400_000
-MAX_WORDS = 300_000
+#: N-grams that are hashed at a time.
+RUN_GRAMS = 32_768
 _M = (1 << 64) - 1
 
 
@@ -50,36 +51,18 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     return best
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Shingler:
     """Sets of word-n-gram hashes. Words are what white space parts, in lower case; a text of fewer than n words, but at least
     one, is one gram of all of them."""
 
-    def __init__(self, n: int = N, limit: int = MAX_WORDS):
-        self.n, self.limit, self.known = n, limit, {}
-
-    def _hash_words(self, words: list[str]) -> np.ndarray:
-        import xxhash
-
-        every = set(words)
-        new = every - self.known.keys()
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = every
-        for w in new:
-            self.known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+    def __init__(self, n: int = N):
+        self.n = n
 
     def sets(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The sorted distinct hashes of each text's n-grams."""
         split = [t.lower().split() for t in texts]
-        h = self._hash_words(list(chain.from_iterable(split)))
+        x = np.frombuffer(" ".join([" ".join(w) for w in split] + [""]).encode("utf-8", "surrogatepass"), np.uint8)
+        _, h = byte_words(x, x != 0x20)
         at = 0
         for words in split:
             w = h[at : at + len(words)]
@@ -90,7 +73,7 @@ class Shingler:
             k = min(self.n, len(w))
             gram = np.full(len(w) - k + 1, k, np.uint64)
             for i in range(k):
-                gram = _mix(gram * np.uint64(0x9E3779B97F4A7C15) + w[i : len(w) - k + 1 + i])
+                gram = mix(gram * np.uint64(0x9E3779B97F4A7C15) + w[i : len(w) - k + 1 + i])
             yield np.unique(gram)
 
 
@@ -99,17 +82,35 @@ def _constants(count: int) -> tuple[np.ndarray, np.ndarray]:
     return r.integers(0, _M, count, np.uint64, endpoint=True) | np.uint64(1), r.integers(0, _M, count, np.uint64, endpoint=True)
 
 
-def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """MinHash rows of a set: the least of a * x + b, upper half, for each (a, b)."""
-    out = np.empty(len(a), np.uint64)
+def signature(grams: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """MinHash rows of sets that lie one behind the other: the least of a * x + b of each set, for each (a, b); (sets, rows)."""
+    out = np.empty((len(a), len(starts)), np.uint64)
     for i in range(len(a)):
-        out[i] = (grams * a[i] + b[i]).min()
-    return out
+        out[i] = np.minimum.reduceat(grams * a[i] + b[i], starts)
+    return np.ascontiguousarray(out.T)
+
+
+def _nodes(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A signed 64-bit name of each set."""
+    return mix(np.add.reduceat(mix(grams), starts) ^ sizes.astype(np.uint64)).view(np.int64)
 
 
 def _node(grams: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return int(_mix(np.array([_mix(grams).sum(dtype=np.uint64) ^ np.uint64(len(grams))], np.uint64)).view(np.int64)[0])
+    return int(_nodes(grams, np.zeros(1, np.int64), np.array([len(grams)]))[0])
+
+
+def _runs_of_sets(sets: Iterator[np.ndarray], most: int = RUN_GRAMS) -> Iterator[list[np.ndarray]]:
+    """Sets in runs of about `most` grams, which fit into a processor's cache; a larger set is a run of its own."""
+    held: list[np.ndarray] = []
+    size = 0
+    for s in sets:
+        if held and size + len(s) > most:
+            yield held
+            held, size = [], 0
+        held.append(s)
+        size += len(s)
+    if held:
+        yield held
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
@@ -118,19 +119,25 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
-        salt = _mix(np.arange(1, bands + 1, dtype=np.uint64))
+        salt = mix(np.arange(1, bands + 1, dtype=np.uint64))
         for f in frames:
             texts, out = f["text"].fillna("").tolist(), []
             for i, j in slices(texts):
-                for g in shingler.sets(texts[i:j]):
-                    if not len(g):
-                        out.append((None, 0, None, None))
+                for held in _runs_of_sets(shingler.sets(texts[i:j])):
+                    full = [g for g in held if len(g)]
+                    if not full:
+                        out += [(None, 0, None, None)] * len(held)
                         continue
-                    s = signature(g, a, b)
-                    key = salt.copy()
-                    for row in s.reshape(bands, rows).T:
-                        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
-                    out.append((_node(g), len(g), (s >> np.uint64(56)).astype(np.uint8).tobytes(), key.view(np.int64)))
+                    sizes = np.array([len(g) for g in full])
+                    grams, starts = np.concatenate(full), np.cumsum(sizes) - sizes
+                    s = signature(grams, starts, a, b)
+                    key = np.tile(salt, (len(full), 1))
+                    for row in range(rows):
+                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + s[:, row::rows])
+                    got = zip(_nodes(grams, starts, sizes).tolist(), sizes.tolist(), (s >> np.uint64(56)).astype(np.uint8), key.view(np.int64), strict=True)
+                    for g in held:
+                        node = next(got) if len(g) else (None, 0, None, None)
+                        out.append((node[0], node[1], node[2].tobytes(), node[3]) if len(g) else node)
             node, grams, sig, keys = zip(*out, strict=True) if out else ((),) * 4
             yield pd.DataFrame({"doc_id": f["doc_id"], "node": _longs(node), "grams": _longs(grams), "sig": pd.Series(sig, f.index, object), "bands": pd.Series(keys, f.index, object)})
 
