@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, slices, tidy
+from .hashing import Slots, Words, words_of
 from .training import held_out, sample
 
 # For four languages, terms for groups of people that may stand in each other's place, and neutral words that may.
@@ -47,7 +48,9 @@ SWAP, COPIES = 1.0, 4
 THRESHOLD = 0.5
 MAX_WORDS = 300_000
 FEATURES = 4
-_WORD = re.compile(r"[^\W_]+")
+#: A character of a word, as a pattern.
+LETTER_OR_DIGIT = r"[^\W_]"
+_WORD = re.compile(rf"{LETTER_OR_DIGIT}+")
 
 
 def features(word: str) -> tuple[int, ...]:
@@ -56,10 +59,6 @@ def features(word: str) -> tuple[int, ...]:
     return (zlib.crc32(b"w" + word.encode("utf-8", "replace")) & mask, *(zlib.crc32(b"p" + ended[:k].encode("utf-8", "replace")) & mask for k in (4, 5, 6)))
 
 
-def _token_words(token: str) -> list[str]:
-    return _WORD.findall(token.lower())
-
-
 def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The windows of texts that lie one behind the other: their starts and ends, and the place of each text's first window."""
     count = np.where(lengths > WINDOW, -(-(lengths - WINDOW) // STEP) + 1, 1)
@@ -111,7 +110,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, swap: float
     bias = float(np.log(share / (1 - share)))
     if not n or y.min() == y.max():
         return Classifier(np.zeros(1 << BITS), bias)
-    rows = [_token_words(t) for t in texts]
+    rows = [_WORD.findall(t.lower()) for t in texts]
     kept, swapped = swaps(rows, copies) if swap else ([], [])
     pairs = len(kept)
     names: dict[str, int] = {}
@@ -165,36 +164,25 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, swap: float
 
 
 class _Values:
-    """The words' weights of tokens (what white space parts), in one array; at most `limit` tokens are kept."""
+    """The weights of words, by hash; at most `limit` words are kept."""
 
     def __init__(self, weights: np.ndarray, limit: int):
         self.weights, self.limit = weights, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.values, self.first, self.size = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(weights of the tokens' words, one after the other; the number of words of each token)."""
-        every = set(tokens)
-        new = every - self.known.keys()
-        if len(self.known) + len(new) > self.limit:
-            self.clear()
-            new = every
-        if new:
-            words = [_token_words(t) for t in new]
-            flat = [x for ws in words for x in ws]
-            names = {x: k for k, x in enumerate(dict.fromkeys(flat))}
-            value = self.weights[np.array([features(x) for x in names]).reshape(-1, FEATURES)].sum(1)
-            size = np.array([len(ws) for ws in words], np.int64)
-            self.first = np.append(self.first, len(self.values) + np.cumsum(size) - size)
-            self.size = np.append(self.size, size)
-            self.values = np.append(self.values, value[[names[x] for x in flat]])
-            self.known.update((t, k) for k, t in enumerate(new, len(self.known)))
-        k = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
-        size = self.size[k]
-        return self.values[np.repeat(self.first[k] - np.cumsum(size) + size, size) + np.arange(size.sum())], size
+        self.slots, self.values = Slots(), np.zeros(0)
+
+    def __call__(self, words: Words) -> np.ndarray:
+        h, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = self.slots.find(h)
+        if len(self.slots) + int((at < 0).sum()) > self.limit:
+            self.slots, self.values = Slots(), np.zeros(0)
+            at = np.full(len(h), -1)
+        new = np.nonzero(at < 0)[0]
+        if len(new):
+            at[new] = len(self.values) + np.arange(len(new))
+            value = self.weights[np.array([features(x) for x in words.texts(first[new])]).reshape(-1, FEATURES)].sum(1)
+            self.slots.add(h[new])
+            self.values = np.append(self.values, value)
+        return self.values[at[back]]
 
 
 def score_toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, max_words: int = MAX_WORDS) -> DataFrame:
@@ -209,12 +197,9 @@ def score_toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", t
         for f in frames:
             texts, out = f["text"].fillna("").tolist(), [np.zeros(0)]
             for a, b in slices(texts, 2_000_000):
-                split = [t.split() for t in texts[a:b]]
-                s, size = values([x for tokens in split for x in tokens])
-                words = np.append(0, np.cumsum(size))
-                edge = words[np.append(0, np.cumsum([len(tokens) for tokens in split]))]
-                i, j, first = windows_of(np.diff(edge))
-                c = np.append(0, np.cumsum(s))
+                words = words_of(texts[a:b], LETTER_OR_DIGIT)
+                i, j, first = windows_of(words.per_text)
+                c = np.append(0, np.cumsum(values(words)))
                 out.append(np.maximum.reduceat(c[j] - c[i], first[:-1]) + bias)
             p = 1 / (1 + np.exp(-np.clip(np.concatenate(out), -30, 30)))
             yield pd.DataFrame({"doc_id": f["doc_id"], "score": p, "predicted": (p >= threshold).astype("int32")})
