@@ -49,10 +49,19 @@ def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table of materialize() that nothing will read again."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    delete(df.sparkSession, df._written_to)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables of materialize(), those of other applications too: for the end of a job, when its results are stored."""
+    delete(spark, shared_dir(spark))
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

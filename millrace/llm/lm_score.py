@@ -37,7 +37,7 @@ WORD_ROWS = 500_000
 #: that they are dealt to. A task merges the counts of one bucket at a time and holds its distinct n-grams.
 BUCKET_BYTES, MAX_BUCKETS, MAX_TASKS = 6 << 20, 1 << 16, 20_000
 #: Evidence of a word at which its followers' frequencies and the words' own weigh the same.
-PRIOR = 30.0
+PRIOR = 100.0
 #: Words of a batch that a worker counts before it hands on partial counts.
 COUNT_WORDS = 1_500_000
 _PAIR, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)

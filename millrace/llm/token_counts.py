@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, join_skewed, materialize, shared_dir, slices, tidy
+from .common import delete, documents, join_skewed, materialize, shared_dir, slices, tidy
 from .exact_dedup import cells, filter_size, flagged, repeated_words
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -113,5 +113,8 @@ def count_tokens(docs: DataFrame, cache_path: str, id_col: str = "doc_id", text_
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:
-    """Each call has a cache of its own, so that every run of the query does the whole work."""
-    return count_tokens(documents(spark, sf_dir), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}")
+    """Each call has a cache of its own, removed when the counts are made, so that every run of the query does the whole work."""
+    cache = f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
+    out = count_tokens(documents(spark, sf_dir), cache)
+    delete(spark, cache)
+    return out

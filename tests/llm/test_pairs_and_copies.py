@@ -154,6 +154,44 @@ def test_sketch_never_misses(spark):
     assert [(r["doc_id"], r["n_item"], r["n_shared"]) for r in got] == [(1, 100, 96)]
 
 
+def test_containment_at_the_threshold(spark):
+    """A text with 80 of 100 shingles is found, one with 79 is not, whatever stands around them."""
+    words = [f"w{k}" for k in range(104)]
+    docs = spark.createDataFrame([(n, " ".join(["zz"] * 50 + words[: n + 4] + ["zz"] * 50)) for n in (79, 80)] + [(100, " ".join(words[:44] + ["zz"] + words[44:88]))], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shared"]) for r in got) == [(80, 80), (100, 80)]
+
+
+def test_contained_beyond_the_broadcast_bounds(spark, monkeypatch):
+    from millrace.llm import common
+
+    docs, items = documents(spark, DIR), spark.read.parquet(f"{DIR}/benchmark.parquet")
+    # one item in a third of the documents, and a passage of it in all of them
+    text = items.first()["text"]
+    docs = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat_ws(" ", "text", F.lit(text))).otherwise(F.concat_ws(" ", "text", F.lit(" ".join(text.split()[:9])))).alias("text"))
+    want = Counter(map(tuple, decontaminate.contaminated(docs, items).collect()))
+    assert len(want) > docs.count() // 3
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontaminate, "GRAM_BYTES", 0)
+    assert Counter(map(tuple, decontaminate.contaminated(docs, items).collect())) == want
+
+
+def test_words_of_the_filter(spark):
+    """Cells hit once, twice, three times and four times, alone and with others in their word."""
+    hits = [5] + [70] * 2 + [64] + [200] * 3 + [201] + [300] * 4 + [301] * 2 + [302] + [400] * 2 + [401] * 2
+    got = {r["word"]: r["mask"] for r in exact_dedup.repeated_words(spark.createDataFrame([(h,) for h in hits], "cell long")).collect()}
+    assert got == {1: 1 << 6, 3: (1 << 8) | (1 << 9), 4: (1 << 44) | (1 << 45) | (1 << 46), 6: (1 << 16) | (1 << 17)}
+    sizes = [exact_dedup.filter_size(n) for n in (0, 10, 8192, 8193, 10**6, 10**12)]
+    assert sizes == [1 << 16, 1 << 16, 1 << 16, 1 << 17, 1 << 23, exact_dedup.MAX_FILTER_BITS]
+
+
+def test_a_row_that_stands_often(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_REPEATS", 7)
+    rows = spark.createDataFrame([(1, "a")] * 50 + [(2, "a")] + [(3, "b")] * 7, "doc_id long, text string")
+    got = exact_dedup.exact_dedup(rows).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == Counter({(1, 2, 51, False): 50, (2, 2, 51, True): 1, (3, 3, 7, False): 6, (3, 3, 7, True): 1})
+
+
 def test_pipeline_by_brute_force(spark):
     """What stays after every stage, each held against all pairs of its own input."""
     docs = documents(spark, DIR)

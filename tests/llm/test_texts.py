@@ -202,6 +202,29 @@ _fast = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
 _slow = __import__("tokenizers").Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def test_equality_with_the_library_is_proved():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.same_as_ranks(path) and not packing.same_as_ranks(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_every_code_point_is_split_as_the_library_does():
+    points = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    for k in range(0, len(points), 20_000):
+        text = "".join(p + ("a" if i % 3 == 0 else " " if i % 3 == 1 else "1") for i, p in enumerate(points[k : k + 20_000]))
+        assert _fast(text) == np.asarray(_slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_repeated_rows_are_dealt_over_all_partitions(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4000, numPartitions=8).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    got = packing.pack(packing.materialize(packing.pieces(docs), "same"), partition_rows=500)
+    first = got.where("sequence_id >= 0").groupBy((F.col("sequence_id") / (1 << 32)).cast("long") % (1 << 24)).count().collect()
+    assert got.count() == 4000 and len(first) == 8 and max(r["count"] for r in first) < 1000
+    used, bound = packing.certificate(got)
+    assert bound <= used <= bound + 8
+
+
 def test_other_tokenizer_files():
     path = public_tokenizers.path("word_bpe_49k.json")
     t = __import__("tokenizers").Tokenizer.from_file(path)
