@@ -52,27 +52,47 @@ def code_of_name(df: DataFrame, name: str, names: DataFrame, value: str = "code"
 
 
 def fuzzy(keys: DataFrame, key: str, names: DataFrame, cutoff: float = 0.82) -> DataFrame:
-    """The most similar dictionary entry of each distinct key, the first in order on ties, when at least `cutoff`. The dictionary
-    is scanned inside the batch UDF, so no pair becomes a row; it is a fixed small table."""
+    """The most similar dictionary entry of each distinct key, the first in order on ties, and its ratio, when that is at least `cutoff`.
+
+    The dictionary is looked at inside the batch UDF, so no pair becomes a row; it is a small table of counted size. By the letters that
+    two names share no ratio can be above a bound, found for all entries at once; only entries whose bound reaches the cutoff, and
+    the best ratio so far, are compared."""
     if names.count() > MAX_ENTRIES:
         raise ValueError("the dictionary is too large to be scanned for each key")
     entries = [(r["key"], r["value"]) for r in names.orderBy("ord").collect()]
 
     def match(frames):
-        import pandas as pd
         from difflib import SequenceMatcher
 
+        import numpy as np
+        import pandas as pd
+
+        letters = {c: k for k, c in enumerate(sorted({c for name, _ in entries for c in name}))}
+
+        def counted(text: str):
+            out = np.zeros(len(letters), np.int32)
+            for c in text:
+                if c in letters:
+                    out[letters[c]] += 1
+            return out
+
+        table = np.array([counted(name) for name, _ in entries], np.int32).reshape(len(entries), len(letters))
+        size = np.array([len(name) for name, _ in entries])
         for f in frames:
             out = []
             for k in f[key]:
                 best, value = 0.0, None
+                most = 2.0 * np.minimum(table, counted(k)).sum(axis=1) / np.maximum(size + len(k), 1)
                 m = SequenceMatcher(None, k, "")
-                m.set_seq1(k)
-                for name, v in entries:
-                    m.set_seqs(k, name)
-                    if m.real_quick_ratio() > best and m.quick_ratio() > best and (r := m.ratio()) > best:
-                        best, value = r, v
-                out.append((k, value if best >= cutoff else None, best))
+                place = len(entries)
+                for i in np.argsort(-most, kind="stable"):
+                    if most[i] < cutoff - 1e-9 or most[i] < best - 1e-9:
+                        break
+                    m.set_seqs(k, entries[i][0])
+                    r = m.ratio()
+                    if r >= cutoff and (r > best or r == best and i < place):
+                        best, value, place = r, entries[i][1], i
+                out.append((k, value, best if value is not None else None))
             yield pd.DataFrame(out, columns=[key, "match", "ratio"])
 
     return keys.mapInPandas(match, f"{key} string, match string, ratio double")

@@ -46,9 +46,9 @@ def name_clean_title(t):
     return t("part").select("p_partkey", T.major_name(raw).alias("name"))
 
 
-@query("""SELECT doc_id, nullif(trim(regexp_replace(text, '\\s+', ' ', 'g')), '') AS cleaned, nullif(trim(text)[1:100], '') AS short FROM documents""")
+@query("""SELECT doc_id, nullif(trim(regexp_replace(text, '\\s+', ' ', 'g')), '') AS cleaned, nullif(trim(text), '') AS whole FROM documents""")
 def text_clean_field(t):
-    return t("documents").select("doc_id", T.clean_text("text").alias("cleaned"), T.blank_to_null(F.substring(F.trim("text"), 1, 100)).alias("short"))
+    return t("documents").select("doc_id", T.clean_text("text").alias("cleaned"), T.opt_text("text", 1 << 30).alias("whole"))
 
 
 @query("""SELECT doc_id, replace(replace(strip_accents(text), 'đ', 'd'), 'Đ', 'D') AS plain FROM documents""")
@@ -79,10 +79,10 @@ def enum_map_keywords(t):
     return t("orders").select("o_orderkey", level.alias("level"), T.method(raw).alias("method"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z]+')[1:4], lambda w: w <> ''))), '+') AS set_key,
+@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: w <> ''))), '+') AS set_key,
 CASE doc_id % 5 WHEN 0 THEN 'A00' WHEN 1 THEN 'D01' WHEN 2 THEN 'C00' WHEN 3 THEN 'B08' ELSE 'KHAC' END AS combo FROM documents""")
 def combo_set_key(t):
-    words = F.filter(F.slice(F.split(F.lower("text"), "[^a-z]+"), 1, 4), lambda w: w != "")
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
     k = F.col("doc_id") % 5
     raw = F.when(k == 0, "Hóa, Toán, Lý").when(k == 1, "toán-văn-anh").when(k == 2, "Văn Sử Địa").when(k == 3, "Khối b08 (x)").otherwise("?")
     return t("documents").select("doc_id", T.set_key(words).alias("set_key"), T.combo(raw).alias("combo"))
@@ -98,8 +98,7 @@ def multi_value_explode(t):
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>', 2)) AS label FROM pages)
 SELECT page_id, href, label, replace(replace(upper(string_split(href, '-')[-1]), 'ß', 'SS'), 'ẞ', 'SS') AS code FROM l""")
 def catalog_links(t):
-    p = F.lit(r'<li><a href="([^"]*)">([^<]*)</a>')
-    pairs = F.explode(F.arrays_zip(F.regexp_extract_all("html", p, F.lit(1)).alias("href"), F.regexp_extract_all("html", p, F.lit(2)).alias("label")))
+    pairs = F.explode(H.links(F.col("html"), r'<li><a href="([^"]*)">([^<]*)</a>'))
     return t("pages").select("page_id", pairs.alias("x")).select("page_id", F.col("x.href").alias("href"), F.col("x.label").alias("label"), T.slug_code("x.href").alias("code"))
 
 
@@ -306,7 +305,7 @@ def run_log(t):
 
 @query(f"SELECT strftime(day, '%Y-%m-%d') AS day, total FROM ({_RUNS}) ORDER BY day DESC LIMIT 5")
 def run_log_top5(t):
-    return _runs(t).orderBy(F.desc("day")).limit(5).select(F.col("day").cast("string").alias("day"), "total")
+    return metrics.latest(_runs(t), "day").select(F.col("day").cast("string").alias("day"), "total")
 
 
 @query(f"SELECT strftime(day, '%Y-%m-%d') AS day, (total > 1) AS bad, sum((total > 1)::INT) OVER (ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS alert FROM ({_RUNS})")
@@ -329,18 +328,17 @@ def dq_coverage(t):
 @query("""SELECT source, repeat('#', k) || repeat('.', 20 - k) AS bar FROM (SELECT source, CAST(floor(count(quality)::DOUBLE / count(*) * 20) AS INT) AS k FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source)""")
 def coverage_bar(t):
     x = t("documents").select("doc_id", "source").join(t("labels"), "doc_id", "left").groupBy("source").agg((F.count("quality").cast("double") / F.count(F.lit(1))).alias("s"))
-    k = F.floor(F.col("s") * 20).cast("int")
-    return x.select("source", F.concat(F.repeat(F.lit("#"), k), F.repeat(F.lit("."), F.lit(20) - k)).alias("bar"))
+    return x.select("source", T.bar(F.col("s") * 100).alias("bar"))
 
 
 @query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1")
 def count_by_year(t):
-    return t("orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    return metrics.count_by(t("orders"), F.year("o_orderdate").alias("year"))
 
 
 @query("SELECT c_mktsegment, min(c_acctbal) AS low, max(c_acctbal) AS high, median(c_acctbal) AS middle FROM customer GROUP BY 1")
 def salary_stats(t):
-    return t("customer").groupBy("c_mktsegment").agg(F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"), F.median("c_acctbal").alias("middle"))
+    return metrics.salaries(t("customer"), "c_mktsegment", "c_acctbal")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) IN (1995, 1996) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey < 5)")
@@ -404,7 +402,7 @@ def stage_counters(t):
 
 @query("SELECT string_split(p_name, ' ')[1] AS name, count(*) AS n FROM part GROUP BY 1")
 def auto_name_frequency(t):
-    return t("part").groupBy(F.split("p_name", " ")[0].alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return metrics.count_by(t("part"), F.split("p_name", " ")[0].alias("name"))
 
 
 @query("""
@@ -466,10 +464,14 @@ def _replayed(spark: SparkSession, d: str, sink: bool) -> DataFrame:
     """The events as a stream that gives every one of them twice, deduplicated on the way."""
     at = tables.scratch(spark, "stream")
     path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema = table.schema
+    # Files may come in any order and in several batches: no event is late while the time to live covers the whole table.
+    first, last = table.agg(F.min(F.col("ts").cast("timestamp")), F.max(F.col("ts").cast("timestamp"))).first()
+    ttl = f"{int((last - first).total_seconds()) + 1 if first else 1} seconds"
     # A stream takes a folder or a pattern, and the table may be one file.
-    first, again = (spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet") for _ in range(2))
-    once = records.dedup_stream(first.unionByName(again), ["event_id"], "ts").select("event_id", "user_id", "event_type", "value")
+    once, again = (spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet") for _ in range(2))
+    once = records.dedup_stream(once.unionByName(again), ["event_id"], "ts", ttl).select("event_id", "user_id", "event_type", "value")
     if sink:
         records.run_available(once, records.to_versions(at, ["event_id"], ["event_id"], "2024-01-01"), f"{at}/progress")
         return spark.read.parquet(f"{at}/log").agg(F.sum("records_new").alias("records_new"), F.min("status").alias("status"))
