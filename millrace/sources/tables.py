@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..schemas import CRAWL_LOG
+from ..schemas import CRAWL_LOG, MAJOR_SEED, PROFILE
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -49,6 +49,16 @@ def read_version(spark: SparkSession, path: str, version: str | None = None) ->
     return spark.read.parquet(f"{path}/v={version}")
 
 
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """Tag profiles from JSON lines."""
+    return spark.read.schema(PROFILE).json(path)
+
+
+def read_major_seed(spark: SparkSession, path: str) -> DataFrame:
+    """Seed rows of the majors from CSV."""
+    return spark.read.csv(path, header=True, schema=MAJOR_SEED)
+
+
 def read_crawl_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=CRAWL_LOG, timestampFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS][X]")
 

@@ -120,3 +120,52 @@ def test_fewest_edits_and_report(spark):
     assert {r["k"]: r["match"] for r in resolve.fewest_edits(keys, "k", names, 1).collect()} == {"luax": "1", "khac han": None, None: None}
     one = spark.createDataFrame([("n", 1)], "metric string, value int")
     assert [tuple(r)[1:] for r in metrics.report("2024-01-01", a=one, b=one).collect()] == [("a", "n", 1.0), ("b", "n", 1.0)]
+
+
+def test_jdbc_round_trip(spark):
+    """Through the embedded database that Spark brings, in the memory of this process."""
+    url = "jdbc:derby:memory:millrace;create=true"
+    rows = spark.createDataFrame([(1, "Kỹ thuật"), (2, None)], "k int, s string")
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    tables.write_jdbc(rows, url, "t", "overwrite", driver=driver)
+    tables.write_jdbc(rows, url, "t", driver=driver)
+    assert sorted(tables.read_jdbc(spark, url, "t", driver=driver).collect(), key=str) == sorted(rows.union(rows).collect(), key=str)
+
+
+def test_stages_run_by_priority(spark, score_rows):
+    """A caller's stage between dedup and store sees the resolved rows and may change them; tiers that are given take part."""
+    stored = spark.createDataFrame([], "university_id string, major_id string, year smallint, admission_method string, subject_combination string, cutoff_score decimal(5,2), quota bigint, note string, scraped_at timestamp, source_url string")
+    u = spark.createDataFrame([("u1", "QSB", "x", "public", "south", True)], "id string, university_code string, name string, university_type string, region string, is_active boolean")
+    m = spark.createDataFrame([("m1", "7380101", "Luật Kinh Tế", "738", 4, "bachelor", True), ("m2", "7380107", "Luật Quốc Tế Và So Sánh", "738", 4, "bachelor", True)], "id string, major_code string, name string, major_group_code string, study_duration int, degree_level string, is_active boolean")
+    note = (350, "note", lambda t: {"rows": t["rows"].withColumn("note", F.lit("seen"))})
+    out = admissions.run(score_rows, stored, u, m, "2024-01-01", more=[note])
+    rows = out["scores"].collect()
+    assert {(r["university_id"], r["major_id"], r["note"]) for r in rows} == {("u1", "m1", "seen")} and out["majors"].count() == 2
+    again = admissions.run(score_rows, out["scores"].drop("action"), u, m, "2024-01-01", use_table=True)
+    assert {r["action"] for r in again["scores"].collect()} == {"kept"}
+    names = spark.createDataFrame([("luật", "7380107", 0)], "key string, value string, ord int")
+    coded = admissions.run(score_rows, stored, u, m, "2024-01-01", names=names)
+    assert {r["major_id"] for r in coded["scores"].collect()} == {"m2"}
+    keys = spark.createDataFrame([("QSB", "ngành: luật", 2024, "hoc_ba", "A00")], "k1 string, k2 string, k3 smallint, k4 string, k5 string")
+    left = admissions.run(score_rows, stored, u, m, "2024-01-01", cached=keys)["scores"].collect()
+    assert {r["subject_combination"] for r in left} == {"D01"}
+
+
+def test_names_that_share_a_code_stay_apart(spark):
+    df = spark.createDataFrame([("U", None, "Luật"), ("U", None, "LUẬT "), ("U", None, "Toán")], "university_code string, major_code string, major_name string").withColumn("university_id", F.lit("u")).withColumn("major_id", F.lit(None).cast("string"))
+    none = spark.createDataFrame([], "id string, major_code string, name string, is_active boolean")
+    u = spark.createDataFrame([], "id string, university_code string, name string, university_type string, region string, is_active boolean")
+    _, majors = admissions.complete_dimensions(df, u, none)
+    assert majors.count() == 2 and majors.select("id").distinct().count() == 2 and admissions.code_clashes(majors).isEmpty()
+    same = majors.withColumn("major_code", F.lit("AUTO-000000"))
+    assert [r["n"] for r in admissions.code_clashes(same).collect()] == [2]
+
+
+def test_letters_beyond_the_broadcast_bound(spark, monkeypatch):
+    dim = spark.createDataFrame([("a%d" % k, n) for k, n in enumerate(["Luật Kinh Tế", "Luật", "Kinh tế học", "Toán tin", "TIN học"])], "code string, name string")
+    kw = spark.createDataFrame([("luật",), ("tin",), ("Kinh tế",), ("xyz",)], "kw string")
+    want = sorted(map(tuple, resolve.ilike_top(kw, "kw", dim, "name", "code", 2).select("kw", "name", "rank").collect()))
+    monkeypatch.setattr(resolve, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, resolve.ilike_top(kw, "kw", dim, "name", "code", 2).select("kw", "name", "rank").collect())) == want and len(want) == 6
+    with pytest.raises(ValueError):
+        resolve.ilike_top(kw.limit(0).union(spark.createDataFrame([("%t",)], "kw string")), "kw", dim, "name", "code")
