@@ -68,12 +68,25 @@ def _met(hashes: DataFrame, sketch: DataFrame) -> DataFrame:
     return rest.unionByName(maybe.join(F.broadcast(often), "hash", "left_semi").join(small(of_often), "hash").select(*rest.columns))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+def _short(docs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """doc_id, key, n_shared, n_item for items of 1 to n - 1 words, a size class of their own: each is one gram of its own length, found by
+    its 64-bit hash."""
+    gram = F.concat_ws(" ", "words")
+    few = materialize(texts.where((F.size("words") >= 1) & (F.size("words") < n)).select("key", F.size("words").alias("size"), gram.alias("gram"), F.xxhash64(gram).alias("hash")), "short")
+    sizes = [r["size"] for r in few.select("size").distinct().collect()]  # n - 1 at most
+    each = docs.select("doc_id", words(F.col("text")).alias("words"))
+    grams = F.flatten(F.array(*[_grams(k) for k in sizes])) if sizes else F.array().cast("array<string>")
+    held = each.select("doc_id", F.explode(grams).alias("gram")).withColumn("hash", F.xxhash64("gram"))
+    met = _met(held.select("doc_id", "hash"), few.select("key", "hash"))
+    return met.select("doc_id", "key", F.lit(1).cast("long").alias("n_shared"), F.lit(1).cast("long").alias("n_item")).distinct()
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, threshold: float = THRESHOLD, short_items: bool = False) -> DataFrame:
     """doc_id, item_id, n_shared, n_item, containment: a row for each distinct id and item where the text holds at least
     `threshold` of the item's distinct word n-grams.
 
     Words are runs of letters and digits in lower case. A null or empty text holds nothing; an item of fewer than n words has
-    no n-gram and is never found. Repeated rows of one id give one row an item with the most that one of them holds; null ids
+    no n-gram and is found only with short_items, which looks it up as one gram of all its words. Repeated rows of one id give one row an item with the most that one of them holds; null ids
     are one id. The same holds for items: each text of an item id is looked up on its own, and the one that is held most counts. Empty tables give no rows; columns other than the named ones are not read."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bench = materialize(items.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("words")).distinct(), "items")
@@ -96,6 +109,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     else:  # an item that many documents hold is broadcast, so that they do not meet in one task
         each = join_skewed(each, grams.join(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs")), "key"), "key", "docs", hot_groups=1000)
     shared = each.select("doc_id", "key", F.size(F.array_intersect("grams", "item_grams")).cast("long").alias("n_shared"), F.size("item_grams").cast("long").alias("n_item"))
+    if short_items:
+        shared = shared.unionByName(_short(docs, texts, n))
     shared = shared.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item"))
     most = shared.join(names, "key").groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("most"))
     return most.select("doc_id", "item_id", "most.n_shared", "most.n_item", "most.containment")

@@ -162,6 +162,14 @@ def test_containment_at_the_threshold(spark):
     assert sorted((r["doc_id"], r["n_shared"]) for r in got) == [(80, 80), (100, 80)]
 
 
+def test_short_items_on_request(spark):
+    docs = spark.createDataFrame([(1, "One two, three four."), (2, "two one"), (3, "three"), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one TWO"), (2, "three"), (3, "two three four"), (4, ""), (5, "five")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_item"]) for r in decontaminate.contaminated(docs, items, short_items=True).collect()}
+    assert got == {(1, 1, 1), (1, 2, 1), (1, 3, 1), (3, 2, 1)}
+    assert decontaminate.contaminated(docs, items).count() == 0
+
+
 def test_contained_beyond_the_broadcast_bounds(spark, monkeypatch):
     from millrace.llm import common
 
