@@ -11,7 +11,8 @@ from millrace.llm.common import documents, materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the model is learned from the labelled ones, but for the held-out quarter."""
+    """Documents in a learned language; the model is learned from the labelled ones, but for the held-out quarter. Texts without letters,
+    in other scripts, in languages unlike the learned ones, and random letters go."""
     model = lang_id.learn(docs.where(~lang_id.held_out()))
     return lang_id.keep_identified(docs, model)
 
