@@ -202,10 +202,10 @@ def tags(df: DataFrame, code: str, text: Column, profiles: DataFrame, value: str
 
 def fewest_edits(keys: DataFrame, key: str, names: DataFrame, most: int) -> DataFrame:
     """The native companion of `fuzzy`: the dictionary entry with the fewest edits from each key, the first in order on ties, when
-    at most `most`. names: (key, value, ord), which goes into the plan as one array."""
+    at most `most`. names: (key, value, ord), a small table of counted size, which goes to the keys as one broadcast row."""
     if names.count() > MAX_ENTRIES:
         raise ValueError("the dictionary is too large to be scanned for each key")
-    entries = F.array(*[F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["key"]).alias("key"), F.lit(r["value"]).alias("value")) for r in names.orderBy("ord").collect()])
-    best = F.array_min(F.transform(entries, lambda e: F.struct(F.levenshtein(F.col(key), e["key"]).alias("edits"), e["ord"].alias("ord"), e["value"].alias("value"))))
-    out = keys.withColumn("__best", best)
+    entries = names.agg(F.collect_list(F.struct("ord", "key", "value")).alias("__entries"))
+    best = F.array_min(F.transform("__entries", lambda e: F.struct(F.levenshtein(F.col(key), e["key"]).alias("edits"), e["ord"].alias("ord"), e["value"].alias("value"))))
+    out = keys.join(F.broadcast(entries)).withColumn("__best", best).drop("__entries")
     return out.withColumns({"match": F.when(F.col("__best.edits") <= most, F.col("__best.value")), "edits": F.col("__best.edits")}).drop("__best")
