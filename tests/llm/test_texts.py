@@ -300,6 +300,30 @@ def test_scores_do_not_depend_on_what_is_kept(spark):
         assert (x == whole[i]).all() if i in (0, 3) else np.allclose(x, whole[i])
 
 
+def test_language_scores_by_all_segmentations(spark):
+    """Posterior and likelihood of texts from the summed probabilities of all segmentations of each word, one by one."""
+    docs = documents(spark, DIR)
+    model = lang_id.learn(docs.limit(50))
+    place = {p: k for k, p in enumerate(model.pieces)}
+
+    def word(w, lang):
+        total = [1.0] + [0.0] * len(w)
+        for j in range(1, len(w) + 1):
+            for i in range(max(0, j - 40), j):
+                k = place.get(w[i:j])
+                total[j] += total[i] * (model.table[k, lang] if k is not None else lang_id._UNKNOWN if j == i + 1 else 0.0)
+        return math.log(total[-1])
+
+    texts = ["The und heereint 12 été", "Straße über-all, señor", "x", "日本 the"]
+    lang, score, log, letters = lang_id.scorer(model.pieces, model.table, model.languages)(texts)
+    for k, t in enumerate(texts):
+        words = re.findall(r"[^\W\d_]+", t.lower())
+        sums = [sum(word("▁" + w, j) for w in words) for j in range(len(model.languages))]
+        top = max(sums)
+        assert log[k] == pytest.approx(top) and letters[k] == sum(map(len, words)) and lang[k] == model.languages[sums.index(top)]
+        assert score[k] == pytest.approx(1 / sum(math.exp(s - top) for s in sums))
+
+
 def test_equal_scores_go_to_the_first_language(spark):
     docs = spark.createDataFrame([(1, "same words here", "zz"), (2, "same words here", "aa"), (3, "other", None)], "doc_id long, text string, lang string")
     got = lang_id.identify(docs, lang_id.learn(docs)).collect()
@@ -427,6 +451,46 @@ def test_quality(spark, labelled, odd_docs, empty_docs):
         assert quality.score_quality(odd_docs, none).count() == odd_docs.count()
 
 
+def test_quality_scores_by_loops(spark):
+    """The network by its definition, one filter and place at a time, and the gradient-trained head on top."""
+    net = quality.train(["good text here, yes " * 3, "bad!!! $$$ ### " * 4, "good again, fine", "bad *** %%%"], [1, 0, 1, 0], epochs=2)
+    w = net.weights
+
+    def brute(text):
+        raw = text.encode()
+        per = []
+        for k in range(max(1, -(-(len(raw) - quality.CHUNK) // quality.STEP) + 1) if len(raw) > quality.CHUNK else 1):
+            x = raw[k * quality.STEP : k * quality.STEP + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            emb = [w["embed"][c].astype(float) for c in x]
+            tops = []
+            for f in range(quality.FILTERS):
+                z = [sum(float(emb[p + i] @ w["filters"][i * quality.DIM : (i + 1) * quality.DIM, f]) for i in range(quality.WIDTH)) for p in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE)]
+                tops.append(max(0.0, max(z) + float(w["bias"][f])))
+            per.append(tops)
+        per = np.array(per)
+        v = (np.concatenate([per.max(0), per.mean(0), per.min(0)]) - w["mean"]) / w["scale"]
+        return 1 / (1 + math.exp(-float(np.tanh(v @ w["w1"] + w["b1"]) @ w["w2"] + w["b2"][0])))
+
+    texts = ["", "short", "good text, é " * 30, "bad ### " * 60]
+    got = quality.score_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), net).orderBy("doc_id").collect()
+    assert [r["score"] for r in got] == pytest.approx([brute(t) for t in texts], abs=1e-4)
+
+
+def test_toxicity_scores_by_loops(spark, odd_docs):
+    model = toxicity.train(["a mild text of words", "you stupid clown", "another text", "clown trash here", "words of a mild kind"] * 5, [0, 1, 0, 1, 0] * 5)
+
+    def brute(text):
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        last = max(0, len(words) - toxicity.WINDOW)
+        starts = [*range(0, last, toxicity.STEP), -(-last // toxicity.STEP) * toxicity.STEP]
+        return 1 / (1 + math.exp(-max(sum(model.word(x) for x in words[a : a + toxicity.WINDOW]) for a in starts) - model.bias))
+
+    rows = odd_docs.select("doc_id", "text").unionByName(spark.createDataFrame([(50, "x " * 30 + "You STUPID clown_trash! " + "y " * 40), (51, "clown")], "doc_id long, text string"))
+    for limit in (300_000, 5):
+        got = sorted((r["doc_id"] or 0, round(r["score"], 9)) for r in toxicity.score_toxicity(rows, model, max_words=limit).collect())
+        assert got == sorted((r["doc_id"] or 0, round(brute(r["text"]), 9)) for r in rows.collect())
+
+
 def test_chunks_cover_the_text():
     for n in (0, 1, 255, 256, 257, 480, 481, 5000):
         c = quality.chunks("x" * n)
