@@ -94,6 +94,22 @@ def _by_bucket(to: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(0, np.cumsum(np.bincount(to, minlength=buckets)))
 
 
+def _by_print(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of n-grams by bucket, then fingerprint; the edges of the buckets in it, and the fingerprints."""
+    to, marks = bucket_of(grams, buckets), prints(grams)
+    order = np.argsort(to.astype(np.uint64) << np.uint64(32) | marks)
+    return order, np.append(0, np.cumsum(np.bincount(to, minlength=buckets))), marks[order]
+
+
+def _steps(marks: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as the bytes of their differences, the lowest byte of all first: the highest are mostly zero and compress."""
+    return np.diff(marks, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32)
+
+
 def prints(grams: np.ndarray) -> np.ndarray:
     """What stands for an n-gram within its bucket. A clash in 32 bits is rarer than a false positive of the filter while a bucket has
     under 40 million n-grams, and like one only raises a level."""
@@ -352,10 +368,10 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
             rank[order] = np.arange(len(order))
             word, at = word[order], rank[at]
             pairs = np.unique(pair_hash(_previous(h, count), h))
-            (by_p, edge_p), (by_w, edge_w) = _by_bucket(bucket_of(pairs, segments), segments), _by_bucket(bucket_of(word, segments), segments)
-            marks, asked = prints(pairs)[by_p], word[by_w]
+            (_, edge_p, marks), (by_w, edge_w) = _by_print(pairs, segments), _by_bucket(bucket_of(word, segments), segments)
+            asked = word[by_w]
             made = [
-                (k, int(i), probe_row, marks[edge_p[i] : edge_p[i + 1]].tobytes(), asked[edge_w[i] : edge_w[i + 1]].tobytes(), None, None)
+                (k, int(i), probe_row, _steps(marks[edge_p[i] : edge_p[i + 1]]), asked[edge_w[i] : edge_w[i + 1]].tobytes(), None, None)
                 for i in np.nonzero(np.diff(edge_p) + np.diff(edge_w))[0]
             ]
             made.append((k, k % segments, text_row, _planes(at), word.tobytes(), count.astype(np.int64).tobytes(), [i for x in held for i in x[2]]))
@@ -385,7 +401,7 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
                         known, n = _unpacked(False, w, c)
                 asked = g[g["kind"] == probe_row]
                 if len(asked):
-                    marks, word = np.frombuffer(b"".join(asked["data"]), np.uint32), np.frombuffer(b"".join(asked["words"]), np.uint64)
+                    marks, word = np.concatenate([_from_steps(x) for x in asked["data"]]), np.frombuffer(b"".join(asked["words"]), np.uint64)
                     here = np.zeros(len(marks), np.int64)
                     lev, lev_w = own.levels_of(marks, here).astype(np.uint8), own.levels_of(prints(word), here[:1].repeat(len(word))).astype(np.uint8)
                     exact = np.zeros(len(word), np.int64 if total >> 32 else np.uint32)
@@ -411,7 +427,7 @@ def _by_segment(rows: DataFrame, model: Model, scores, exactly, middle: np.ndarr
                 told = g[g["kind"] == probe_row]
                 # what the buckets tell comes bucket by bucket, in the order in which it was asked
                 c2, c1, n = np.empty(len(pairs)), np.empty(len(word)), np.empty(len(word), np.int64)
-                c2[_by_bucket(bucket_of(pairs, segments), segments)[0]] = middle[np.frombuffer(b"".join(told["data"]), np.uint8)]
+                c2[_by_print(pairs, segments)[0]] = middle[np.frombuffer(b"".join(told["data"]), np.uint8)]
                 by = _by_bucket(bucket_of(word, segments), segments)[0]
                 c1[by], n[by] = middle[np.frombuffer(b"".join(told["words"]), np.uint8)], np.frombuffer(b"".join(told["counts"]), np.int64 if total >> 32 else np.uint32)
                 found = scores(c1, at, c2[back], count, c1[np.nonzero(word == END)[0][0]])
