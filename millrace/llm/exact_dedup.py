@@ -4,9 +4,9 @@ Pass 1 hashes every text to two cells of a Bloom filter and keeps the bits of ce
 ORs and XORs its rows into 64-bit words of the filter, so what it shuffles is bounded by the filter whatever it reads. Pass 2 probes
 the filter: a row with both bits set may repeat, and only such rows shuffle (a digest and an id); all others pass straight through.
 
-The filter has eight bits for each row, and MAX_FILTER_BITS at most: MAX_FILTER_BITS / 64 words, a proven bound for the broadcast.
-Beyond 34 million rows it fills up: more unique rows then shuffle with the repeated ones, at worst all of them once, and the result
-stays the same.
+The filter has 32 bits for each row, and MAX_FILTER_BITS at most: MAX_FILTER_BITS / 64 words, a proven bound for the broadcast.
+Beyond 8 million rows it fills up (8 bits a row at 34 million): more unique rows then shuffle with the repeated ones, at worst all of
+them once, and the result stays the same.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import join_skewed, materialize
 
-ROW_BITS, MIN_FILTER_BITS = 8, 1 << 16
+ROW_BITS, MIN_FILTER_BITS = 32, 1 << 16
 #: 2^28 bits are 2^22 words at most, 16 bytes each.
 MAX_FILTER_BITS = 1 << 28
 _SEED = 0x5BD1E995

@@ -190,7 +190,7 @@ def test_words_of_the_filter(spark):
     got = {r["word"]: r["mask"] for r in exact_dedup.repeated_words(spark.createDataFrame([(h,) for h in hits], "cell long")).collect()}
     assert got == {1: 1 << 6, 3: (1 << 8) | (1 << 9), 4: (1 << 44) | (1 << 45) | (1 << 46), 6: (1 << 16) | (1 << 17)}
     sizes = [exact_dedup.filter_size(n) for n in (0, 10, 8192, 8193, 10**6, 10**12)]
-    assert sizes == [1 << 16, 1 << 16, 1 << 16, 1 << 17, 1 << 23, exact_dedup.MAX_FILTER_BITS]
+    assert sizes == [1 << 16, 1 << 16, 1 << 18, 1 << 19, 1 << 25, exact_dedup.MAX_FILTER_BITS]
 
 
 def test_a_row_that_stands_often(spark, monkeypatch):
