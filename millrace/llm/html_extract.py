@@ -41,8 +41,9 @@ BOILERPLATE = frozenset(
 ARTICLE = frozenset("article articlebody body content entry hentry main post story text".split())
 # Words that may stand beside a boilerplate word in a name and say nothing themselves.
 NEUTRAL = frozenset(
-    "area bar bottom box buttons button block body col column container content desktop fixed form global group holder home icons inner item items left link links list main message middle "
-    "mobile outer page panel primary right row secondary section site slot small sticky text title top unit wrap wrapper".split()
+    "area article articles bar block body bottom box button buttons col column container content danger desktop fixed form global group here holder home icon icons image info inner item items label law "
+    "left link links list main media message middle mobile network networks news next now outer page pages panel policy post posts previous primary right row secondary section site slot small sticky "
+    "stories story success text this title toggle top topics trail unit us warning wrap wrapper".split()
 )
 
 # Of the boilerplate words those that hold whatever the length of the text.
@@ -78,9 +79,10 @@ class Node:
         self.chars = self.links = 0
 
 
-def _says(name: str, tag: str) -> tuple[int, bool]:
+def _says(name: str, tag: str, within: bool) -> tuple[int, bool]:
     """(not the article, likely the article) of one class, id or role. A name of several words speaks against the article only where
-    its last word does, or where a boilerplate word has nothing but neutral ones beside it; "no-sidebar" is no sidebar."""
+    its last word does, or where a boilerplate word has nothing but neutral ones beside it; "no-sidebar" is no sidebar, and a header
+    within the article is the article's."""
     words = _WORD.findall(_CAMEL.sub("-", name).lower())
     likely = any(w in ARTICLE for w in words)
     found = [w for w in words if w in BOILERPLATE]
@@ -88,12 +90,12 @@ def _says(name: str, tag: str) -> tuple[int, bool]:
         return 0, likely
     if words[-1] not in BOILERPLATE and any(w not in BOILERPLATE and w not in NEUTRAL for w in words):
         return 0, likely
-    if found == ["header"] and (tag not in BLOCK or tag in TEXTUAL or len(words) > 1 and (likely or "section" in words)):
+    if found == ["header"] and (within or tag not in BLOCK or tag in TEXTUAL or len(words) > 1 and (likely or "section" in words)):
         return 0, likely
     return 2 if any(w in FIRM for w in found) else 1, likely
 
 
-def _marks(raw: str, tag: str) -> tuple[int, bool]:
+def _marks(raw: str, tag: str, within: bool) -> tuple[int, bool]:
     """(not the article: 1 by a word, 2 for certain; likely the article), by an element's attributes."""
     if not raw.strip(" /\n\t"):
         return 0, False
@@ -104,7 +106,7 @@ def _marks(raw: str, tag: str) -> tuple[int, bool]:
             if name == "id" and tag in TEXTUAL or tag not in BLOCK and not value.isalpha():
                 continue
             for part in _NAME.findall(value):
-                no, yes = _says(part, tag)
+                no, yes = _says(part, tag, within)
                 unlikely, likely = max(unlikely, no), likely or yes
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             unlikely = 2
@@ -191,8 +193,9 @@ def parse(html: str) -> Node:
             here = done.end() if done else end
             continue
         code = open_.last("pre", "code") > 0  # what is marked there are parts of a program
-        node = Node(tag, at, *((0, False) if code else _marks(m[3], tag)))
-        if tag == "form" or tag == "header" and not open_.last("article", "main") or tag == "footer" and at.tag != "blockquote":
+        within = open_.last("article", "main") > 0
+        node = Node(tag, at, *((0, False) if code else _marks(m[3], tag, within)))
+        if tag == "form" or tag == "header" and not within or tag == "footer" and at.tag != "blockquote":
             node.unlikely = max(node.unlikely, 1)
         at.children.append(node)
         if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "em", "strong", "span")):

@@ -78,6 +78,8 @@ def test_extract_all_pages(spark):
     ("<b><p>one</b> two</p>", "one two"),
     ("<p>a<!-->b</p>c", "ab\nc"),
     ('<article><p>Long enough to be read, yes</p><pre><code>x <span class="token comment"># c</span></code></pre><div class="comments-section"><article class="comment"><p>first</p></article></div></article>', "Long enough to be read, yes\nx # c"),
+    ('<main><div class="page-header"><h1>T</h1></div><p>Body of it, said</p><div class="related-posts">R</div><ul class="social-media-links"><li>S</ul><div class="newsletter-signup">N</div><p class="search-results">F</p></main>', "T\nBody of it, said\nF"),
+    ('<div class="header">Site</div><div class="post"><div class="entry-header"><h1>T</h1></div><p>Body of it, said</p></div>', "T\nBody of it, said"),
     ("<form><article><p>in a form</p></article></form><form><p>Your name, please</p></form>", "in a form"),
 ])
 def test_extract_keeps_the_whole_article(page, want):
