@@ -27,6 +27,17 @@ def run_stages(tables: Tables, stages: list[Stage]) -> Tables:
     return tables
 
 
+def cut(path: str, priority: int = 350) -> Stage:
+    """A stage that writes the rows to a folder that driver and executors share and reads them back, so that what follows does not
+    compute them again for each table."""
+
+    def write(t: Tables) -> Tables:
+        t["rows"].write.mode("overwrite").parquet(path)
+        return {"rows": t["rows"].sparkSession.read.schema(t["rows"].schema).parquet(path)}
+
+    return (priority, "cut", write)
+
+
 def clean(raw: DataFrame, as_of: str, seq: str = "ingest_seq", rule_set=None) -> DataFrame:
     """Raw score records (text) with drop_reason; those without one are normalised."""
     checked = rules.validate(raw, rule_set or rules.score_rules(as_of))

@@ -15,6 +15,7 @@ from ..operators import dedup, merge, metrics, normalize, resolve, rules
 from ..schemas import TABLES, create_table
 from ..sources import html as H
 from ..sources import runs, tables
+from ..streaming import records
 from . import admissions
 from .queries import _records as records_of
 from .queries import query
@@ -577,12 +578,12 @@ def admissions_run(t):
     u = spark.createDataFrame([], "id string, university_code string, name string, university_type string, region string, is_active boolean")
     m = spark.createDataFrame([], "id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean")
     at = tables.scratch(spark, "admissions")
-    out = admissions.run(raw, spark.createDataFrame([], _NO_SCORES), u, m, "2024-01-01")
+    out = admissions.run(raw, spark.createDataFrame([], _NO_SCORES), u, m, "2024-01-01", more=[admissions.cut(f"{at}/rows-1")])
     kept = {}
     for k in ("scores", "universities", "majors"):
         tables.write_version(out[k], f"{at}/{k}", "1")
         kept[k] = tables.read_version(spark, f"{at}/{k}")
-    again = admissions.run(raw, kept["scores"].drop("action"), kept["universities"], kept["majors"], "2024-01-01")
+    again = admissions.run(raw, kept["scores"].drop("action"), kept["universities"], kept["majors"], "2024-01-01", more=[admissions.cut(f"{at}/rows-2")])
     parts = {k: df.agg(F.count(F.lit(1)).alias("n")) for k, df in kept.items()} | {"dropped": out["dropped"].agg(F.sum("n").alias("n")), "new": out["counters"].select(F.col("new").alias("n"))}
     parts |= {"new again": again["counters"].select(F.col("new").alias("n")), "unchanged again": again["counters"].select(F.col("unchanged").alias("n"))}
     return union_of([df.select(F.lit(k).alias("part"), "n") for k, df in parts.items()])
@@ -645,3 +646,21 @@ def sql_table_rows(t):
     c = t("customer").select("c_custkey", _ministry_page(F.col("c_custkey")).alias("html"))
     H.register(c.sparkSession)
     return c.sparkSession.sql("SELECT c_custkey, r.row, r.body, size(r.cells) AS n FROM {pages}, LATERAL html_table_rows(html) r", pages=c)
+
+
+@query(f"""
+SELECT 'scores' AS part, count(*) AS n FROM (SELECT DISTINCT o_custkey % 50, o_orderkey % 20 FROM orders WHERE {_VALID}) UNION ALL SELECT 'universities', count(DISTINCT o_custkey % 50) FROM orders WHERE {_VALID}
+UNION ALL SELECT 'majors', count(DISTINCT o_orderkey % 20) FROM orders WHERE {_VALID} UNION ALL SELECT 'records_new', count(*) FROM (SELECT DISTINCT o_custkey % 50, o_orderkey % 20 FROM orders WHERE {_VALID})
+UNION ALL SELECT 'records_failed', count(*) FROM orders WHERE NOT ({_VALID}) UNION ALL SELECT 'batches', 2 UNION ALL SELECT 'partial', 2""")
+def stream_admissions(t):
+    """Raw records as a stream through the whole plan: half of them, and then the rest, a micro-batch each."""
+    raw = records_of(t)
+    spark, at = raw.sparkSession, tables.scratch(raw.sparkSession, "score-stream")
+    for half in (0, 1):
+        raw.where(F.floor(F.col("ingest_seq") / 100) % 2 == half).write.mode("append").parquet(f"{at}/in")
+        records.run_available(spark.readStream.schema(raw.schema).parquet(f"{at}/in"), records.to_admissions(f"{at}/out", "admission_score", "2024-01-01"), f"{at}/progress")
+    n = F.count(F.lit(1)).alias("n")
+    log = spark.read.parquet(f"{at}/out/log")
+    parts = {k: tables.read_version(spark, f"{at}/out/{k}").agg(n) for k in ("scores", "universities", "majors")}
+    parts |= {k: log.agg(F.sum(k).cast("bigint").alias("n")) for k in ("records_new", "records_failed")} | {"batches": log.agg(n), "partial": log.where("status = 'partial'").agg(n)}
+    return union_of([df.select(F.lit(k).alias("part"), "n") for k, df in parts.items()])

@@ -33,20 +33,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_version(df: DataFrame, path: str, version: str) -> str:
-    """A whole new version of a table, made the current one by a marker once it is complete; a reader sees one or the other."""
-    df.write.parquet(f"{path}/v={version}")
+def write_version(df: DataFrame, path: str, version: str, again: bool = False) -> str:
+    """A whole new version of a table, made the current one by a marker once it is complete; a reader sees one or the other. With
+    `again` a version that is there is written anew, as by a batch that runs a second time."""
+    df.write.mode("overwrite" if again else "error").parquet(f"{path}/v={version}")
     fs, marker = _fs(df.sparkSession, f"{path}/_current_{version}")
     fs.create(marker, True).close()
     return version
 
 
+def last_version(spark: SparkSession, path: str, before: str | None = None) -> str | None:
+    """The version whose marker is the last by name, of those below `before`; None where there is none."""
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    found = [n.removeprefix("_current_") for n in names if n.startswith("_current_")]
+    return max((v for v in found if before is None or v < before), default=None)
+
+
 def read_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
-    """A version, or the one whose marker is the last by name."""
-    if version is None:
-        fs, p = _fs(spark, path)
-        version = max(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("_current_")).removeprefix("_current_")
-    return spark.read.parquet(f"{path}/v={version}")
+    """A version, or the last one."""
+    return spark.read.parquet(f"{path}/v={version or last_version(spark, path)}")
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:

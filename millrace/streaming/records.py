@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dedup, merge, metrics
+from ..plans import admissions
+from ..sources import tables
 
 
 def dedup_stream(df: DataFrame, keys: list[str], time: str, ttl: str = "24 hours") -> DataFrame:
@@ -35,3 +37,37 @@ def to_versions(path: str, keys: list[str], order: list[str], as_of: str, needed
         log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
 
     return sink
+
+
+#: What a run of the score pipeline keeps from batch to batch.
+SCORE_TABLES = {
+    "scores": "university_id string, major_id string, year smallint, admission_method string, subject_combination string, cutoff_score decimal(5,2), quota bigint, note string, scraped_at timestamp, source_url string",
+    "universities": "id string, university_code string, name string, university_type string, region string, is_active boolean",
+    "majors": "id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean",
+}
+
+
+def to_admissions(path: str, spider: str, as_of: str, policy: str = "skip", **options) -> Callable[[DataFrame, int], None]:
+    """A sink that takes each micro-batch of raw score records through the whole plan: a new version of the three tables for each batch,
+    from the version before it, and a row of the run log. A batch that runs again starts from the same version and writes its own anew;
+    a batch that fails leaves the tables at the version before."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, version = batch.sparkSession, f"{batch_id:010d}"
+        batch = batch.persist()
+        old = {k: tables.last_version(spark, f"{path}/{k}", version) for k in SCORE_TABLES}
+        kept = {k: tables.read_version(spark, f"{path}/{k}", old[k]) if old[k] else spark.createDataFrame([], columns) for k, columns in SCORE_TABLES.items()}
+        out = admissions.run(batch, kept["scores"], kept["universities"], kept["majors"], as_of, policy, [admissions.cut(f"{path}/rows/batch={batch_id}")], **options)
+        for k in ("universities", "majors"):
+            tables.write_version(out[k], f"{path}/{k}", version, again=True)
+        merged = out["scores"]
+        tables.write_version(merged, f"{path}/actions", version, again=True)
+        done = tables.read_version(spark, f"{path}/actions", version)
+        tables.write_version(done.drop("action"), f"{path}/scores", version, again=True)
+        counts = done.agg(F.count_if(F.col("action") == "inserted").alias("records_new"), F.count_if(F.col("action") == "updated").alias("records_updated"))
+        failed = out["dropped"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records_failed"))
+        log = metrics.run_row(counts.join(F.broadcast(failed)), spider, as_of, as_of, "stream").withColumn("id", F.concat(F.lit(f"{spider}-"), F.lit(version)))
+        log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        batch.unpersist()
+
+    return sink
