@@ -110,11 +110,21 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, swap: float
     bias = float(np.log(share / (1 - share)))
     if not n or y.min() == y.max():
         return Classifier(np.zeros(1 << BITS), bias)
-    rows = [_WORD.findall(t.lower()) for t in texts]
-    kept, swapped = swaps(rows, copies) if swap else ([], [])
-    pairs = len(kept)
     names: dict[str, int] = {}
-    ids = [np.array([names.setdefault(x, len(names)) for x in r], np.int64) for r in (*rows, *kept, *swapped)]
+    terms = {w for t in TERMS for w in t.split()}
+    ids, named = [], []
+
+    def numbered(words: list[str]) -> np.ndarray:
+        return np.array([names.setdefault(x, len(names)) for x in words], np.int32)
+
+    for t in texts:
+        words = _WORD.findall(t.lower())
+        ids.append(numbered(words))
+        if not terms.isdisjoint(words):
+            named.append(words)
+    kept, swapped = swaps(named, copies) if swap else ([], [])
+    pairs = len(kept)
+    ids += [numbered(r) for r in (*kept, *swapped)]
     # Only the features that occur have a place in the arrays of training.
     every, table = np.unique(np.array([features(x) for x in names]).reshape(-1, FEATURES), return_inverse=True)
     table = table.reshape(-1, FEATURES)
