@@ -13,6 +13,8 @@ import numpy as np
 _PLACES = 64
 _TABLE = np.random.default_rng(20231).integers(0, 1 << 64, _PLACES * 256, np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Characters of words that are hashed at a time, so that arrays of a number for each character stay small however long a text is.
+BLOCK = 2_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,18 +30,31 @@ def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return turn[::2], turn[1::2] - turn[::2]
 
 
+def _blocks(length: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of words with about BLOCK characters; a longer word is a range of its own."""
+    ends = np.cumsum(length)
+    a = 0
+    while a < len(length):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
+        yield a, b
+        a = b
+
+
 def byte_words(x: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the runs of bytes that are inside a word. Two words have the same hash with a probability of 2^-64."""
     start, length = runs(inside)
-    if not len(start):
-        return start, np.zeros(0, np.uint64)
-    edge = np.cumsum(length) - length
-    place = np.arange(int(length.sum())) - np.repeat(edge, length)
-    part = _TABLE[(place % _PLACES << 8) + x[inside]]
-    if length.max() > _PLACES:
-        power = np.cumprod(np.append(np.uint64(1), np.full(int(length.max()) // _PLACES, _ODD)), dtype=np.uint64)
-        part = part * power[place // _PLACES]
-    return start, mix(np.add.reduceat(part, edge) ^ length.astype(np.uint64))
+    h = np.empty(len(start), np.uint64)
+    for a, b in _blocks(length):
+        own = length[a:b]
+        edge = np.cumsum(own) - own
+        place = np.arange(int(own.sum())) - np.repeat(edge, own)
+        at = slice(start[a], start[b - 1] + own[-1])
+        part = _TABLE[(place % _PLACES << 8) + x[at][inside[at]]]
+        if own.max() > _PLACES:
+            power = np.cumprod(np.append(np.uint64(1), np.full(int(own.max()) // _PLACES, _ODD)), dtype=np.uint64)
+            part = part * power[place // _PLACES]
+        h[a:b] = mix(np.add.reduceat(part, edge) ^ own.astype(np.uint64))
+    return start, h
 
 
 @lru_cache
@@ -95,13 +110,15 @@ def words_of(texts: list[str], pattern: str, max_len: int | None = None) -> Word
         of = np.repeat(np.arange(len(start)), parts)
         nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
         start, length, begins = start[of] + max_len * nth, np.minimum(length[of] - max_len * nth, max_len), nth == 0
-    size = length.cumsum()
-    place = np.arange(size[-1] if len(size) else 0) - np.repeat(size - length, length)
     power = np.cumprod(np.full(int(length.max(initial=1)), _ODD), dtype=np.uint64)
-    letters = (points[np.repeat(start, length) + place].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    letters = (letters ^ (letters >> np.uint64(29))) * power[place]
-    h = np.add.reduceat(letters, size - length) if len(size) else np.zeros(0, np.uint64)
-    h = mix(h ^ (length * 2 + begins).astype(np.uint64))
+    h = np.empty(len(start), np.uint64)
+    for a, b in _blocks(length):
+        own = length[a:b]
+        edge = np.cumsum(own) - own
+        place = np.arange(int(own.sum())) - np.repeat(edge, own)
+        letters = (points[np.repeat(start[a:b], own) + place].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        letters = (letters ^ (letters >> np.uint64(29))) * power[place]
+        h[a:b] = mix(np.add.reduceat(letters, edge) ^ (own * 2 + begins[a:b]).astype(np.uint64))
     return Words(points, start, length, begins, h, np.diff(np.append(0, np.searchsorted(start, after))))
 
 

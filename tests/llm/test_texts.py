@@ -406,6 +406,19 @@ def test_lm_score_by_brute_force(spark, odd_docs, monkeypatch, options):
         assert off <= most and [x[:2] for x in want] == [x[:2] for x in got]
 
 
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    from millrace.llm import hashing
+
+    texts = ["a bb ccc " * 20, "", "x" * 300 + " y", "é ü ß straße " * 9, "..."]
+    raw = np.frombuffer(" ".join(texts).encode() + b" ", np.uint8)
+    want = hashing.byte_words(raw, raw != 32), hashing.words_of(texts, lang_id.LETTER, 24), hashing.words_of(texts, toxicity.LETTER_OR_DIGIT)
+    for block in (1, 7, 100):
+        monkeypatch.setattr(hashing, "BLOCK", block)
+        got = hashing.byte_words(raw, raw != 32), hashing.words_of(texts, lang_id.LETTER, 24), hashing.words_of(texts, toxicity.LETTER_OR_DIGIT)
+        assert (got[0][1] == want[0][1]).all() and all((g.hash == w.hash).all() and (g.per_text == w.per_text).all() for g, w in zip(got[1:], want[1:], strict=True))
+    assert len(hashing.byte_words(raw[:0], raw[:0] != 32)[0]) == 0 and len(hashing.words_of([], lang_id.LETTER).hash) == 0
+
+
 def test_word_hashes():
     texts = ["Aa bb\x0bbb\n", "", " \t ", "x" * 200 + " " + "x" * 201, "é\xa0É\u2003z Aa", "a b", "b a"]
     h, n = lm_score.Words()(texts)
