@@ -14,7 +14,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round every node takes the least of itself and its neighbours as its parent, parents are followed once more, and the
     links between parents are the next round's graph. Every component at least halves a round, so rounds grow as the
     logarithm of its size; stars, which is what the callers make, end after one or two."""
-    both = links.where("a <> b").select("a", "b").unionByName(links.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Both directions come from one written table: links that are computed twice may be other ones the second time (a star has another
+    # centre when its rows come in another order), and a graph that holds only one direction of a link falls apart.
+    links = materialize(links.where("a <> b").select("a", "b"), "given")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     graph = materialize(both.distinct(), "links")
     label = None
     while True:

@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = nodes.select("node", "sig", F.explode("bands").alias("key")).join(small(buckets), "key")
     met = _pairs_of_blocks(met.withColumn("blocks", F.ceil(F.col("k") / BLOCK_ROWS)).drop("k"), "key", "blocks")
     least = threshold - MARGIN + 1 / 256 * (1 - threshold + MARGIN)
-    candidates = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInPandas(tidy(_estimated(least)), "a long, b long")
+    candidates = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "node").mapInPandas(tidy(_estimated(least)), "a long, b long")
     comp = connected_components(candidates)
 
     # Blocks of bounded size: large components are parted by the logarithm of the set size, since linked sets differ by less than one step.
@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     full = materialize(kept.mapInPandas(tidy(sets), "node long, set binary"), "sets").dropDuplicates(["node"])
     checked = materialize(
-        tasks.join(full, "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj").mapInPandas(tidy(_verified(threshold)), "a long, b long, n long"),
+        tasks.join(full, "node").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj", "node").mapInPandas(tidy(_verified(threshold)), "a long, b long, n long"),
         "verified",
     )
     label = connected_components(checked.where("b is not null").select("a", "b"))

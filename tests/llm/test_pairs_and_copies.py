@@ -115,6 +115,27 @@ def test_near_in_many_blocks(spark, monkeypatch):
     check_near(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_components_of_links_that_differ_when_computed_again(spark):
+    """Stars whose centre is another one each time they are computed, as when rows come in another order, stay whole."""
+    from millrace.llm.components import connected_components
+
+    def stars(frames):
+        import random
+
+        import pandas as pd
+
+        r = random.SystemRandom()
+        for f in frames:
+            rows = []
+            for s in f["id"]:
+                centre = r.randrange(40)
+                rows += [(1000 * s + centre, 1000 * s + k) for k in range(40) if k != centre]
+            yield pd.DataFrame(rows, columns=["a", "b"])
+
+    got = connected_components(spark.range(30).mapInPandas(stars, "a long, b long")).collect()
+    assert len(got) == 1200 and all(r["label"] == r["node"] // 1000 * 1000 for r in got)
+
+
 def test_near_odd(odd_docs, empty_docs):
     got = ngram_join.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
