@@ -42,6 +42,9 @@ _OUT = "batch int, client_id long, opened_us long, due_us long, n_rows long"
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A store is closed when its task ends, so that the stores of one start are gone before the next; no disk is kept in advance.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",  # one turn a start, but for the last
 }
 
