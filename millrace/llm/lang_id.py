@@ -28,16 +28,16 @@ VOCABULARY = "piece_bpe_32k.model"
 MAX_WORDS = 250_000
 #: Letters of a word, or of a part of a longer one, at most.
 MAX_LEN = 24
-#: Languages that are learned at most; the model has a number for each piece and language.
-MAX_LANGUAGES = 1000
+#: Languages that are learned at most; the model has a number for each piece and language, so some 50 MB.
+MAX_LANGUAGES = 200
 #: Pseudo-count of the pooled distribution in each language's.
 POOLED = 2000.0
 #: How much more than usual a letter's probability may take, in the logarithm, in a text that is kept; short texts vary more.
 SLACK, SLACK_SHORT = 2.5, 3.0
 _UNKNOWN = 1e-7
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: A letter, as a pattern.
-LETTER = r"[^\W\d_]"
+#: A letter, as a pattern: Unicode's category, without numerals of any kind.
+LETTER = r"\p{L}"
 
 
 def vocabulary(path: str | None = None) -> list[str]:
@@ -197,9 +197,13 @@ def _prior(n: int) -> np.ndarray:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary_path: str | None = None, max_words: int = MAX_WORDS, max_languages: int = MAX_LANGUAGES) -> Model:
-    """Fit on every row of docs with a text and a language. What the driver gets is bounded by pieces x languages; more than
-    `max_languages` different values of the language are an error."""
+    """Fit on every row of docs with a text and a language. What the driver gets is bounded by pieces x languages, and comes to it one
+    language at a time; more than `max_languages` different values of the language are an error, before any text is read."""
     pieces = vocabulary(vocabulary_path)
+    named = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang")).distinct()
+    languages = sorted(r["lang"] for r in named.limit(max_languages + 1).collect())
+    if len(languages) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,14 +230,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pd.DataFrame({"lang": lang, "piece": at, "n": c[at]})
 
     found = materialize(rows.mapInPandas(tidy(count), "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")), "pieces")
-    languages = sorted(r["lang"] for r in found.select("lang").distinct().limit(max_languages + 1).collect())
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    found = found.toPandas()
     c = np.zeros((len(pieces), len(languages)))
     for k, lang in enumerate(languages):
-        own = found[found["lang"] == lang]
+        own = found.where(F.col("lang") == lang).select("piece", "n").toPandas()  # a row a piece at most
         c[own["piece"].to_numpy(), k] = own["n"].to_numpy()
+    # A language whose texts have no word is none.
+    some = c.sum(0) > 0
+    languages, c = [x for x, s in zip(languages, some.tolist(), strict=True) if s], c[:, some]
     per_letter, seen = np.zeros(len(languages)), c
     if languages:
         share = (c / np.maximum(c.sum(0), 1)).mean(1) + 1e-3 * _prior(len(pieces))[:-1]

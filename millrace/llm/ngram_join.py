@@ -114,7 +114,7 @@ def _runs_of_sets(sets: Iterator[np.ndarray], most: int = RUN_GRAMS) -> Iterator
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, node, grams (their number), sig (a byte of each row), bands (a long each). docs: doc_id, text."""
+    """doc_id, row, node, grams (their number), sig (a byte of each row), bands (a long each). docs: doc_id, text, row."""
     a, b = _constants(bands * rows)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,9 +139,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                         node = next(got) if len(g) else (None, 0, None, None)
                         out.append((node[0], node[1], node[2].tobytes(), node[3]) if len(g) else node)
             node, grams, sig, keys = zip(*out, strict=True) if out else ((),) * 4
-            yield pd.DataFrame({"doc_id": f["doc_id"], "node": _longs(node), "grams": _longs(grams), "sig": pd.Series(sig, f.index, object), "bands": pd.Series(keys, f.index, object)})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "row": f["row"], "node": _longs(node), "grams": _longs(grams), "sig": pd.Series(sig, f.index, object), "bands": pd.Series(keys, f.index, object)})
 
-    return docs.mapInPandas(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, grams long, sig binary, bands array<long>")
+    return docs.mapInPandas(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, node long, grams long, sig binary, bands array<long>")
 
 
 def _longs(values):
@@ -252,13 +252,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A class is a connected component of such links, copies included. A null or empty text, or one of white space only, has no
     n-grams and is a class of its own without links; its class_id is its own id. Repeated rows are copies of one another. Rows
-    with a null id take part, and a class of such rows alone has a null class_id. An empty table gives no rows; columns
+    with a null id take part, and a class of such rows alone has a null class_id; rows that share an id are told apart by their texts. An empty table gives no rows; columns
     other than the two named are not read."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # A row is told by a hash of its id and text, so that rows under one id, or without any, are different ones unless they are copies.
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("row"))
     bands, rows = choose_bands(threshold, recall)
     signed = materialize(signatures(docs, n, bands, rows), "signed")
     has = signed.where("node is not null")
-    nodes = materialize(has.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("grams").alias("grams"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
+    nodes = materialize(has.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("weight"), F.first("grams").alias("grams"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
 
     # Buckets of two nodes or more.
     placed = nodes.select("node", F.explode("bands").alias("key"))
@@ -271,11 +272,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Blocks of bounded size: large components are parted by the logarithm of the set size, since linked sets differ by less than one step.
     step = math.log(1 / threshold) if threshold < 1 else 1.0
-    member = materialize(comp.select("node", F.col("label").alias("comp")).join(nodes.select("node", "rep", "weight", "grams"), "node"), "members")
+    member = materialize(comp.select("node", F.col("label").alias("comp")).join(nodes.select("node", "row", "weight", "grams"), "node"), "members")
     total = member.groupBy("comp").agg(F.count(F.lit(1)).alias("k"), F.sum("grams").alias("g"))
     many = (F.col("k") > BLOCK_ROWS) | (F.col("g") > BLOCK_GRAMS)
-    one_block = member.join(total.where(~many), "comp").select("node", "comp", "weight", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("block"))
-    big = member.join(small(materialize(total.where(many).select("comp"), "large")), "comp").withColumn("level", F.floor(F.log("grams") / F.lit(step)).cast("int"))
+    large = small(materialize(total.where(many).select("comp"), "large"))
+    one_block = member.join(large, "comp", "left_anti").select("node", "comp", "weight", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("block"))
+    big = member.join(large, "comp").withColumn("level", F.floor(F.log("grams") / F.lit(step)).cast("int"))
     levels = big.groupBy("comp", "level").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS * 2), F.ceil(F.sum("grams") / BLOCK_GRAMS * 2)).cast("int").alias("nb"))
     levels = small(materialize(levels, "levels"))
     own = big.join(levels, ["comp", "level"]).withColumn("block", F.col("level") * 1_000_000 + F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
@@ -285,9 +287,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = blocks.select("node", "comp", "weight", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block")
     tasks = one_block.unionByName(blocks)
 
-    # The full sets of candidates only, from their texts.
-    wanted = materialize(member.select(F.col("rep").alias("__rep"), F.col("node").alias("want")), "wanted")
-    kept = join_ids(docs, wanted, "doc_id", "__rep", "inner").select("want", "text")
+    # The full sets of candidates only, from the text of one row of each node (and its copies under the same id, if any).
+    wanted = materialize(member.select(F.col("row").alias("__row"), F.col("node").alias("want")), "wanted")
+    kept = join_ids(docs, wanted, "row", "__row", "inner").select("want", "text")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
@@ -318,7 +320,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without the rows whose id is not the least of their class. Ids are taken to name rows, as exact dedup leaves them."""
+    """docs without the rows whose id is not the least of their class. Ids are taken to name rows, as exact dedup leaves them; a row
+    without an id always stays, and rows that share an id go or stay together."""
     found = materialize(near_duplicates(docs, id_col, text_col, **options), "classes")
     drop = materialize(found.where("doc_id is not null and not doc_id <=> class_id").select(F.col("doc_id").alias("__drop")).distinct(), "drop")
     return join_ids(docs, drop, id_col, "__drop", "left_anti")

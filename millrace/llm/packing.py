@@ -47,7 +47,10 @@ def same_as_ranks(path: str) -> bool:
     merges a pair that is listed; tiktoken merges any pair whose join is in the vocabulary. Let the first difference be tiktoken's merge of
     x and y to a token t, with the pair not listed. Up to there both did the same, and x and y were made of their own bytes alone, so the
     library, given the bytes of t alone, comes to x and y as well, and stops there. So if the library makes every token of its own bytes
-    one token, there is no such merge; that is tried here for every token. Ranks agree because the merges stand in the order of the ids."""
+    one token, there is no such merge; that is tried here for every token. Ranks agree because the merges stand in the order of the ids.
+
+    That is a proof of the merges alone. The splitters are two programs for one pattern: they find the same parts, but tiktoken's gives up
+    on some texts (a run of about a million white-space characters is too deep for it), which `encoder` then gives to the library."""
     import json
 
     from tokenizers import Tokenizer
@@ -74,18 +77,22 @@ def encoder(path: str):
     file without added special tokens.
 
     Where that is proved to be the same when the file is loaded (see same_as_ranks), tiktoken encodes by the file's ranks, several times
-    as fast. Any other file is left to tokenizers. A worker loads a file once."""
+    as fast, but for texts that its splitter refuses. Those, and any other file, are left to tokenizers. A worker loads a file once."""
     import json
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if not same_as_ranks(path):
-        from tokenizers import Tokenizer
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
 
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        return lambda text: np.asarray(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def whole(text: str) -> bytes:
+        return np.asarray(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    if not same_as_ranks(path):
+        return whole
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
@@ -94,7 +101,14 @@ def encoder(path: str):
     letters = _byte_letters()
     ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    return lambda text: fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+
+    def encode(text: str) -> bytes:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        except ValueError:  # too deep for its splitter
+            return whole(text)
+
+    return encode
 
 
 def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:

@@ -22,6 +22,8 @@ CHUNK, STEP = 256, 224
 WIDTH, STRIDE, DIM, FILTERS, HIDDEN = 7, 2, 6, 24, 16
 THRESHOLD = 0.3
 EPOCHS, BATCH, RATE = 10, 32, 0.004
+#: Chunks that are convolved at a time, in training and scoring: what bounds the memory, however long a text is.
+GROUP = 1024
 #: Labelled rows of the sample from which the features' scale is taken.
 SCALE_ROWS = 400
 _SPAN = (CHUNK - WIDTH) // STRIDE + 1
@@ -51,39 +53,55 @@ class Network:
         top = np.take_along_axis(z, at[:, None, :], 1)[:, 0] + w["bias"]
         return np.maximum(top, 0), at
 
+    def gradients(self, groups: list[np.ndarray], at: np.ndarray, dp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the filters and the embedding, from those of the pooled filters of chunks, added up over groups of chunks."""
+        w, start = self.weights, 0
+        filters, embed = np.zeros_like(w["filters"]), np.zeros((256, DIM))
+        for x in groups:
+            # Only the window that won its chunk's pooling has a gradient: (chunks, FILTERS, WIDTH) bytes.
+            own = slice(start, start + len(x))
+            start += len(x)
+            place = at[own, :, None] * STRIDE + np.arange(WIDTH)
+            bytes_ = x[np.arange(len(x))[:, None, None], place]
+            filters += np.einsum("cfk,cf->kf", w["embed"][bytes_].reshape(len(x), FILTERS, WIDTH * DIM), dp[own])
+            de = (dp[own, :, None] * w["filters"].T[None]).reshape(-1, DIM)
+            embed += np.stack([np.bincount(bytes_.reshape(-1), de[:, j], 256) for j in range(DIM)], 1)
+        return filters, embed.astype(np.float32)
+
     def head(self, f: np.ndarray) -> np.ndarray:
         w = self.weights
         h = np.tanh((f - w["mean"]) / w["scale"] @ w["w1"] + w["b1"])
         return 1 / (1 + np.exp(-np.clip(h @ w["w2"] + w["b2"], -30, 30)))
 
-    def score(self, texts: list[str], group: int = 1024) -> np.ndarray:
+    def score(self, texts: list[str], group: int = GROUP) -> np.ndarray:
         """A probability for each whole text."""
         return self.head(self.features([chunks(t) for t in texts], group))
 
-    def features(self, parts: list[np.ndarray], group: int = 1024) -> np.ndarray:
+    def features(self, parts: list[np.ndarray], group: int = GROUP) -> np.ndarray:
         """The features of texts by all their chunks; at most `group` chunks are convolved at a time."""
         starts = np.append(0, np.cumsum([len(p) for p in parts]))
-        out = np.empty((int(starts[-1]), FILTERS), np.float32)
-        held: list[np.ndarray] = []
-        size = done = 0
-
-        def run() -> None:
-            nonlocal held, size, done
-            if held:
-                x = np.concatenate(held)
-                out[done : done + len(x)] = self.pooled(x)[0]
-                done, held, size = done + len(x), [], 0
-
-        for p in parts:
-            for k in range(0, len(p), group):
-                held.append(p[k : k + group])
-                size += len(held[-1])
-                if size >= group:
-                    run()
-        run()
+        out, done = np.empty((int(starts[-1]), FILTERS), np.float32), 0
+        for x in _groups(parts, group):
+            out[done : done + len(x)] = self.pooled(x)[0]
+            done += len(x)
         return combine(out, starts)
 
 
+def _groups(parts: list[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """The chunks of texts, one text behind the other, `size` of them at a time."""
+    held: list[np.ndarray] = []
+    room = size
+    for p in parts:
+        while len(p):
+            held.append(p[:room])
+            p, room = p[room:], room - len(held[-1])
+            if not room:
+                yield np.concatenate(held)
+                held, room = [], size
+    if held:
+        yield np.concatenate(held)
+
+
 def combine(pooled: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Largest, mean and least of each filter over the chunks of each text."""
     at = starts[:-1]
@@ -103,7 +121,7 @@ def _start(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7, scale_rows: int = SCALE_ROWS) -> Network:
-    """Fit by Adam on batches of texts, all chunks of every text in each epoch. Without both labels the network gives every text the
+    """Fit by Adam on batches of texts, all chunks of every text in each epoch, GROUP of them at a time. Without both labels the network gives every text the
     share of label 1, or one half without any."""
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
@@ -125,10 +143,9 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         order = rng.permutation(len(y))
         for k in range(0, len(y), BATCH):
             idx = order[k : k + BATCH]
-            seen = [parts[i] for i in idx]
-            starts = np.append(0, np.cumsum([len(p) for p in seen]))
-            x = np.concatenate(seen)
-            pooled, at = net.pooled(x)
+            x = list(_groups([parts[i] for i in idx], GROUP))
+            starts = np.append(0, np.cumsum([len(parts[i]) for i in idx]))
+            pooled, at = (np.concatenate(v) for v in zip(*(net.pooled(g) for g in x), strict=True))
             f = combine(pooled, starts)
             g = (f - w["mean"]) / w["scale"]
             h = np.tanh(g @ w["w1"] + w["b1"])
@@ -147,14 +164,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
                 dp[s + pooled[s:e].argmin(0), cols] += df[b, 2 * FILTERS :]
             dp *= pooled > 0
             grad["bias"] = dp.sum(0)
-            # Only the window that won its chunk's pooling has a gradient: (chunks, FILTERS, WIDTH) bytes.
-            place = at[:, :, None] * STRIDE + np.arange(WIDTH)
-            bytes_ = x[np.arange(len(x))[:, None, None], place]
-            emb = w["embed"][bytes_].reshape(len(x), FILTERS, WIDTH * DIM)
-            grad["filters"] = np.einsum("cfk,cf->kf", emb, dp)
-            de = (dp[:, :, None] * w["filters"].T[None]).reshape(-1, DIM)
-            flat = bytes_.reshape(-1)
-            grad["embed"] = np.stack([np.bincount(flat, de[:, j], 256) for j in range(DIM)], 1).astype(np.float32)
+            grad["filters"], grad["embed"] = net.gradients(x, at, dp)
             turn += 1
             rate = RATE * (1 - 0.8 * epoch / epochs)
             for name in learned:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, follow_up, html_extract, lang_id, lm_score, ngram_join, packing, quality, token_counts, toxicity
+from . import bpe, decontaminate, exact_dedup, follow_up, html_extract, lang_id, lm_score, ngram_join, packing, quality, token_counts, toxicity, vector_codes
 
-_MODULES = (ngram_join, html_extract, packing, exact_dedup, quality, token_counts, decontaminate, toxicity, lang_id, lm_score, follow_up)
+_MODULES = (ngram_join, html_extract, packing, exact_dedup, quality, token_counts, decontaminate, toxicity, lang_id, lm_score, follow_up, vector_codes, bpe)
 
 
 def queries() -> dict:
