@@ -186,9 +186,9 @@ class Slots(StatefulProcessor):
         first = self._first(held)
         if first != before:
             if before is not None and before >= w:
-                self.handle.deleteTimer(before)
+                self.handle.deleteTimer(before + 1)
             if first is not None:
-                self.handle.registerTimer(first)
+                self.handle.registerTimer(first + 1)  # a timer at the watermark fires: this one when W is past the event
         yield from self._sent(summary(drained[:, 0], drained[:, 1]), _unpack([late], 2))
 
     @staticmethod
@@ -245,9 +245,9 @@ class Obligations(StatefulProcessor):
             self.open.clear()
         if first != before:
             if before is not None and before >= w:
-                self.handle.deleteTimer(before)
+                self.handle.deleteTimer(before + 1)
             if first is not None:
-                self.handle.registerTimer(first)
+                self.handle.registerTimer(first + 1)
         if len(alerts):
             yield Row(batch=self._batch(w), client_id=alerts[:, 0].tolist(), opened_us=alerts[:, 1].tolist(), due_us=(alerts[:, 2] + self.wait).tolist(), n_rows=alerts[:, 3].tolist())
 
