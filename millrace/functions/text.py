@@ -17,7 +17,8 @@ from pyspark.sql.types import DoubleType
 
 from . import mappings as M
 
-WS_ENDS = r"(?U)^\s+|\s+$"
+#: White space of any kind.
+WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _c(x: Column | str) -> Column:
@@ -25,8 +26,9 @@ def _c(x: Column | str) -> Column:
 
 
 def strip(x) -> Column:
-    """Both ends without white space of any kind, no-break space included."""
-    return F.regexp_replace(_c(x), WS_ENDS, "")
+    """Both ends without white space of any kind, no-break space included; in linear time, as a pattern that ends in white space is not:
+    it is tried anew at every place of a run."""
+    return F.trim(_c(x), F.lit(WHITE))
 
 
 def squeeze(x) -> Column:
@@ -69,6 +71,14 @@ def nfc(x) -> Column:
     return F.when(x.rlike(r"[^\x00-\x7F]"), composed).otherwise(x)
 
 
+def strip_accents_compat(x, strip_dbar: bool = False) -> Column:
+    """As strip_accents, but by compatible decomposition: ligatures, full-width and circled letters become plain ones too."""
+    x = _c(x)
+    apart = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.coalesce(x, F.lit("")), F.lit(True))
+    plain = F.when(x.rlike(r"[^\x00-\x7F]"), F.regexp_replace(apart, r"\p{Mn}+", "")).otherwise(x)
+    return F.translate(plain, "đĐ", "dD") if strip_dbar else plain
+
+
 def unescape(x) -> Column:
     """Character references by name and number, decoded once."""
     x = _c(x)
@@ -78,7 +88,14 @@ def unescape(x) -> Column:
 
 # Prefixes of a programme's name, in the order in which they are removed, and a group in brackets.
 _PREFIXES = [r"ngành[:\s]+", r"chuyên ngành[:\s]+", r"chương trình[:\s]+", r"hệ[:\s]+", r"bộ môn[:\s]+", r"khoa\s+(?!học\b)"]
-_BRACKETS = r"[(\[（【][^)\]）】]*[)\]）】]"
+_OPEN, _CLOSE = r"(\[（【", r")\]）】"
+
+
+def without_brackets(x: Column, opened: str = _OPEN, closed: str = _CLOSE, last: bool = False) -> Column:
+    """Without bracket groups, each from the first opening bracket after a closing one to the next that closes; with `last` only without
+    one at the very end. A search begins at the start and after closing brackets alone, so time is linear."""
+    group = rf"(?<![^{closed}])([^{opened}{closed}]*+)[{opened}][^{closed}]*+[{closed}]"
+    return F.regexp_replace(x, group + ("$" if last else ""), "$1")
 
 
 def major_name(x) -> Column:
@@ -87,15 +104,15 @@ def major_name(x) -> Column:
     t = F.regexp_replace(t, r"^\d+[.)\-\s]+", "")
     for p in _PREFIXES:
         t = F.regexp_replace(t, f"(?iu)^{p}", "")
-    t = F.regexp_replace(t, _BRACKETS, "")
-    t = F.regexp_replace(t, r"^[ \-:]+|[ \-:]+$", "")
+    t = F.trim(without_brackets(t), F.lit(" -:"))
     return F.initcap(F.lower(squeeze(t)))
 
 
 def raw_name(x) -> Column:
     """A name for lookup: named references as spaces, a trailing bracket group, one prefix and numbering removed."""
-    t = F.regexp_replace(nfc(strip(F.coalesce(_c(x), F.lit("")))), r"&[a-zA-Z]+;", " ")
-    t = F.regexp_replace(t, rf"(?U)\s*{_BRACKETS}\s*$", "")
+    t = squeeze(F.regexp_replace(nfc(strip(F.coalesce(_c(x), F.lit("")))), r"&[a-zA-Z]+;", " "))
+    t = strip(without_brackets(t, last=True))
+    # Prefixes of a name.
     t = F.regexp_replace(t, r"(?iuU)^(?:ngành|chuyên ngành|bộ môn|khoa|chương trình|hệ)\s*[:\-]?\s*", "")
     return squeeze(F.regexp_replace(t, r"(?U)^\d+[.)]\s*", ""))
 
@@ -107,7 +124,8 @@ def name_key(x) -> Column:
 
 def keyword(x) -> Column:
     """A name without bracket groups and a leading prefix; null when empty."""
-    t = F.regexp_replace(nfc(x), _BRACKETS, "")
+    t = without_brackets(nfc(x))
+    # Prefixes of a name.
     t = F.regexp_replace(strip(t), r"(?iuU)^(?:ngành|chuyên ngành|chương trình|hệ|bộ môn)[:\s]+", "")
     return blank_to_null(squeeze(t))
 
@@ -140,7 +158,7 @@ def score(x, low: float = 0, high: float = 100) -> Column:
     t = F.when(~F.lower(t).isin(M.NO_SCORE), t)
     t = F.regexp_replace(t, r"(?U)^[≥≤><~≈±\s]+", "")
     t = F.replace(t, F.lit(","), F.lit("."))
-    t = strip(F.regexp_replace(t, r"(?iuU)\s*(điểm|đ|pts|points?)\s*$", ""))
+    t = strip(F.regexp_replace(t, r"(?iuU)(?<!\s)\s*+(điểm|đ|pts|points?)$", ""))
     number = F.when(t.rlike(_NUMBER), t).otherwise(F.regexp_extract(t, r"\d+(?:\.\d+)?", 0))
     return F.round(in_range(number.try_cast("double"), low, high), 2).cast("decimal(5,2)")
 
@@ -172,7 +190,7 @@ def field(x, size: int) -> Column:
     """Free text: control characters deleted but for line ends, each line squeezed, empty lines dropped, cut to size. Null is empty."""
     t = F.regexp_replace(nfc(F.coalesce(_c(x), F.lit(""))), r"[\p{Cc}&&[^\n]]", "")
     lines = F.filter(F.transform(F.split(t, "\n"), lambda s: strip(F.regexp_replace(s, " +", " "))), lambda s: s != "")
-    return F.regexp_replace(F.substring(F.array_join(lines, "\n"), 1, size), r"(?U)\s+$", "")
+    return F.rtrim(F.substring(F.array_join(lines, "\n"), 1, size), F.lit(WHITE))
 
 
 def is_url(x) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from ..functions import mappings as M
 from ..functions import text as T
 from ..schemas import SCORE_KEY
+from ..sources import tables
 
 
 def counters(df: DataFrame, **tests: Column) -> DataFrame:
@@ -95,10 +96,44 @@ def latest(log: DataFrame, at: str, k: int = 5) -> DataFrame:
     return log.orderBy(F.desc(at)).limit(k)
 
 
-def streak(df: DataFrame, order: str, bad: Column, length: int = 3) -> DataFrame:
-    """Rows that end a run of `length` bad rows. The order is total, so the input must be a log of runs, not of records."""
-    w = W.orderBy(order).rowsBetween(-(length - 1), 0)
-    return df.withColumn("bad", bad.cast("int")).withColumn("alert", F.sum("bad").over(w) == length)
+def streak(df: DataFrame, order: str, bad: Column, length: int = 3, ranges: int | None = None) -> DataFrame:
+    """df with `bad` (1, 0 or null, which is not bad) and `alert`: whether the row ends `length` bad rows in the order, nulls first.
+
+    A prefix scan of two levels: rows are dealt into ranges of the order and written; a range needs to know no more of all ranges before
+    it than the length of the bad run that reaches its start, which is found from one row a range. No task sees more than a range, and the
+    driver a row for each. Rows that are equal in the order lie in one range, in any order."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("bad", bad.cast("int")).repartitionByRange(n, F.col(order).asc_nulls_first()).withColumn("__range", F.spark_partition_id())
+    dealt = tables.rewritten(dealt, tables.scratch(df.sparkSession, "streak"))
+    w = W.partitionBy("__range").orderBy(F.col(order).asc_nulls_first(), "__at")
+    good = F.coalesce(F.col("bad") != 1, F.lit(True))
+    placed = dealt.withColumn("__at", F.monotonically_increasing_id())
+    placed = placed.withColumn("__row", F.row_number().over(w))
+    placed = placed.withColumn("__good", F.max(F.when(good, F.col("__row"))).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    ends = placed.groupBy("__range").agg(F.max("__row").alias("n"), F.max("__good").alias("good")).collect()
+    run, carried = 0, {}
+    for r in sorted(ends, key=lambda r: r["__range"]):
+        carried[r["__range"]] = run
+        run = run + r["n"] if r["good"] is None else r["n"] - r["good"]
+    before = F.create_map(*[F.lit(x) for kv in carried.items() for x in kv])[F.col("__range")] if carried else F.lit(0)
+    so_far = F.when(F.col("__good").isNull(), before + F.col("__row")).otherwise(F.col("__row") - F.col("__good"))
+    return placed.withColumn("alert", so_far >= length).drop("__range", "__at", "__row", "__good")
+
+
+def observed(df: DataFrame, name, **tests: Column) -> DataFrame:
+    """df, whose running plan also counts its rows and those that meet each test: no second pass, in batches and streams. name: an Observation
+    (read by get, once an action has run) or a text (in a stream's progress, see observations)."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in tests.items()])
+
+
+def observations(progress: list[dict], name: str) -> dict[str, int]:
+    """The counters of a name added up over a stream's progress reports."""
+    out: dict[str, int] = {}
+    for p in progress:
+        seen = p["observedMetrics"].get(name)
+        for k, v in (seen.asDict() if hasattr(seen, "asDict") else seen or {}).items():
+            out[k] = out.get(k, 0) + v
+    return out
 
 
 def alerts(log: DataFrame, new: str, failed: str, seconds: Column, most_failed: float = 0.1, longest: float = 7200, accepted: float = 0.05) -> DataFrame:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import text as T
+from . import grams, similar
+from . import keywords as automata
 
 #: Rows of a dimension that may be sent to every task.
 BROADCAST_ROWS = 500_000
 
 
-#: Entries of a dictionary that is scanned for each key.
-MAX_ENTRIES = 50_000
+#: Entries of a dictionary that goes whole to every task.
+MAX_ENTRIES = 5_000
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def code_of_name(df: DataFrame, name: str, names: DataFrame, value: str = "code"
     exact = names.select("key", "value")
     plain = names.groupBy(T.strip_accents("key").alias("key")).agg(F.max_by("value", "ord").alias("value"))
     key = T.name_key(T.raw_name(name))
-    bare = T.squeeze(F.regexp_replace(key, r"[(\[].*?[)\]]", ""))
+    bare = T.squeeze(T.without_brackets(key, r"(\[", r")\]"))
     found = cascade(df, [key, T.strip_accents(key), bare], [exact, plain, exact], value)
     left = found.where(F.col(value).isNull()).select(key.alias("__key")).where("__key <> ''").distinct()
     return found.withColumn("__key", key).join(fuzzy(left, "__key", names, cutoff), "__key", "left").withColumn(value, F.coalesce(value, "match")).drop("__key", "match", "ratio")
@@ -54,11 +55,11 @@ def code_of_name(df: DataFrame, name: str, names: DataFrame, value: str = "code"
 def fuzzy(keys: DataFrame, key: str, names: DataFrame, cutoff: float = 0.82) -> DataFrame:
     """The most similar dictionary entry of each distinct key, the first in order on ties, and its ratio, when that is at least `cutoff`.
 
-    The dictionary is looked at inside the batch UDF, so no pair becomes a row; it is a small table of counted size. By the letters that
-    two names share no ratio can be above a bound, found for all entries at once; only entries whose bound reaches the cutoff, and
-    the best ratio so far, are compared."""
-    if names.count() > MAX_ENTRIES:
-        raise ValueError("the dictionary is too large to be scanned for each key")
+    A dictionary of counted small size is looked at inside the batch UDF: by the letters that two names share no ratio can be above a bound,
+    found for all entries at once; only entries whose bound reaches the cutoff, and the best ratio so far, are compared. A larger one is
+    joined by rare letters (see similar.best_match), with the same result."""
+    if names.limit(MAX_ENTRIES + 1).count() > MAX_ENTRIES:
+        return similar.best_match(keys, key, names, cutoff)
     entries = [(r["key"], r["value"]) for r in names.orderBy("ord").collect()]
 
     def match(frames):
@@ -141,36 +142,8 @@ def scan(scores: DataFrame, universities: list | DataFrame, years: list[int], ke
 
 
 def ilike_top(keywords: DataFrame, keyword: str, dimension: DataFrame, name: str, code: str, k: int = 1) -> DataFrame:
-    """For each distinct keyword the k shortest names that hold it, case aside, or whose code does; ties by code. % and _ in a keyword
-    stand for any letters and any letter.
-
-    The smaller side is broadcast. Where neither is small, keywords meet the names and codes that share their first three letters, and
-    those without three plain letters, which no index can serve, have to be few. The rank is limited before its shuffle, so that a
-    keyword with many hits does not bring them to one task."""
-    words = keywords.select(keyword).distinct()
-    dimension = dimension.select(name, code)
-    hold = F.expr(f"`{name}` ilike concat('%', trim(`{keyword}`), '%') or cast(`{code}` as string) ilike concat('%', trim(`{keyword}`), '%')")
-    if dimension.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        hit = words.join(F.broadcast(dimension)).where(hold)
-    elif words.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        hit = dimension.join(F.broadcast(words)).where(hold)
-    else:
-        hit = _by_letters(words, keyword, dimension, name, code, hold)
-    rank = F.row_number().over(W.partitionBy(keyword).orderBy(F.length(name), code))
-    return hit.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-def _by_letters(words: DataFrame, keyword: str, dimension: DataFrame, name: str, code: str, hold: Column) -> DataFrame:
-    low = F.lower(F.trim(keyword))
-    plain = ~low.rlike(r"[%_\\\\]") & (F.length(low) >= 3)
-    short = words.where(~plain)
-    if short.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError("too many keywords of fewer than three letters or with wildcards")
-    both = F.lower(F.concat(F.col(name), F.lit("\u0001"), F.col(code).cast("string")))
-    threes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(both) - 2, F.lit(1))), lambda i: F.substring(both, i, F.lit(3))))
-    index = dimension.withColumn("__three", F.explode(threes))
-    met = words.where(plain).withColumn("__three", F.substring(low, 1, 3)).join(index, "__three").where(hold).drop("__three")
-    return met.unionByName(dimension.join(F.broadcast(short)).where(hold).select(*met.columns))
+    """For each distinct keyword the k shortest names that hold it, or whose code does: see grams.ilike_top."""
+    return grams.ilike_top(keywords, keyword, dimension, name, code, k)
 
 
 def first_tags(df: DataFrame, text: Column, profiles: list[tuple[list[str] | str, str]], value: str = "tag") -> DataFrame:
@@ -187,17 +160,11 @@ def top_tags(df: DataFrame, text: Column, weights: dict[str, dict[str, int]], k:
 
 def tags(df: DataFrame, code: str, text: Column, profiles: DataFrame, value: str = "types") -> DataFrame:
     """The types of the profile that lists the code, the last one of several; else of the first profile with a keyword in the text;
-    else no types. profiles: ord, types, keywords, codes - a small table of counted size, looked up by joins."""
-    if profiles.count() > MAX_ENTRIES:
-        raise ValueError("the profiles are too many to be scanned for each row")
+    else no types. profiles: ord, types, keywords, codes. Codes are looked up by a join, keywords by an automaton."""
     by_code = profiles.select("ord", "types", F.explode("codes").alias("__code")).groupBy("__code").agg(F.max_by("types", "ord").alias("__exact"))
-    words = profiles.select("ord", "types", F.explode("keywords").alias("word"))
-    # The keywords of all profiles as one row: an array of (ord, types, word), which each text is held against.
-    words = words.agg(F.array_sort(F.collect_list(F.struct("ord", "types", "word"))).alias("__words"))
-    out = df.withColumn("__code", F.col(code)).join(small(by_code), "__code", "left").withColumn("__text", text).join(F.broadcast(words))
-    first = F.filter("__words", lambda w: F.contains(F.col("__text"), w["word"]))
-    found = F.coalesce("__exact", F.when(F.size(first) > 0, F.element_at(first, 1)["types"]), F.array().cast("array<string>"))
-    return out.withColumn(value, found).drop("__code", "__exact", "__text", "__words")
+    out = automata.first_profile(df.withColumn("__code", F.col(code)), text, profiles.withColumnRenamed("types", "__types"), "__types")
+    out = out.join(small(by_code), "__code", "left")
+    return out.withColumn(value, F.coalesce("__exact", "__types", F.array().cast("array<string>"))).drop("__code", "__exact", "__types")
 
 
 def fewest_edits(keys: DataFrame, key: str, names: DataFrame, most: int) -> DataFrame:

@@ -66,13 +66,24 @@ def _own_major(code: str = "major_code", name: str = "major_name"):
 def complete_dimensions(df: DataFrame, universities: DataFrame, majors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both dimensions with a row for every key of the resolved batch that has no id. Majors without a code are told apart by name: the
     made-up code is for display, and two names that share one stay two rows (see code_clashes)."""
-    u = merge.with_missing(universities, df.where("university_id is null and university_code <> ''"), "university_code", {
-        "id": T.key_id("university_code"), "name": F.concat(F.lit("Trường "), F.col("university_code")), "university_type": F.lit("public"), "region": F.lit("south"), "is_active": F.lit(True),
-    })
+    u = merge.with_missing(universities, df.where("university_id is null and university_code <> ''"), "university_code", _new_university())
+    return u, majors.unionByName(new_majors(df), allowMissingColumns=True)
+
+
+def _new_university() -> dict:
+    return {"id": T.key_id("university_code"), "name": F.concat(F.lit("Trường "), F.col("university_code")), "university_type": F.lit("public"), "region": F.lit("south"), "is_active": F.lit(True)}
+
+
+def new_universities(df: DataFrame) -> DataFrame:
+    """A row for each university code of the resolved batch that has no id."""
+    return df.where("university_id is null and university_code <> ''").select("university_code").distinct().withColumns(_new_university())
+
+
+def new_majors(df: DataFrame) -> DataFrame:
+    """A row for each major of the resolved batch that has no id."""
     lacking = df.where("major_id is null and university_code <> ''").select(_own_major().alias("id"), F.coalesce("major_code", T.auto_code("major_name")).alias("major_code"), F.col("major_name").alias("name"))
     new = lacking.groupBy("id").agg(F.min("major_code").alias("major_code"), F.min("name").alias("name"))
-    new = new.withColumns({"major_group_code": F.lit("000"), "study_duration": F.lit(4).cast("smallint"), "degree_level": F.lit("bachelor"), "is_active": F.lit(True)})
-    return u, majors.unionByName(new, allowMissingColumns=True)
+    return new.withColumns({"major_group_code": F.lit("000"), "study_duration": F.lit(4).cast("smallint"), "degree_level": F.lit("bachelor"), "is_active": F.lit(True)})
 
 
 def code_clashes(majors: DataFrame) -> DataFrame:
@@ -80,6 +91,18 @@ def code_clashes(majors: DataFrame) -> DataFrame:
     return majors.groupBy("major_code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def ready_scores(rows: DataFrame, as_of: str) -> DataFrame:
+    """Resolved rows as the table takes them: ids of dimension rows that are made on the fly, the contract, one row a key. Keys may meet after
+    the closed lists are applied, so the table's own key is deduplicated again."""
+    rows = rows.withColumns({"university_id": F.coalesce("university_id", T.key_id("university_code")), "major_id": F.coalesce("major_id", _own_major())})
+    ready = dedup.first_wins(rules.store_contract(rows).where("error is null").drop("error"), SCORE_KEY, ["ingest_seq"])
+    return ready.withColumn("scraped_at", T.utc("scraped_at", as_of))
+
+
+def merge_scores(stored: DataFrame, ready: DataFrame, policy: str) -> DataFrame:
+    return merge.merge(stored, ready, SCORE_KEY, ["cutoff_score", "quota", "note", "scraped_at", "source_url"], policy)
+
+
 def score_stages(as_of: str, policy: str = "skip", rule_set=None, names: DataFrame | None = None, cached: DataFrame | None = None, use_table: bool = False) -> list[Stage]:
     """The stages of score records. names: a dictionary (key, value, ord) for codes of names. Tiers of dedup take part if they are given:
     cached (key columns k1 to k5 of earlier runs), and with use_table the stored table, whose keys are then dropped before the merge."""
@@ -106,17 +129,19 @@ def score_stages(as_of: str, policy: str = "skip", rule_set=None, names: DataFra
 
     def store(t: Tables) -> Tables:
         u, m = complete_dimensions(t["rows"], t["universities"], t["majors"])
-        rows = t["rows"].withColumns({"university_id": F.coalesce("university_id", T.key_id("university_code")), "major_id": F.coalesce("major_id", _own_major())})
-        # Keys may meet after the closed lists are applied, so the table's own key is deduplicated again.
-        ready = dedup.first_wins(rules.store_contract(rows).where("error is null").drop("error"), SCORE_KEY, ["ingest_seq"])
-        values = ["cutoff_score", "quota", "note", "scraped_at", "source_url"]
-        merged = merge.merge(t["stored"], ready.withColumn("scraped_at", T.utc("scraped_at", as_of)), SCORE_KEY, values, policy)
+        merged = merge_scores(t["stored"], ready_scores(t["rows"], as_of), policy)
         counts = metrics.counters(merged, new=F.col("action") == "inserted", updated=F.col("action") == "updated", unchanged=F.col("action") == "unchanged")
         return {"universities": u, "majors": m, "scores": merged, "counters": counts}
 
     return [(100, "validate", validate), (200, "normalise", normalise), (300, "dedup", once), (400, "store", store)]
 
 
+def prepare(raw: DataFrame, stored: DataFrame, universities: DataFrame, majors: DataFrame, as_of: str, more: list[Stage] | None = None, **options) -> Tables:
+    """A run up to its store: resolved rows and drops, without a merge."""
+    stages = [*(s for s in score_stages(as_of, **options) if s[1] != "store"), *(more or [])]
+    return run_stages({"raw": raw, "stored": stored, "universities": universities, "majors": majors}, stages)
+
+
 def run(raw: DataFrame, stored: DataFrame, universities: DataFrame, majors: DataFrame, as_of: str, policy: str = "skip", more: list[Stage] | None = None, **options) -> dict[str, DataFrame]:
     """raw: score records with ingest_seq. The new tables (scores, universities, majors), the drops and the run's counters. `more` are
     stages that are run among the others by their priority; options are those of score_stages."""

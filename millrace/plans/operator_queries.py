@@ -127,13 +127,6 @@ def run_parameters(t):
     return raw.select("n_nationkey", p["source"].alias("source"), p["scan"].alias("scan"), F.array_join(p["years"].cast("array<string>"), ",").alias("years"), F.array_join(p["codes"], ",").alias("codes"))
 
 
-@query("SELECT CAST(y AS INTEGER) AS year, 'https://x.example/s?year=' || y || '&page=1' AS url FROM range(2020, 2026) r(y)")
-def paged_scan(t):
-    spark = t("nation").sparkSession
-    scans = {"moet": lambda run: H.page_urls("https://x.example/s?year={year}&page={page}", spark, run.years), "sites": lambda run: spark.createDataFrame([], "year int, url string")}
-    return runs.dispatch(runs.parse(" MOET "), scans)
-
-
 @query("""
 SELECT s_suppkey, n AS next, CASE s_suppkey % 3 WHEN 0 THEN 'https://h.example/p?a=1&page=' || n || '&b=' || s_suppkey || '#t' WHEN 1 THEN 'https://h.example/p?c=2&page=' || n ELSE 'https://h.example/p?page=' || n END AS next_url,
 'https://h.example/list/' || n AS from_template FROM (SELECT s_suppkey, unnest(range(3, 5)) AS n FROM supplier)""")
@@ -614,17 +607,17 @@ def validate_types(t):
     return union_of([df.agg(F.count(F.lit(1)).alias("n"), dropped[k].alias("dropped")).select(F.lit(k).alias("kind"), "n", "dropped") for k, df in done.items()])
 
 
-@query("SELECT * FROM (VALUES ('admission_scores', 12, 1), ('universities', 19, 1), ('majors', 19, 1), ('crawl_logs', 10, 1)) v(name, columns, n)")
+@query("SELECT name, columns, k.n, k.least FROM (VALUES ('admission_scores', 12), ('universities', 19), ('majors', 19), ('crawl_logs', 10)) v(name, columns), (SELECT count(*) AS n, min(c_name) AS least FROM customer) k")
 def stored_tables(t):
-    """The stored tables made by their statements, a row written to each and read back."""
-    spark = t("nation").sparkSession
+    """The stored tables made by their statements, the customers' names written to each as ids and read back."""
+    spark = t("customer").sparkSession
     at, parts = tables.scratch(spark, "ddl"), []
     for k, (name, columns) in enumerate(TABLES.items()):
         own = f"{name}_{at[-32:]}"
         spark.sql(create_table(name, f"{at}/{k}").replace(f" {name} ", f" {own} ", 1))
-        spark.createDataFrame([], columns).unionByName(t("region").limit(1).select(F.lit("x").alias(columns.split()[0])), allowMissingColumns=True).write.insertInto(own)
+        spark.createDataFrame([], columns).unionByName(t("customer").select(F.col("c_name").alias(columns.split()[0])), allowMissingColumns=True).write.insertInto(own)
         df = spark.read.parquet(f"{at}/{k}")
-        parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(len(spark.table(own).columns)).alias("columns"), "n"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("n"), F.min(columns.split()[0]).alias("least")).select(F.lit(name).alias("name"), F.lit(len(spark.table(own).columns)).alias("columns"), "n", "least"))
         spark.sql(f"DROP TABLE {own}")
     return union_of(parts)
 
@@ -661,6 +654,6 @@ def stream_admissions(t):
         records.run_available(spark.readStream.schema(raw.schema).parquet(f"{at}/in"), records.to_admissions(f"{at}/out", "admission_score", "2024-01-01"), f"{at}/progress")
     n = F.count(F.lit(1)).alias("n")
     log = spark.read.parquet(f"{at}/out/log")
-    parts = {k: tables.read_version(spark, f"{at}/out/{k}").agg(n) for k in ("scores", "universities", "majors")}
+    parts = {k: records.score_store(spark, f"{at}/out").read(k).agg(n) for k in ("scores", "universities", "majors")}
     parts |= {k: log.agg(F.sum(k).cast("bigint").alias("n")) for k in ("records_new", "records_failed")} | {"batches": log.agg(n), "partial": log.where("status = 'partial'").agg(n)}
     return union_of([df.select(F.lit(k).alias("part"), "n") for k, df in parts.items()])

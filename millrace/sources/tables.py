@@ -42,6 +42,12 @@ def write_version(df: DataFrame, path: str, version: str, again: bool = False) -
     return version
 
 
+def rewritten(df: DataFrame, path: str) -> DataFrame:
+    """df written to a folder and read back: it is computed once, whatever reads it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def last_version(spark: SparkSession, path: str, before: str | None = None) -> str | None:
     """The version whose marker is the last by name, of those below `before`; None where there is none."""
     fs, p = _fs(spark, path)
@@ -55,6 +61,36 @@ def read_version(spark: SparkSession, path: str, version: str | None = None) ->
     return spark.read.parquet(f"{path}/v={version or last_version(spark, path)}")
 
 
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_indexed(df: DataFrame, path: str, by: str, key: str, buckets: int, bloom: tuple[str, ...] = ()) -> None:
+    """A table that is found by `by` and `key` without a scan: folders by `by` and a bucket of the key, rows in order of the key, and Bloom
+    filters of the key and of the columns `bloom` in the files. Null keys lie in a bucket as well."""
+    writer = df.withColumn("__bucket", _bucket(key, buckets)).repartition(by, "__bucket").sortWithinPartitions(by, "__bucket", key).write.partitionBy(by, "__bucket")
+    for c in (key, *bloom):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
+def scan_indexed(spark: SparkSession, path: str, by: str, values: list, key: str, keys: list, buckets: int) -> DataFrame:
+    """The rows with one of these values and keys: of the files only those of the folders concerned are opened."""
+    of = [r[0] for r in spark.createDataFrame([(k,) for k in keys], f"k {spark.read.parquet(path).schema[key].dataType.simpleString()}").select(_bucket("k", buckets)).distinct().collect()]
+    return spark.read.parquet(path).where(F.col(by).isin(values) & F.col("__bucket").isin(of) & F.col(key).isin(keys)).drop("__bucket")
+
+
+def write_members(df: DataFrame, path: str, members: str, row: str, buckets: int) -> None:
+    """An inverted index of a list column: (member, row), found by the member's bucket."""
+    write_indexed(df.select(F.explode(F.array_distinct(members)).alias("member"), F.col(row).alias("row"), F.lit(0).alias("part")), path, "part", "member", buckets)
+
+
+def holding(df: DataFrame, path: str, member: str, row: str, buckets: int) -> DataFrame:
+    """The rows of df whose list holds the member, by its index."""
+    found = scan_indexed(df.sparkSession, path, "part", [0], "member", [member], buckets).select(F.col("row").alias(row)).distinct()
+    return df.join(found, row, "left_semi")
+
+
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     """Tag profiles from JSON lines."""
     return spark.read.schema(PROFILE).json(path)

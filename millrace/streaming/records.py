@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedup, merge, metrics
 from ..plans import admissions
+from ..schemas import SCORE_KEY
 from ..sources import tables
+from ..sources.store import Spec, Store
 
 
 def dedup_stream(df: DataFrame, keys: list[str], time: str, ttl: str = "24 hours") -> DataFrame:
@@ -41,33 +43,47 @@ def to_versions(path: str, keys: list[str], order: list[str], as_of: str, needed
 
 #: What a run of the score pipeline keeps from batch to batch.
 SCORE_TABLES = {
-    "scores": "university_id string, major_id string, year smallint, admission_method string, subject_combination string, cutoff_score decimal(5,2), quota bigint, note string, scraped_at timestamp, source_url string",
-    "universities": "id string, university_code string, name string, university_type string, region string, is_active boolean",
-    "majors": "id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean",
+    "scores": Spec("university_id string, major_id string, year smallint, admission_method string, subject_combination string, cutoff_score decimal(5,2), quota bigint, note string, scraped_at timestamp, source_url string", tuple(SCORE_KEY)),
+    "universities": Spec("id string, university_code string, name string, university_type string, region string, is_active boolean", ("university_code",)),
+    "majors": Spec("id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean", ("id",)),
 }
 
 
+def score_store(spark: SparkSession, path: str) -> Store:
+    return Store(spark, path, SCORE_TABLES)
+
+
 def to_admissions(path: str, spider: str, as_of: str, policy: str = "skip", **options) -> Callable[[DataFrame, int], None]:
-    """A sink that takes each micro-batch of raw score records through the whole plan: a new version of the three tables for each batch,
-    from the version before it, and a row of the run log. A batch that runs again starts from the same version and writes its own anew;
-    a batch that fails leaves the tables at the version before."""
+    """A sink that takes each micro-batch of raw score records through the whole plan into the store at `path`, and writes a row of the run
+    log. Only the buckets that the batch's keys fall into are read for the merge and written; one manifest makes scores and both
+    dimensions current at once. A batch that runs again starts from the same manifest and writes its own anew; a batch that fails
+    leaves all three tables as they were."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark, version = batch.sparkSession, f"{batch_id:010d}"
-        batch = batch.persist()
-        old = {k: tables.last_version(spark, f"{path}/{k}", version) for k in SCORE_TABLES}
-        kept = {k: tables.read_version(spark, f"{path}/{k}", old[k]) if old[k] else spark.createDataFrame([], columns) for k, columns in SCORE_TABLES.items()}
-        out = admissions.run(batch, kept["scores"], kept["universities"], kept["majors"], as_of, policy, [admissions.cut(f"{path}/rows/batch={batch_id}")], **options)
-        for k in ("universities", "majors"):
-            tables.write_version(out[k], f"{path}/{k}", version, again=True)
-        merged = out["scores"]
-        tables.write_version(merged, f"{path}/actions", version, again=True)
-        done = tables.read_version(spark, f"{path}/actions", version)
-        tables.write_version(done.drop("action"), f"{path}/scores", version, again=True)
-        counts = done.agg(F.count_if(F.col("action") == "inserted").alias("records_new"), F.count_if(F.col("action") == "updated").alias("records_updated"))
+        store = score_store(spark, path)
+        old = store.manifest(before=version)
+        read = {k: store.read(k, old) for k in SCORE_TABLES}
+        out = admissions.prepare(batch, read["scores"], read["universities"], read["majors"], as_of, [admissions.cut(f"{path}/rows/batch={batch_id}")], **options)
+        rows = out["rows"]
+        new = tables.rewritten(admissions.ready_scores(rows, as_of), f"{path}/ready/batch={batch_id}")
+        files, counts = {}, {}
+
+        def keep_stored(stored: DataFrame, made: DataFrame) -> DataFrame:
+            """Rows made on the fly come in only where their id is not there."""
+            return stored.unionByName(made.join(stored.select("id"), "id", "left_anti"), allowMissingColumns=True)
+
+        action = F.col("action")
+        files["universities"], _ = store.write("universities", version, old, admissions.new_universities(rows), keep_stored)
+        files["majors"], _ = store.write("majors", version, old, admissions.new_majors(rows), keep_stored)
+        files["scores"], counts = store.write(
+            "scores", version, old, new, lambda stored, ready: admissions.merge_scores(stored, ready, policy),
+            records_new=F.count_if(action == "inserted"), records_updated=F.count_if(action == "updated"),
+        )
         failed = out["dropped"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records_failed"))
-        log = metrics.run_row(counts.join(F.broadcast(failed)), spider, as_of, as_of, "stream").withColumn("id", F.concat(F.lit(f"{spider}-"), F.lit(version)))
+        counted = failed.select(F.lit(counts["records_new"]).alias("records_new"), F.lit(counts["records_updated"]).alias("records_updated"), "records_failed")
+        log = metrics.run_row(counted, spider, as_of, as_of, "stream").withColumns({"id": F.concat(F.lit(f"{spider}-"), F.lit(version)), "buckets": F.lit(counts["buckets"])})
         log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
-        batch.unpersist()
+        store.commit(version, files)
 
     return sink
