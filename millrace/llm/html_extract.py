@@ -5,7 +5,8 @@ points are discounted by the share of its text that is links. Where the page mar
 whole of that article is kept. Elsewhere the best container is kept with what stands beside it, up to the enclosing main or likely
 container, or the page, but for parts that are mostly links. Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments go before the scoring and whatever holds them; a word in a class that marks such a part does not count where the part holds
-much of the page's text.
+much of the page's text, and a word that may as well name a subject counts only where the part's structure agrees. A run of parts of one
+make, each signed with an author or a date, that follows the text is taken for reader comments, whatever its name.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ DROPPED = frozenset(
 BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal overlay "
     "newsletter subscribe subscription signup login paywall sidebar sidenav aside complementary menu menubar nav navbar navigation breadcrumb breadcrumbs pager pagination toc "
-    "header masthead topbar footer contentinfo copyright share sharing social related recommended recommendations comment comments commentlist disqus respond reply replies widget skip alert search".split()
+    "header masthead topbar footer contentinfo copyright share sharing social related recommended recommendations comment comments commentlist disqus respond reply replies discussion discussions widget skip alert search".split()
 )
 # The same for what is likely the article.
 ARTICLE = frozenset("article articlebody body content entry hentry main post story text".split())
@@ -47,7 +48,13 @@ NEUTRAL = frozenset(
 )
 
 # Of the boilerplate words those that hold whatever the length of the text.
-FIRM = frozenset("comment comments commentlist disqus respond reply replies cookie cookies consent gdpr".split())
+FIRM = frozenset("comment comments commentlist disqus respond reply replies discussion discussions cookie cookies consent gdpr".split())
+# Of the boilerplate words those that also name a subject or a picture.
+AMBIGUOUS = frozenset("search banner alert skip widget overlay toc".split())
+# Words of a class that sign a contribution with its author or its date.
+SIGNS = frozenset("author byline user username avatar date datetime time timestamp posted poster nickname".split())
+#: Text before a run of signed parts from which it is one of comments.
+BEFORE_COMMENTS = 200
 # First words of a name that says what a part has, or what it is about.
 QUALIFIERS = frozenset("no not has with without category tag topic type format".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -70,10 +77,11 @@ _SCOPE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr":
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "unlikely", "likely", "points", "chars", "links")
+    __slots__ = ("tag", "parent", "children", "unlikely", "likely", "unsure", "signed", "name", "points", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, unlikely: int = 0, likely: bool = False):
+    def __init__(self, tag: str, parent: Node | None, unlikely: int = 0, likely: bool = False, unsure: bool = False, signed: bool = False, name: str = ""):
         self.tag, self.parent, self.unlikely, self.likely = tag, parent, unlikely, likely
+        self.unsure, self.signed, self.name = unsure, signed or tag == "time", name
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = self.links = 0
@@ -95,22 +103,27 @@ def _says(name: str, tag: str, within: bool) -> tuple[int, bool]:
     return 2 if any(w in FIRM for w in found) else 1, likely
 
 
-def _marks(raw: str, tag: str, within: bool) -> tuple[int, bool]:
-    """(not the article: 1 by a word, 2 for certain; likely the article), by an element's attributes."""
+def _marks(raw: str, tag: str, within: bool) -> tuple[int, bool, bool, bool, str]:
+    """(not the article: 1 by a word, 2 for certain; likely the article; the words against it are all ambiguous; signed; the class), by an
+    element's attributes."""
     if not raw.strip(" /\n\t"):
-        return 0, False
-    unlikely, likely = 0, False
+        return 0, False, False, False, ""
+    unlikely, likely, sure, signed, named = 0, False, False, False, ""
     for m in _ATTRIBUTE.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "class":
+            named = value
+            signed = signed or any(w in SIGNS for w in _WORD.findall(_CAMEL.sub("-", value).lower()))
         if name in ("class", "id", "role"):
             if name == "id" and tag in TEXTUAL or tag not in BLOCK and not value.isalpha():
                 continue
             for part in _NAME.findall(value):
                 no, yes = _says(part, tag, within)
                 unlikely, likely = max(unlikely, no), likely or yes
+                sure = sure or no and not set(_WORD.findall(_CAMEL.sub("-", part).lower())) & BOILERPLATE <= AMBIGUOUS
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             unlikely = 2
-    return unlikely, likely
+    return unlikely, likely, unlikely == 1 and not sure, signed, named
 
 
 class _Open:
@@ -194,9 +207,9 @@ def parse(html: str) -> Node:
             continue
         code = open_.last("pre", "code") > 0  # what is marked there are parts of a program
         within = open_.last("article", "main") > 0
-        node = Node(tag, at, *((0, False) if code else _marks(m[3], tag, within)))
+        node = Node(tag, at, *((0, False, False, False, "") if code else _marks(m[3], tag, within)))
         if tag == "form" or tag == "header" and not within or tag == "footer" and at.tag != "blockquote":
-            node.unlikely = max(node.unlikely, 1)
+            node.unlikely, node.unsure = max(node.unlikely, 1), False
         at.children.append(node)
         if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "em", "strong", "span")):
             open_.push(node)
@@ -232,6 +245,58 @@ def _overrule(root: Node) -> None:
                 node.unlikely = 0
 
 
+def _settle(root: Node) -> None:
+    """Parts whose ambiguous name their structure does not bear out stay: low in links, without controls, with a paragraph of their own."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node)]
+    if not any(n.unsure for n in order):
+        return
+    found: dict[int, tuple[int, int, bool, bool]] = {}
+    for node in reversed(order):
+        chars = links = 0
+        paragraph, control = node.tag in ("p", "pre", "blockquote"), node.tag in ("form", "input", "button", "select", "textarea")
+        for c in node.children:
+            if isinstance(c, str):
+                chars += len(c.strip())
+            else:
+                own = found[id(c)]
+                chars, links, paragraph, control = chars + own[0], links + own[1], paragraph or own[2], control or own[3]
+        found[id(node)] = chars, chars if node.tag == "a" else links, paragraph, control
+        if node.unsure and node.unlikely == 1 and paragraph and not control and links < MOST_LINKS * chars:
+            node.unlikely = 0
+
+
+def _comment_runs(root: Node) -> None:
+    """A container most of whose parts are of one make, two at least, each signed, goes where enough text stands before it and no article
+    or main part in it."""
+    order = list(_walk(root))
+    text, signed, marked = {}, {}, {}
+    for node in reversed(order):
+        kids = [c for c in node.children if isinstance(c, Node) and id(c) in text]
+        text[id(node)] = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(text[id(c)] for c in kids)
+        signed[id(node)] = node.signed or any(signed[id(c)] for c in kids)
+        marked[id(node)] = node.tag in ("article", "main") or any(marked[id(c)] for c in kids)
+    before, gone = 0, set()
+    for node in order:
+        if node.parent is not None and id(node.parent) in gone:
+            gone.add(id(node))
+            continue
+        kids = [c for c in node.children if isinstance(c, Node) and c.tag in BLOCK and id(c) in text]
+        makes: dict[tuple[str, str], int] = {}
+        for c in kids:
+            if c.name and signed[id(c)]:
+                makes[c.tag, c.name] = makes.get((c.tag, c.name), 0) + 1
+        most = max(makes.values(), default=0)
+        if most >= 2 and most * 5 >= len(kids) * 4 and before >= BEFORE_COMMENTS and node.tag in BLOCK and node.tag not in ("article", "main", "body", "table", "tbody", "tr") and not marked[id(node)]:
+            node.unlikely = 2
+            gone.add(id(node))
+            continue
+        before += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+
+
 def _squeeze(text: str) -> str:
     return " ".join(text.split())
 
@@ -305,7 +370,9 @@ def _beside(parts: list[Node | str], least: float) -> list[Node | str | None]:
 
 def main_containers(root: Node) -> list[Node | str | None]:
     """The best container and what is kept beside it, in page order; None ends a line."""
+    _settle(root)
     _overrule(root)
+    _comment_runs(root)
     order = list(_walk(root))
     _measure(order)
     scored: dict[int, Node] = {}
