@@ -8,12 +8,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ..sources.tables import _fs
 
-LOG = T.StructType.fromDDL("run_id string, name string, status string, attempt int, at timestamp, rows_in bigint, error_summary string")
+LOG = "run_id string, name string, status string, attempt int, at timestamp, rows_in bigint, error_summary string"
 
 
 class RunListener(StreamingQueryListener):
