@@ -26,14 +26,15 @@ def crawl_status(scraped: Column, failed: Column) -> Column:
     return F.when((scraped == 0) & (failed > 0), "failed").when((scraped > 0) & (failed > 0), "partial").otherwise("success")
 
 
-def run_row(counts: DataFrame, spider: str, started, finished, triggered_by: str = "manual", error: str | None = None) -> DataFrame:
+def run_row(counts: DataFrame, spider: str, started, finished, triggered_by: str = "manual", error: str | None = None, without: list[str] | None = None) -> DataFrame:
     """A row of the run log from one row of counters (records_new, records_updated, records_failed). A run without an end is running; one
-    with an error has failed."""
+    with an error has failed. `without` names what did not take part; the summary says so where there is no error."""
+    error_text = error or (f"without {', '.join(without)}" if without else None)
     start, end = F.lit(started).cast("timestamp"), F.lit(finished).cast("timestamp")
     status = F.when(end.isNull(), "running").when(F.lit(error).isNotNull(), "failed").otherwise(run_status(F.col("records_failed")))
     return counts.select(
         T.key_id(F.lit(spider), start).alias("id"), F.lit(spider).alias("spider_name"), status.alias("status"), start.alias("started_at"), end.alias("finished_at"),
-        *[F.col(c).cast("int").alias(c) for c in ("records_new", "records_updated", "records_failed")], F.substring(F.lit(error), 1, 2000).alias("error_summary"), F.lit(triggered_by).alias("triggered_by"),
+        *[F.col(c).cast("int").alias(c) for c in ("records_new", "records_updated", "records_failed")], F.substring(F.lit(error_text), 1, 2000).alias("error_summary"), F.lit(triggered_by).alias("triggered_by"),
     )
 
 

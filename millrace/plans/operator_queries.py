@@ -359,10 +359,14 @@ def normalize_scores(t):
     return n.select("ingest_seq", "university_code", "major_name", "major_code", F.col("year").cast("int").alias("year"), "admission_method", "subject_combination", "cutoff_score", "quota", "note", "source_url")
 
 
-@query("SELECT count(*) AS normalized, 0::BIGINT AS resolved, count(*) FILTER (o_orderkey % 2 = 0) AS unresolved, count(*) FILTER (o_orderkey % 3 <> 2) AS combos FROM orders")
+@query("""SELECT count(*) AS normalized, count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 20 < 10) AS resolved, count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 20 >= 10) AS unresolved,
+count(*) FILTER (o_orderkey % 3 <> 2) AS combos FROM orders""")
 def normalize_counters(t):
-    raw = _scores(t)
-    return normalize.counters(raw, normalize.scores(raw))
+    """Rows without a code get one from a dictionary that has half of their names."""
+    raw, n = _scores(t), t("nation").where("n_nationkey < 10")
+    names = n.select(F.concat(F.lit("kỹ thuật m"), F.col("n_nationkey").cast("string")).alias("key"), (7000000 + F.col("n_nationkey")).cast("string").alias("value"), F.col("n_nationkey").cast("int").alias("ord"))
+    coded = resolve.code_of_name(normalize.scores(raw), "major_name", names, "__code", 0.99)
+    return normalize.counters(raw, coded.withColumn("major_code", F.coalesce("major_code", "__code")))
 
 
 @query("""

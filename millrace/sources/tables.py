@@ -141,5 +141,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
+def read_jdbc_parts(spark: SparkSession, url: str, table: str, column: str, parts: int, quote: str = '"', **options: str) -> DataFrame:
+    """A table in parts that are read side by side: ranges of a whole-number column between its least and largest value, which the database is
+    asked for first, with the column between `quote`. Rows whose column is null are in the first part."""
+    low, high = read_jdbc(spark, url, f"(SELECT MIN({quote}{column}{quote}) AS lo, MAX({quote}{column}{quote}) AS hi FROM {table}) bounds", **options).first()
+    if low is None or low == high:
+        return read_jdbc(spark, url, table, **options)
+    return read_jdbc(spark, url, table, partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts), **options)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
     df.write.format("jdbc").mode(mode).options(url=url, dbtable=table, **options).save()

@@ -82,7 +82,8 @@ def to_admissions(path: str, spider: str, as_of: str, policy: str = "skip", **op
         )
         failed = out["dropped"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records_failed"))
         counted = failed.select(F.lit(counts["records_new"]).alias("records_new"), F.lit(counts["records_updated"]).alias("records_updated"), "records_failed")
-        log = metrics.run_row(counted, spider, as_of, as_of, "stream").withColumns({"id": F.concat(F.lit(f"{spider}-"), F.lit(version)), "buckets": F.lit(counts["buckets"])})
+        without = [k for k, used in (("names", options.get("names")), ("cache", options.get("cached")), ("table", options.get("use_table"))) if used is None or used is False]
+        log = metrics.run_row(counted, spider, as_of, as_of, "stream", without=without).withColumns({"id": F.concat(F.lit(f"{spider}-"), F.lit(version)), "buckets": F.lit(counts["buckets"])})
         log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
         store.commit(version, files)
 

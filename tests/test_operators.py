@@ -130,6 +130,57 @@ def test_jdbc_round_trip(spark):
     tables.write_jdbc(rows, url, "t", "overwrite", driver=driver)
     tables.write_jdbc(rows, url, "t", driver=driver)
     assert sorted(tables.read_jdbc(spark, url, "t", driver=driver).collect(), key=str) == sorted(rows.union(rows).collect(), key=str)
+    tables.write_jdbc(spark.range(1000).selectExpr("id as k", "id % 7 as v"), url, "many", "overwrite", driver=driver)
+    got = tables.read_jdbc_parts(spark, url, "many", "k", 5, driver=driver)
+    assert got.rdd.getNumPartitions() == 5 and got.count() == 1000 and got.agg(F.sum("v")).first()[0] == sum(k % 7 for k in range(1000))
+    tables.write_jdbc(spark.range(0).selectExpr("id as k"), url, "nothing", "overwrite", driver=driver)
+    assert tables.read_jdbc_parts(spark, url, "nothing", "k", 5, driver=driver).count() == 0
+
+
+def test_indexed_scan_opens_few_files(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id % 97 as k", "cast(2018 + id % 4 as int) as year", "id", "array(concat('t', id % 50), 'all') as tags")
+    tables.write_indexed(df, f"{tmp_path}/t", "year", "k", 8, ("id",))
+    got = tables.scan_indexed(spark, f"{tmp_path}/t", "year", [2019], "k", [5, 11], 8)
+    assert got.count() == df.where("year = 2019 and k in (5, 11)").count()
+    every = len(list((tmp_path / "t").rglob("*.parquet")))
+    opened = got.selectExpr("input_file_name() as f").distinct().count()
+    assert opened <= 2 and every >= 32
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    tables.write_members(df, f"{tmp_path}/m", "tags", "id", 8)
+    assert {r["id"] for r in tables.holding(df, f"{tmp_path}/m", "t7", "id", 8).collect()} == {k for k in range(4000) if k % 50 == 7}
+
+
+def test_pages_are_pruned_and_streamed_from_their_offset(spark, tmp_path):
+    from millrace.sources import pages
+
+    df = spark.range(60).selectExpr("id as page_id", "concat('u', id) as url", "repeat('x', cast(id as int)) as html", "cast(2020 + id % 3 as int) as year", "concat('C', id % 4) as code")
+    pages.store(df, f"{tmp_path}/p", 0)
+    got = pages.scan(spark, f"{tmp_path}/p").where("year = 2021 and code in ('C1', 'C2') and page_id > 10")
+    assert got.rdd.getNumPartitions() == 2
+    assert {r["page_id"] for r in got.collect()} == {k for k in range(11, 60) if k % 3 == 1 and k % 4 in (1, 2)}
+    (tmp_path / "p" / "batch=1").mkdir()  # a batch that is being written is not seen
+
+    def run():
+        pages.stream(spark, f"{tmp_path}/p", [2020]).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        return sorted(r["page_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    assert run() == [k for k in range(60) if k % 3 == 0] == run()
+    pages.store(df.selectExpr("page_id + 100 as page_id", "url", "html", "year", "code"), f"{tmp_path}/p", 1)
+    assert run() == sorted([k for k in range(60) if k % 3 == 0] + [k + 100 for k in range(60) if k % 3 == 0])
+
+
+def test_sketches_of_batches(spark, tmp_path):
+    from millrace.operators import sketches
+
+    df = spark.range(20000).selectExpr("id % 3 as g", "cast(id * 7919 % 20011 as double) as v", "id % 1000 as w")
+    for b in (0, 1, 2, 1):  # a batch that runs again counts once
+        sketches.add(df.where(F.pmod(F.col("v"), F.lit(3)).cast("int") == b), ["g"], "v", "w", f"{tmp_path}/s", b)
+    for r in sketches.merged(spark, f"{tmp_path}/s", ["g"]).collect():
+        own = sorted(x["v"] for x in df.where(f"g = {r['g']}").collect())
+        assert r["n"] == len(own) and (r["low"], r["high"]) == (own[0], own[-1])
+        assert abs(sum(v <= r["middle"] for v in own) / len(own) - 0.5) <= sketches.RANK_ERROR
+        assert abs(r["distinct"] - len({x["w"] for x in df.where(f"g = {r['g']}").collect()})) <= 1000 * sketches.COUNT_ERROR
 
 
 def test_stages_run_by_priority(spark, score_rows):

@@ -91,6 +91,7 @@ def test_stream_of_scores_fails_between_tables_and_goes_on(spark, tmp_path, monk
     assert [table.read(t).count() for t in ("scores", "universities", "majors")] == [2, 2, 2]
     assert sorted(str(r[0]) for r in table.read("scores").select("cutoff_score").collect()) == ["25.00", "26.00"]
     log = {r["id"]: r for r in spark.read.parquet(f"{at}/out/log").collect()}
+    assert {r["error_summary"] for r in log.values()} == {"without names, cache, table"}
     assert [(r["status"], r["records_new"], r["records_updated"], r["records_failed"]) for _, r in sorted(log.items())] == [("partial", 1, 0, 1), ("success", 1, 0, 0), ("success", 0, 1, 0)]
 
 
