@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -58,12 +59,15 @@ def byte_words(x: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @lru_cache
 def points_like(pattern: str) -> np.ndarray:
-    """Which code points match a pattern (of the regex library) for one character, made once in a process."""
-    import regex
-
+    """Which code points match a pattern for one character, made once in a process. Patterns with a property (\\p) are those of the regex
+    library; in others a word character is what Python's own says, without combining marks."""
+    if r"\p" in pattern:
+        import regex as engine
+    else:
+        engine = re
     table = np.zeros(0x110000, bool)
     for a, b in ((0, 0xD800), (0xE000, 0x110000)):
-        for m in regex.finditer(f"(?:{pattern})+", "".join(map(chr, range(a, b)))):
+        for m in engine.finditer(f"(?:{pattern})+", "".join(map(chr, range(a, b)))):
             table[a + m.start() : a + m.end()] = True
     return table
 

@@ -8,11 +8,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import html_extract, lang_id, lm_score, packing, quality, token_counts, toxicity
+from millrace.llm import hashing, html_extract, lang_id, lm_score, packing, quality, token_counts, toxicity
 from millrace.llm.common import documents
 from millrace.llm.training import sample
 
@@ -277,10 +278,15 @@ def test_unlearned_languages_go(spark):
     assert lang_id.keep_identified(docs, model).count() >= 0.999 * docs.count()
 
 
+def test_word_characters_are_pythons_own():
+    table = hashing.points_like(r"[^\W_]")
+    assert all(table[c] == (re.fullmatch(r"[^\W_]", chr(c)) is not None) for c in range(0xD800))
+
+
 def test_words_by_pattern():
     texts = ["Aé_b9c d'E\u0308f ²x", "", "123 !", "ß" * 60 + " q", "ΑΣ ΣΑ İx", "日本 語\U00020000"]
     w = lang_id.words_of(texts)
-    want = [[x for m in re.findall(r"[^\W\d_]+", t.lower()) for x in (("▁" if k == 0 else "") + m[k : k + lang_id.MAX_LEN] for k in range(0, len(m), lang_id.MAX_LEN))] for t in texts]
+    want = [[x for m in regex.findall(r"\p{L}+", t.lower()) for x in (("▁" if k == 0 else "") + m[k : k + lang_id.MAX_LEN] for k in range(0, len(m), lang_id.MAX_LEN))] for t in texts]
     assert w.per_text.tolist() == [len(x) for x in want]
     got = [""] * len(w.hash)
     for at, points in lang_id.lattice_rows(w, np.arange(len(w.hash)), 100):
@@ -319,7 +325,7 @@ def test_language_scores_by_all_segmentations(spark):
     texts = ["The und heereint 12 été", "Straße über-all, señor", "x", "日本 the"]
     lang, score, log, letters = lang_id.scorer(model.pieces, model.table, model.languages)(texts)
     for k, t in enumerate(texts):
-        words = re.findall(r"[^\W\d_]+", t.lower())
+        words = regex.findall(r"\p{L}+", t.lower())
         sums = [sum(word("▁" + w, j) for w in words) for j in range(len(model.languages))]
         top = max(sums)
         assert log[k] == pytest.approx(top) and letters[k] == sum(map(len, words)) and lang[k] == model.languages[sums.index(top)]
