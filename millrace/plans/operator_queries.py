@@ -166,7 +166,8 @@ CASE c_custkey % 3 WHEN 0 THEN 'hoc_ba' WHEN 1 THEN 'DGNL' ELSE 'THPT' END AS ad
 CASE WHEN c_custkey % 2 = 0 THEN '22.50' END AS cutoff_score, CAST(2020 + c_custkey % 5 AS INTEGER) AS year, '' || c_custkey AS source_url FROM customer""")
 def ministry_rows(t):
     k = F.col("c_custkey")
-    pages = t("customer").select(k.cast("string").alias("url"), _ministry_page(k).alias("html"), (2020 + k % 5).cast("int").alias("year"))
+    customers = tables.spread(t("customer").select("c_custkey"), "c_custkey")
+    pages = customers.select(k.cast("string").alias("url"), _ministry_page(k).alias("html"), (2020 + k % 5).cast("int").alias("year"))
     return H.ministry_scores(pages).drop("table", "row")
 
 
@@ -343,7 +344,7 @@ def normalize_majors(t):
 def _scores(t) -> DataFrame:
     """Orders as raw scores, as the pages write them."""
     k = F.col("o_orderkey")
-    return t("orders").select(
+    return tables.spread(t("orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(
         k.alias("ingest_seq"), F.concat(F.lit(" u"), (F.col("o_custkey") % 50).cast("string"), F.lit("_")).alias("university_code"), F.concat(_nfd("Ngành: Kỹ thuật m"), (k % 20).cast("string"), F.lit(" (CLC)")).alias("major_name_raw"),
         _by(k, F.lit(None).cast("string"), " 7480201 ").alias("major_code"), F.lit("2024").alias("year"), _by(k, "Xét học bạ", "ĐGNL", "?").alias("admission_method"), _by(k, "Toán, Văn, Anh", "a00", "zz").alias("subject_combination"),
         _by(k, "25,5 điểm", "≥ 20", "---", "150").alias("cutoff_score"), _by(k, "150 chỉ tiêu", "~20", "0").alias("quota"), _by(k, " n\t \n\n b ", " ").alias("note"), F.lit("2024-01-01 00:00:00").alias("scraped_at"), F.lit(" https://x.example ").alias("source_url"),
@@ -406,7 +407,7 @@ def _dictionary(t) -> DataFrame:
 def name_to_code(t):
     """The whole cascade: exact, without accents, without brackets; names that are like nothing stay without a code."""
     n = t("nation")
-    x = t("customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    x = tables.spread(t("customer").select("c_custkey", "c_nationkey"), "c_custkey").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
     name = F.col("n_name")
     raw = _by(F.col("c_custkey"), F.concat(_nfd("Ngành: Điện "), name), F.concat(F.lit("điện "), name, F.lit(" (x)")), F.concat(F.lit("đien "), F.lower(name)), F.concat(F.lit("Điện [CLC] "), name), F.concat(F.lit("zzzzqqqq "), F.col("c_custkey").cast("string")))
     return resolve.code_of_name(x.select("c_custkey", raw.alias("raw")), "raw", _dictionary(t)).select("c_custkey", "code")
@@ -640,7 +641,7 @@ def profile_resource(t):
 SELECT c_custkey, row, body, n FROM (SELECT c_custkey, unnest([0, 1, 2]) AS row, unnest([false, true, true]) AS body, unnest([6, 6, 3]) AS n FROM customer)""")
 def sql_table_rows(t):
     """The table parser as a table function in SQL."""
-    c = t("customer").select("c_custkey", _ministry_page(F.col("c_custkey")).alias("html"))
+    c = tables.spread(t("customer").select("c_custkey"), "c_custkey").select("c_custkey", _ministry_page(F.col("c_custkey")).alias("html"))
     H.register(c.sparkSession)
     return c.sparkSession.sql("SELECT c_custkey, r.row, r.body, size(r.cells) AS n FROM {pages}, LATERAL html_table_rows(html) r", pages=c)
 

@@ -33,6 +33,14 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt over all cores by a hash of these columns. For rows of few bytes and costly work: a file of narrow rows is one task to the scan,
+    however many rows it has."""
+    spark = df.sparkSession
+    n = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *by)
+
+
 def write_version(df: DataFrame, path: str, version: str, again: bool = False) -> str:
     """A whole new version of a table, made the current one by a marker once it is complete; a reader sees one or the other. With
     `again` a version that is there is written anew, as by a batch that runs a second time."""
