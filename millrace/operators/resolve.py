@@ -40,16 +40,17 @@ def dictionary(base: DataFrame, aliases: DataFrame | None = None, custom: DataFr
 
 
 def code_of_name(df: DataFrame, name: str, names: DataFrame, value: str = "code", cutoff: float = 0.82) -> DataFrame:
-    """Name to code: exact, without accents, without brackets, then fuzzy on the distinct names that are left.
+    """Name to code: exact, without accents, without brackets, then fuzzy, each on the distinct names that are left.
 
     names: (key, value, ord), ord being the dictionary's order, which settles ties of the fuzzy step."""
     exact = names.select("key", "value")
     plain = names.groupBy(T.strip_accents("key").alias("key")).agg(F.max_by("value", "ord").alias("value"))
-    key = T.name_key(T.raw_name(name))
-    bare = T.squeeze(T.without_brackets(key, r"(\[", r")\]"))
-    found = cascade(df, [key, T.strip_accents(key), bare], [exact, plain, exact], value)
-    left = found.where(F.col(value).isNull()).select(key.alias("__key")).where("__key <> ''").distinct()
-    return found.withColumn("__key", key).join(fuzzy(left, "__key", names, cutoff), "__key", "left").withColumn(value, F.coalesce(value, "match")).drop("__key", "match", "ratio")
+    each = df.select(F.col(name).alias("__raw")).distinct().withColumn("__key", T.name_key(T.raw_name("__raw")))
+    key = F.col("__key")
+    found = cascade(each, [key, T.strip_accents(key), T.squeeze(T.without_brackets(key, r"(\[", r")\]"))], [exact, plain, exact], value)
+    left = found.where(F.col(value).isNull()).select("__key").where("__key <> ''").distinct()
+    found = found.join(fuzzy(left, "__key", names, cutoff), "__key", "left").select("__raw", F.coalesce(value, "match").alias(value))
+    return df.join(found, F.col(name).eqNullSafe(F.col("__raw")), "left").drop("__raw")
 
 
 def fuzzy(keys: DataFrame, key: str, names: DataFrame, cutoff: float = 0.82) -> DataFrame:
