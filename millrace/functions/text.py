@@ -25,6 +25,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(x: Column, f) -> Column:
+    """f of x, with x computed once however often f names it: an expression that stands in several branches is computed in each."""
+    return F.transform(F.array(x), lambda v: f(v))[0]
+
+
 def strip(x) -> Column:
     """Both ends without white space of any kind, no-break space included; in linear time, as a pattern that ends in white space is not:
     it is tried anew at every place of a run."""
@@ -66,9 +71,12 @@ def strip_accents(x, strip_dbar: bool = False) -> Column:
 
 def nfc(x) -> Column:
     """Unicode NFC. Texts of ASCII alone are passed on as they are."""
-    x = _c(x)
-    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(x, F.lit("")), F.lit(False))
-    return F.when(x.rlike(r"[^\x00-\x7F]"), composed).otherwise(x)
+
+    def composed(x: Column) -> Column:
+        whole = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(x, F.lit("")), F.lit(False))
+        return F.when(x.rlike(r"[^\x00-\x7F]"), whole).otherwise(x)
+
+    return let(_c(x), composed)
 
 
 def strip_accents_compat(x, strip_dbar: bool = False) -> Column:
@@ -81,9 +89,12 @@ def strip_accents_compat(x, strip_dbar: bool = False) -> Column:
 
 def unescape(x) -> Column:
     """Character references by name and number, decoded once."""
-    x = _c(x)
-    plain = F.replace(F.coalesce(x, F.lit("")), F.lit("&apos;"), F.lit("&#39;"))
-    return F.when(F.contains(x, F.lit("&")), F.reflect(F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), plain)).otherwise(x)
+
+    def decoded(x: Column) -> Column:
+        plain = F.replace(F.coalesce(x, F.lit("")), F.lit("&apos;"), F.lit("&#39;"))
+        return F.when(F.contains(x, F.lit("&")), F.reflect(F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), plain)).otherwise(x)
+
+    return let(_c(x), decoded)
 
 
 # Prefixes of a programme's name, in the order in which they are removed, and a group in brackets.
@@ -165,9 +176,8 @@ def score(x, low: float = 0, high: float = 100) -> Column:
 
 def quota(x) -> Column:
     """The first run of digits, when positive; a sign is not read."""
-    t = strip(_c(x))
-    n = F.when(~F.lower(t).isin(M.NO_QUOTA), F.regexp_extract(t, r"\d+", 0)).try_cast("bigint")
-    return F.when(n > 0, n)
+    n = let(strip(_c(x)), lambda t: F.when(~F.lower(t).isin(M.NO_QUOTA), F.regexp_extract(t, r"\d+", 0)).try_cast("bigint"))
+    return let(n, lambda n: F.when(n > 0, n))
 
 
 def to_int(x) -> Column:
@@ -215,13 +225,15 @@ def first_keyword(x: Column, rules: list[tuple[list[str] | str, str]], default:
 
 def method(x) -> Column:
     """The admission method of a label or a text that names one; THPT when none is named."""
-    t = strip(F.coalesce(_c(x), F.lit("")))
-    low = F.lower(t)
-    return F.when(t == "", F.lit("THPT")).when(t.isin(list(M.METHODS)), t).otherwise(F.coalesce(label(low, M.METHOD_LABELS), first_keyword(low, M.METHOD_KEYWORDS, "THPT", strip_accents(low))))
+
+    def told(low: Column) -> Column:
+        return F.coalesce(label(low, M.METHOD_LABELS), let(strip_accents(low), lambda plain: first_keyword(low, M.METHOD_KEYWORDS, "THPT", plain)))
+
+    return let(strip(F.coalesce(_c(x), F.lit(""))), lambda t: F.when(t == "", F.lit("THPT")).when(t.isin(list(M.METHODS)), t).otherwise(let(F.lower(t), told)))
 
 
 def title_method(x) -> Column:
-    return first_keyword(strip_accents(F.lower(F.coalesce(_c(x), F.lit(""))), True), M.TITLE_KEYWORDS, "THPT")
+    return let(strip_accents(F.lower(F.coalesce(_c(x), F.lit(""))), True), lambda t: first_keyword(t, M.TITLE_KEYWORDS, "THPT"))
 
 
 def set_key(items: Column) -> Column:
@@ -231,17 +243,21 @@ def set_key(items: Column) -> Column:
 
 def combo(x) -> Column:
     """The code of a subject combination, by code, alias, set of three subjects, or a code within the text; KHAC for others."""
-    t = nfc(strip(F.coalesce(_c(x), F.lit(""))))
-    low = F.lower(t)
     subjects = F.create_map(*[F.lit(v) for kv in M.SUBJECTS.items() for v in kv])
-    parts = F.filter(F.transform(F.split(low, r"(?U)[,\-/；;、]+\s*|\s+và\s+|\s+"), strip), lambda p: p != "")
-    codes = F.transform(parts, lambda p: F.try_element_at(subjects, p))
-    key = F.when((F.size(parts) == 3) & ~F.array_contains(F.transform(codes, lambda c: c.isNull()), True), set_key(codes))
-    inside = blank_to_null(F.upper(F.regexp_extract(t, r"(?i)\b([A-DX]\d{2})\b", 1)))
     plain = {k: v for k, v in M.COMBO_ALIASES.items()}
     bare = {"".join(c for c in unicodedata.normalize("NFD", k) if unicodedata.category(c) != "Mn").replace("đ", "d"): v for k, v in plain.items()}
-    found = F.coalesce(label(low, plain), label(strip_accents(low, True), bare), label(key, {k.lower(): v for k, v in M.SUBJECT_SETS.items()}), inside)
-    return F.when(t.rlike(r"(?i)^[A-DX]\d{2}$"), F.upper(t)).otherwise(F.coalesce(found, F.lit("KHAC")))
+    sets = {k.lower(): v for k, v in M.SUBJECT_SETS.items()}
+
+    def key(low: Column) -> Column:
+        parts = F.filter(F.transform(F.split(low, r"(?U)[,\-/；;、]+\s*|\s+và\s+|\s+"), strip), lambda p: p != "")
+        codes = F.transform(parts, lambda p: F.try_element_at(subjects, p))
+        return let(codes, lambda c: F.when((F.size(c) == 3) & ~F.exists(c, lambda x: x.isNull()), set_key(c)))
+
+    def found(t: Column) -> Column:
+        inside = blank_to_null(F.upper(F.regexp_extract(t, r"(?i)\b([A-DX]\d{2})\b", 1)))
+        return let(F.lower(t), lambda low: F.coalesce(label(low, plain), label(strip_accents(low, True), bare), label(key(low), sets), inside))
+
+    return let(nfc(strip(F.coalesce(_c(x), F.lit("")))), lambda t: F.when(t.rlike(r"(?i)^[A-DX]\d{2}$"), F.upper(t)).otherwise(F.coalesce(found(t), F.lit("KHAC"))))
 
 
 def combos(x) -> Column:
@@ -257,7 +273,7 @@ def scan_combo(x) -> Column:
     """The page scan's combination: an alias within the text, else the first letter with two digits."""
     low = strip_accents(F.lower(F.coalesce(_c(x), F.lit(""))), True)
     code_ = blank_to_null(F.regexp_extract(F.upper(F.coalesce(_c(x), F.lit(""))), r"[A-Z]\d{2}", 0))
-    return F.coalesce(first_keyword(low, list(M.SCAN_COMBO_ALIASES.items()), None), code_, F.lit("KHAC"))
+    return F.coalesce(let(low, lambda t: first_keyword(t, list(M.SCAN_COMBO_ALIASES.items()), None)), code_, F.lit("KHAC"))
 
 
 def texts(x) -> Column:
