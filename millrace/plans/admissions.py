@@ -29,7 +29,8 @@ def run_stages(tables: Tables, stages: list[Stage]) -> Tables:
 
 def cut(path: str, priority: int = 350) -> Stage:
     """A stage that writes the rows to a folder that driver and executors share and reads them back, so that what follows does not
-    compute them again for each table."""
+    compute them again for each table. At a priority between those of dedup and resolve the raw records are read once: resolution looks at
+    its rows several times."""
 
     def write(t: Tables) -> Tables:
         t["rows"].write.mode("overwrite").parquet(path)
@@ -122,7 +123,10 @@ def score_stages(as_of: str, policy: str = "skip", rule_set=None, names: DataFra
         named = t["rows"].select("*", *dedup.score_key())
         if cached is not None:
             named = named.join(cached.select(*keys).distinct(), keys, "left_anti")
-        rows = resolve_ids(dedup.first_wins(named, keys, ["ingest_seq"]).drop(*keys).where("university_code <> ''"), t["universities"], t["majors"])
+        return {"rows": dedup.first_wins(named, keys, ["ingest_seq"]).drop(*keys).where("university_code <> ''")}
+
+    def identify(t: Tables) -> Tables:
+        rows = resolve_ids(t["rows"], t["universities"], t["majors"])
         if use_table:
             rows = rows.join(t["stored"].select(*SCORE_KEY), SCORE_KEY, "left_anti")
         return {"rows": rows}
@@ -133,7 +137,7 @@ def score_stages(as_of: str, policy: str = "skip", rule_set=None, names: DataFra
         counts = metrics.counters(merged, new=F.col("action") == "inserted", updated=F.col("action") == "updated", unchanged=F.col("action") == "unchanged")
         return {"universities": u, "majors": m, "scores": merged, "counters": counts}
 
-    return [(100, "validate", validate), (200, "normalise", normalise), (300, "dedup", once), (400, "store", store)]
+    return [(100, "validate", validate), (200, "normalise", normalise), (300, "dedup", once), (330, "resolve", identify), (400, "store", store)]
 
 
 def prepare(raw: DataFrame, stored: DataFrame, universities: DataFrame, majors: DataFrame, as_of: str, more: list[Stage] | None = None, **options) -> Tables:

@@ -576,12 +576,12 @@ def admissions_run(t):
     u = spark.createDataFrame([], "id string, university_code string, name string, university_type string, region string, is_active boolean")
     m = spark.createDataFrame([], "id string, major_code string, name string, major_group_code string, study_duration smallint, degree_level string, is_active boolean")
     at = tables.scratch(spark, "admissions")
-    out = admissions.run(raw, spark.createDataFrame([], _NO_SCORES), u, m, "2024-01-01", more=[admissions.cut(f"{at}/rows-1")])
+    out = admissions.run(raw, spark.createDataFrame([], _NO_SCORES), u, m, "2024-01-01", more=[admissions.cut(f"{at}/once-1", 310), admissions.cut(f"{at}/rows-1")])
     kept = {}
     for k in ("scores", "universities", "majors"):
         tables.write_version(out[k], f"{at}/{k}", "1")
         kept[k] = tables.read_version(spark, f"{at}/{k}")
-    again = admissions.run(raw, kept["scores"].drop("action"), kept["universities"], kept["majors"], "2024-01-01", more=[admissions.cut(f"{at}/rows-2")])
+    again = admissions.run(raw, kept["scores"].drop("action"), kept["universities"], kept["majors"], "2024-01-01", more=[admissions.cut(f"{at}/once-2", 310), admissions.cut(f"{at}/rows-2")])
     parts = {k: df.agg(F.count(F.lit(1)).alias("n")) for k, df in kept.items()} | {"dropped": out["dropped"].agg(F.sum("n").alias("n")), "new": out["counters"].select(F.col("new").alias("n"))}
     parts |= {"new again": again["counters"].select(F.col("new").alias("n")), "unchanged again": again["counters"].select(F.col("unchanged").alias("n"))}
     return union_of([df.select(F.lit(k).alias("part"), "n") for k, df in parts.items()])
