@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, follow_up, vector_codes
+from millrace.llm.common import shared_dir
 
 DIR = "/root/testdata/sf0.001"
 HOUR = follow_up.HOUR
@@ -98,6 +100,20 @@ def test_follow_ups_of_nothing_and_of_odd_rows(spark):
     assert got == sorted([(own, 4, day + 10 * HOUR + 1, False), (11, 4, day + 12 * HOUR, False), (nine, 9, day + 24 * HOUR, False)])
 
 
+def test_follow_ups_open_one_store_for_a_partition(spark):
+    """Spark does not free all that a state store took, so a start must not open more of them than it has to. A batch without events, and
+    obligations that end without any later event of their client."""
+    start = 1_700_000_000_000_000 // HOUR * HOUR
+    events = [(0, 1, start, False), (0, 2, start, False), (0, 3, start + 90 * HOUR, True), (2, 2, start + 300 * HOUR, False)]
+    df = spark.createDataFrame(events, "batch int, client_id long, t_us long, sale boolean")
+    there = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(there.glob("follow-up-*"))
+    got = follow_up.missing_follow_ups(df, batches=3)
+    assert sorted(map(tuple, got.collect())) == alerts_by_loops(events, 3)
+    (own,) = set(there.glob("follow-up-*")) - before
+    assert [x.name for x in (own / "checkpoint/state").iterdir()] == ["0"]
+
+
 def test_time_without_a_zone_is_read_as_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
