@@ -2,7 +2,7 @@
 
 Every function takes a Column or a name and runs in the JVM, in batch and in streams. NFC and character references, which have no
 built-in expression, call the Unicode and text libraries that come with Spark by reflection, on the rows that need them only; such a
-column has to be made before it is the key of a join. Text functions read null as stated in each docstring.
+column has to be made before it is the key of a join or a group. Text functions read null as stated in each docstring.
 """
 
 from __future__ import annotations

@@ -116,7 +116,8 @@ def store_major(df: DataFrame, majors: DataFrame, code: str = "major_code", name
 def with_entries(names: DataFrame, more: DataFrame) -> DataFrame:
     """A dictionary (key, value, ord) with entries (name, value) added at its end; an entry of a key that is there replaces it."""
     last = names.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("__last"))
-    new = more.groupBy(T.name_key("name").alias("key")).agg(F.max("value").alias("value"))
+    # The key is a column before it is grouped by: Spark takes NFC's call out of a grouping expression, away from the text it is bound to.
+    new = more.select(T.name_key("name").alias("key"), "value").groupBy("key").agg(F.max("value").alias("value"))
     placed = new.join(names.select("key", "ord"), "key", "left").join(F.broadcast(last))
     placed = placed.select("key", "value", F.coalesce("ord", F.col("__last") + 1).cast("int").alias("ord"))
     return names.select("key", "value", "ord").join(new.select("key"), "key", "left_anti").unionByName(placed)
