@@ -36,7 +36,8 @@ def dictionary(base: DataFrame, aliases: DataFrame | None = None, custom: DataFr
     for p, d in ((1, aliases), (2, custom)):
         if d is not None:
             out = out.unionByName(d.select("name", "value", F.lit(p).alias("p")))
-    return out.groupBy(T.name_key("name").alias("key")).agg(F.max_by("value", "p").alias("value"))
+    # The key is a column before it is grouped by: Spark takes NFC's call out of a grouping expression, away from the text it is bound to.
+    return out.select(T.name_key("name").alias("key"), "value", "p").groupBy("key").agg(F.max_by("value", "p").alias("value"))
 
 
 def code_of_name(df: DataFrame, name: str, names: DataFrame, value: str = "code", cutoff: float = 0.82) -> DataFrame:
@@ -116,7 +117,7 @@ def store_major(df: DataFrame, majors: DataFrame, code: str = "major_code", name
 def with_entries(names: DataFrame, more: DataFrame) -> DataFrame:
     """A dictionary (key, value, ord) with entries (name, value) added at its end; an entry of a key that is there replaces it."""
     last = names.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("__last"))
-    # The key is a column before it is grouped by: Spark takes NFC's call out of a grouping expression, away from the text it is bound to.
+    # As in dictionary, the key is a column first.
     new = more.select(T.name_key("name").alias("key"), "value").groupBy("key").agg(F.max("value").alias("value"))
     placed = new.join(names.select("key", "ord"), "key", "left").join(F.broadcast(last))
     placed = placed.select("key", "value", F.coalesce("ord", F.col("__last") + 1).cast("int").alias("ord"))
